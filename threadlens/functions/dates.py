@@ -20,7 +20,7 @@ def _day_ntz(d: Column) -> Column:
 
 def parse_day_mon_year(c, strict: bool = False) -> Column:
     """'4-Oct-2024' -> 2024-10-04 00:00 (UTC wall clock, TIMESTAMP_NTZ)."""
-    d = F.try_to_date(_c(c), F.lit(DAY_MON_YEAR))
+    d = F.try_to_date(_c(c), DAY_MON_YEAR)
     if strict:
         d = F.when(_c(c).isNull() | d.isNotNull(), d).otherwise(
             F.raise_error(F.concat(F.lit("unparseable date: "), _c(c))).cast("date"))
@@ -40,8 +40,8 @@ def parse_iso_day(c, strict: bool = False) -> Column:
 
 def coerce_two_formats(c, strict: bool = True) -> Column:
     """Try 'd-MMM-yyyy', then ISO with Z; both failing raises (strict) or NULL."""
-    d = F.coalesce(F.try_to_date(_c(c), F.lit(DAY_MON_YEAR)),
-                   F.try_to_date(_c(c), F.lit(ISO_Z)))
+    d = F.coalesce(F.try_to_date(_c(c), DAY_MON_YEAR),
+                   F.try_to_date(_c(c), ISO_Z))
     if strict:
         d = F.when(_c(c).isNull() | d.isNotNull(), d).otherwise(
             F.raise_error(F.concat(F.lit("unparseable date: "), _c(c))).cast("date"))

@@ -105,7 +105,7 @@ def v_youtube_comments_raw(spark, sf_dir) -> DataFrame:
                           F.col("comment").alias("_ptext"))
     y = y.join(parents, "parent_comment_id", "left")
     post_iso = F.concat(
-        F.date_format(F.try_to_date("created_utc", F.lit("d-MMM-yyyy")), "yyyy-MM-dd"),
+        F.date_format(F.try_to_date("created_utc", "d-MMM-yyyy"), "yyyy-MM-dd"),
         F.lit("T08:30:00Z"))
     return y.select(
         F.col("post_title").alias("video_title"), F.col("post_id").alias("video_id"),
