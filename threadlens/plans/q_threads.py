@@ -1 +1,116 @@
-"""placeholder"""
+"""Thread structure queries: orphans, levels, context propagation, full clean."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from threadlens.operators.clean import clean_comments, stored_label_gate
+from threadlens.operators.mentions import mention_flags
+from threadlens.operators.threads import assign_levels, orphan_roots, thread_context
+from threadlens.plans import register
+from threadlens.plans.common import ctes, gated_comments, unified
+from threadlens.plans.q_text import PUNCT_END_SQL
+from threadlens.schemas import UNIFIED_COLUMNS
+from threadlens.sources.fixtures import GAZETTEER_A, GAZETTEER_B, v_comments, v_turns, with_views
+
+def _lv(src: str) -> dict[str, str]:
+    """Recursive CTE: level 1 for roots/orphans, parent level + 1 below."""
+    return {"lv(comment_id, level)": f"""
+  SELECT comment_id, 1 FROM {src}
+  WHERE parent_comment_id IS NULL OR parent_comment_id NOT IN (SELECT comment_id FROM {src})
+  UNION ALL
+  SELECT c.comment_id, lv.level + 1 FROM {src} c JOIN lv ON c.parent_comment_id = lv.comment_id"""}
+
+
+@register("orphan_roots", with_views("""
+SELECT comment_id, parent_comment_id FROM gated
+WHERE parent_comment_id IS NOT NULL AND parent_comment_id NOT IN (SELECT comment_id FROM gated)""",
+                                     "v_comments", extra=ctes("gated")))
+def orphan_roots_q(spark, sf_dir):
+    return orphan_roots(gated_comments(spark, sf_dir)).select("comment_id", "parent_comment_id")
+
+
+@register("thread_levels", with_views("""
+SELECT g.comment_id, lv.level, lv.level IS NULL AS unreachable
+FROM gated g LEFT JOIN lv ON g.comment_id = lv.comment_id""",
+                                      "v_comments", extra={**ctes("gated"), **_lv("gated")},
+                                      recursive=True))
+def thread_levels(spark, sf_dir):
+    return assign_levels(gated_comments(spark, sf_dir)).select("comment_id", "level", "unreachable")
+
+
+@register("chain_levels", with_views("""
+SELECT t.comment_id, t.turn, lv.level, lv.level IS NULL AS unreachable
+FROM v_turns t LEFT JOIN lv ON t.comment_id = lv.comment_id""",
+    "v_turns", extra=_lv("v_turns"), recursive=True))
+def chain_levels(spark, sf_dir):
+    """Conversation chains (up to 8 deep): level must equal turn + 1."""
+    t = v_turns(spark, sf_dir)
+    return assign_levels(t).select("comment_id", "turn", "level", "unreachable")
+
+
+def _context_input(spark, sf_dir):
+    g = gated_comments(spark, sf_dir)
+    parents = v_comments(spark, sf_dir).select(F.col("comment_id").alias("_pid"),
+                                               F.col("comment").alias("_ptext"))
+    g = g.join(parents, F.col("parent_comment_id") == F.col("_pid"), "left")
+    return g.withColumn("parent_comment", F.coalesce("_ptext", F.lit(""))).drop("_pid", "_ptext")
+
+
+def _recover(x):
+    return f"coalesce(string_split({x}, '[NEXT_COMMENT] ')[2], {x})"
+
+
+def _concat(p, c):
+    return (f"{p} || CASE WHEN regexp_matches({p}, '{PUNCT_END_SQL}') THEN '' ELSE '.' END "
+            f"|| ' [NEXT_COMMENT] ' || {c}")
+
+
+_CTX_CTES = {
+    **ctes("gated"),
+    "ci": """SELECT g.comment_id, g.parent_comment_id, g.comment, g.doc_id,
+       coalesce(p.comment, '') AS parent_comment
+       FROM gated g LEFT JOIN v_comments p ON g.parent_comment_id = p.comment_id""",
+    **_lv("ci"),
+    "cl": "SELECT ci.*, lv.level FROM ci JOIN lv ON ci.comment_id = lv.comment_id",
+    "ctx(comment_id, level, parent_comment, resolved)": f"""
+  SELECT comment_id, level, parent_comment, {_recover(_concat('parent_comment', 'comment'))}
+  FROM cl WHERE level = 1
+  UNION ALL
+  SELECT comment_id, level, pc, {_recover(_concat('pc', 'comment'))} FROM (
+    SELECT c.comment_id, c.level, c.comment,
+           CASE WHEN coalesce(c.parent_comment <> '[deleted]', true)
+                THEN coalesce(p.resolved, '') ELSE c.parent_comment END AS pc
+    FROM cl c JOIN ctx p ON c.parent_comment_id = p.comment_id AND c.level = p.level + 1)""",
+}
+
+
+@register("thread_context", with_views("""
+SELECT comment_id, level, parent_comment, resolved AS comment_after_coref FROM ctx""",
+                                       "v_comments", extra=_CTX_CTES, recursive=True))
+def thread_context_q(spark, sf_dir):
+    c = assign_levels(_context_input(spark, sf_dir))
+    out = thread_context(c, order_col="doc_id")
+    return out.where(F.col("level").isNotNull()).select(
+        "comment_id", "level", "parent_comment", "comment_after_coref")
+
+
+@register("clean")
+def clean_q(spark, sf_dir):
+    """Full cleaning chain (HTML unescape + NFC in one Arrow UDF); rows-only check."""
+    u = unified(spark, sf_dir)
+    return clean_comments(u, stored_label_gate()).select(*UNIFIED_COLUMNS, "platform")
+
+
+def comment_level(spark, sf_dir):
+    """Flagship comment table: unify -> clean -> levels -> context -> flags."""
+    u = clean_comments(unified(spark, sf_dir), stored_label_gate())
+    u = u.withColumn("parent_comment", F.coalesce("parent_comment", F.lit("")))
+    lv = assign_levels(u)
+    ctx = thread_context(lv, order_col="_order")
+    flagged = mention_flags(ctx, "comment", {"contains_a_mentions": GAZETTEER_A,
+                                             "contains_b_mentions": GAZETTEER_B})
+    return flagged.drop("lang", "_order", "unreachable")
+
+
+register("comment_level")(comment_level)

@@ -278,7 +278,8 @@ WHERE event_id % 2 = 0 OR event_id % 3 = 0"""),
 }
 
 
-def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> str:
+def with_views(body: str, *names: str, extra: dict[str, str] | None = None,
+               recursive: bool = False) -> str:
     """Prefix ``body`` with the CTEs it needs (dependencies first)."""
     order: list[str] = []
 
@@ -296,4 +297,5 @@ def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> s
         ctes.append(f"{k} AS ({v.strip()})")
     if not ctes:
         return body.strip()
-    return "WITH " + ",\n".join(ctes) + "\n" + body.strip()
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return head + ",\n".join(ctes) + "\n" + body.strip()
