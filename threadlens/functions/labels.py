@@ -69,7 +69,7 @@ def unknown_label_count(text, labels=ASPECT_LABELS, sep: str = ";") -> Column:
 def first_label(v, labels) -> Column:
     """Name of the first slot equal to 1; NULL when none."""
     pos = F.array_position(_c(v), 1)
-    return F.element_at(_labels(labels), F.nullif(pos, F.lit(0)).cast("int"))
+    return F.try_element_at(_labels(labels), F.nullif(pos, F.lit(0)).cast("int"))
 
 
 def argmax_code(logits) -> Column:
@@ -88,7 +88,7 @@ def parse_sentiment(text, labels=SENTIMENT_LABELS) -> Column:
 
 
 def code_to_sentiment(code, labels=SENTIMENT_LABELS) -> Column:
-    return F.element_at(_labels(labels), (_c(code) + 2).cast("int"))
+    return F.try_element_at(_labels(labels), (_c(code) + 2).cast("int"))
 
 
 def label_index(name, labels=ASPECT_LABELS) -> Column:
