@@ -1 +1,143 @@
-"""placeholder"""
+"""Ingest queries: incremental append, gated top-k, recency, landed files."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from threadlens.operators.dedup import incremental_append
+from threadlens.operators.topk import recent, recent_quota, relevance_top_k, sample_n
+from threadlens.plans import register
+from threadlens.schemas import POSTS_RAW
+from threadlens.session import scratch_path
+from threadlens.sources import landing
+from threadlens.sources.fixtures import (
+    v_comments, v_events_arriving, v_events_stored, v_posts, v_relevance, with_views,
+)
+from threadlens.sources.tables import table
+
+APPEND_SQL = with_views("""
+SELECT user_id, event_id, ts, event_type, value FROM v_events_stored
+UNION ALL
+SELECT user_id, event_id, ts, event_type, value FROM (
+  SELECT a.*, row_number() OVER (PARTITION BY a.event_id ORDER BY a.ts, a.user_id) AS rn
+  FROM v_events_arriving a
+  WHERE NOT EXISTS (SELECT 1 FROM v_events_stored s WHERE s.event_id = a.event_id))
+WHERE rn = 1""", "v_events_stored", "v_events_arriving")
+
+
+@register("incremental_append", APPEND_SQL)
+def incremental_append_q(spark, sf_dir):
+    stored = v_events_stored(spark, sf_dir)
+    arriving = v_events_arriving(spark, sf_dir)
+    _, table_ = incremental_append(stored, arriving, "event_id", ["ts", "user_id"])
+    return table_
+
+
+@register("relevance_topk", with_views("""
+SELECT topic, doc_id, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY topic ORDER BY cand) AS rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY topic ORDER BY votes DESC, doc_id) AS cand
+    FROM v_relevance) c
+  WHERE cand <= 8 AND scores[list_position(labels, 'about')] >= 0.5)
+WHERE rank <= 3""", "v_relevance"))
+def relevance_topk(spark, sf_dir):
+    r = v_relevance(spark, sf_dir)
+    out = relevance_top_k(r, "topic", "votes", "doc_id", "about", k=3, candidates=8)
+    return out.select("topic", "doc_id", "rank")
+
+
+AS_OF_EVENTS = "2024-01-31 00:00:00"
+
+
+@register("recent_filter", f"""
+SELECT event_id, user_id, ts FROM events
+WHERE ts >= TIMESTAMP '{AS_OF_EVENTS}' - INTERVAL 7 DAY""")
+def recent_filter(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    return recent(e, "ts", AS_OF_EVENTS, days=7)
+
+
+AS_OF_VIDEOS = "2024-10-28 00:00:00"
+
+
+def _videos(spark, sf_dir):
+    p = v_posts(spark, sf_dir)
+    return p.select(
+        "post_id", "page_id",
+        F.when(F.col("page_id") % 2 == 0, "Trump").otherwise("Kamala").alias("query"),
+        F.to_date("created_utc", "d-MMM-yyyy").cast("timestamp_ntz").alias("published"))
+
+
+@register("recent_quota", with_views(f"""
+SELECT query, post_id, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY page_id) AS rank FROM (
+    SELECT post_id, page_id, CASE WHEN page_id % 2 = 0 THEN 'Trump' ELSE 'Kamala' END AS query,
+           CAST(CAST(strptime(created_utc, '%d-%b-%Y') AS DATE) AS TIMESTAMP) AS published
+    FROM v_posts) v
+  WHERE published >= TIMESTAMP '{AS_OF_VIDEOS}' - INTERVAL 7 DAY
+    AND post_id IN (SELECT post_id FROM v_comments))
+WHERE rank <= 5""", "v_comments"))
+def recent_quota_q(spark, sf_dir):
+    v = _videos(spark, sf_dir)
+    c = v_comments(spark, sf_dir)
+    out = recent_quota(v, c, "query", "post_id", "published", [F.col("page_id")],
+                       AS_OF_VIDEOS, n=5)
+    return out.select("query", "post_id", "rank")
+
+
+@register("sample_n")
+def sample_n_q(spark, sf_dir):
+    """Seeded reproducible sample of 5 documents (hash differs from DuckDB's)."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return sample_n(d, "doc_id", 5, seed=666)
+
+
+_POST_COLS = "post_id, post_title, votes, created_utc, num_comments, post_body"
+
+
+@register("consolidate", with_views(f"""
+SELECT {_POST_COLS}, CASE WHEN page_id % 2 = 0 THEN 'Trump' ELSE 'Kamala' END AS search_type
+FROM v_posts""", "v_posts"))
+def consolidate_q(spark, sf_dir):
+    """Land posts as per-topic CSV files (plus a 'test' file that must be
+    skipped), then consolidate them with the header-drift check."""
+    base = scratch_path(spark, "landing-csv")
+    p = v_posts(spark, sf_dir)
+    cols = [f.name for f in POSTS_RAW.fields]
+    for name, cond in (("22102024_reddit_post_data_trump", F.col("page_id") % 2 == 0),
+                       ("22102024_reddit_post_data_kamala", F.col("page_id") % 2 == 1),
+                       ("22102024_reddit_post_data_test_trump", F.col("page_id") % 2 == 0)):
+        (p.where(cond).select(*cols).write.option("header", True).option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .csv(f"{base}/{name}"))
+    return landing.consolidate(spark, base, "_post_data_", POSTS_RAW).select(*cols, "search_type")
+
+
+_EPOCH0 = 1727740800  # 2024-10-01T00:00:00Z
+
+
+@register("post_records", f"""
+SELECT 'p' || CAST(page_id AS VARCHAR) AS post_id,
+       regexp_extract(html, '<title>(.*?)</title>', 1) AS post_title,
+       CAST(page_id * 37 % 101 AS BIGINT) AS votes,
+       strftime(DATE '1970-01-01' + CAST(({_EPOCH0} + page_id * 40000) // 86400 AS INTEGER), '%d-%b-%Y')
+         AS created_utc,
+       CAST(page_id % 7 AS BIGINT) AS num_comments,
+       CASE WHEN page_id % 3 = 0 THEN regexp_extract(html, '<title>(.*?)</title>', 1) ELSE url END
+         AS post_body
+FROM pages""")
+def post_records_q(spark, sf_dir):
+    """Post payloads landed as JSON lines, scanned with a fixed schema."""
+    pg = table(spark, sf_dir, "pages")
+    title = F.regexp_extract("html", "<title>(.*?)</title>", 1)
+    payload = pg.select(F.to_json(F.struct(
+        F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("id"),
+        title.alias("title"), ((F.col("page_id") * 37) % 101).cast("long").alias("score"),
+        (F.lit(_EPOCH0) + F.col("page_id") * 40000).cast("long").alias("created"),
+        (F.col("page_id") % 7).cast("long").alias("num_comments"),
+        (F.col("page_id") % 3 == 0).alias("is_self"), title.alias("selftext"),
+        F.col("url"))).alias("value"))
+    path = scratch_path(spark, "landing-json")
+    payload.write.text(path)
+    landed = spark.read.schema(landing.POST_PAYLOAD).json(path)
+    return landing.post_records(landed)
