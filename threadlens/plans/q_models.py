@@ -1 +1,103 @@
-"""placeholder"""
+"""Model-stage queries: language ID trained as a Spark job; subjectivity gate."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from threadlens.functions.labels import sigmoid
+from threadlens.operators.langid import predict_word_nb, train_word_nb
+from threadlens.operators.scoring import lexicon
+from threadlens.operators.sentences import split_sentences
+from threadlens.plans import register
+from threadlens.plans.q_text import SENTENCES_SQL
+from threadlens.schemas import SUBJECTIVE_MIN
+from threadlens.sources.fixtures import v_sentence_docs
+from threadlens.sources.tables import table
+
+VOCAB_PER_LABEL = 2000
+
+# Training rows: split by a property of the text (never doc_id), so exact
+# copies of a text land on the same side.
+def _is_train(text_col="text"):
+    return F.length(F.col(text_col)) % 2 == 0
+
+
+_NB_SQL = f"""
+WITH tr AS (SELECT lang, text FROM documents WHERE length(text) % 2 = 0 AND lang IS NOT NULL),
+pri AS (SELECT lang, ln(count(*) / (SELECT count(*) FROM tr)) AS lp FROM tr GROUP BY lang),
+tk AS (SELECT lang, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'),
+                                       lambda t: t <> '')) AS token FROM tr),
+cnt AS (SELECT lang, token, count(*) AS c FROM tk GROUP BY lang, token),
+top AS (SELECT token FROM (SELECT token, row_number() OVER (PARTITION BY lang ORDER BY c DESC, token) AS r
+                           FROM cnt) WHERE r <= {VOCAB_PER_LABEL}),
+voc AS (SELECT DISTINCT token FROM top),
+civ AS (SELECT * FROM cnt WHERE token IN (SELECT token FROM voc)),
+tot AS (SELECT lang, sum(c) AS t FROM civ GROUP BY lang),
+cons AS (SELECT p.lang, p.lp, ln(coalesce(t.t, 0) + (SELECT count(*) FROM voc)) AS lt
+         FROM pri p LEFT JOIN tot t ON p.lang = t.lang),
+dt AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'),
+                                         lambda t: t <> '')) AS token FROM documents),
+dv AS (SELECT * FROM dt WHERE token IN (SELECT token FROM voc)),
+nv AS (SELECT doc_id, count(*) AS nv FROM dv GROUP BY doc_id),
+sp AS (SELECT dv.doc_id, civ.lang, sum(ln(civ.c + 1)) AS s FROM dv JOIN civ ON dv.token = civ.token
+       GROUP BY dv.doc_id, civ.lang),
+sc AS (SELECT nv.doc_id, cons.lang, cons.lp - nv.nv * cons.lt + coalesce(sp.s, 0) AS score
+       FROM nv CROSS JOIN cons LEFT JOIN sp ON sp.doc_id = nv.doc_id AND sp.lang = cons.lang),
+best AS (SELECT doc_id, arg_max(lang, score) AS lang_pred FROM (
+         SELECT doc_id, lang, score, max(score) OVER (PARTITION BY doc_id) AS m FROM sc)
+         WHERE score = m GROUP BY doc_id)
+"""
+
+# DuckDB picks the alphabetically first label on exact ties only via this
+# rewrite; Spark uses the lowest label index (labels are sorted).
+_NB_SQL = _NB_SQL.replace(
+    "best AS (SELECT doc_id, arg_max(lang, score) AS lang_pred FROM (",
+    "best AS (SELECT doc_id, min(lang) AS lang_pred FROM (")
+
+
+@register("lang_filter", _NB_SQL + """
+SELECT d.doc_id, d.lang, b.lang_pred FROM documents d JOIN best b ON d.doc_id = b.doc_id
+WHERE b.lang_pred = 'en'""")
+def lang_filter(spark, sf_dir):
+    """Train word NB on half the documents (split by text), keep English."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = train_word_nb(d.where(_is_train()), "text", "lang", VOCAB_PER_LABEL)
+    pred = predict_word_nb(model, d, "text", "doc_id")
+    return pred.where(F.col("lang_pred") == "en").select("doc_id", "lang", "lang_pred")
+
+
+# Subjectivity lexicon of the default (non-neural) scorer.
+SUBJECTIVE_TERMS = {"!": 2.0, "?": 1.0, "ing": 0.4, "tion": -0.3, ",": 0.2}
+SUBJECTIVE_BIAS = -0.5
+# Which score slot means "subjective", per scorer profile.
+SUBJECTIVE_SLOT = {"subjective_first": 0, "subjective_second": 1}
+
+
+def subjectivity(profile: str = "subjective_first"):
+    slot = SUBJECTIVE_SLOT.get(profile)
+    if slot is None:
+        return None
+    return slot
+
+
+def _subj_sql():
+    z = " + ".join([str(SUBJECTIVE_BIAS)] + [
+        f"CASE WHEN contains(lower(sentence), '{t}') THEN {w} ELSE 0.0 END"
+        for t, w in SUBJECTIVE_TERMS.items()])
+    return (f"SELECT doc_id, sentence_idx, sentence FROM ({SENTENCES_SQL}) "
+            f"WHERE 1.0 / (1.0 + exp(-({z}))) > {SUBJECTIVE_MIN}")
+
+
+@register("subjective_filter", _subj_sql())
+def subjective_filter(spark, sf_dir):
+    """Sentences scored by the lexicon scorer; keep score > 0.5 (strict)."""
+    s = split_sentences(v_sentence_docs(spark, sf_dir), "comment")
+    sc = lexicon("sentence", "subj_scores", {"subjective": SUBJECTIVE_TERMS}, ["subjective"],
+                 bias=SUBJECTIVE_BIAS)(s)
+    slot = subjectivity("subjective_first")
+    sc = sc.withColumn("is_subjective",
+                       (F.col("subj_scores")[slot] > F.lit(SUBJECTIVE_MIN)).cast("int"))
+    return sc.where(F.col("is_subjective") == 1).select("doc_id", "sentence_idx", "sentence")
+
+
+__all__ = ["sigmoid"]

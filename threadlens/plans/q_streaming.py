@@ -1 +1,42 @@
-"""placeholder"""
+"""Streaming queries, run to completion with ``availableNow`` and read back."""
+
+from __future__ import annotations
+
+from threadlens.plans import register
+from threadlens.plans.q_ingest import APPEND_SQL
+from threadlens.plans.q_text import URL_SQL
+from threadlens.session import scratch_path
+from threadlens.sources.fixtures import v_comments, v_events_arriving, v_events_stored, with_views
+from threadlens.streaming.ingest import stream_append, stream_clean
+
+
+@register("stream_append", APPEND_SQL)
+def stream_append_q(spark, sf_dir):
+    base = scratch_path(spark, "stream-append")
+    stored_path, landing_dir = f"{base}/stored", f"{base}/landing"
+    v_events_stored(spark, sf_dir).write.parquet(stored_path)
+    arriving = v_events_arriving(spark, sf_dir)
+    arriving.write.parquet(landing_dir)
+    q = stream_append(spark, landing_dir, arriving.schema, stored_path, "event_id",
+                      ["ts", "user_id"], "ts", f"{base}/_checkpoint", watermark="365 days")
+    q.awaitTermination()
+    return spark.read.parquet(stored_path)
+
+
+def _clean_sql(c):
+    t = f"replace(translate({c}, '“”‘’–', '\"\"''''-'), '…', '...')"
+    return f"regexp_replace({t}, '[\\x00-\\x1f\\x7f-\\x9f]', '', 'g')"
+
+
+@register("stream_clean", with_views(f"""
+SELECT comment_id, {_clean_sql('post_title')} AS post_title,
+       regexp_replace({_clean_sql('comment')}, '{URL_SQL}', '[URL]', 'g') AS comment
+FROM v_comments""", "v_comments"))
+def stream_clean_q(spark, sf_dir):
+    base = scratch_path(spark, "stream-clean")
+    landing_dir, sink = f"{base}/landing", f"{base}/sink"
+    src = v_comments(spark, sf_dir)
+    src.write.parquet(landing_dir)
+    q = stream_clean(spark, landing_dir, src.schema, sink, f"{base}/_checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(sink).select("comment_id", "post_title", "comment")
