@@ -41,7 +41,12 @@ def consolidate(spark: SparkSession, base: str, kind: str, schema: T.StructType,
     ``search_type`` from the file path (case-sensitive ``tag`` test)."""
     df = read_landed_csv(spark, f"{base.rstrip('/')}/*{kind}*", schema)
     path = F.col("_metadata.file_path")
-    df = df.where(~path.contains(exclude))
+    # Selection looks at the landed name (the file, or the folder a Spark
+    # writer produced); the topic tag looks at the whole path.
+    fname = F.col("_metadata.file_name")
+    landed = F.when(fname.startswith("part-"), F.element_at(F.split(path, "/"), -2)) \
+              .otherwise(fname)
+    df = df.where(~landed.contains(exclude))
     return df.withColumn("search_type",
                          F.when(path.contains(tag), F.lit(tag_value)).otherwise(F.lit(other_value)))
 
