@@ -251,3 +251,29 @@ def test_rename_profile(spark):
     assert rename_profile(df, "reddit_comments").columns == ["post_title", "other"]
     with pytest.raises(ValueError):
         rename_profile(df, "nope")
+
+
+def _sp(a, b):
+    return F.struct(F.lit(a).alias("tok_start"), F.lit(b).alias("tok_end"))
+
+
+def test_13_mention_rewrite(spark):
+    from threadlens.operators.rewrite import rewrite_mentions, tokenize
+    df = spark.createDataFrame([("he met Al Key. his dog saw X Y.",)], "t string")
+    tk = df.select(tokenize("t").alias("tk"))
+    cl = F.array(F.array(_sp(0, 0), _sp(2, 3), _sp(5, 5)), F.array(_sp(8, 9)))
+    assert tk.select(rewrite_mentions("tk", cl, ["key"])).first()[0] == \
+        "Al Key met Al Key . Al Key dog saw X Y."
+    overlap = F.array(F.array(_sp(0, 0), _sp(2, 3)), F.array(_sp(2, 2), _sp(8, 9)))
+    assert tk.select(rewrite_mentions("tk", overlap, ["key", "x"])).first()[0] == \
+        "Al Key met X Y . his dog saw X Y ."
+    none = F.array(F.array(_sp(0, 0), _sp(5, 5)))
+    assert tk.select(rewrite_mentions("tk", none, ["key"])).first()[0] == \
+        "he met Al Key. his dog saw X Y."
+
+
+def test_13b_rule_clusters(spark):
+    from threadlens.operators.rewrite import rule_rewrite
+    df = spark.createDataFrame([("  The Keyman came. He said it was fine.",)], "t string")
+    assert df.select(rule_rewrite(["key"])(F.col("t"))).first()[0] == \
+        "  The Keyman came. Keyman said Keyman was fine."

@@ -11,6 +11,7 @@ from threadlens.plans import register
 from threadlens.plans.common import ctes, gated_comments, unified
 from threadlens.plans.q_text import PUNCT_END_SQL
 from threadlens.schemas import UNIFIED_COLUMNS
+from threadlens.session import cut_lineage
 from threadlens.sources.fixtures import GAZETTEER_A, GAZETTEER_B, v_comments, v_turns, with_views
 
 def _lv(src: str) -> dict[str, str]:
@@ -106,6 +107,8 @@ def comment_level(spark, sf_dir):
     """Flagship comment table: unify -> clean -> levels -> context -> flags."""
     u = clean_comments(unified(spark, sf_dir), stored_label_gate())
     u = u.withColumn("parent_comment", F.coalesce("parent_comment", F.lit("")))
+    # Stage table: the Python UDF runs once; levels and context reuse it.
+    u = cut_lineage(u)
     lv = assign_levels(u)
     ctx = thread_context(lv, order_col="_order")
     flagged = mention_flags(ctx, "comment", {"contains_a_mentions": GAZETTEER_A,
@@ -114,3 +117,22 @@ def comment_level(spark, sf_dir):
 
 
 register("comment_level")(comment_level)
+
+
+@register("mention_rewrite")
+def mention_rewrite_q(spark, sf_dir):
+    """Rule clusters + exact rewrite on every English comment (rows-only check)."""
+    from threadlens.operators.rewrite import rule_rewrite
+    g = gated_comments(spark, sf_dir)
+    rw = rule_rewrite(GAZETTEER_A + GAZETTEER_B)
+    return g.select("comment_id", rw(F.col("comment")).alias("comment_rewritten"))
+
+
+@register("thread_context_rewrite")
+def thread_context_rewrite_q(spark, sf_dir):
+    """Level-ordered context with the mention rewrite inside the loop."""
+    from threadlens.operators.rewrite import rule_rewrite
+    c = assign_levels(_context_input(spark, sf_dir))
+    out = thread_context(c, rewrite=rule_rewrite(GAZETTEER_A + GAZETTEER_B), order_col="doc_id")
+    return out.where(F.col("level").isNotNull()).select(
+        "comment_id", "level", "parent_comment", "comment_after_coref")
