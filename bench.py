@@ -30,8 +30,19 @@ def main() -> None:
     from threadlens.session import local_session
     load_all()
     spark = local_session(cores=cpus, shuffle_partitions=cpus * 2, app="threadlens-bench")
-    # warm-up: JVM, Python workers, file listing
-    QUERIES["sentence_split"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # warm-up: JVM code paths and Python (Arrow) workers, on the smallest tables
+    from pyspark.sql import functions as F
+    from threadlens.functions.text import html_unescape
+    warm = spark.range(0, cpus * 64, numPartitions=cpus).select(F.col("id").cast("string").alias("t"))
+    warm.select(html_unescape(F.col("t"))).write.format("noop").mode("overwrite").save()
+    # Steady state: run every query once on the smallest scale factor (same
+    # code paths, other data) so JIT and first-use costs are not billed to it.
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm_dir) and warm_dir.rstrip("/") != sf_dir:
+        for n in names:
+            QUERIES[n](spark, warm_dir).write.format("noop").mode("overwrite").save()
+    else:
+        warm_dir = None
     times = {}
     for n in names:
         t0 = time.time()
@@ -45,7 +56,7 @@ def main() -> None:
         pass
     print(json.dumps({"metric": "total_wall_time_headline_queries",
                       "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus}))
+                      "queries": times, "sf": sf, "cpus": cpus, "warmup_dir": warm_dir}))
     spark.stop()
 
 

@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadlens.session import cut_lineage
+
 MAX_LABELS = 256
 
 
@@ -38,7 +40,6 @@ class WordNB:
 
 def train_word_nb(docs: DataFrame, text_col: str, label_col: str,
                   vocab_per_label: int = 5000) -> WordNB:
-    spark = docs.sparkSession
     labelled = docs.where(F.col(label_col).isNotNull())
     priors = labelled.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).collect()
     if len(priors) > MAX_LABELS:
@@ -48,7 +49,8 @@ def train_word_nb(docs: DataFrame, text_col: str, label_col: str,
     prior = {r[0]: r["n"] / n_docs for r in priors}
     toks = labelled.select(F.col(label_col).alias("label"),
                            F.explode(word_tokens(text_col)).alias("token"))
-    counts = toks.groupBy("label", "token").agg(F.count(F.lit(1)).alias("c"))
+    # Sufficient statistics: sized by vocabulary x labels, not by the corpus.
+    counts = cut_lineage(toks.groupBy("label", "token").agg(F.count(F.lit(1)).alias("c")))
     w = Window.partitionBy("label").orderBy(F.col("c").desc(), F.col("token"))
     top = counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= vocab_per_label)
     vocab = top.select("token").distinct()
@@ -58,7 +60,7 @@ def train_word_nb(docs: DataFrame, text_col: str, label_col: str,
     wide = wide.select("token", *[
         F.log(F.coalesce(F.col(f"`{lab}`"), F.lit(0)).cast("double") + 1.0).alias(f"w_{i}")
         for i, lab in enumerate(labels)])
-    wide = wide.checkpoint(eager=True) if spark.sparkContext.getCheckpointDir() else wide.cache()
+    wide = cut_lineage(wide)
     tot = {r["label"]: r["t"] for r in
            in_vocab.groupBy("label").agg(F.sum("c").alias("t")).collect()}
     v = wide.count()

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from threadlens.functions.hof import let
+
 INLINE_MAX = 256
 TERMS_MAX = 1_000_000  # refuse to inline/broadcast unbounded term lists
 
@@ -85,9 +87,8 @@ def contains_any(text, terms: Iterable[str], word_boundary: bool = False) -> Col
     if len(low) > INLINE_MAX:
         return _ac_contains_udf(low)(col)
     arr = F.array(*[F.lit(t) for t in low])
-    lowered = F.lower(col)
-    return F.when(col.isNotNull(),
-                  F.exists(arr, lambda t: lowered.contains(t)).cast("int"))
+    return F.when(col.isNotNull(), let(F.lower(col), lambda lowered: F.exists(
+        arr, lambda t: lowered.contains(t)).cast("int")))
 
 
 def matched_terms(text, terms: Iterable[str]) -> Column:
@@ -96,8 +97,7 @@ def matched_terms(text, terms: Iterable[str]) -> Column:
     if len(low) > TERMS_MAX:
         raise ValueError("term list too large to inline")
     arr = F.array(*[F.lit(t) for t in low])
-    lowered = F.lower(_c(text))
-    return F.filter(arr, lambda t: lowered.contains(t))
+    return let(F.lower(_c(text)), lambda lowered: F.filter(arr, lambda t: lowered.contains(t)))
 
 
 def mention_flags(df: DataFrame, text_col: str, gazetteers: dict[str, list[str]]) -> DataFrame:

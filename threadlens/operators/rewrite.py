@@ -23,6 +23,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from threadlens.functions.hof import let
+
 # Third-person pronouns the rule producer links.
 PRONOUNS = ["he", "him", "his", "she", "her", "hers", "it", "its", "they", "them", "their"]
 
@@ -34,13 +36,6 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once per row and pass it to ``body`` as a lambda
-    variable. Catalyst inlines staged columns into lambdas, where they would
-    be re-evaluated per element; a fold's initial value is bound only once."""
-    return F.aggregate(F.array(F.lit(0)), value, lambda acc, _: acc, body)
-
-
 def tokenize(text) -> Column:
     """array<struct<idx:int, text:string, ws:string>> of word/punctuation tokens."""
     col = _c(text)

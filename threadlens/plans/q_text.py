@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadlens.functions import text as tx
+from threadlens.functions.hof import let
 from threadlens.operators.mentions import contains_any, matched_terms, reduce_antichain
 from threadlens.operators.sentences import split_sentences
 from threadlens.plans import register
@@ -110,9 +111,9 @@ def gazetteer_union(spark, sf_dir):
     """Union-distinct of the two gazetteers; documents containing each term."""
     terms = sorted(set(GAZETTEER_A) | set(GAZETTEER_B))
     d = table(spark, sf_dir, "documents")
-    per_doc = d.select(F.explode(F.filter(
+    per_doc = d.select(F.explode(let(F.lower(F.col("text")), lambda low: F.filter(
         F.array(*[F.lit(t) for t in terms]),
-        lambda t: F.lower(F.col("text")).contains(F.lower(t)))).alias("term"))
+        lambda t: low.contains(F.lower(t))))).alias("term"))
     counts = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("n_docs"))
     all_terms = d.sparkSession.createDataFrame([(t,) for t in terms], "term string")
     return (all_terms.join(counts, "term", "left")
