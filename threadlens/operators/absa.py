@@ -154,3 +154,12 @@ def absa(df: DataFrame, scorers: Scorers, sentence_col: str = "sentence",
     if keep_work_columns:
         return x
     return x.select(*original, *OUTPUT_COLUMNS)
+
+
+def observe_unknown_labels(df: DataFrame, text_col: str = "aspect_second_text",
+                           labels: Sequence[str] = ASPECT_LABELS, name: str = "unknown_labels"):
+    """Count second-opinion labels outside the catalog (reported, then ignored)."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    n = F.sum(F.coalesce(lb.unknown_label_count(text_col, labels), F.lit(0)))
+    return df.observe(obs, n.alias("n_unknown")), obs

@@ -56,3 +56,14 @@ def clean_comments(df: DataFrame, english: LangGate | None = None) -> DataFrame:
 
 def stored_label_gate(col: str = "lang", value: str = "en") -> LangGate:
     return lambda df: F.col(col) == F.lit(value)
+
+
+def observe_parent_na(df: DataFrame, name: str = "parent_na"):
+    """Data-quality metric: NULL parent texts *before* they are filled with ''.
+
+    Returns ``(df, observation)``; ``observation.get`` is available after the
+    first action on ``df`` (computed in the same pass, no extra job).
+    """
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    return df.observe(obs, F.count_if(F.col("parent_comment").isNull()).alias("num_na")), obs

@@ -39,15 +39,6 @@ def reduce_antichain(terms: Iterable[str]) -> list[str]:
     return sorted(kept)
 
 
-def reduce_antichain_df(terms: DataFrame, col: str = "term") -> DataFrame:
-    """The same reduction as a DataFrame job (self anti-join on ``contains``)."""
-    low = terms.select(F.lower(F.col(col)).alias("term")).where(
-        F.col("term").isNotNull() & (F.col("term") != "")).distinct()
-    other = low.select(F.col("term").alias("_sub"))
-    return low.join(other, F.col("term").contains(F.col("_sub")) &
-                    (F.col("term") != F.col("_sub")), "left_anti")
-
-
 def collect_terms(spark: SparkSession, terms: DataFrame, col: str = "term") -> list[str]:
     """Bring a (checked) bounded term list to the driver."""
     n = terms.count()
@@ -57,12 +48,19 @@ def collect_terms(spark: SparkSession, terms: DataFrame, col: str = "term") -> l
 
 
 def _ac_contains_udf(terms: list[str]):
+    """Aho-Corasick over Arrow batches; the term list ships once per executor
+    as a broadcast variable and the automaton is built once per batch."""
     import ahocorasick
+    from pyspark import SparkContext
+
+    if len(terms) > TERMS_MAX:
+        raise ValueError(f"{len(terms)} terms (> {TERMS_MAX})")
+    shared = SparkContext.getOrCreate().broadcast(terms)
 
     @F.pandas_udf(T.IntegerType())
     def _flag(s: pd.Series) -> pd.Series:
         auto = ahocorasick.Automaton()
-        for t in terms:
+        for t in shared.value:
             auto.add_word(t, t)
         auto.make_automaton()
 

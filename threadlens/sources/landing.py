@@ -159,3 +159,11 @@ def flatten_threads(threads: DataFrame, payload_col: str = "payload",
             break
         level = nxt
     return out
+
+
+def write_dated(df: DataFrame, base: str, ingest_date: str, topic: str,
+                fmt: str = "parquet", mode: str = "append") -> None:
+    """Land a collection run under ``ingest_date=.../topic=...`` (the date is an
+    argument, never the wall clock), so reruns of a day are addressable."""
+    out = df.withColumns({"ingest_date": F.lit(ingest_date), "topic": F.lit(topic)})
+    out.write.mode(mode).partitionBy("ingest_date", "topic").format(fmt).save(base)
