@@ -51,3 +51,32 @@ def test_optional_table(spark, tmp_path):
     from threadlens.schemas import VIDEO_COMMENTS_RAW
     missing = landing.optional_table(spark, str(tmp_path / "nope"), VIDEO_COMMENTS_RAW)
     assert missing.count() == 0 and missing.schema == VIDEO_COMMENTS_RAW
+
+
+def test_load_gazetteer(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("entity_names\nDonald\nrump\nDonald\n")
+    (tmp_path / "b.csv").write_text("entity_names\nKamala\n")
+    assert landing.load_gazetteer(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]) == \
+        ["Donald", "Kamala", "rump"]
+
+
+def test_video_records_and_enrich(spark):
+    page = {"query": "Trump", "page": 0, "items": [
+        {"id": {"videoId": "v1"}, "snippet": {"title": "T1", "publishedAt": "2024-10-20T00:00:00Z"}},
+        {"id": {"videoId": "v2"}, "snippet": {"title": "T2", "publishedAt": "2024-10-01T00:00:00Z"}}]}
+    df = spark.createDataFrame([(json.dumps(page),)], "value string").select(
+        F.from_json("value", landing.SEARCH_PAYLOAD).alias("j")).select("j.*")
+    vids = landing.video_records(df)
+    assert [r.video_id for r in vids.orderBy("relevance").collect()] == ["v1", "v2"]
+    comments = spark.createDataFrame([("v1", "c1"), ("v3", "c2")], "video_id string, comment_id string")
+    got = landing.enrich_with_videos(comments, vids).collect()
+    assert [(r.comment_id, r.video_title) for r in got] == [("c1", "T1")]
+
+
+def test_export_csv_round_trip(spark, tmp_path):
+    from threadlens.schemas import POSTS_RAW
+    rows = [("p1", ' a, "b"\nc ', 1, "4-Oct-2024", 2, "x")]
+    df = spark.createDataFrame(rows, POSTS_RAW)
+    landing.export_csv(df, str(tmp_path / "out"))
+    back = landing.read_landed_csv(spark, str(tmp_path / "out"), POSTS_RAW).first()
+    assert back.post_title == ' a, "b"\nc '

@@ -168,16 +168,23 @@ def v_relevance(spark, sf_dir) -> DataFrame:
         F.array(score, F.lit(1.0) - score).alias("scores"))
 
 
+# Append fixture: events landed before STORED_BEFORE are stored; the arriving
+# batch re-delivers everything from ARRIVING_FROM on (an overlap window with
+# changed values) plus the new events. Together they cover every event.
+STORED_BEFORE = "2024-01-20 00:00:00"
+ARRIVING_FROM = "2024-01-15 00:00:00"
+
+
 def v_events_stored(spark, sf_dir) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    return e.where(F.col("event_id") % 3 != 0).select(
+    return e.where(F.col("ts") < F.lit(STORED_BEFORE).cast("timestamp_ntz")).select(
         "user_id", "event_id", "ts", "event_type", "value")
 
 
 def v_events_arriving(spark, sf_dir) -> DataFrame:
     """Arriving batch; overlaps stored rows with a changed ``value``."""
     e = table(spark, sf_dir, "events")
-    return e.where((F.col("event_id") % 2 == 0) | (F.col("event_id") % 3 == 0)).select(
+    return e.where(F.col("ts") >= F.lit(ARRIVING_FROM).cast("timestamp_ntz")).select(
         "user_id", "event_id", "ts", "event_type",
         (F.col("value") + F.lit(1.0)).alias("value"))
 
@@ -270,11 +277,12 @@ SELECT doc_id, source AS topic, n_chars AS votes, ['about', 'not'] AS labels,
        [CAST((doc_id // 20) * 7 % 10 AS DOUBLE) / 9.0,
         1.0 - CAST((doc_id // 20) * 7 % 10 AS DOUBLE) / 9.0] AS scores
 FROM documents"""),
-    "v_events_stored": ((), """
-SELECT user_id, event_id, ts, event_type, value FROM events WHERE event_id % 3 <> 0"""),
-    "v_events_arriving": ((), """
+    "v_events_stored": ((), f"""
+SELECT user_id, event_id, ts, event_type, value FROM events
+WHERE ts < TIMESTAMP '{STORED_BEFORE}'"""),
+    "v_events_arriving": ((), f"""
 SELECT user_id, event_id, ts, event_type, value + 1.0 AS value FROM events
-WHERE event_id % 2 = 0 OR event_id % 3 = 0"""),
+WHERE ts >= TIMESTAMP '{ARRIVING_FROM}'"""),
 }
 
 

@@ -167,3 +167,50 @@ def write_dated(df: DataFrame, base: str, ingest_date: str, topic: str,
     argument, never the wall clock), so reruns of a day are addressable."""
     out = df.withColumns({"ingest_date": F.lit(ingest_date), "topic": F.lit(topic)})
     out.write.mode(mode).partitionBy("ingest_date", "topic").format(fmt).save(base)
+
+
+def load_gazetteer(spark: SparkSession, paths, col: str = "entity_names") -> list[str]:
+    """One-column CSV gazetteer(s) -> distinct terms (size-checked, bounded)."""
+    from threadlens.operators.mentions import collect_terms
+    df = spark.read.option("header", True).csv(paths).select(F.col(col).alias("term"))
+    df = df.where(F.col("term").isNotNull()).distinct()
+    return sorted(collect_terms(spark, df, "term"))
+
+
+SEARCH_PAYLOAD = T.StructType([
+    T.StructField("query", T.StringType()),
+    T.StructField("page", T.LongType()),
+    T.StructField("items", T.ArrayType(T.StructType([
+        T.StructField("id", T.StructType([T.StructField("videoId", T.StringType())])),
+        T.StructField("snippet", T.StructType([
+            T.StructField("title", T.StringType()),
+            T.StructField("publishedAt", T.StringType()),
+        ])),
+    ]))),
+])
+
+
+def video_records(search_pages: DataFrame) -> DataFrame:
+    """Search result pages -> (query, video_id, title, published_date, relevance)
+    where relevance is the position in the result order (page, then item)."""
+    items = search_pages.select("query", "page", F.posexplode("items").alias("pos", "it"))
+    return items.select(
+        "query", F.col("it.id.videoId").alias("video_id"),
+        F.col("it.snippet.title").alias("title"),
+        F.col("it.snippet.publishedAt").alias("published_date"),
+        F.struct("page", "pos").alias("relevance"))
+
+
+def enrich_with_videos(comments: DataFrame, videos: DataFrame) -> DataFrame:
+    """Attach video title and post date to flattened comments (inner join on
+    video_id; AQE broadcasts the video side when it is small)."""
+    v = videos.select("video_id", F.col("title").alias("video_title"),
+                      F.col("published_date").alias("video_post_date"))
+    return comments.join(v, "video_id", "inner")
+
+
+def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Export with a header, quoting embedded newlines/quotes, keeping spaces."""
+    (df.write.mode(mode).option("header", True).option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+       .csv(path))
