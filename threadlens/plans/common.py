@@ -11,6 +11,7 @@ from threadlens.operators.unify import (
     join_parent, join_posts, rename_profile, unify_platforms,
 )
 from threadlens.schemas import NA_LITERALS
+from threadlens.session import cut_lineage
 from threadlens.sources.fixtures import (
     v_comments, v_reddit_comments_raw, v_reddit_posts_raw, v_youtube_comments_raw,
 )
@@ -28,8 +29,11 @@ def _scan_na(df: DataFrame, cols) -> DataFrame:
 
 
 def reddit_comments(spark, sf_dir) -> DataFrame:
+    """Deduplicated comments as a stage table: both sides of the parent
+    self-join read it (one dedup shuffle, not two), and the checkpoint keeps
+    its hash partitioning by comment_id for the lookup side."""
     raw = _scan_na(v_reddit_comments_raw(spark, sf_dir), ["Comment", "Parent Comment ID"])
-    return keep_first(rename_profile(raw, "reddit_comments"), ["comment_id"], ["_order"])
+    return cut_lineage(keep_first(rename_profile(raw, "reddit_comments"), ["comment_id"], ["_order"]))
 
 
 def reddit_posts(spark, sf_dir) -> DataFrame:
@@ -38,9 +42,15 @@ def reddit_posts(spark, sf_dir) -> DataFrame:
 
 
 def reddit_joined(spark, sf_dir) -> DataFrame:
-    """Comments + post fields (D1) + parent text (D2)."""
-    j = join_posts(reddit_comments(spark, sf_dir), reddit_posts(spark, sf_dir))
-    return join_parent(j)
+    """Comments + parent text (D2) + post fields (D1).
+
+    The parent lookup runs first: its lookup side is the keep-first output,
+    already hash-partitioned by comment_id, so only the reply side shuffles.
+    Posts are deduplicated, so the post join cannot multiply rows and the
+    order of the two left joins does not change the result.
+    """
+    c = join_parent(reddit_comments(spark, sf_dir))
+    return join_posts(c, reddit_posts(spark, sf_dir))
 
 
 def youtube_comments(spark, sf_dir) -> DataFrame:
