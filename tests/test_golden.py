@@ -274,3 +274,11 @@ def test_13b_rule_clusters(spark):
     df = spark.createDataFrame([("  The Keyman came. He said it was fine.",)], "t string")
     assert df.select(rule_rewrite(["key"])(F.col("t"))).first()[0] == \
         "  The Keyman came. Keyman said Keyman was fine."
+
+
+def test_subjective_profiles(spark):
+    df = spark.createDataFrame([([0.7, 0.2],), ([0.5, 0.9],)], "s array<double>")
+    got = [tuple(r) for r in df.select(lb.subjective_flag("s", "subjective_first"),
+                                       lb.subjective_flag("s", "subjective_second"),
+                                       lb.subjective_flag("s", "nope")).collect()]
+    assert got == [(1, 0, None), (0, 1, None)]

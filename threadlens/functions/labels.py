@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from threadlens.schemas import (
     ASPECT_LABELS, ASPECT_THRESHOLD, ENTITY_THRESHOLD, FIRST_OPINION_MIN,
-    OTHERS_PROMPT, SECOND_OPINION_MIN, SENTIMENT_LABELS,
+    OTHERS_PROMPT, SECOND_OPINION_MIN, SENTIMENT_LABELS, SUBJECTIVE_MIN,
 )
 
+# Which score slot means "subjective", per scorer profile.
+SUBJECTIVE_SLOT = {"subjective_first": 0, "subjective_second": 1}
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -125,3 +128,13 @@ def entity_aspect_prompt(entity, aspect, sentence) -> Column:
 def score_of_label(labels, scores, name: str) -> Column:
     """Score of a named label from parallel label/score arrays."""
     return F.try_element_at(F.map_from_arrays(_c(labels), _c(scores)), F.lit(name))
+
+
+def subjective_flag(scores, profile: str, threshold: float = SUBJECTIVE_MIN,
+                    profiles=SUBJECTIVE_SLOT) -> Column:
+    """1 if the profile's subjective slot scores > threshold, else 0;
+    an unknown profile gives NULL (no decision)."""
+    slot = profiles.get(profile)
+    if slot is None:
+        return F.lit(None).cast("int")
+    return (_c(scores)[slot] > F.lit(threshold)).cast("int")

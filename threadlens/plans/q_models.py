@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadlens.functions.labels import sigmoid
+from threadlens.functions.labels import sigmoid, subjective_flag
 from threadlens.operators.langid import predict_word_nb, train_word_nb
 from threadlens.operators.scoring import lexicon
 from threadlens.operators.sentences import split_sentences
@@ -43,16 +43,11 @@ sp AS (SELECT dv.doc_id, civ.lang, sum(ln(civ.c + 1)) AS s FROM dv JOIN civ ON d
        GROUP BY dv.doc_id, civ.lang),
 sc AS (SELECT nv.doc_id, cons.lang, cons.lp - nv.nv * cons.lt + coalesce(sp.s, 0) AS score
        FROM nv CROSS JOIN cons LEFT JOIN sp ON sp.doc_id = nv.doc_id AND sp.lang = cons.lang),
-best AS (SELECT doc_id, arg_max(lang, score) AS lang_pred FROM (
+best AS (SELECT doc_id, min(lang) AS lang_pred FROM (
          SELECT doc_id, lang, score, max(score) OVER (PARTITION BY doc_id) AS m FROM sc)
          WHERE score = m GROUP BY doc_id)
 """
-
-# DuckDB picks the alphabetically first label on exact ties only via this
-# rewrite; Spark uses the lowest label index (labels are sorted).
-_NB_SQL = _NB_SQL.replace(
-    "best AS (SELECT doc_id, arg_max(lang, score) AS lang_pred FROM (",
-    "best AS (SELECT doc_id, min(lang) AS lang_pred FROM (")
+# (ties go to the alphabetically first label, as in Spark's sorted label array)
 
 
 @register("lang_filter", _NB_SQL + """
@@ -69,17 +64,6 @@ def lang_filter(spark, sf_dir):
 # Subjectivity lexicon of the default (non-neural) scorer.
 SUBJECTIVE_TERMS = {"!": 2.0, "?": 1.0, "ing": 0.4, "tion": -0.3, ",": 0.2}
 SUBJECTIVE_BIAS = -0.5
-# Which score slot means "subjective", per scorer profile.
-SUBJECTIVE_SLOT = {"subjective_first": 0, "subjective_second": 1}
-
-
-def subjectivity(profile: str = "subjective_first"):
-    slot = SUBJECTIVE_SLOT.get(profile)
-    if slot is None:
-        return None
-    return slot
-
-
 def _subj_sql():
     z = " + ".join([str(SUBJECTIVE_BIAS)] + [
         f"CASE WHEN contains(lower(sentence), '{t}') THEN {w} ELSE 0.0 END"
@@ -94,9 +78,7 @@ def subjective_filter(spark, sf_dir):
     s = split_sentences(v_sentence_docs(spark, sf_dir), "comment")
     sc = lexicon("sentence", "subj_scores", {"subjective": SUBJECTIVE_TERMS}, ["subjective"],
                  bias=SUBJECTIVE_BIAS)(s)
-    slot = subjectivity("subjective_first")
-    sc = sc.withColumn("is_subjective",
-                       (F.col("subj_scores")[slot] > F.lit(SUBJECTIVE_MIN)).cast("int"))
+    sc = sc.withColumn("is_subjective", subjective_flag("subj_scores", "subjective_first"))
     return sc.where(F.col("is_subjective") == 1).select("doc_id", "sentence_idx", "sentence")
 
 
