@@ -282,3 +282,29 @@ def test_subjective_profiles(spark):
                                        lb.subjective_flag("s", "subjective_second"),
                                        lb.subjective_flag("s", "nope")).collect()]
     assert got == [(1, 0, None), (0, 1, None)]
+
+
+def test_lookup_join_hot_split(spark):
+    from threadlens.operators.joins import lookup_join
+    rows = [(i, "hot" if i % 3 == 0 else f"k{i % 7}") for i in range(300)] + [(999, None)]
+    left = spark.createDataFrame(rows, "id int, k string")
+    right = spark.createDataFrame([("hot", "H")] + [(f"k{j}", f"V{j}") for j in range(5)],
+                                  "rk string, v string")
+    plain = sorted(tuple(r) for r in left.join(right, left.k == right.rk, "left").collect())
+    split = lookup_join(left, right, "k", "rk", "left", max_hot=10, min_rows=10)
+    assert sorted(tuple(r) for r in split.collect()) == plain
+    inner = lookup_join(left, right, "k", "rk", "inner", max_hot=10, min_rows=10)
+    assert inner.count() == left.join(right, left.k == right.rk).count()
+
+
+def test_levels_with_hot_parent(spark, monkeypatch):
+    import threadlens.operators.joins as jn
+    monkeypatch.setattr(jn, "MIN_HOT_ROWS", 5)
+    rows = [("root", None)] + [(f"c{i}", "root") for i in range(200)] + \
+           [(f"g{i}", "c0") for i in range(50)]
+    df = spark.createDataFrame(rows, "comment_id string, parent_comment_id string")
+    from threadlens.operators.threads import assign_levels
+    jn.SPLITS.clear()
+    got = {r.comment_id: r.level for r in assign_levels(df).collect()}
+    assert got["root"] == 1 and got["c5"] == 2 and got["g7"] == 3
+    assert any(n > 0 for n in jn.SPLITS)

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.text import context_concat, recover_child
+from threadlens.operators.joins import lookup_join
 from threadlens.schemas import DELETED
 from threadlens.session import cut_lineage, scratch_path
 
@@ -52,9 +53,9 @@ def level_table(df: DataFrame, id_col: str = "comment_id",
         prev_open = n_open
         right = state.select(F.col("id").alias("_rid"), F.col("anc").alias("_ranc"),
                              F.col("d").alias("_rd"))
-        jumped = (open_rows.join(right, F.col("anc") == F.col("_rid"), "inner")
-                           .select("id", F.col("_ranc").alias("anc"),
-                                   (F.col("d") + F.col("_rd")).alias("d")))
+        # many open nodes can share one ancestor: split hot ancestors off
+        jumped = (lookup_join(open_rows, right, "anc", "_rid", "inner", n_left=n_open)
+                  .select("id", F.col("_ranc").alias("anc"), (F.col("d") + F.col("_rd")).alias("d")))
         state = cut_lineage(state.where(F.col("anc").isNull()).unionByName(jumped))
     return state.select(
         F.col("id").alias(id_col),
@@ -101,8 +102,9 @@ def thread_context(df: DataFrame, rewrite: Callable[[Column], Column] = identity
     path = scratch_path(spark, "levels")
     base.write.partitionBy("level").parquet(path)
     base = spark.read.parquet(path)
-    levels = [r[0] for r in base.select("level").where(F.col("level").isNotNull())
-              .distinct().orderBy("level").collect()]  # at most max depth values
+    sizes = {r[0]: r[1] for r in base.where(F.col("level").isNotNull())
+             .groupBy("level").count().collect()}  # at most max-depth rows
+    levels = sorted(sizes)
     cols = [c for c in base.columns]
     done: list[DataFrame] = []
     prev: DataFrame | None = None
@@ -111,7 +113,7 @@ def thread_context(df: DataFrame, rewrite: Callable[[Column], Column] = identity
         if prev is not None:
             lookup = (prev.groupBy(F.col(id_col).alias("_pid"))
                           .agg(F.max_by(F.col(out_col), F.col("_ord")).alias("_ptext")))
-            cur = cur.join(lookup, F.col(parent_col) == F.col("_pid"), "left")
+            cur = lookup_join(cur, lookup, parent_col, "_pid", "left", n_left=sizes[lvl])
             use_lookup = F.coalesce(F.col("parent_comment") != F.lit(DELETED), F.lit(True))
             cur = cur.withColumn(
                 "parent_comment",

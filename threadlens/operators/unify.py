@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.dates import parse_day_mon_year, parse_iso_day
+from threadlens.operators.joins import lookup_join
 from threadlens.schemas import RENAME_PROFILES, UNIFIED_COLUMNS
 
 
@@ -34,14 +35,19 @@ def join_posts(comments: DataFrame, posts: DataFrame) -> DataFrame:
 
 def join_parent(df: DataFrame, id_col: str = "comment_id", text_col: str = "comment",
                 parent_col: str = "parent_comment_id", out_col: str = "parent_comment",
-                null_safe: bool = False) -> DataFrame:
-    """Left self-join fetching the parent's text (NULL when the parent is absent)."""
+                null_safe: bool = False, split_hot: bool = True) -> DataFrame:
+    """Left self-join fetching the parent's text (NULL when the parent is absent).
+
+    Replies to a viral comment share one key; ``split_hot`` joins such keys
+    against a broadcast of their few parent rows instead of one shuffle task.
+    """
     lookup = df.select(F.col(id_col).alias("_pid"), F.col(text_col).alias(out_col))
     if null_safe:
         cond = F.col(parent_col).eqNullSafe(F.col("_pid"))
-    else:
-        cond = F.col(parent_col) == F.col("_pid")
-    return df.join(lookup, cond, "left").drop("_pid")
+        return df.join(lookup, cond, "left").drop("_pid")
+    if split_hot:
+        return lookup_join(df, lookup, parent_col, "_pid", "left").drop("_pid")
+    return df.join(lookup, F.col(parent_col) == F.col("_pid"), "left").drop("_pid")
 
 
 def parent_fallback(df: DataFrame) -> DataFrame:
