@@ -24,13 +24,19 @@ def parse_parent_id(c) -> F.Column:
     return F.when(col.contains("t1_"), F.element_at(F.split(col, "_"), -1))
 
 
-def join_posts(comments: DataFrame, posts: DataFrame) -> DataFrame:
+def join_posts(comments: DataFrame, posts: DataFrame, split_hot: bool = True) -> DataFrame:
     """Left join comments to posts on post_id; the post title stays the comment's.
 
-    No hint: AQE turns this into a broadcast join at runtime when the posts
-    side is small, and splits skewed partitions (a viral post) otherwise.
+    No broadcast hint: AQE broadcasts the posts side at runtime when it is
+    small. A viral post's comments are joined against a broadcast of that
+    post's row only (``lookup_join``) instead of landing in one shuffle task.
     """
-    return comments.join(posts.drop("post_title"), "post_id", "left")
+    p = posts.drop("post_title").withColumnRenamed("post_id", "_post_id")
+    if split_hot:
+        out = lookup_join(comments, p, "post_id", "_post_id", "left")
+    else:
+        out = comments.join(p, F.col("post_id") == F.col("_post_id"), "left")
+    return out.drop("_post_id")
 
 
 def join_parent(df: DataFrame, id_col: str = "comment_id", text_col: str = "comment",

@@ -204,9 +204,10 @@ def video_records(search_pages: DataFrame) -> DataFrame:
 def enrich_with_videos(comments: DataFrame, videos: DataFrame) -> DataFrame:
     """Attach video title and post date to flattened comments (inner join on
     video_id; AQE broadcasts the video side when it is small)."""
-    v = videos.select("video_id", F.col("title").alias("video_title"),
+    from threadlens.operators.joins import lookup_join
+    v = videos.select(F.col("video_id").alias("_vid"), F.col("title").alias("video_title"),
                       F.col("published_date").alias("video_post_date"))
-    return comments.join(v, "video_id", "inner")
+    return lookup_join(comments, v, "video_id", "_vid", "inner").drop("_vid")
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
