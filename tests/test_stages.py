@@ -60,3 +60,21 @@ def test_bom_csv(spark, tmp_path):
     (tmp_path / "f.csv").write_bytes(b"\xef\xbb\xbf" + body.encode("utf-8"))
     r = read_landed_csv(spark, str(tmp_path / "f.csv"), POSTS_RAW).first()
     assert r.post_id == "p1" and r.post_title == 'a, "q"\nline' and r.post_body is None
+
+
+def test_bucketed_append_prunes_and_is_idempotent(spark, tmp_path):
+    from threadlens.operators.dedup import incremental_append, key_bucket
+    path = str(tmp_path / "stored")
+    stored = spark.range(0, 1000).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    stored.withColumn("_b", key_bucket("k", 16)).write.partitionBy("_b").parquet(path)
+    table = spark.read.parquet(path)
+    arriving = spark.createDataFrame([(5, "new"), (2000, "x")], "k long, v string") \
+        .withColumn("_b", key_bucket("k", 16))
+    fresh, _ = incremental_append(table, arriving.select(*table.columns), "k", ["v"], bucket_col="_b")
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_b" in plan or "_b IN" in plan or "PartitionFilters: [_b" in plan
+    assert [r.k for r in fresh.collect()] == [2000]
+    fresh.write.mode("append").partitionBy("_b").parquet(path)
+    again, _ = incremental_append(spark.read.parquet(path), arriving.select(*table.columns), "k",
+                                  ["v"], bucket_col="_b")
+    assert again.count() == 0

@@ -28,8 +28,17 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return picked.select(*keys, "_first.*").select(*df.columns)
 
 
+MAX_BUCKETS = 65_536
+
+
+def key_bucket(key: str, n_buckets: int) -> F.Column:
+    """Stable bucket of a key, for laying out an append-only table."""
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(n_buckets)).cast("int")
+
+
 def incremental_append(stored: DataFrame, arriving: DataFrame, key: str,
-                       order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+                       order: Sequence[str], bucket_col: str | None = None
+                       ) -> tuple[DataFrame, DataFrame]:
     """Append only unseen keys; stored rows win over newer duplicates.
 
     Returns ``(appended_rows, updated_table)``. Equivalent to anti-joining per
@@ -39,7 +48,21 @@ def incremental_append(stored: DataFrame, arriving: DataFrame, key: str,
     ``stored`` bucketed on ``key`` the anti-join needs no shuffle of it, and
     Spark's runtime bloom filter prunes its scan by the arriving keys.
     Running it twice with the same batch appends nothing the second time.
+
+    With ``bucket_col`` (a partition column of ``stored`` derived from the key,
+    see ``key_bucket``), only the stored buckets the batch touches are read:
+    the bucket ids (at most the table's bucket count) become a partition
+    filter, so a small batch never scans the whole table.
     """
+    if bucket_col is not None:
+        touched = [r[0] for r in arriving.select(bucket_col).distinct().limit(MAX_BUCKETS + 1)
+                   .collect()]
+        if len(touched) > MAX_BUCKETS:
+            raise ValueError(f"more than {MAX_BUCKETS} buckets")
+        keys = stored.where(F.col(bucket_col).isin(touched)).select(bucket_col, key)
+        fresh = arriving.join(keys, [bucket_col, key], "left_anti")
+        fresh = keep_first(fresh, [key], order).select(*stored.columns)
+        return fresh, stored.unionByName(fresh)
     fresh = arriving.join(stored.select(key), key, "left_anti")
     fresh = keep_first(fresh, [key], order).select(*stored.columns)
     return fresh, stored.unionByName(fresh)

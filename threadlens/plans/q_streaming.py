@@ -7,20 +7,24 @@ from threadlens.plans.q_ingest import APPEND_SQL
 from threadlens.plans.q_text import URL_SQL
 from threadlens.session import scratch_path
 from threadlens.sources.fixtures import v_comments, v_events_arriving, v_events_stored, with_views
-from threadlens.streaming.ingest import stream_append, stream_clean
+from threadlens.streaming.ingest import init_stored, stream_append, stream_clean
+
+
+BUCKETS = 16  # layout of the stored table (a table property; thousands at scale)
 
 
 @register("stream_append", APPEND_SQL)
 def stream_append_q(spark, sf_dir):
     base = scratch_path(spark, "stream-append")
     stored_path, landing_dir = f"{base}/stored", f"{base}/landing"
-    v_events_stored(spark, sf_dir).write.parquet(stored_path)
+    init_stored(v_events_stored(spark, sf_dir), stored_path, "event_id", n_buckets=BUCKETS)
     arriving = v_events_arriving(spark, sf_dir)
     arriving.write.parquet(landing_dir)
     q = stream_append(spark, landing_dir, arriving.schema, stored_path, "event_id",
-                      ["ts", "user_id"], "ts", f"{base}/_checkpoint", watermark="365 days")
+                      ["ts", "user_id"], "ts", f"{base}/_checkpoint", watermark="365 days",
+                      n_buckets=BUCKETS)
     q.awaitTermination()
-    return spark.read.parquet(stored_path)
+    return spark.read.parquet(stored_path).drop("_bucket")
 
 
 def _clean_sql(c):

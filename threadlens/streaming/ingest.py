@@ -17,13 +17,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.operators.clean import normalize_text
-from threadlens.operators.dedup import incremental_append
+from threadlens.operators.dedup import incremental_append, key_bucket
+
+
+def init_stored(df: DataFrame, stored_path: str, key: str, n_buckets: int = 64,
+                bucket_col: str = "_bucket") -> None:
+    """Write the initial stored table partitioned by key bucket."""
+    df.withColumn(bucket_col, key_bucket(key, n_buckets)).write.partitionBy(bucket_col) \
+      .parquet(stored_path)
 
 
 def stream_append(spark: SparkSession, landing_dir: str, schema: T.StructType,
                   stored_path: str, key: str, order: Sequence[str], ts_col: str,
                   checkpoint: str, watermark: str = "1 day",
-                  available_now: bool = True, fmt: str = "parquet"):
+                  available_now: bool = True, fmt: str = "parquet",
+                  n_buckets: int = 64, bucket_col: str = "_bucket"):
+    """``stored_path`` is partitioned by ``bucket_col`` (see ``init_stored``);
+    each micro-batch reads only the buckets its keys fall into."""
     src = spark.readStream.schema(schema).format(fmt).load(landing_dir)
     # Watermarks need TIMESTAMP; an NTZ event time is cast for that purpose only.
     src = src.withColumn("_event_time", F.col(ts_col).cast("timestamp"))
@@ -31,8 +41,10 @@ def stream_append(spark: SparkSession, landing_dir: str, schema: T.StructType,
 
     def append_batch(batch: DataFrame, epoch_id: int) -> None:
         stored = spark.read.parquet(stored_path)
-        fresh, _ = incremental_append(stored, batch.select(*stored.columns), key, order)
-        fresh.write.mode("append").parquet(stored_path)
+        batch = batch.withColumn(bucket_col, key_bucket(key, n_buckets))
+        fresh, _ = incremental_append(stored, batch.select(*stored.columns), key, order,
+                                      bucket_col=bucket_col)
+        fresh.write.mode("append").partitionBy(bucket_col).parquet(stored_path)
 
     writer = src.writeStream.foreachBatch(append_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer
