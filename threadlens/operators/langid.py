@@ -55,17 +55,19 @@ def train_word_nb(docs: DataFrame, text_col: str, label_col: str,
     top = counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= vocab_per_label)
     vocab = top.select("token").distinct()
     in_vocab = counts.join(vocab, "token", "left_semi")
-    wide = (in_vocab.groupBy("token").pivot("label", labels)
-            .agg(F.first("c")))
-    wide = wide.select("token", *[
-        F.log(F.coalesce(F.col(f"`{lab}`"), F.lit(0)).cast("double") + 1.0).alias(f"w_{i}")
-        for i, lab in enumerate(labels)])
-    wide = cut_lineage(wide)
-    tot = {r["label"]: r["t"] for r in
-           in_vocab.groupBy("label").agg(F.sum("c").alias("t")).collect()}
-    v = wide.count()
-    consts = [(math.log(prior[lab]), math.log(tot.get(lab, 0) + v)) for lab in labels]
-    return WordNB(labels, consts, wide)
+    wide = (in_vocab.groupBy("token").pivot("label", labels).agg(F.first("c")))
+    wide = cut_lineage(wide.select("token", *[
+        F.coalesce(F.col(f"`{lab}`"), F.lit(0)).cast("long").alias(f"c_{i}")
+        for i, lab in enumerate(labels)]))
+    # per-label totals and |V| from the small model table (one pass)
+    agg = wide.agg(F.count(F.lit(1)).alias("v"),
+                   *[F.sum(f"c_{i}").alias(f"t_{i}") for i in range(len(labels))]).first()
+    v = agg["v"]
+    consts = [(math.log(prior[lab]), math.log((agg[f"t_{i}"] or 0) + v))
+              for i, lab in enumerate(labels)]
+    weights = wide.select("token", *[F.log(F.col(f"c_{i}").cast("double") + 1.0).alias(f"w_{i}")
+                                     for i in range(len(labels))])
+    return WordNB(labels, consts, weights)
 
 
 def predict_word_nb(model: WordNB, docs: DataFrame, text_col: str, key: str,
