@@ -73,7 +73,7 @@ def assign_levels(df: DataFrame, id_col: str = "comment_id",
 def orphan_roots(df: DataFrame, id_col: str = "comment_id",
                  parent_col: str = "parent_comment_id") -> DataFrame:
     """Rows whose parent id is set but names no surviving row (they become roots)."""
-    ids = df.select(F.col(id_col).alias("_m")).distinct()
+    ids = df.select(F.col(id_col).alias("_m"))  # duplicates do not change an anti join
     return (df.where(F.col(parent_col).isNotNull())
               .join(ids, F.col(parent_col) == F.col("_m"), "left_anti"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadlens.functions.labels import sigmoid, subjective_flag
+from threadlens.functions.labels import subjective_flag
 from threadlens.operators.langid import predict_word_nb, train_word_nb
 from threadlens.operators.scoring import lexicon
 from threadlens.operators.sentences import split_sentences
@@ -81,5 +81,3 @@ def subjective_filter(spark, sf_dir):
     sc = sc.withColumn("is_subjective", subjective_flag("subj_scores", "subjective_first"))
     return sc.where(F.col("is_subjective") == 1).select("doc_id", "sentence_idx", "sentence")
 
-
-__all__ = ["sigmoid"]

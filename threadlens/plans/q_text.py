@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from threadlens.functions import text as tx
 from threadlens.functions.hof import let
-from threadlens.operators.mentions import contains_any, matched_terms, reduce_antichain
+from threadlens.operators.mentions import contains_any, matched_terms
 from threadlens.operators.sentences import split_sentences
 from threadlens.plans import register
 from threadlens.sources.fixtures import (
@@ -119,5 +119,3 @@ def gazetteer_union(spark, sf_dir):
     return (all_terms.join(counts, "term", "left")
             .select("term", F.coalesce("n_docs", F.lit(0)).cast("long").alias("n_docs")))
 
-
-__all__ = ["reduce_antichain"]

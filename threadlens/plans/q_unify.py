@@ -9,7 +9,7 @@ from threadlens.functions.text import normalize_na
 from threadlens.operators.dedup import keep_first
 from threadlens.operators.unify import parent_fallback, parse_parent_id
 from threadlens.plans import register
-from threadlens.plans.common import NA_SQL, ctes, na_sql, reddit_joined, unified
+from threadlens.plans.common import ctes, na_sql, reddit_joined, unified
 from threadlens.schemas import NA_LITERALS, UNIFIED_COLUMNS
 from threadlens.sources.fixtures import v_comments, with_views
 from threadlens.sources.tables import table
@@ -110,5 +110,3 @@ def dedup_first(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     return keep_first(d, ["text"], ["doc_id"])
 
-
-__all__ = ["NA_SQL"]
