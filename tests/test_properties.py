@@ -53,3 +53,11 @@ def test_reduced_terms_same_flags(spark):
         F.array(*[F.lit(t.lower()) for t in GAZETTEER_A]),
         lambda t: F.lower(F.col("text")).contains(t)).cast("int"))
     assert d.where(contains_any("text", GAZETTEER_A) != full).count() == 0
+
+
+def test_model_gate_agrees_with_labels(spark):
+    from threadlens.plans import QUERIES, load_all
+    load_all()
+    a = {r.comment_id for r in QUERIES["clean"](spark, SF).select("comment_id").collect()}
+    b = {r.comment_id for r in QUERIES["clean_langid"](spark, SF).select("comment_id").collect()}
+    assert len(a & b) >= 0.9 * max(len(a), len(b))

@@ -14,18 +14,39 @@ so dropped rows never reach Python.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.text import (
-    every_string, fix_encoding, mask_urls, strip_cf, strip_control, typographic,
+    every_string, fix_encoding, lang_text, mask_urls, strip_cf, strip_control, typographic,
 )
+from threadlens.session import cut_lineage
 
 LangGate = Callable[[DataFrame], Column]
 
 
-def fix_and_gate(df: DataFrame, english: LangGate | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class ModelGate:
+    """Language gate from a trained model (``langid.WordNB``).
+
+    The unescaped stage is written once (the Python UDF runs once), scored on
+    the language-ID input form (newlines removed, lower-cased) and filtered.
+    """
+    model: object
+    label: str = "en"
+    text_col: str = "comment"
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        from threadlens.operators.langid import predict_word_nb
+        staged = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+        scored = predict_word_nb(self.model, staged.withColumn("_lt", lang_text(self.text_col)),
+                                 "_lt", "_row", out_col="_lang")
+        return scored.where(F.col("_lang") == F.lit(self.label)).drop("_lang", "_lt", "_row")
+
+
+def fix_and_gate(df: DataFrame, english: LangGate | ModelGate | None = None) -> DataFrame:
     """C1, I1, B5, C4, I2, I3 (the part that needs Python).
 
     The gate sees the unescaped comment, as in the reference.
@@ -38,7 +59,9 @@ def fix_and_gate(df: DataFrame, english: LangGate | None = None) -> DataFrame:
         "parent_comment": F.coalesce(F.col("_fx.parent_comment"), F.lit("")),
         "comment": F.col("_fx.comment"),
     })
-    if english is not None:
+    if isinstance(english, ModelGate):
+        df = english.apply(df)
+    elif english is not None:
         df = df.where(english(df))
     df = df.withColumn("comment", strip_cf(F.col("_fx.comment_nfc")))
     return df.select(*cols)
@@ -50,7 +73,7 @@ def normalize_text(df: DataFrame) -> DataFrame:
     return df.withColumn("comment", mask_urls("comment"))
 
 
-def clean_comments(df: DataFrame, english: LangGate | None = None) -> DataFrame:
+def clean_comments(df: DataFrame, english: LangGate | ModelGate | None = None) -> DataFrame:
     return normalize_text(fix_and_gate(df, english))
 
 

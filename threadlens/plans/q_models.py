@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadlens.functions.labels import subjective_flag
+from threadlens.functions.text import lang_text
 from threadlens.operators.langid import predict_word_nb, train_word_nb
 from threadlens.operators.scoring import lexicon
 from threadlens.operators.sentences import split_sentences
@@ -25,7 +26,7 @@ def _is_train(text_col="text"):
 _NB_SQL = f"""
 WITH tr AS (SELECT lang, text FROM documents WHERE length(text) % 2 = 0 AND lang IS NOT NULL),
 pri AS (SELECT lang, ln(count(*) / (SELECT count(*) FROM tr)) AS lp FROM tr GROUP BY lang),
-tk AS (SELECT lang, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'),
+tk AS (SELECT lang, unnest(list_filter(regexp_split_to_array(lower(replace(text, chr(10), '')), '[^\\p{{L}}]+'),
                                        lambda t: t <> '')) AS token FROM tr),
 cnt AS (SELECT lang, token, count(*) AS c FROM tk GROUP BY lang, token),
 top AS (SELECT token FROM (SELECT token, row_number() OVER (PARTITION BY lang ORDER BY c DESC, token) AS r
@@ -35,7 +36,7 @@ civ AS (SELECT * FROM cnt WHERE token IN (SELECT token FROM voc)),
 tot AS (SELECT lang, sum(c) AS t FROM civ GROUP BY lang),
 cons AS (SELECT p.lang, p.lp, ln(coalesce(t.t, 0) + (SELECT count(*) FROM voc)) AS lt
          FROM pri p LEFT JOIN tot t ON p.lang = t.lang),
-dt AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'),
+dt AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(replace(text, chr(10), '')), '[^\\p{{L}}]+'),
                                          lambda t: t <> '')) AS token FROM documents),
 dv AS (SELECT * FROM dt WHERE token IN (SELECT token FROM voc)),
 nv AS (SELECT doc_id, count(*) AS nv FROM dv GROUP BY doc_id),
@@ -56,8 +57,9 @@ WHERE b.lang_pred = 'en'""")
 def lang_filter(spark, sf_dir):
     """Train word NB on half the documents (split by text), keep English."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    model = train_word_nb(d.where(_is_train()), "text", "lang", VOCAB_PER_LABEL)
-    pred = predict_word_nb(model, d, "text", "doc_id")
+    d = d.withColumn("lt", lang_text("text"))   # newlines removed, lower-cased
+    model = train_word_nb(d.where(_is_train()), "lt", "lang", VOCAB_PER_LABEL)
+    pred = predict_word_nb(model, d, "lt", "doc_id")
     return pred.where(F.col("lang_pred") == "en").select("doc_id", "lang", "lang_pred")
 
 

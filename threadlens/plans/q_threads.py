@@ -136,3 +136,18 @@ def thread_context_rewrite_q(spark, sf_dir):
     out = thread_context(c, rewrite=rule_rewrite(GAZETTEER_A + GAZETTEER_B), order_col="doc_id")
     return out.where(F.col("level").isNotNull()).select(
         "comment_id", "level", "parent_comment", "comment_after_coref")
+
+
+@register("clean_langid")
+def clean_langid_q(spark, sf_dir):
+    """Cleaning chain gated by the language model trained as a Spark job
+    (word naive Bayes on ``documents.lang``) instead of a stored label."""
+    from threadlens.functions.text import lang_text
+    from threadlens.operators.clean import ModelGate
+    from threadlens.operators.langid import train_word_nb
+    from threadlens.plans.q_models import VOCAB_PER_LABEL
+    from threadlens.sources.tables import table
+    d = table(spark, sf_dir, "documents").select("text", "lang")
+    model = train_word_nb(d.withColumn("lt", lang_text("text")), "lt", "lang", VOCAB_PER_LABEL)
+    u = unified(spark, sf_dir)
+    return clean_comments(u, ModelGate(model)).select(*UNIFIED_COLUMNS, "platform")
