@@ -189,7 +189,7 @@ def _cascade_sql(body):
     return with_views(body, "v_scores", extra=_CASCADE)
 
 
-def _pipeline(spark, sf_dir, keep=True):
+def _decided(spark, sf_dir, keep=True):
     return ab.absa(absa_input(spark, sf_dir), scorers(), keep_work_columns=keep)
 
 
@@ -209,7 +209,7 @@ def aspect_cascade(spark, sf_dir):
 @register("aspect_explode", _cascade_sql("""
 SELECT vec_id, entity_id, final_aspect_category FROM a4"""))
 def aspect_explode(spark, sf_dir):
-    return _pipeline(spark, sf_dir).select("vec_id", "entity_id", "final_aspect_category")
+    return _decided(spark, sf_dir).select("vec_id", "entity_id", "final_aspect_category")
 
 
 @register("label_codes", _cascade_sql(f"""
@@ -218,7 +218,7 @@ SELECT vec_id, entity_id, final_aspect_category,
        (['negative', 'neutral', 'positive'])[final_sentiment_prediction + 2] AS sentiment_name
 FROM s2"""))
 def label_codes(spark, sf_dir):
-    x = _pipeline(spark, sf_dir)
+    x = _decided(spark, sf_dir)
     return x.select("vec_id", "entity_id", "final_aspect_category", "final_aspect_ids",
                     lb.code_to_sentiment("final_sentiment_prediction", SENTIMENT_LABELS)
                     .alias("sentiment_name"))
@@ -232,7 +232,7 @@ SELECT vec_id, entity_id, final_aspect_category,
     || ' [SEP] aspect of interest: ' || final_aspect_category || ' [SEP] ' || sentence AS sentence3
 FROM a4"""))
 def prompts(spark, sf_dir):
-    return _pipeline(spark, sf_dir).select("vec_id", "entity_id", "final_aspect_category",
+    return _decided(spark, sf_dir).select("vec_id", "entity_id", "final_aspect_category",
                                            "sentence2", "sentence3")
 
 
@@ -259,7 +259,7 @@ SELECT vec_id, entity_id, final_aspect_category, p1 AS distil_sentiment_predicti
        round(c1, 6) AS distil_sentiment_confidence_score, p2 AS seq2seq_sentiment_prediction,
        round(c2, 6) AS seq2seq_sentiment_confidence_score, final_sentiment_prediction FROM s2"""))
 def arbitration(spark, sf_dir):
-    x = _pipeline(spark, sf_dir)
+    x = _decided(spark, sf_dir)
     return x.select("vec_id", "entity_id", "final_aspect_category",
                     "distil_sentiment_prediction",
                     _r("distil_sentiment_confidence_score").alias("distil_sentiment_confidence_score"),
@@ -268,11 +268,11 @@ def arbitration(spark, sf_dir):
                     "final_sentiment_prediction")
 
 
-@register("absa_pipeline", _cascade_sql("""
+@register("absa_predict", _cascade_sql("""
 SELECT vec_id, to_json(entity_ids) AS entity_ids, to_json(final_labels) AS final_aspect_labels,
        entity_category, final_aspect_category AS final_aspect_categories,
        final_sentiment_prediction FROM s2"""))
-def absa_pipeline(spark, sf_dir):
+def absa_predict(spark, sf_dir):
     x = ab.absa(absa_input(spark, sf_dir), scorers())
     return x.select("vec_id", _j("entity_ids").alias("entity_ids"),
                     _j("final_aspect_labels").alias("final_aspect_labels"),
@@ -288,5 +288,5 @@ SELECT entity_category, final_aspect_category, source AS platform,
 FROM s2 GROUP BY ALL"""))
 def sentiment_rollup(spark, sf_dir):
     from threadlens.operators.rollups import sentiment_shares
-    x = _pipeline(spark, sf_dir).withColumnRenamed("source", "platform")
+    x = _decided(spark, sf_dir).withColumnRenamed("source", "platform")
     return sentiment_shares(x, ["entity_category", "final_aspect_category", "platform"])
