@@ -284,9 +284,13 @@ SELECT entity_category, final_aspect_category, source AS platform,
        CAST(count(*) AS BIGINT) AS n,
        CAST(count(*) FILTER (WHERE final_sentiment_prediction = 1) AS BIGINT) AS n_positive,
        CAST(count(*) FILTER (WHERE final_sentiment_prediction = 0) AS BIGINT) AS n_neutral,
-       CAST(count(*) FILTER (WHERE final_sentiment_prediction = -1) AS BIGINT) AS n_negative
-FROM s2 GROUP BY ALL"""))
+       CAST(count(*) FILTER (WHERE final_sentiment_prediction = -1) AS BIGINT) AS n_negative,
+       CAST(grouping(entity_category, final_aspect_category, source) AS INTEGER) AS grouping_level,
+       round(count(*) FILTER (WHERE final_sentiment_prediction = 1) / count(*), 6) AS share_positive,
+       round(count(*) FILTER (WHERE final_sentiment_prediction = -1) / count(*), 6) AS share_negative
+FROM s2 GROUP BY ROLLUP (entity_category, final_aspect_category, source)"""))
 def sentiment_rollup(spark, sf_dir):
     from threadlens.operators.rollups import sentiment_shares
     x = _decided(spark, sf_dir).withColumnRenamed("source", "platform")
-    return sentiment_shares(x, ["entity_category", "final_aspect_category", "platform"])
+    return sentiment_shares(x, ["entity_category", "final_aspect_category", "platform"],
+                            subtotals=True)
