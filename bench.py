@@ -15,10 +15,11 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "comment_level", "unify", "clean", "thread_levels", "thread_context",
+    "sentence_opinions", "comment_level", "unify", "clean", "thread_levels", "thread_context",
     "sentence_split", "mention_flags", "mention_terms", "dedup_first",
     "incremental_append", "relevance_topk", "absa_predict", "sentiment_rollup",
-    "lang_filter", "subjective_filter", "stream_append",
+    "lang_filter", "subjective_filter", "stream_append", "mention_rewrite",
+    "thread_context_rewrite", "clean_langid",
 ]
 
 

@@ -30,5 +30,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     from threadlens.plans import (  # noqa: F401
-        q_text, q_unify, q_threads, q_decisions, q_ingest, q_models, q_streaming,
+        q_text, q_unify, q_threads, q_decisions, q_ingest, q_models, q_streaming, q_opinions,
     )
