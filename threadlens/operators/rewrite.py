@@ -135,11 +135,22 @@ def pronoun_clusters(tokens, terms: Iterable[str], pronouns=PRONOUNS) -> Column:
     return let(_c(tokens), with_tokens)
 
 
-def rule_rewrite(terms: Iterable[str]):
-    """A ``thread_context`` rewrite: tokenise, produce clusters, rewrite."""
+def rule_rewrite(terms: Iterable[str], pronouns=PRONOUNS):
+    """A ``thread_context`` rewrite: tokenise, produce clusters, rewrite.
+
+    Texts without a gazetteer hit or without a pronoun have no cluster, and
+    rebuilding their tokens gives the text back unchanged, so a cheap native
+    pre-check skips the token work for them (CASE evaluates lazily).
+    """
     terms = list(terms)
+    low_terms = sorted({t.lower() for t in terms if t})
+    pron_re = "(?iU)\\b(" + "|".join(pronouns) + ")\\b"
 
     def rw(text: Column) -> Column:
-        return let(tokenize(text), lambda tk: rewrite_mentions(
-            tk, pronoun_clusters(tk, terms), terms, leading_ws(text)))
+        full = let(tokenize(text), lambda tk: rewrite_mentions(
+            tk, pronoun_clusters(tk, terms, pronouns), terms, leading_ws(text)))
+        low = F.lower(text)
+        needs = F.exists(F.array(*[F.lit(t) for t in low_terms]), lambda t: low.contains(t)) \
+            & text.rlike(pron_re)
+        return F.when(needs, full).otherwise(text)
     return rw
