@@ -80,3 +80,11 @@ def test_export_csv_round_trip(spark, tmp_path):
     landing.export_csv(df, str(tmp_path / "out"))
     back = landing.read_landed_csv(spark, str(tmp_path / "out"), POSTS_RAW).first()
     assert back.post_title == ' a, "b"\nc '
+
+
+def test_consolidate_empty_folder(spark, tmp_path):
+    from threadlens.schemas import POSTS_RAW
+    n_fields = len(POSTS_RAW.fields)
+    df = landing.consolidate(spark, str(tmp_path), "_post_data_", POSTS_RAW)
+    assert df.count() == 0 and "search_type" in df.columns
+    assert len(POSTS_RAW.fields) == n_fields

@@ -34,12 +34,25 @@ def read_landed_csv(spark: SparkSession, paths: Sequence[str] | str, schema: T.S
     return df.withColumns({c: normalize_na(c, na_values) for c in strings})
 
 
+def expand_glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Concrete paths matching a glob (file-system listing only, no data)."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(jpath)
+    return sorted(str(st.getPath().toString()) for st in found) if found else []
+
+
 def consolidate(spark: SparkSession, base: str, kind: str, schema: T.StructType,
                 tag: str = "trump", tag_value: str = "Trump", other_value: str = "Kamala",
                 exclude: str = "test") -> DataFrame:
     """All landed files of ``kind`` (e.g. '_post_data_') except ``exclude``;
     ``search_type`` from the file path (case-sensitive ``tag`` test)."""
-    df = read_landed_csv(spark, f"{base.rstrip('/')}/*{kind}*", schema)
+    paths = expand_glob(spark, f"{base.rstrip('/')}/*{kind}*")
+    if not paths:
+        return spark.createDataFrame(
+            [], T.StructType(schema.fields + [T.StructField("search_type", T.StringType())]))
+    df = read_landed_csv(spark, paths, schema)
     path = F.col("_metadata.file_path")
     # Selection looks at the landed name (the file, or the folder a Spark
     # writer produced); the topic tag looks at the whole path.
