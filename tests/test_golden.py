@@ -308,3 +308,10 @@ def test_levels_with_hot_parent(spark, monkeypatch):
     got = {r.comment_id: r.level for r in assign_levels(df).collect()}
     assert got["root"] == 1 and got["c5"] == 2 and got["g7"] == 3
     assert any(n > 0 for n in jn.SPLITS)
+
+
+def test_15b_sentences_quotes_and_abbreviations(spark):
+    df = spark.createDataFrame([(1, 'He said "go." Then Mr. Key left, e.g. early. Why?! Done')],
+                               "id int, comment string")
+    got = [r.sentence for r in split_sentences(df).orderBy("sentence_idx").collect()]
+    assert got == ['He said "go."', "Then Mr. Key left, e.g. early.", "Why?!", "Done"]

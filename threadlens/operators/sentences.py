@@ -1,8 +1,10 @@
 """Sentence explode with the previous sentence, no shuffle.
 
-Boundaries: one of ``. ! ?`` followed by whitespace. The split keeps the
-punctuation (a U+0001 sentinel is safe because control characters were
-removed upstream). The sentence array stays on the row, so the previous
+Boundaries: ``. ! ?`` (possibly repeated, possibly followed by closing
+quotes or brackets) followed by whitespace, except a period ending a common
+abbreviation (``Mr.``, ``e.g.``...). The split keeps the punctuation; the
+U+0001/U+0002 sentinels are safe because control characters were removed
+upstream. The sentence array stays on the row, so the previous
 sentence is an array lookup at ``posexplode`` time: the same result as
 ``lag(1) over (partition by comment order by position)`` without a window.
 """
@@ -13,13 +15,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SENTINEL = "\u0001"
-BOUNDARY = "([.!?])\\s+"
+KEEP = "\u0002"  # marks a period that ends an abbreviation, not a sentence
+# Abbreviations after which a period does not end a sentence.
+ABBREVIATIONS = ["mr", "mrs", "ms", "dr", "prof", "sr", "jr", "st", "vs", "etc", "e.g", "i.e",
+                 "inc", "ltd", "jan", "feb", "aug", "sept", "oct", "nov", "dec", "gov", "sen",
+                 "rep", "gen", "u.s"]
+ABBREV_RE = "(?i)\\b(" + "|".join(a.replace(".", "\\.") for a in ABBREVIATIONS) + ")\\.(\\s)"
+# End punctuation, optionally followed by closing quotes/brackets, then whitespace.
+BOUNDARY = "([.!?]+[\"')\\]]*)\\s+"
 
 
 def sentence_array(c) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    parts = F.split(F.regexp_replace(col, BOUNDARY, "$1" + SENTINEL), SENTINEL)
-    return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: s != F.lit(""))
+    kept = F.regexp_replace(col, ABBREV_RE, "$1." + KEEP + "$2")
+    parts = F.split(F.regexp_replace(kept, BOUNDARY, "$1" + SENTINEL), SENTINEL)
+    parts = F.transform(parts, lambda s: F.trim(F.replace(s, F.lit(KEEP), F.lit(""))))
+    return F.filter(parts, lambda s: s != F.lit(""))
 
 
 def split_sentences(df: DataFrame, text_col: str = "comment",
