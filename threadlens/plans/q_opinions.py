@@ -5,10 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadlens.functions.labels import subjective_flag
+from threadlens import jobs
 from threadlens.operators import absa as ab
 from threadlens.operators.scoring import ExprScorer, lexicon
-from threadlens.operators.sentences import split_sentences
 from threadlens.plans import register
 from threadlens.plans.q_models import SUBJECTIVE_BIAS, SUBJECTIVE_TERMS
 from threadlens.plans.q_threads import comment_level
@@ -67,10 +66,9 @@ def sentence_opinions(spark, sf_dir):
     flags) -> sentences of the comment -> subjective sentences only ->
     entity -> aspect -> sentiment."""
     comments = comment_level(spark, sf_dir)
-    sents = split_sentences(comments, "comment")
-    subj = lexicon("sentence", "subj_scores", {"subjective": SUBJECTIVE_TERMS}, ["subjective"],
-                   bias=SUBJECTIVE_BIAS)(sents)
-    subj = subj.where(subjective_flag("subj_scores", "subjective_first") == 1).drop("subj_scores")
+    scorer = lexicon("sentence", "subj_scores", {"subjective": SUBJECTIVE_TERMS}, ["subjective"],
+                     bias=SUBJECTIVE_BIAS)
+    subj = jobs.sentence_level(comments, scorer, "subjective_first")
     cols = ["comment_id", "post_id", "platform", "level", "sentence_idx", "sentence",
             "previous_sentence"]
     out = ab.absa(subj.select(*cols), sentence_scorers())

@@ -105,15 +105,11 @@ def clean_q(spark, sf_dir):
 
 def comment_level(spark, sf_dir):
     """Flagship comment table: unify -> clean -> levels -> context -> flags."""
-    u = clean_comments(unified(spark, sf_dir), stored_label_gate())
-    u = u.withColumn("parent_comment", F.coalesce("parent_comment", F.lit("")))
-    # Stage table: the Python UDF runs once; levels and context reuse it.
-    u = cut_lineage(u)
-    lv = assign_levels(u)
-    ctx = thread_context(lv, order_col="_order")
-    flagged = mention_flags(ctx, "comment", {"contains_a_mentions": GAZETTEER_A,
-                                             "contains_b_mentions": GAZETTEER_B})
-    return flagged.drop("lang", "_order", "unreachable")
+    from threadlens import jobs
+    out = jobs.comment_level(unified(spark, sf_dir), stored_label_gate(),
+                             {"contains_a_mentions": GAZETTEER_A,
+                              "contains_b_mentions": GAZETTEER_B})
+    return out.drop("lang", "_order", "unreachable")
 
 
 register("comment_level")(comment_level)
