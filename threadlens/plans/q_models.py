@@ -83,3 +83,33 @@ def subjective_filter(spark, sf_dir):
     sc = sc.withColumn("is_subjective", subjective_flag("subj_scores", "subjective_first"))
     return sc.where(F.col("is_subjective") == 1).select("doc_id", "sentence_idx", "sentence")
 
+
+
+@register("lang_quality", _NB_SQL + """,
+test AS (SELECT d.doc_id, d.lang, b.lang_pred FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id
+         WHERE length(d.text) % 2 = 1 AND d.lang IS NOT NULL),
+maj AS (SELECT lang FROM tr GROUP BY lang ORDER BY count(*) DESC, lang LIMIT 1)
+SELECT CAST(count(*) AS BIGINT) AS n_test,
+       round(avg(CASE WHEN lang_pred = lang THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+       (SELECT lang FROM maj) AS majority_label,
+       round(avg(CASE WHEN lang = (SELECT lang FROM maj) THEN 1.0 ELSE 0.0 END), 6) AS majority_accuracy
+FROM test""")
+def lang_quality(spark, sf_dir):
+    """Held-out accuracy of the language model vs the majority-class baseline.
+
+    The split is a function of the text, so copies of a text never straddle it.
+    """
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    d = d.where(F.col("lang").isNotNull()).withColumn("lt", lang_text("text"))
+    train, test = d.where(_is_train()), d.where(~_is_train())
+    model = train_word_nb(train, "lt", "lang", VOCAB_PER_LABEL)
+    majority = (train.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+                .orderBy(F.col("n").desc(), F.col("lang")).first()["lang"])  # one value
+    pred = predict_word_nb(model, test, "lt", "doc_id").withColumn(
+        "majority_label", F.lit(majority))
+    hit = lambda c: F.when(c, F.lit(1.0)).otherwise(F.lit(0.0))
+    return pred.agg(
+        F.count(F.lit(1)).alias("n_test"),
+        F.round(F.avg(hit(F.col("lang_pred") == F.col("lang"))), 6).alias("accuracy"),
+        F.first("majority_label").alias("majority_label"),
+        F.round(F.avg(hit(F.col("lang") == F.col("majority_label"))), 6).alias("majority_accuracy"))
