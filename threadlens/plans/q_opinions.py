@@ -79,3 +79,85 @@ def sentence_opinions(spark, sf_dir):
 
 
 register("sentence_opinions")(sentence_opinions)
+
+
+# ---------------------------------------------------------------------------
+# The same decision chain on English documents' sentences, with an oracle.
+# ---------------------------------------------------------------------------
+
+def _sq(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _lexicon_sql(text: str, weights, labels, bias: float, link: str = "sigmoid") -> str:
+    items = []
+    for lab in labels:
+        z = " + ".join([f"({bias})"] + [
+            f"CASE WHEN contains(lower({text}), {_sq(t.lower())}) THEN {w} ELSE 0.0 END"
+            for t, w in weights.get(lab, {}).items()])
+        items.append(f"1.0 / (1.0 + exp(-({z})))" if link == "sigmoid" else f"({z})")
+    return "[" + ", ".join(items) + "]"
+
+
+def _decode_sql(v: str, labels, n: int) -> str:
+    names = "[" + ", ".join(_sq(x) for x in labels) + "]"
+    return (f"CASE WHEN list_sum({v}) = 0 THEN ['others'] ELSE list_filter(list_transform("
+            f"range(0, {n}), lambda i: CASE WHEN {v}[i + 1] = 1 THEN ({names})[i + 1] END), "
+            f"lambda x: x IS NOT NULL) END")
+
+
+def _sentence_decisions_sql() -> str:
+    from threadlens.plans.q_models import _subj_sql
+    aspect_w = {lab: {term: 1.5} for lab, term in zip(ASPECT_LABELS[:-1], ASPECT_TERMS)}
+    l3 = "[" + ", ".join(_sq(x) for x in ENTITY_LABELS) + "]"
+    l14 = "[" + ", ".join(_sq(x) for x in ASPECT_LABELS) + "]"
+    sec_terms = "[" + ", ".join(_sq(x) for x in ASPECT_SECOND_TERMS) + "]"
+    parts = f"list_transform(string_split(second_text, ';'), lambda p: trim(lower(p)))"
+    parse = f"list_transform({l14}, lambda lab: CAST(list_contains({parts}, lab) AS INTEGER))"
+    return f"""
+WITH s AS ({_subj_sql()}),
+sc AS (SELECT *, {_lexicon_sql('sentence', ENTITY_LEXICON, ENTITY_LABELS, ENTITY_BIAS)} AS ep,
+              {_lexicon_sql('sentence', aspect_w, ASPECT_LABELS[:-1], ASPECT_BIAS)} AS ap,
+              {_lexicon_sql('sentence', SENTIMENT_LEXICON, SENTIMENT_LABELS, 0.0, 'identity')} AS lg
+       FROM s),
+ent AS (SELECT *, list_transform(ep, lambda p: CAST(p > 0.65 AS INTEGER)) AS entity_ids FROM sc),
+ex AS (SELECT *, ({l3})[entity_id + 1] AS entity_category FROM (
+       SELECT *, unnest(list_filter([0, 1, 2], lambda i: entity_ids[i + 1] = 1
+                 OR (i = 2 AND list_sum(entity_ids) = 0))) AS entity_id FROM ent)),
+a1 AS (SELECT *, {_decode_sql('dl', ASPECT_LABELS[:-1], 13)} AS distil_categories FROM (
+       SELECT *, list_transform(ap, lambda p: CAST(p >= 0.35 AS INTEGER)) AS dl FROM ex)),
+a2 AS (SELECT *, CASE WHEN distil_categories = ['others'] THEN array_to_string(list_filter(
+         list_transform(range(0, 14), lambda i: CASE WHEN contains(lower(sentence), ({sec_terms})[i + 1])
+           THEN ({l14})[i + 1] END), lambda x: x IS NOT NULL), '; ') END AS second_text FROM a1),
+a3 AS (SELECT *, CASE WHEN second_text IS NOT NULL THEN {parse} END AS bart_labels FROM a2),
+a4 AS (SELECT *, coalesce(CASE WHEN bart_labels IS NOT NULL THEN {_decode_sql('bart_labels', ASPECT_LABELS, 14)} END,
+                          distil_categories) AS final_categories,
+              coalesce(bart_labels, dl || [CASE WHEN list_sum(dl) = 0 THEN 1 ELSE 0 END]) AS final_labels
+       FROM a3),
+a5 AS (SELECT *, unnest(final_categories) AS final_aspect_category FROM a4),
+s1 AS (SELECT *, CAST(list_position(lg, list_max(lg)) - 2 AS INTEGER) AS p1, list_max(lg) AS c1,
+              CASE WHEN contains(sentence, '!') THEN 1 WHEN contains(sentence, '?') THEN -1 ELSE 0 END AS p2,
+              CASE WHEN contains(sentence, '!') OR contains(sentence, '?') THEN -0.2 ELSE -0.5 END AS c2
+       FROM a5)
+SELECT doc_id, sentence_idx, entity_category, final_aspect_category AS final_aspect_categories,
+       CASE WHEN coalesce(CASE WHEN isnan(c1) THEN NULL ELSE c1 END >= 0.85, false) THEN p1
+            WHEN coalesce(CASE WHEN isnan(c2) THEN NULL ELSE c2 END >= -0.36, false) THEN p2
+            ELSE p1 END AS final_sentiment_prediction,
+       to_json(entity_ids) AS entity_ids, to_json(final_labels) AS final_aspect_labels
+FROM s1"""
+
+
+def sentence_decisions(spark, sf_dir):
+    """English documents -> sentences -> subjectivity gate -> decisions
+    (the chain of ``sentence_opinions`` without the HTML step, oracle-checked)."""
+    from threadlens.sources.fixtures import v_sentence_docs
+    scorer = lexicon("sentence", "subj_scores", {"subjective": SUBJECTIVE_TERMS}, ["subjective"],
+                     bias=SUBJECTIVE_BIAS)
+    subj = jobs.sentence_level(v_sentence_docs(spark, sf_dir), scorer, "subjective_first")
+    out = ab.absa(subj.select("doc_id", "sentence_idx", "sentence"), sentence_scorers())
+    return out.select("doc_id", "sentence_idx", "entity_category", "final_aspect_categories",
+                      "final_sentiment_prediction", F.to_json("entity_ids").alias("entity_ids"),
+                      F.to_json("final_aspect_labels").alias("final_aspect_labels"))
+
+
+register("sentence_decisions", _sentence_decisions_sql())(sentence_decisions)
