@@ -20,14 +20,18 @@ KEEP = "\u0002"  # marks a period that ends an abbreviation, not a sentence
 ABBREVIATIONS = ["mr", "mrs", "ms", "dr", "prof", "sr", "jr", "st", "vs", "etc", "e.g", "i.e",
                  "inc", "ltd", "jan", "feb", "aug", "sept", "oct", "nov", "dec", "gov", "sen",
                  "rep", "gen", "u.s"]
-ABBREV_RE = "(?i)\\b(" + "|".join(a.replace(".", "\\.") for a in ABBREVIATIONS) + ")\\.(\\s)"
+_ALTS = "|".join(a.replace(".", "\\.") for a in ABBREVIATIONS)
+ABBREV_RE = "(?i)\\b(" + _ALTS + ")\\.(\\s)"          # portable form (RE2 oracle)
+# The same matches, with a cheap lookahead guard so most word starts fail
+# fast (abbreviations are at most 4 characters before their period).
+ABBREV_RE_FAST = "(?i)\\b(?=[a-z.]{1,4}\\.\\s)(" + _ALTS + ")\\.(\\s)"
 # End punctuation, optionally followed by closing quotes/brackets, then whitespace.
 BOUNDARY = "([.!?]+[\"')\\]]*)\\s+"
 
 
 def sentence_array(c) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    kept = F.regexp_replace(col, ABBREV_RE, "$1." + KEEP + "$2")
+    kept = F.regexp_replace(col, ABBREV_RE_FAST, "$1." + KEEP + "$2")
     parts = F.split(F.regexp_replace(kept, BOUNDARY, "$1" + SENTINEL), SENTINEL)
     parts = F.transform(parts, lambda s: F.trim(F.replace(s, F.lit(KEEP), F.lit(""))))
     return F.filter(parts, lambda s: s != F.lit(""))
