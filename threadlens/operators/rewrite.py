@@ -112,15 +112,21 @@ def pronoun_clusters(tokens, terms: Iterable[str], pronouns=PRONOUNS) -> Column:
     """Rule producer: cluster = [gazetteer-hit token, following pronouns up to
     the next hit]; clusters without a pronoun are dropped."""
     low_terms = sorted({t.lower() for t in terms if t})
+    term_arr = F.array(*[F.lit(t) for t in low_terms])
     pro = F.array(*[F.lit(p) for p in pronouns])
 
     def with_tokens(tk):
         n = F.size(tk)
-        idxs = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
-        hp = F.struct(
-            F.filter(idxs, lambda i: (n > 0) & _has_term(tk[i]["text"], low_terms)).alias("h"),
-            F.filter(idxs, lambda i: (n > 0) & F.array_contains(pro, F.lower(tk[i]["text"])))
-            .alias("p"))
+        # one pass over the tokens: lower-case once, tag hits and pronouns
+        tags = F.transform(tk, lambda t: let(F.lower(t["text"]), lambda low: F.struct(
+            F.exists(term_arr, lambda x: low.contains(x)).alias("hit"),
+            F.array_contains(pro, low).alias("pron"))))
+
+        def split_tags(tg):
+            idxs = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
+            return F.struct(
+                F.filter(idxs, lambda i: (n > 0) & tg[i]["hit"]).alias("h"),
+                F.filter(idxs, lambda i: (n > 0) & tg[i]["pron"]).alias("p"))
 
         def build(v):
             nh = F.size(v["h"])
@@ -131,7 +137,7 @@ def pronoun_clusters(tokens, terms: Iterable[str], pronouns=PRONOUNS) -> Column:
                 span = lambda s: F.struct(s.alias("tok_start"), s.alias("tok_end"))
                 return F.concat(F.array(span(h)), F.transform(ps, span))
             return F.filter(F.transform(v["h"], one), lambda c: F.size(c) > 1)
-        return let(hp, build)
+        return let(let(tags, split_tags), build)
     return let(_c(tokens), with_tokens)
 
 
