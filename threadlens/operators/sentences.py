@@ -20,20 +20,29 @@ KEEP = "\u0002"  # marks a period that ends an abbreviation, not a sentence
 ABBREVIATIONS = ["mr", "mrs", "ms", "dr", "prof", "sr", "jr", "st", "vs", "etc", "e.g", "i.e",
                  "inc", "ltd", "jan", "feb", "aug", "sept", "oct", "nov", "dec", "gov", "sen",
                  "rep", "gen", "u.s"]
+# Unicode whitespace (as Python's splitter sees it), spelled out so that the
+# Java and RE2 engines agree: their bare \s is ASCII-only.
+WS = ("[\\s\\x{0b}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}"
+      "\\x{202f}\\x{205f}\\x{3000}]")
 _ALTS = "|".join(a.replace(".", "\\.") for a in ABBREVIATIONS)
-ABBREV_RE = "(?i)\\b(" + _ALTS + ")\\.(\\s)"          # portable form (RE2 oracle)
-# The same matches, with a cheap lookahead guard so most word starts fail
-# fast (abbreviations are at most 4 characters before their period).
-ABBREV_RE_FAST = "(?i)\\b(?=[a-z.]{1,4}\\.\\s)(" + _ALTS + ")\\.(\\s)"
+# Abbreviation followed by a period and whitespace, not preceded by an ASCII
+# word character. Portable form (RE2 oracle; its \b is ASCII):
+ABBREV_RE = "(?i)\\b(" + _ALTS + ")\\.(" + WS + ")"
+# The same matches for Java, with a cheap lookahead guard so most positions
+# fail fast (abbreviations are at most 4 characters before their period).
+ABBREV_RE_FAST = ("(?i)(?<![A-Za-z0-9_])(?=[a-z.]{1,4}\\." + WS + ")(" + _ALTS + ")\\.("
+                  + WS + ")")
 # End punctuation, optionally followed by closing quotes/brackets, then whitespace.
-BOUNDARY = "([.!?]+[\"')\\]]*)\\s+"
+BOUNDARY = "([.!?]+[\"')\\]]*)" + WS + "+"
+TRIM = "^" + WS + "+|" + WS + "+$"
 
 
 def sentence_array(c) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     kept = F.regexp_replace(col, ABBREV_RE_FAST, "$1." + KEEP + "$2")
     parts = F.split(F.regexp_replace(kept, BOUNDARY, "$1" + SENTINEL), SENTINEL)
-    parts = F.transform(parts, lambda s: F.trim(F.replace(s, F.lit(KEEP), F.lit(""))))
+    parts = F.transform(parts, lambda s: F.regexp_replace(F.replace(s, F.lit(KEEP), F.lit("")),
+                                                          TRIM, ""))
     return F.filter(parts, lambda s: s != F.lit(""))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from threadlens.functions import text as tx
 from threadlens.functions.hof import let
 from threadlens.operators.mentions import contains_any, matched_terms
-from threadlens.operators.sentences import ABBREV_RE, BOUNDARY, split_sentences
+from threadlens.operators.sentences import ABBREV_RE, BOUNDARY, TRIM, split_sentences
 from threadlens.plans import register
 from threadlens.sources.fixtures import (
     GAZETTEER_A, GAZETTEER_B, v_comments, v_sentence_docs, with_views,
@@ -49,7 +49,8 @@ def _q(x: str) -> str:
 SENT_SQL_ARR = (
     f"list_filter(list_transform(string_split(regexp_replace(regexp_replace(comment, "
     f"'{_q(ABBREV_RE)}', '\\1.' || chr(2) || '\\2', 'g'), '{_q(BOUNDARY)}', '\\1' || chr(1), 'g'), "
-    f"chr(1)), lambda s: trim(replace(s, chr(2), ''))), lambda s: s <> '')")
+    f"chr(1)), lambda s: regexp_replace(replace(s, chr(2), ''), '{_q(TRIM)}', '', 'g')), "
+    f"lambda s: s <> '')")
 SENTENCES_SQL = with_views(f"""
 SELECT doc_id, CAST(i - 1 AS INTEGER) AS sentence_idx, arr[i] AS sentence,
        CASE WHEN i > 1 THEN arr[i - 1] END AS previous_sentence
