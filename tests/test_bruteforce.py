@@ -119,3 +119,52 @@ def test_rule_rewrite_matches_python(spark):
         changed += want != r.comment
         assert got[r.comment_id] == want, r.comment_id
     assert changed > 0
+
+
+# --- levels + context propagation with the rewrite ---------------------------
+
+_PUNCT_END = re.compile(r"[!-/:-@\[-`{-~]\s*$")
+
+
+def _py_context(rows, terms):
+    """rows: comment_id -> (parent_comment_id, comment, raw parent text)."""
+    ids = set(rows)
+    level = {}
+    frontier = [c for c, (p, _, _) in rows.items() if p is None or p not in ids]
+    for c in frontier:
+        level[c] = 1
+    children = {}
+    for c, (p, _, _) in rows.items():
+        children.setdefault(p, []).append(c)
+    lv = 1
+    while frontier:
+        nxt = [ch for c in frontier for ch in children.get(c, [])]
+        for ch in nxt:
+            level[ch] = lv + 1
+        frontier, lv = nxt, lv + 1
+    resolved, parent_used = {}, {}
+    for c in sorted(level, key=lambda x: level[x]):
+        p, comment, raw_parent = rows[c]
+        if level[c] == 1:
+            ptext = raw_parent
+        else:
+            ptext = resolved.get(p, "") if raw_parent != "[deleted]" else raw_parent
+        sep = "" if _PUNCT_END.search(ptext) else "."
+        combined = _py_rule_rewrite(ptext + sep + " [NEXT_COMMENT] " + comment, terms)
+        pieces = combined.split("[NEXT_COMMENT] ")
+        resolved[c] = pieces[1] if len(pieces) > 1 else combined
+        parent_used[c] = ptext
+    return {c: (level[c], parent_used[c], resolved[c]) for c in level}
+
+
+def test_context_rewrite_matches_python(spark):
+    from threadlens.plans import QUERIES, load_all
+    from threadlens.plans.q_threads import _context_input
+    load_all()
+    terms = GAZETTEER_A + GAZETTEER_B
+    src = {r.comment_id: (r.parent_comment_id, r.comment, r.parent_comment)
+           for r in _context_input(spark, SF).collect()}
+    want = _py_context(src, terms)
+    got = {r.comment_id: (r.level, r.parent_comment, r.comment_after_coref)
+           for r in QUERIES["thread_context_rewrite"](spark, SF).collect()}
+    assert got == want
