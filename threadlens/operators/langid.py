@@ -41,7 +41,8 @@ class WordNB:
 def train_word_nb(docs: DataFrame, text_col: str, label_col: str,
                   vocab_per_label: int = 5000) -> WordNB:
     labelled = docs.where(F.col(label_col).isNotNull())
-    priors = labelled.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).collect()
+    priors = (labelled.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
+              .limit(MAX_LABELS + 1).collect())
     if len(priors) > MAX_LABELS:
         raise ValueError(f"{len(priors)} labels (> {MAX_LABELS})")
     labels = sorted(r[0] for r in priors)
