@@ -315,3 +315,17 @@ def test_15b_sentences_quotes_and_abbreviations(spark):
                                "id int, comment string")
     got = [r.sentence for r in split_sentences(df).orderBy("sentence_idx").collect()]
     assert got == ['He said "go."', "Then Mr. Key left, e.g. early.", "Why?!", "Done"]
+
+
+def test_orphans_and_levels_with_hot_split(spark, monkeypatch):
+    import threadlens.operators.joins as jn
+    from threadlens.operators.threads import orphan_roots
+    monkeypatch.setattr(jn, "MIN_HOT_ROWS", 5)
+    rows = [("r", None)] + [(f"c{i}", "r") for i in range(100)] + \
+           [(f"o{i}", "gone") for i in range(60)]
+    df = spark.createDataFrame(rows, "comment_id string, parent_comment_id string")
+    jn.SPLITS.clear()
+    assert orphan_roots(df).count() == 60
+    got = {r.comment_id: r.level for r in assign_levels(df).collect()}
+    assert got["o3"] == 1 and got["c9"] == 2 and got["r"] == 1
+    assert any(n > 0 for n in jn.SPLITS)

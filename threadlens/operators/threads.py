@@ -36,10 +36,11 @@ def _edges(df: DataFrame, id_col: str, parent_col: str) -> DataFrame:
 def level_table(df: DataFrame, id_col: str = "comment_id",
                 parent_col: str = "parent_comment_id", max_rounds: int = 64) -> DataFrame:
     """(id, level, unreachable) for every distinct id of ``df``."""
-    edges = _edges(df, id_col, parent_col)
+    edges = cut_lineage(_edges(df, id_col, parent_col))
     members = edges.select(F.col("id").alias("_m"))
     # Roots: no parent, or a parent that is not among the ids (orphans).
-    state = (edges.join(members, F.col("parent") == F.col("_m"), "left")
+    # Keyed by parent, so a comment with a huge number of replies is a hot key.
+    state = (lookup_join(edges, members, "parent", "_m", "left")
                   .select("id",
                           F.when(F.col("_m").isNotNull(), F.col("parent")).alias("anc"),
                           F.lit(1).cast("int").alias("d")))
@@ -74,8 +75,8 @@ def orphan_roots(df: DataFrame, id_col: str = "comment_id",
                  parent_col: str = "parent_comment_id") -> DataFrame:
     """Rows whose parent id is set but names no surviving row (they become roots)."""
     ids = df.select(F.col(id_col).alias("_m"))  # duplicates do not change an anti join
-    return (df.where(F.col(parent_col).isNotNull())
-              .join(ids, F.col(parent_col) == F.col("_m"), "left_anti"))
+    return lookup_join(df.where(F.col(parent_col).isNotNull()), ids, parent_col, "_m",
+                       "left_anti")
 
 
 def identity_rewrite(combined: Column) -> Column:
