@@ -168,3 +168,23 @@ def test_context_rewrite_matches_python(spark):
     got = {r.comment_id: (r.level, r.parent_comment, r.comment_after_coref)
            for r in QUERIES["thread_context_rewrite"](spark, SF).collect()}
     assert got == want
+
+
+# --- seeded sample ------------------------------------------------------------
+
+def _spark_xxhash64_long_int(key: int, seed_value: int) -> int:
+    """Spark's xxhash64(long_col, int_literal): XXH64 chained from seed 42."""
+    import xxhash
+    h = xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), seed=42)
+    h = xxhash.xxh64_intdigest(seed_value.to_bytes(4, "little", signed=True), seed=h)
+    return h - (1 << 64) if h >= (1 << 63) else h
+
+
+def test_sample_n_matches_python(spark):
+    from threadlens.plans import QUERIES, load_all
+    from threadlens.sources.tables import table
+    load_all()
+    got = [r.doc_id for r in QUERIES["sample_n"](spark, SF).collect()]
+    ids = [r.doc_id for r in table(spark, SF, "documents").select("doc_id").collect()]
+    want = sorted(ids, key=lambda i: (_spark_xxhash64_long_int(i, 666), i))[:5]
+    assert sorted(got) == sorted(want)
