@@ -126,8 +126,9 @@ def test_rule_rewrite_matches_python(spark):
 _PUNCT_END = re.compile(r"[!-/:-@\[-`{-~]\s*$")
 
 
-def _py_context(rows, terms):
+def _py_context(rows, terms, rewrite=None):
     """rows: comment_id -> (parent_comment_id, comment, raw parent text)."""
+    rewrite = rewrite or (lambda text: _py_rule_rewrite(text, terms))
     ids = set(rows)
     level = {}
     frontier = [c for c, (p, _, _) in rows.items() if p is None or p not in ids]
@@ -150,7 +151,7 @@ def _py_context(rows, terms):
         else:
             ptext = resolved.get(p, "") if raw_parent != "[deleted]" else raw_parent
         sep = "" if _PUNCT_END.search(ptext) else "."
-        combined = _py_rule_rewrite(ptext + sep + " [NEXT_COMMENT] " + comment, terms)
+        combined = rewrite(ptext + sep + " [NEXT_COMMENT] " + comment)
         pieces = combined.split("[NEXT_COMMENT] ")
         resolved[c] = pieces[1] if len(pieces) > 1 else combined
         parent_used[c] = ptext
@@ -188,3 +189,22 @@ def test_sample_n_matches_python(spark):
     ids = [r.doc_id for r in table(spark, SF, "documents").select("doc_id").collect()]
     want = sorted(ids, key=lambda i: (_spark_xxhash64_long_int(i, 666), i))[:5]
     assert sorted(got) == sorted(want)
+
+
+def test_comment_level_matches_python(spark):
+    from threadlens.plans import QUERIES, load_all
+    load_all()
+    cols = UNIFIED_COLUMNS + ["platform"]
+    cleaned = _py_clean([r.asDict() for r in unified(spark, SF).select(*cols, "lang").collect()])
+    rows = {r["comment_id"]: (r["parent_comment_id"], r["comment"], r["parent_comment"])
+            for r in cleaned}
+    ctx = _py_context(rows, [], rewrite=lambda text: text)
+
+    def flag(text, terms):
+        return int(any(t.lower() in text.lower() for t in terms))
+    want = {c: (lv, p, res, flag(rows[c][1], GAZETTEER_A), flag(rows[c][1], GAZETTEER_B))
+            for c, (lv, p, res) in ctx.items()}
+    got = {r.comment_id: (r.level, r.parent_comment, r.comment_after_coref,
+                          r.contains_a_mentions, r.contains_b_mentions)
+           for r in QUERIES["comment_level"](spark, SF).collect()}
+    assert got == want
