@@ -329,3 +329,10 @@ def test_orphans_and_levels_with_hot_split(spark, monkeypatch):
     got = {r.comment_id: r.level for r in assign_levels(df).collect()}
     assert got["o3"] == 1 and got["c9"] == 2 and got["r"] == 1
     assert any(n > 0 for n in jn.SPLITS)
+
+
+def test_14c_word_boundary_option(spark):
+    df = spark.createDataFrame([("McDonalds",), ("Donald spoke",), ("nothing",)], "x string")
+    sub = [r[0] for r in df.select(contains_any("x", ["donal", "donald"])).collect()]
+    wb = [r[0] for r in df.select(contains_any("x", ["donal", "donald"], word_boundary=True)).collect()]
+    assert sub == [1, 1, 0] and wb == [0, 1, 0]

@@ -76,12 +76,14 @@ def _ac_contains_udf(terms: list[str]):
 
 def contains_any(text, terms: Iterable[str], word_boundary: bool = False) -> Column:
     """1 if the lower-cased text contains any term (case-insensitive substring), else 0."""
-    low = reduce_antichain(terms)
     col = _c(text)
     if word_boundary:
+        # the antichain reduction only holds for substring matching
         import re
-        pattern = "(?i)\\b(" + "|".join(re.escape(t) for t in low) + ")\\b"
+        full = sorted({t.lower() for t in terms if t}, key=lambda t: (-len(t), t))
+        pattern = "(?i)\\b(" + "|".join(re.escape(t) for t in full) + ")\\b"
         return F.when(col.isNotNull(), col.rlike(pattern).cast("int"))
+    low = reduce_antichain(terms)
     if len(low) > INLINE_MAX:
         return _ac_contains_udf(low)(col)
     arr = F.array(*[F.lit(t) for t in low])
