@@ -87,24 +87,41 @@ def test_sentences_match_python(spark):
 _TOK = re.compile(r"(\w+|[^\w\s])(\s*)")
 
 
+def _py_hits(toks, terms):
+    by = {}
+    for t in terms:
+        by.setdefault(max(1, len(re.findall(r"\w+|[^\w\s]", t))), set()).add(t.lower())
+    spans = []
+    for k, ts in by.items():
+        for i in range(len(toks) - k + 1):
+            w = "".join(toks[i + j][0] + (toks[i + j][1] if j < k - 1 else "")
+                        for j in range(k)).lower()
+            if any(t in w for t in ts):
+                spans.append((i, -k, i + k - 1))
+    picked = []
+    for s, _, e in sorted(spans):
+        if not picked or s > picked[-1][1]:
+            picked.append((s, e))
+    return picked
+
+
 def _py_rule_rewrite(text, terms):
-    terms = [t.lower() for t in terms]
     lead = re.match(r"\s*", text).group(0)
     toks = [(m.group(1), m.group(2)) for m in _TOK.finditer(text)]
-    hits = [i for i, (t, _) in enumerate(toks) if any(x in t.lower() for x in terms)]
+    hits = _py_hits(toks, terms)
     prons = [i for i, (t, _) in enumerate(toks) if t.lower() in PRONOUNS]
     out = {}
-    for k, h in enumerate(hits):
-        nxt = hits[k + 1] if k + 1 < len(hits) else len(toks)
-        members = [h] + [p for p in prons if h < p < nxt]
+    for k, (hs, he) in enumerate(hits):
+        nxt = hits[k + 1][0] if k + 1 < len(hits) else len(toks)
+        members = [(hs, he)] + [(p, p) for p in prons if he < p < nxt]
         if len(members) < 2:
             continue
-        # single-token mentions; the key is the first whose text has a term
-        key = next(m for m in members if any(x in toks[m][0].lower() for x in terms))
-        key_pos = members.index(key)
-        for j, m in enumerate(members):
-            ws = toks[key][1] if j < key_pos else toks[m][1]
-            out[m] = toks[key][0] + ws
+        # the hit contains a term, so it is the cluster's key (first member)
+        key_text = "".join(toks[j][0] + (toks[j][1] if j < he else "") for j in range(hs, he + 1))
+        for (ms, me) in members:
+            out[ms] = key_text + toks[ms][1]
+            for j in range(ms + 1, me + 1):
+                out[j] = ""
     return lead + "".join(out.get(i, t + w) for i, (t, w) in enumerate(toks))
 
 
@@ -208,3 +225,19 @@ def test_comment_level_matches_python(spark):
                           r.contains_a_mentions, r.contains_b_mentions)
            for r in QUERIES["comment_level"](spark, SF).collect()}
     assert got == want
+
+
+def test_rule_rewrite_multi_token_terms(spark):
+    terms = GAZETTEER_A + ["of the", "it's", "and the way"]
+    g = gated_comments(spark, SF).select("comment_id", "comment")
+    got = {r.comment_id: r.x for r in g.select("comment_id",
+                                               rule_rewrite(terms)(F.col("comment")).alias("x")).collect()}
+    changed = 0
+    for r in g.collect():
+        want = _py_rule_rewrite(r.comment, terms)
+        changed += want != r.comment
+        assert got[r.comment_id] == want, r.comment_id
+    assert changed > 0
+    df = spark.createDataFrame([("The border czar spoke. He said it's fine.",)], "t string")
+    out = df.select(rule_rewrite(["border czar"])(F.col("t"))).first()[0]
+    assert out == "The border czar spoke. border czar said border czar's fine."

@@ -18,6 +18,7 @@ third-person pronoun joins the nearest preceding gazetteer-hit token.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -108,34 +109,86 @@ def rewrite_mentions(tokens, clusters, terms: Iterable[str], prefix=None) -> Col
     return body if prefix is None else F.concat(_c(prefix), body)
 
 
+_PY_TOKEN = re.compile(r"\w+|[^\w\s]")
+
+
+def _terms_by_width(terms: Iterable[str]) -> dict[int, list[str]]:
+    """Lower-cased terms grouped by how many tokens they span."""
+    by: dict[int, set[str]] = {}
+    for t in terms:
+        if t:
+            by.setdefault(max(1, len(_PY_TOKEN.findall(t))), set()).add(t.lower())
+    return {k: sorted(v) for k, v in by.items()}
+
+
+def _hit_spans(tk: Column, n: Column, by_width: dict[int, list[str]]) -> Column:
+    """Token spans whose text contains a gazetteer term, leftmost-longest and
+    non-overlapping: array<struct<s:int, e:int>> sorted by start."""
+    idxs = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
+
+    def spans_of_width(k: int, ts: list[str]) -> Column:
+        arr = F.array(*[F.lit(t) for t in ts])
+
+        def window(i):
+            parts = []
+            for j in range(k):
+                parts.append(tk[i + j]["text"])
+                if j < k - 1:
+                    parts.append(tk[i + j]["ws"])
+            return F.lower(F.concat(*parts))
+
+        def starts_here(i):
+            return (i + k <= n) & let(window(i), lambda w: F.exists(arr, lambda t: w.contains(t)))
+
+        def span(i):
+            return F.struct(i.alias("s"), F.lit(-k).alias("neg_len"), (i + k - 1).alias("e"))
+        return F.transform(F.filter(idxs, starts_here), span)
+
+    spans = [spans_of_width(k, ts) for k, ts in sorted(by_width.items())]
+    ordered = F.array_sort(F.flatten(F.array(*spans)))   # by start, longest first
+    picked = F.aggregate(
+        ordered, F.array().cast("array<struct<s:int,neg_len:int,e:int>>"),
+        lambda acc, x: F.when((F.size(acc) == 0) | (x["s"] > F.element_at(acc, -1)["e"]),
+                              F.concat(acc, F.array(x))).otherwise(acc))
+    return F.transform(picked, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
+
+
 def pronoun_clusters(tokens, terms: Iterable[str], pronouns=PRONOUNS) -> Column:
-    """Rule producer: cluster = [gazetteer-hit token, following pronouns up to
-    the next hit]; clusters without a pronoun are dropped."""
-    low_terms = sorted({t.lower() for t in terms if t})
-    term_arr = F.array(*[F.lit(t) for t in low_terms])
+    """Rule producer: cluster = [gazetteer-hit mention, following pronouns up
+    to the next hit]; clusters without a pronoun are dropped. A hit is one
+    token containing a single-token term, or a run of tokens whose text
+    contains a term spanning several tokens (leftmost-longest)."""
+    by_width = _terms_by_width(terms)
     pro = F.array(*[F.lit(p) for p in pronouns])
+    single = by_width.get(1, [])
+    multi = {k: v for k, v in by_width.items() if k > 1}
+    term_arr = F.array(*[F.lit(t) for t in single])
 
     def with_tokens(tk):
         n = F.size(tk)
+        idxs = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
         # one pass over the tokens: lower-case once, tag hits and pronouns
         tags = F.transform(tk, lambda t: let(F.lower(t["text"]), lambda low: F.struct(
             F.exists(term_arr, lambda x: low.contains(x)).alias("hit"),
             F.array_contains(pro, low).alias("pron"))))
 
         def split_tags(tg):
-            idxs = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
-            return F.struct(
-                F.filter(idxs, lambda i: (n > 0) & tg[i]["hit"]).alias("h"),
-                F.filter(idxs, lambda i: (n > 0) & tg[i]["pron"]).alias("p"))
+            prons = F.filter(idxs, lambda i: (n > 0) & tg[i]["pron"])
+            if multi:
+                hits = _hit_spans(tk, n, by_width)
+            else:
+                hits = F.transform(F.filter(idxs, lambda i: (n > 0) & tg[i]["hit"]),
+                                   lambda i: F.struct(i.alias("s"), i.alias("e")))
+            return F.struct(hits.alias("h"), prons.alias("p"))
 
         def build(v):
             nh = F.size(v["h"])
 
             def one(h, k):
-                nxt = F.when(k + 1 < nh, v["h"][k + 1]).otherwise(n)
-                ps = F.filter(v["p"], lambda p: (p > h) & (p < nxt))
-                span = lambda s: F.struct(s.alias("tok_start"), s.alias("tok_end"))
-                return F.concat(F.array(span(h)), F.transform(ps, span))
+                nxt = F.when(k + 1 < nh, v["h"][k + 1]["s"]).otherwise(n)
+                ps = F.filter(v["p"], lambda p: (p > h["e"]) & (p < nxt))
+                span = lambda a, b: F.struct(a.alias("tok_start"), b.alias("tok_end"))
+                return F.concat(F.array(span(h["s"], h["e"])), F.transform(ps, lambda p: span(p, p)))
             return F.filter(F.transform(v["h"], one), lambda c: F.size(c) > 1)
         return let(let(tags, split_tags), build)
     return let(_c(tokens), with_tokens)
