@@ -141,3 +141,13 @@ def post_records_q(spark, sf_dir):
     payload.write.text(path)
     landed = spark.read.schema(landing.POST_PAYLOAD).json(path)
     return landing.post_records(landed)
+
+
+@register("flatten_threads", with_views("""
+SELECT comment_id, parent_comment_id, comment, CAST(conv_id AS VARCHAR) AS post_id FROM v_turns""",
+                                        "v_turns"))
+def flatten_threads_q(spark, sf_dir):
+    """Nested reply trees (VARIANT, one depth per round) back to flat rows."""
+    from threadlens.sources.fixtures import v_thread_payloads
+    flat = landing.flatten_threads(v_thread_payloads(spark, sf_dir))
+    return flat.select("comment_id", "parent_comment_id", "comment", "post_id")

@@ -307,3 +307,29 @@ def with_views(body: str, *names: str, extra: dict[str, str] | None = None,
         return body.strip()
     head = "WITH RECURSIVE " if recursive else "WITH "
     return head + ",\n".join(ctes) + "\n" + body.strip()
+
+
+def v_thread_payloads(spark, sf_dir) -> DataFrame:
+    """Conversation chains landed as nested reply trees, one JSON payload per
+    conversation: ``{"comments": [{"id", "body", "created", "score",
+    "replies": [...]}]}``. Built bottom-up with one join per depth (each turn
+    has at most one reply, so no grouping is needed)."""
+    from threadlens.session import cut_lineage
+    t = v_turns(spark, sf_dir)
+    max_turn = t.agg(F.max("turn")).first()[0]           # one value
+    nodes = None
+    for depth in range(int(max_turn), -1, -1):
+        level = t.where(F.col("turn") == depth).select("conv_id", "comment_id", "comment", "turn")
+        if nodes is not None:
+            level = level.join(nodes.withColumnRenamed("node", "_child"), "conv_id", "left")
+            replies = F.when(F.col("_child").isNull(), F.array().cast("array<variant>")) \
+                       .otherwise(F.array(F.col("_child")))
+        else:
+            replies = F.array().cast("array<variant>")
+        node = F.to_variant_object(F.struct(
+            F.col("comment_id").alias("id"), F.col("comment").alias("body"),
+            F.col("turn").alias("created"), F.length("comment").cast("long").alias("score"),
+            replies.alias("replies")))
+        nodes = cut_lineage(level.select("conv_id", node.alias("node")))
+    payload = F.to_json(F.to_variant_object(F.struct(F.array(F.col("node")).alias("comments"))))
+    return nodes.select(F.col("conv_id").cast("string").alias("post_id"), payload.alias("payload"))
