@@ -19,7 +19,7 @@ HEADLINE = [
     "sentence_split", "mention_flags", "mention_terms", "dedup_first",
     "incremental_append", "relevance_topk", "absa_predict", "sentiment_rollup",
     "lang_filter", "subjective_filter", "stream_append", "mention_rewrite",
-    "thread_context_rewrite", "clean_langid",
+    "thread_context_rewrite", "clean_langid", "sentence_decisions", "flatten_threads",
 ]
 
 
