@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadlens.operators.clean import clean_comments, stored_label_gate
-from threadlens.operators.mentions import mention_flags
 from threadlens.operators.threads import assign_levels, orphan_roots, thread_context
 from threadlens.plans import register
 from threadlens.plans.common import ctes, gated_comments, unified
 from threadlens.plans.q_text import PUNCT_END_SQL
 from threadlens.schemas import UNIFIED_COLUMNS
-from threadlens.session import cut_lineage
 from threadlens.sources.fixtures import GAZETTEER_A, GAZETTEER_B, v_comments, v_turns, with_views
 
 def _lv(src: str) -> dict[str, str]:
