@@ -47,6 +47,14 @@ def collect_terms(spark: SparkSession, terms: DataFrame, col: str = "term") -> l
     return [r[0] for r in terms.select(col).collect()]
 
 
+def _has_automaton() -> bool:
+    try:
+        import ahocorasick  # noqa: F401
+    except ImportError:      # fall back to the native expression (slower, same flags)
+        return False
+    return True
+
+
 def _ac_contains_udf(terms: list[str]):
     """Aho-Corasick over Arrow batches; the term list ships once per executor
     as a broadcast variable and the automaton is built once per batch."""
@@ -84,7 +92,7 @@ def contains_any(text, terms: Iterable[str], word_boundary: bool = False) -> Col
         pattern = "(?i)\\b(" + "|".join(re.escape(t) for t in full) + ")\\b"
         return F.when(col.isNotNull(), col.rlike(pattern).cast("int"))
     low = reduce_antichain(terms)
-    if len(low) > INLINE_MAX:
+    if len(low) > INLINE_MAX and _has_automaton():
         return _ac_contains_udf(low)(col)
     arr = F.array(*[F.lit(t) for t in low])
     return F.when(col.isNotNull(), let(F.lower(col), lambda lowered: F.exists(
