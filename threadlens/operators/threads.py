@@ -33,6 +33,14 @@ def _edges(df: DataFrame, id_col: str, parent_col: str) -> DataFrame:
               .groupBy("id").agg(F.min("parent").alias("parent")))
 
 
+def _cut_counting_open(state: DataFrame) -> tuple[DataFrame, int]:
+    """Checkpoint the state and count its open rows in the same pass."""
+    from pyspark.sql import Observation
+    obs = Observation()
+    cut = cut_lineage(state.observe(obs, F.count_if(F.col("anc").isNotNull()).alias("open")))
+    return cut, int(obs.get["open"])
+
+
 def level_table(df: DataFrame, id_col: str = "comment_id",
                 parent_col: str = "parent_comment_id", max_rounds: int = 64) -> DataFrame:
     """(id, level, unreachable) for every distinct id of ``df``."""
@@ -44,20 +52,19 @@ def level_table(df: DataFrame, id_col: str = "comment_id",
                   .select("id",
                           F.when(F.col("_m").isNotNull(), F.col("parent")).alias("anc"),
                           F.lit(1).cast("int").alias("d")))
-    state = cut_lineage(state)
+    state, n_open = _cut_counting_open(state)
     prev_open = None
     for _ in range(max_rounds):
-        open_rows = state.where(F.col("anc").isNotNull())
-        n_open = open_rows.count()
         if n_open == 0 or n_open == prev_open:
             break  # all resolved, or only cycle-bound nodes remain
         prev_open = n_open
+        open_rows = state.where(F.col("anc").isNotNull())
         right = state.select(F.col("id").alias("_rid"), F.col("anc").alias("_ranc"),
                              F.col("d").alias("_rd"))
         # many open nodes can share one ancestor: split hot ancestors off
         jumped = (lookup_join(open_rows, right, "anc", "_rid", "inner", n_left=n_open)
                   .select("id", F.col("_ranc").alias("anc"), (F.col("d") + F.col("_rd")).alias("d")))
-        state = cut_lineage(state.where(F.col("anc").isNull()).unionByName(jumped))
+        state, n_open = _cut_counting_open(state.where(F.col("anc").isNull()).unionByName(jumped))
     return state.select(
         F.col("id").alias(id_col),
         F.when(F.col("anc").isNull(), F.col("d")).alias("level"),
