@@ -44,11 +44,13 @@ def _cut_counting_open(state: DataFrame) -> tuple[DataFrame, int]:
 def level_table(df: DataFrame, id_col: str = "comment_id",
                 parent_col: str = "parent_comment_id", max_rounds: int = 64) -> DataFrame:
     """(id, level, unreachable) for every distinct id of ``df``."""
-    edges = cut_lineage(_edges(df, id_col, parent_col))
+    from pyspark.sql import Observation
+    obs = Observation()
+    edges = cut_lineage(_edges(df, id_col, parent_col).observe(obs, F.count(F.lit(1)).alias("n")))
     members = edges.select(F.col("id").alias("_m"))
     # Roots: no parent, or a parent that is not among the ids (orphans).
     # Keyed by parent, so a comment with a huge number of replies is a hot key.
-    state = (lookup_join(edges, members, "parent", "_m", "left")
+    state = (lookup_join(edges, members, "parent", "_m", "left", n_left=int(obs.get["n"]))
                   .select("id",
                           F.when(F.col("_m").isNotNull(), F.col("parent")).alias("anc"),
                           F.lit(1).cast("int").alias("d")))
