@@ -23,7 +23,7 @@ from threadlens.operators.sentences import split_sentences
 from threadlens.operators.threads import assign_levels, identity_rewrite, thread_context
 from threadlens.operators.unify import join_parent, join_posts, rename_profile, unify_platforms
 from threadlens.schemas import POSTS_RAW, THREAD_COMMENTS_RAW, VIDEO_COMMENTS_RAW
-from threadlens.session import cut_lineage
+from threadlens.session import cut_lineage, cut_lineage_counted
 from threadlens.sources import landing
 
 
@@ -43,9 +43,9 @@ def comments_from_landing(spark: SparkSession, landing_dir: str,
     posts = landing.consolidate(spark, base, "_post_data_", POSTS_RAW)
     comments = rename_profile(_landing_order(comments), "reddit_comments").drop("search_type")
     posts = rename_profile(_landing_order(posts), "reddit_posts").drop("search_type")
-    comments = cut_lineage(keep_first(comments, ["comment_id"], ["_order"]))
+    comments, n = cut_lineage_counted(keep_first(comments, ["comment_id"], ["_order"]))
     posts = keep_first(posts, ["post_id"], ["_order"]).drop("_order")
-    reddit = join_posts(join_parent(comments), posts)
+    reddit = join_posts(join_parent(comments, n_rows=n), posts, n_comments=n)
     videos = landing.expand_glob(spark, f"{base}/{video_file}")
     if videos:
         yt = landing.read_landed_csv(spark, videos, VIDEO_COMMENTS_RAW)

@@ -42,6 +42,9 @@ def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
 
     ``right`` should hold one row per key (any duplicates multiply rows in
     both paths alike, so the result equals the plain join regardless).
+    ``n_left`` (the probe row count) sets the hot threshold; when it is not
+    given, ``left`` is counted, which costs a pass over it, so callers that
+    staged ``left`` pass the count they observed while writing it.
     """
     cond = F.col(left_key) == F.col(right_key)
     if n_left is None:

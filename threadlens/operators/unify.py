@@ -24,7 +24,8 @@ def parse_parent_id(c) -> F.Column:
     return F.when(col.contains("t1_"), F.element_at(F.split(col, "_"), -1))
 
 
-def join_posts(comments: DataFrame, posts: DataFrame, split_hot: bool = True) -> DataFrame:
+def join_posts(comments: DataFrame, posts: DataFrame, split_hot: bool = True,
+               n_comments: int | None = None) -> DataFrame:
     """Left join comments to posts on post_id; the post title stays the comment's.
 
     No broadcast hint: AQE broadcasts the posts side at runtime when it is
@@ -33,7 +34,7 @@ def join_posts(comments: DataFrame, posts: DataFrame, split_hot: bool = True) ->
     """
     p = posts.drop("post_title").withColumnRenamed("post_id", "_post_id")
     if split_hot:
-        out = lookup_join(comments, p, "post_id", "_post_id", "left")
+        out = lookup_join(comments, p, "post_id", "_post_id", "left", n_left=n_comments)
     else:
         out = comments.join(p, F.col("post_id") == F.col("_post_id"), "left")
     return out.drop("_post_id")
@@ -41,18 +42,21 @@ def join_posts(comments: DataFrame, posts: DataFrame, split_hot: bool = True) ->
 
 def join_parent(df: DataFrame, id_col: str = "comment_id", text_col: str = "comment",
                 parent_col: str = "parent_comment_id", out_col: str = "parent_comment",
-                null_safe: bool = False, split_hot: bool = True) -> DataFrame:
+                null_safe: bool = False, split_hot: bool = True,
+                n_rows: int | None = None) -> DataFrame:
     """Left self-join fetching the parent's text (NULL when the parent is absent).
 
     Replies to a viral comment share one key; ``split_hot`` joins such keys
     against a broadcast of their few parent rows instead of one shuffle task.
+    Pass ``n_rows`` when known (e.g. observed while staging ``df``) to avoid a
+    counting pass.
     """
     lookup = df.select(F.col(id_col).alias("_pid"), F.col(text_col).alias(out_col))
     if null_safe:
         cond = F.col(parent_col).eqNullSafe(F.col("_pid"))
         return df.join(lookup, cond, "left").drop("_pid")
     if split_hot:
-        return lookup_join(df, lookup, parent_col, "_pid", "left").drop("_pid")
+        return lookup_join(df, lookup, parent_col, "_pid", "left", n_left=n_rows).drop("_pid")
     return df.join(lookup, F.col(parent_col) == F.col("_pid"), "left").drop("_pid")
 
 

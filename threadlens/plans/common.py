@@ -11,7 +11,7 @@ from threadlens.operators.unify import (
     join_parent, join_posts, rename_profile, unify_platforms,
 )
 from threadlens.schemas import NA_LITERALS
-from threadlens.session import cut_lineage
+from threadlens.session import cut_lineage_counted
 from threadlens.sources.fixtures import (
     v_comments, v_reddit_comments_raw, v_reddit_posts_raw, v_youtube_comments_raw,
 )
@@ -28,12 +28,13 @@ def _scan_na(df: DataFrame, cols) -> DataFrame:
     return df.withColumns({c: normalize_na(c) for c in cols})
 
 
-def reddit_comments(spark, sf_dir) -> DataFrame:
-    """Deduplicated comments as a stage table: both sides of the parent
-    self-join read it (one dedup shuffle, not two), and the checkpoint keeps
-    its hash partitioning by comment_id for the lookup side."""
+def reddit_comments(spark, sf_dir) -> tuple[DataFrame, int]:
+    """Deduplicated comments as a stage table (both sides of the parent
+    self-join read it: one dedup shuffle, not two) and its row count,
+    observed while it is written."""
     raw = _scan_na(v_reddit_comments_raw(spark, sf_dir), ["Comment", "Parent Comment ID"])
-    return cut_lineage(keep_first(rename_profile(raw, "reddit_comments"), ["comment_id"], ["_order"]))
+    return cut_lineage_counted(
+        keep_first(rename_profile(raw, "reddit_comments"), ["comment_id"], ["_order"]))
 
 
 def reddit_posts(spark, sf_dir) -> DataFrame:
@@ -49,8 +50,10 @@ def reddit_joined(spark, sf_dir) -> DataFrame:
     Posts are deduplicated, so the post join cannot multiply rows and the
     order of the two left joins does not change the result.
     """
-    c = join_parent(reddit_comments(spark, sf_dir))
-    return join_posts(c, reddit_posts(spark, sf_dir))
+    c, n = reddit_comments(spark, sf_dir)
+    c = join_parent(c, n_rows=n)
+    # keep-first made ids unique, so the parent join keeps the row count
+    return join_posts(c, reddit_posts(spark, sf_dir), n_comments=n)
 
 
 def youtube_comments(spark, sf_dir) -> DataFrame:

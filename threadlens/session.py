@@ -75,3 +75,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss); never a local one."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cut_lineage_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut_lineage`` that also returns the row count, observed in the same pass."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+    obs = Observation()
+    cut = cut_lineage(df.observe(obs, F.count(F.lit(1)).alias("n")))
+    return cut, int(obs.get["n"])
