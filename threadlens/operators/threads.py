@@ -81,11 +81,14 @@ def assign_levels(df: DataFrame, id_col: str = "comment_id",
 
 
 def orphan_roots(df: DataFrame, id_col: str = "comment_id",
-                 parent_col: str = "parent_comment_id") -> DataFrame:
-    """Rows whose parent id is set but names no surviving row (they become roots)."""
+                 parent_col: str = "parent_comment_id", n_rows: int | None = None) -> DataFrame:
+    """Rows whose parent id is set but names no surviving row (they become roots).
+
+    ``n_rows`` (rows of ``df``, an upper bound of the probe side) skips a count.
+    """
     ids = df.select(F.col(id_col).alias("_m"))  # duplicates do not change an anti join
     return lookup_join(df.where(F.col(parent_col).isNotNull()), ids, parent_col, "_m",
-                       "left_anti")
+                       "left_anti", n_left=n_rows)
 
 
 def identity_rewrite(combined: Column) -> Column:
