@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadlens.functions.hof import let
+
 SENTINEL = "\u0001"
 KEEP = "\u0002"  # marks a period that ends an abbreviation, not a sentence
 # Abbreviations after which a period does not end a sentence.
@@ -39,10 +41,12 @@ TRIM = "^" + WS + "+|" + WS + "+$"
 
 def sentence_array(c) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    kept = F.regexp_replace(col, ABBREV_RE_FAST, "$1." + KEEP + "$2")
+    # The boundary consumes the whole whitespace run at every split point, so
+    # only the text's own ends can carry whitespace: trim once, not per piece.
+    text = F.regexp_replace(col, TRIM, "")
+    kept = F.regexp_replace(text, ABBREV_RE_FAST, "$1." + KEEP + "$2")
     parts = F.split(F.regexp_replace(kept, BOUNDARY, "$1" + SENTINEL), SENTINEL)
-    parts = F.transform(parts, lambda s: F.regexp_replace(F.replace(s, F.lit(KEEP), F.lit("")),
-                                                          TRIM, ""))
+    parts = F.transform(parts, lambda s: F.replace(s, F.lit(KEEP), F.lit("")))
     return F.filter(parts, lambda s: s != F.lit(""))
 
 
@@ -50,16 +54,18 @@ def split_sentences(df: DataFrame, text_col: str = "comment",
                     keep_position: bool = True) -> DataFrame:
     """One row per sentence of ``text_col``; empty or NULL text -> no rows.
 
-    Adds ``sentence``, ``previous_sentence`` (NULL for the first) and
-    ``sentence_idx`` (0-based).
+    Adds ``sentence_idx`` (0-based), ``sentence`` and ``previous_sentence``
+    (NULL for the first). Each sentence is paired with its predecessor inside
+    the array before the explode, so no output row carries the whole array
+    (which would copy it once per sentence: quadratic in long texts).
     """
-    with_arr = df.withColumn("_sents", sentence_array(text_col))
-    out = with_arr.select(
-        *[F.col(c) for c in df.columns],
-        F.posexplode("_sents").alias("sentence_idx", "sentence"),
-        F.col("_sents"))
-    out = out.withColumn("previous_sentence",
-                         F.get(F.col("_sents"), F.col("sentence_idx") - 1)).drop("_sents")
+    pairs = let(sentence_array(text_col), lambda a: F.transform(
+        a, lambda s, i: F.struct(s.alias("sentence"),
+                                 F.when(i > 0, a[i - 1]).alias("previous_sentence"))))
+    cols = [F.col(c) for c in df.columns]
+    out = df.select(*cols, F.posexplode(pairs).alias("sentence_idx", "_s"))
+    out = out.select(*cols, "sentence_idx", F.col("_s.sentence").alias("sentence"),
+                     F.col("_s.previous_sentence").alias("previous_sentence"))
     if not keep_position:
         out = out.drop("sentence_idx")
     return out
