@@ -4,9 +4,9 @@ Boundaries: ``. ! ?`` (possibly repeated, possibly followed by closing
 quotes or brackets) followed by whitespace, except a period ending a common
 abbreviation (``Mr.``, ``e.g.``...). The split keeps the punctuation; the
 U+0001/U+0002 sentinels are safe because control characters were removed
-upstream. The sentence array stays on the row, so the previous
-sentence is an array lookup at ``posexplode`` time: the same result as
-``lag(1) over (partition by comment order by position)`` without a window.
+upstream. Each sentence is paired with its predecessor inside the row's
+array before ``posexplode``: the same result as ``lag(1) over (partition by
+comment order by position)`` without a window or a shuffle.
 """
 
 from __future__ import annotations
