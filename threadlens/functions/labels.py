@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from threadlens.functions.hof import let
+
 from threadlens.schemas import (
     ASPECT_LABELS, ASPECT_THRESHOLD, ENTITY_THRESHOLD, FIRST_OPINION_MIN,
     OTHERS_PROMPT, SECOND_OPINION_MIN, SENTIMENT_LABELS, SUBJECTIVE_MIN,
@@ -57,16 +59,20 @@ def extend_others_slot(v) -> Column:
     return F.concat(ints, F.array(F.when(multihot_sum(ints) == 0, 1).otherwise(0)))
 
 
+def _label_parts(text, sep: str) -> Column:
+    return F.transform(F.split(_c(text), sep), lambda p: F.trim(F.lower(p)))
+
+
 def parse_label_list(text, labels=ASPECT_LABELS, sep: str = ";") -> Column:
     """'a; b; c' -> multi-hot over ``labels``: split, lower, strip; unknown ignored."""
-    parts = F.transform(F.split(_c(text), sep), lambda p: F.trim(F.lower(p)))
-    v = F.transform(_labels(labels), lambda lab: F.array_contains(parts, lab).cast("int"))
+    v = let(_label_parts(text, sep), lambda parts: F.transform(
+        _labels(labels), lambda lab: F.array_contains(parts, lab).cast("int")))
     return F.when(_c(text).isNotNull(), v)
 
 
 def unknown_label_count(text, labels=ASPECT_LABELS, sep: str = ";") -> Column:
-    parts = F.transform(F.split(_c(text), sep), lambda p: F.trim(F.lower(p)))
-    return F.size(F.filter(parts, lambda p: ~F.array_contains(_labels(labels), p)))
+    known = _labels(labels)
+    return F.size(F.filter(_label_parts(text, sep), lambda p: ~F.array_contains(known, p)))
 
 
 def first_label(v, labels) -> Column:
