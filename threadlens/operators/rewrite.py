@@ -69,10 +69,12 @@ _ENTRY = "array<struct<pos:int,text:string>>"
 def _cluster_entries(tk: Column, cluster: Column, low_terms: list[str]) -> Column:
     """(pos, text) writes of one cluster, in the order they happen."""
     hits = F.transform(cluster, lambda m: _has_term(_mention_text(tk, m), low_terms))
-    key_pos = F.array_position(hits, F.lit(True))           # 1-based, 0 = none
-    key = F.try_element_at(cluster, F.greatest(key_pos, F.lit(1)).cast("int"))
-    info = F.struct(key_pos.alias("kp"), _mention_text(tk, key).alias("kt"),
-                    tk[key["tok_start"]]["ws"].alias("kw"))
+
+    def with_key(key_pos):                                  # 1-based, 0 = none
+        key = F.try_element_at(cluster, F.greatest(key_pos, F.lit(1)).cast("int"))
+        return F.struct(key_pos.alias("kp"), _mention_text(tk, key).alias("kt"),
+                        tk[key["tok_start"]]["ws"].alias("kw"))
+    info = let(F.array_position(hits, F.lit(True)), with_key)
 
     def writes(k):
         def mention_entries(m, j):
