@@ -6,7 +6,9 @@ from threadlens.plans import register
 from threadlens.plans.q_ingest import APPEND_SQL
 from threadlens.plans.q_text import URL_SQL
 from threadlens.session import scratch_path
-from threadlens.sources.fixtures import v_comments, v_events_arriving, v_events_stored, with_views
+from threadlens.sources.fixtures import (
+    GAZETTEER_A, GAZETTEER_B, v_comments, v_events_arriving, v_events_stored, with_views,
+)
 from threadlens.streaming.ingest import init_stored, stream_append, stream_clean
 
 
@@ -32,15 +34,26 @@ def _clean_sql(c):
     return f"regexp_replace({t}, '[\\x00-\\x1f\\x7f-\\x9f]', '', 'g')"
 
 
+def _flag_sql(col, terms):
+    ors = " OR ".join(f"contains(lower({col}), '{t.lower()}')" for t in terms)
+    return f"CASE WHEN {col} IS NULL THEN NULL ELSE CAST(({ors}) AS INTEGER) END"
+
+
+_CLEANED = f"regexp_replace({_clean_sql('comment')}, '{URL_SQL}', '[URL]', 'g')"
+
+
 @register("stream_clean", with_views(f"""
-SELECT comment_id, {_clean_sql('post_title')} AS post_title,
-       regexp_replace({_clean_sql('comment')}, '{URL_SQL}', '[URL]', 'g') AS comment
-FROM v_comments""", "v_comments"))
+SELECT comment_id, post_title, comment, {_flag_sql('comment', GAZETTEER_A)} AS mentions_a,
+       {_flag_sql('comment', GAZETTEER_B)} AS mentions_b FROM (
+  SELECT comment_id, {_clean_sql('post_title')} AS post_title, {_CLEANED} AS comment
+  FROM v_comments)""", "v_comments"))
 def stream_clean_q(spark, sf_dir):
     base = scratch_path(spark, "stream-clean")
     landing_dir, sink = f"{base}/landing", f"{base}/sink"
     src = v_comments(spark, sf_dir)
     src.write.parquet(landing_dir)
-    q = stream_clean(spark, landing_dir, src.schema, sink, f"{base}/_checkpoint")
+    q = stream_clean(spark, landing_dir, src.schema, sink, f"{base}/_checkpoint",
+                     gazetteers={"mentions_a": GAZETTEER_A, "mentions_b": GAZETTEER_B})
     q.awaitTermination()
-    return spark.read.parquet(sink).select("comment_id", "post_title", "comment")
+    return spark.read.parquet(sink).select("comment_id", "post_title", "comment",
+                                           "mentions_a", "mentions_b")

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from threadlens.operators.clean import normalize_text
 from threadlens.operators.dedup import incremental_append, key_bucket
+from threadlens.operators.mentions import mention_flags
 
 
 def init_stored(df: DataFrame, stored_path: str, key: str, n_buckets: int = 64,
@@ -52,11 +53,14 @@ def stream_append(spark: SparkSession, landing_dir: str, schema: T.StructType,
 
 
 def stream_clean(spark: SparkSession, landing_dir: str, schema: T.StructType, sink: str,
-                 checkpoint: str, available_now: bool = True, fmt: str = "parquet"):
-    """Stateless cleaning (typographic, control strip, URL mask) on a stream,
-    written to a file sink (exactly-once)."""
+                 checkpoint: str, available_now: bool = True, fmt: str = "parquet",
+                 gazetteers: dict | None = None):
+    """Stateless cleaning (typographic, control strip, URL mask) and mention
+    flags on a stream, written to a file sink (exactly-once)."""
     src = spark.readStream.schema(schema).format(fmt).load(landing_dir)
     out = normalize_text(src)
+    if gazetteers:
+        out = mention_flags(out, "comment", gazetteers)
     writer = (out.writeStream.format("parquet").option("path", sink)
               .option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer
