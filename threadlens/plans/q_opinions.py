@@ -69,16 +69,30 @@ def sentence_opinions(spark, sf_dir):
     scorer = lexicon("sentence", "subj_scores", {"subjective": SUBJECTIVE_TERMS}, ["subjective"],
                      bias=SUBJECTIVE_BIAS)
     subj = jobs.sentence_level(comments, scorer, "subjective_first")
-    cols = ["comment_id", "post_id", "platform", "level", "sentence_idx", "sentence",
-            "previous_sentence"]
-    out = ab.absa(subj.select(*cols), sentence_scorers())
+    cols = ["comment_id", "post_id", "platform", "level", "comment_timestamp", "sentence_idx",
+            "sentence", "previous_sentence"]
+    return ab.absa(subj.select(*cols), sentence_scorers())
+
+
+@register("sentence_opinions")
+def sentence_opinions_q(spark, sf_dir):
+    out = sentence_opinions(spark, sf_dir)
     return out.select("comment_id", "sentence_idx", "sentence", "entity_category",
                       "final_aspect_categories", "final_sentiment_prediction", "platform",
                       F.to_json("entity_ids").alias("entity_ids"),
                       F.to_json("final_aspect_labels").alias("final_aspect_labels"))
 
 
-register("sentence_opinions")(sentence_opinions)
+@register("opinion_daily")
+def opinion_daily(spark, sf_dir):
+    """Sentiment share by entity x aspect x day x platform with ROLLUP
+    subtotals, over the end-to-end sentence opinions (an addition: the
+    consumer of the decision table)."""
+    from threadlens.operators.rollups import sentiment_shares
+    x = sentence_opinions(spark, sf_dir).withColumn(
+        "day", F.to_date(F.col("comment_timestamp")))
+    return sentiment_shares(x, ["entity_category", "final_aspect_categories", "day", "platform"],
+                            subtotals=True)
 
 
 # ---------------------------------------------------------------------------
