@@ -10,7 +10,7 @@ from threadlens.operators.clean import clean_comments, stored_label_gate
 from threadlens.operators.rewrite import PRONOUNS, rule_rewrite
 from threadlens.operators.sentences import ABBREVIATIONS
 from threadlens.plans.common import gated_comments, unified
-from threadlens.schemas import UNIFIED_COLUMNS
+from threadlens.schemas import ASPECT_LABELS, UNIFIED_COLUMNS
 from threadlens.sources.fixtures import GAZETTEER_A, GAZETTEER_B
 
 SF = "/root/testdata/sf0.001"
@@ -241,3 +241,65 @@ def test_rule_rewrite_multi_token_terms(spark):
     df = spark.createDataFrame([("The border czar spoke. He said it's fine.",)], "t string")
     out = df.select(rule_rewrite(["border czar"])(F.col("t"))).first()[0]
     assert out == "The border czar spoke. border czar said border czar's fine."
+
+
+# --- the flagship end to end ---------------------------------------------------
+
+def _sig(z):
+    import math
+    return 1.0 / (1.0 + math.exp(-z))
+
+
+def _lex(text, weights, labels, bias, link="sigmoid"):
+    low = text.lower()
+    out = []
+    for lab in labels:
+        z = bias + sum(w for t, w in weights.get(lab, {}).items() if t.lower() in low)
+        out.append(_sig(z) if link == "sigmoid" else z)
+    return out
+
+
+def _py_decisions(sentence):
+    from threadlens.plans import q_opinions as qo
+    from threadlens.schemas import ENTITY_LABELS, SENTIMENT_LABELS
+    ent = [int(p > 0.65) for p in _lex(sentence, qo.ENTITY_LEXICON, ENTITY_LABELS, qo.ENTITY_BIAS)]
+    slots = [i for i in range(3) if ent[i] == 1 or (i == 2 and sum(ent) == 0)]
+    aspect_w = {lab: {t: 1.5} for lab, t in zip(ASPECT_LABELS[:-1], qo.ASPECT_TERMS)}
+    rows = []
+    for e in slots:
+        dl = [int(p >= 0.35) for p in _lex(sentence, aspect_w, ASPECT_LABELS[:-1], qo.ASPECT_BIAS)]
+        cats = [ASPECT_LABELS[i] for i in range(13) if dl[i]] or ["others"]
+        if cats == ["others"]:
+            low = sentence.lower()
+            text = "; ".join(ASPECT_LABELS[i] for i in range(14) if qo.ASPECT_SECOND_TERMS[i] in low)
+            parts = [p.lower().strip(" ") for p in text.split(";")]
+            labels = [int(lab in parts) for lab in ASPECT_LABELS]
+            cats = [ASPECT_LABELS[i] for i in range(14) if labels[i]] or ["others"]
+        else:
+            labels = dl + [0]
+        logits = _lex(sentence, qo.SENTIMENT_LEXICON, SENTIMENT_LABELS, 0.0, "identity")
+        p1, c1 = logits.index(max(logits)) - 1, max(logits)
+        p2 = 1 if "!" in sentence else (-1 if "?" in sentence else 0)
+        c2 = -0.2 if ("!" in sentence or "?" in sentence) else -0.5
+        final = p1 if c1 >= 0.85 else (p2 if c2 >= -0.36 else p1)
+        for cat in cats:
+            rows.append((ENTITY_LABELS[e], cat, final, str(ent).replace(" ", ""),
+                         str(labels).replace(" ", "")))
+    return rows
+
+
+def test_sentence_opinions_match_python(spark):
+    from threadlens.plans import QUERIES, load_all
+    from threadlens.plans.q_models import SUBJECTIVE_BIAS, SUBJECTIVE_TERMS
+    load_all()
+    cols = UNIFIED_COLUMNS + ["platform"]
+    cleaned = _py_clean([r.asDict() for r in unified(spark, SF).select(*cols, "lang").collect()])
+    want = []
+    for r in cleaned:
+        for i, s in enumerate(_py_sentences(r["comment"])):
+            if _lex(s, {"s": SUBJECTIVE_TERMS}, ["s"], SUBJECTIVE_BIAS)[0] > 0.5:
+                want += [(r["comment_id"], i) + d for d in _py_decisions(s)]
+    got = [(r.comment_id, r.sentence_idx, r.entity_category, r.final_aspect_categories,
+            r.final_sentiment_prediction, r.entity_ids, r.final_aspect_labels)
+           for r in QUERIES["sentence_opinions"](spark, SF).collect()]
+    assert len(got) > 0 and sorted(got) == sorted(want)
