@@ -336,3 +336,13 @@ def test_14c_word_boundary_option(spark):
     sub = [r[0] for r in df.select(contains_any("x", ["donal", "donald"])).collect()]
     wb = [r[0] for r in df.select(contains_any("x", ["donal", "donald"], word_boundary=True)).collect()]
     assert sub == [1, 1, 0] and wb == [0, 1, 0]
+
+
+def test_lookup_join_with_given_hot_keys(spark):
+    from threadlens.operators.joins import lookup_join
+    left = spark.createDataFrame([(i, "hot" if i % 2 else f"k{i % 5}") for i in range(50)],
+                                 "id int, k string")
+    right = spark.createDataFrame([("hot", "H"), ("k0", "A"), ("k2", "B")], "rk string, v string")
+    plain = sorted(tuple(r) for r in left.join(right, left.k == right.rk, "left").collect())
+    given = lookup_join(left, right, "k", "rk", "left", hot=["hot"])
+    assert sorted(tuple(r) for r in given.collect()) == plain

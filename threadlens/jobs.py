@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from threadlens.functions.labels import subjective_flag
 from threadlens.operators.clean import ModelGate, clean_comments
 from threadlens.operators.dedup import keep_first
+from threadlens.operators.joins import hot_keys
 from threadlens.operators.mentions import mention_flags
 from threadlens.operators.sentences import split_sentences
 from threadlens.operators.threads import assign_levels, identity_rewrite, thread_context
@@ -45,7 +46,8 @@ def comments_from_landing(spark: SparkSession, landing_dir: str,
     posts = rename_profile(_landing_order(posts), "reddit_posts").drop("search_type")
     comments, n = cut_lineage_counted(keep_first(comments, ["comment_id"], ["_order"]))
     posts = keep_first(posts, ["post_id"], ["_order"]).drop("_order")
-    reddit = join_posts(join_parent(comments, n_rows=n), posts, n_comments=n)
+    hot = hot_keys(comments, "post_id", n)                  # on the staged table
+    reddit = join_posts(join_parent(comments, n_rows=n), posts, n_comments=n, hot_posts=hot)
     videos = landing.expand_glob(spark, f"{base}/{video_file}")
     if videos:
         yt = landing.read_landed_csv(spark, videos, VIDEO_COMMENTS_RAW)

@@ -37,19 +37,22 @@ def hot_keys(df: DataFrame, key: str, n_rows: int, max_hot: int | None = None,
 
 def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                 how: str = "left", n_left: int | None = None, max_hot: int | None = None,
-                min_rows: int | None = None) -> DataFrame:
+                min_rows: int | None = None, hot: list | None = None) -> DataFrame:
     """``left`` join ``right`` on left_key = right_key with hot keys split off.
 
     ``right`` should hold one row per key (any duplicates multiply rows in
     both paths alike, so the result equals the plain join regardless).
     ``n_left`` (the probe row count) sets the hot threshold; when it is not
     given, ``left`` is counted, which costs a pass over it, so callers that
-    staged ``left`` pass the count they observed while writing it.
+    staged ``left`` pass the count they observed while writing it. ``hot``
+    passes keys already found on a staged table with the same key
+    distribution (detection then costs nothing here).
     """
     cond = F.col(left_key) == F.col(right_key)
-    if n_left is None:
-        n_left = left.count()
-    hot = hot_keys(left, left_key, n_left, max_hot, min_rows)
+    if hot is None:
+        if n_left is None:
+            n_left = left.count()
+        hot = hot_keys(left, left_key, n_left, max_hot, min_rows)
     SPLITS.append(len(hot))
     if not hot:
         return left.join(right, cond, how)

@@ -25,7 +25,7 @@ def parse_parent_id(c) -> F.Column:
 
 
 def join_posts(comments: DataFrame, posts: DataFrame, split_hot: bool = True,
-               n_comments: int | None = None) -> DataFrame:
+               n_comments: int | None = None, hot_posts: list | None = None) -> DataFrame:
     """Left join comments to posts on post_id; the post title stays the comment's.
 
     No broadcast hint: AQE broadcasts the posts side at runtime when it is
@@ -34,7 +34,8 @@ def join_posts(comments: DataFrame, posts: DataFrame, split_hot: bool = True,
     """
     p = posts.drop("post_title").withColumnRenamed("post_id", "_post_id")
     if split_hot:
-        out = lookup_join(comments, p, "post_id", "_post_id", "left", n_left=n_comments)
+        out = lookup_join(comments, p, "post_id", "_post_id", "left", n_left=n_comments,
+                          hot=hot_posts)
     else:
         out = comments.join(p, F.col("post_id") == F.col("_post_id"), "left")
     return out.drop("_post_id")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from threadlens.functions.text import normalize_na
 from threadlens.operators.dedup import keep_first
+from threadlens.operators.joins import hot_keys
 from threadlens.operators.unify import (
     join_parent, join_posts, rename_profile, unify_platforms,
 )
@@ -51,9 +52,11 @@ def reddit_joined(spark, sf_dir) -> DataFrame:
     order of the two left joins does not change the result.
     """
     c, n = reddit_comments(spark, sf_dir)
+    # keep-first made ids unique, so the parent join keeps rows 1:1: hot posts
+    # are found on the staged comments, not by re-running the parent join
+    hot = hot_keys(c, "post_id", n)
     c = join_parent(c, n_rows=n)
-    # keep-first made ids unique, so the parent join keeps the row count
-    return join_posts(c, reddit_posts(spark, sf_dir), n_comments=n)
+    return join_posts(c, reddit_posts(spark, sf_dir), n_comments=n, hot_posts=hot)
 
 
 def youtube_comments(spark, sf_dir) -> DataFrame:
