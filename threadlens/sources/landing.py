@@ -214,13 +214,14 @@ def video_records(search_pages: DataFrame) -> DataFrame:
         F.struct("page", "pos").alias("relevance"))
 
 
-def enrich_with_videos(comments: DataFrame, videos: DataFrame) -> DataFrame:
+def enrich_with_videos(comments: DataFrame, videos: DataFrame,
+                       n_comments: int | None = None) -> DataFrame:
     """Attach video title and post date to flattened comments (inner join on
     video_id; AQE broadcasts the video side when it is small)."""
     from threadlens.operators.joins import lookup_join
     v = videos.select(F.col("video_id").alias("_vid"), F.col("title").alias("video_title"),
                       F.col("published_date").alias("video_post_date"))
-    return lookup_join(comments, v, "video_id", "_vid", "inner").drop("_vid")
+    return lookup_join(comments, v, "video_id", "_vid", "inner", n_left=n_comments).drop("_vid")
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
