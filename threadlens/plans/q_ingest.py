@@ -151,3 +151,17 @@ def flatten_threads_q(spark, sf_dir):
     from threadlens.sources.fixtures import v_thread_payloads
     flat = landing.flatten_threads(v_thread_payloads(spark, sf_dir))
     return flat.select("comment_id", "parent_comment_id", "comment", "post_id")
+
+
+@register("flatten_replies", with_views("""
+SELECT CAST(t.conv_id AS VARCHAR) AS video_id, t.comment_id, t.comment,
+       CAST(length(t.comment) AS BIGINT) AS number_of_likes,
+       CASE WHEN t.turn = 0 THEN 'N/A' ELSE p.comment END AS parent_comment,
+       CASE WHEN t.turn = 0 THEN 'N/A' ELSE p.comment_id END AS parent_comment_id,
+       '2024-10-01T00:00:' || lpad(CAST(t.turn AS VARCHAR), 2, '0') || 'Z' AS comment_date
+FROM v_turns t JOIN v_turns p ON p.conv_id = t.conv_id AND p.turn = 0""", "v_turns"))
+def flatten_replies_q(spark, sf_dir):
+    """Two-level thread items -> flat rows; replies carry the top-level
+    comment's id and text from the enclosing struct (no join)."""
+    from threadlens.sources.fixtures import v_reply_items
+    return landing.flatten_replies(v_reply_items(spark, sf_dir))

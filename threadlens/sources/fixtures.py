@@ -333,3 +333,36 @@ def v_thread_payloads(spark, sf_dir) -> DataFrame:
         nodes = cut_lineage(level.select("conv_id", node.alias("node")))
     payload = F.to_json(F.to_variant_object(F.struct(F.array(F.col("node")).alias("comments"))))
     return nodes.select(F.col("conv_id").cast("string").alias("post_id"), payload.alias("payload"))
+
+
+def v_reply_items(spark, sf_dir) -> DataFrame:
+    """Conversations landed as two-level thread items (turn 0 is the top-level
+    comment, later turns its replies), in the shape of ``landing.THREAD_ITEM``.
+    Replies are appended one turn per round by a join on the conversation, so
+    no group is collected."""
+    from threadlens.session import cut_lineage
+    t = v_turns(spark, sf_dir)
+
+    def snippet(prefix=""):
+        return F.struct(F.col("comment").alias("textDisplay"),
+                        F.length("comment").cast("long").alias("likeCount"),
+                        F.concat(F.lit("2024-10-01T00:00:"),
+                                 F.lpad(F.col("turn").cast("string"), 2, "0"),
+                                 F.lit("Z")).alias("publishedAt"))
+    top = t.where(F.col("turn") == 0).select(
+        "conv_id", F.struct(F.col("comment_id").alias("id"), snippet().alias("snippet")).alias("top"),
+        F.array().cast("array<struct<id:string,snippet:struct<textDisplay:string,"
+                       "likeCount:bigint,publishedAt:string>>>").alias("replies"))
+    max_turn = t.agg(F.max("turn")).first()[0]           # one value
+    items = cut_lineage(top)
+    for turn in range(1, int(max_turn or 0) + 1):
+        reply = t.where(F.col("turn") == turn).select(
+            "conv_id", F.struct(F.col("comment_id").alias("id"), snippet().alias("snippet")).alias("_r"))
+        items = cut_lineage(items.join(reply, "conv_id", "left").select(
+            "conv_id", "top", F.when(F.col("_r").isNull(), F.col("replies"))
+            .otherwise(F.concat("replies", F.array("_r"))).alias("replies")))
+    return items.select(
+        F.col("conv_id").cast("string").alias("video_id"),
+        F.struct(F.col("top").alias("topLevelComment"),
+                 F.size("replies").cast("long").alias("totalReplyCount")).alias("snippet"),
+        "replies")
