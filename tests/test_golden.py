@@ -346,3 +346,14 @@ def test_lookup_join_with_given_hot_keys(spark):
     plain = sorted(tuple(r) for r in left.join(right, left.k == right.rk, "left").collect())
     given = lookup_join(left, right, "k", "rk", "left", hot=["hot"])
     assert sorted(tuple(r) for r in given.collect()) == plain
+
+
+def test_12c_context_duplicate_ids_last_wins(spark):
+    # two rows share id "a" at level 1: the child sees the later one's resolved text
+    rows = [("a", None, "First", "", 1, 0), ("a", None, "Second", "", 1, 1),
+            ("b", "a", "Kid", "", 2, 2)]
+    df = spark.createDataFrame(rows, "comment_id string, parent_comment_id string, comment string, "
+                                     "parent_comment string, level int, o int")
+    out = {(r.comment_id, r.comment): r.parent_comment
+           for r in thread_context(df, order_col="o").collect()}
+    assert out[("b", "Kid")] == "Second"

@@ -115,17 +115,24 @@ def thread_context(df: DataFrame, rewrite: Callable[[Column], Column] = identity
     path = scratch_path(spark, "levels")
     base.write.partitionBy("level").parquet(path)
     base = spark.read.parquet(path)
-    sizes = {r[0]: r[1] for r in base.where(F.col("level").isNotNull())
-             .groupBy("level").count().collect()}  # at most max-depth rows
+    stats = (base.where(F.col("level").isNotNull()).groupBy("level")
+             .agg(F.count(F.lit(1)).alias("n"), F.count_distinct(id_col).alias("ids"))
+             .collect())                                   # at most max-depth rows
+    sizes = {r["level"]: r["n"] for r in stats}
+    unique = {r["level"]: r["n"] == r["ids"] for r in stats}
     levels = sorted(sizes)
     cols = [c for c in base.columns]
     done: list[DataFrame] = []
     prev: DataFrame | None = None
+    prev_lvl = None
     for lvl in levels:
         cur = base.where(F.col("level") == lvl)
         if prev is not None:
-            lookup = (prev.groupBy(F.col(id_col).alias("_pid"))
-                          .agg(F.max_by(F.col(out_col), F.col("_ord")).alias("_ptext")))
+            if unique[prev_lvl]:
+                lookup = prev.select(F.col(id_col).alias("_pid"), F.col(out_col).alias("_ptext"))
+            else:   # duplicate ids: the last row (by order) wins
+                lookup = (prev.groupBy(F.col(id_col).alias("_pid"))
+                              .agg(F.max_by(F.col(out_col), F.col("_ord")).alias("_ptext")))
             cur = lookup_join(cur, lookup, parent_col, "_pid", "left", n_left=sizes[lvl])
             use_lookup = F.coalesce(F.col("parent_comment") != F.lit(DELETED), F.lit(True))
             cur = cur.withColumn(
@@ -137,7 +144,7 @@ def thread_context(df: DataFrame, rewrite: Callable[[Column], Column] = identity
         cur = cur.withColumn(out_col, recover_child(rewrite(combined)))
         cur = cut_lineage(cur)
         done.append(cur)
-        prev = cur
+        prev, prev_lvl = cur, lvl
     unplaced = base.where(F.col("level").isNull()).withColumn(
         out_col, F.lit(None).cast("string"))
     out = unplaced
