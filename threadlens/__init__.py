@@ -12,3 +12,17 @@ Catalyst and AQE. Subpackages:
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Pickle this package's functions by value into UDF closures, so Python
+    workers run them without having the package installed or on their path."""
+    import sys
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # pragma: no cover - older cloudpickle: ship with --py-files
+        pass
+
+
+_ship_by_value()
