@@ -21,9 +21,9 @@ print('CLEAN', e.queries()['clean'](spark, '/root/testdata/sf0.001').count())
 
 
 def test_entry_by_path_from_other_folder():
-    with tempfile.TemporaryDirectory() as cwd:
-        out = subprocess.run([sys.executable, "-c", SCRIPT], cwd=cwd, capture_output=True,
-                             text=True, timeout=600)
+    cwd = tempfile.mkdtemp(prefix="threadlens-cwd-")   # a fresh, empty folder (kept)
+    out = subprocess.run([sys.executable, "-c", SCRIPT], cwd=cwd, capture_output=True,
+                         text=True, timeout=600)
     lines = {ln.split()[0]: int(ln.split()[1]) for ln in out.stdout.splitlines()
              if ln.startswith(("ROWS", "CLEAN"))}
     assert lines.get("ROWS", 0) > 0 and lines.get("CLEAN", 0) > 0, out.stderr[-2000:]
