@@ -16,14 +16,22 @@ def con():
     return oracle_con(SF)
 
 
+_TYPES = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+          "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN", "TimestampNTZType()": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     from tests.oracle_check import canon
-    sdf = QUERIES[name](spark, SF).toPandas()
+    df = QUERIES[name](spark, SF)
+    sdf = df.toPandas()
     if name not in ORACLES:
         assert len(sdf.columns) > 0
         return
-    odf = con.sql(ORACLES[name]).df()
+    rel = con.sql(ORACLES[name])
+    spark_types = {f.name: _TYPES.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    odf = rel.df()
     sc, sr = canon(sdf)
     oc, orows = canon(odf)
     assert sc == oc

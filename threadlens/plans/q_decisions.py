@@ -285,7 +285,7 @@ SELECT entity_category, final_aspect_category, source AS platform,
        CAST(count(*) FILTER (WHERE final_sentiment_prediction = 1) AS BIGINT) AS n_positive,
        CAST(count(*) FILTER (WHERE final_sentiment_prediction = 0) AS BIGINT) AS n_neutral,
        CAST(count(*) FILTER (WHERE final_sentiment_prediction = -1) AS BIGINT) AS n_negative,
-       CAST(grouping(entity_category, final_aspect_category, source) AS INTEGER) AS grouping_level,
+       CAST(grouping(entity_category, final_aspect_category, source) AS BIGINT) AS grouping_level,
        round(count(*) FILTER (WHERE final_sentiment_prediction = 1) / count(*), 6) AS share_positive,
        round(count(*) FILTER (WHERE final_sentiment_prediction = -1) / count(*), 6) AS share_negative
 FROM s2 GROUP BY ROLLUP (entity_category, final_aspect_category, source)"""))
