@@ -303,3 +303,31 @@ def test_sentence_opinions_match_python(spark):
             r.final_sentiment_prediction, r.entity_ids, r.final_aspect_labels)
            for r in QUERIES["sentence_opinions"](spark, SF).collect()]
     assert len(got) > 0 and sorted(got) == sorted(want)
+
+
+def test_opinion_daily_matches_python(spark):
+    from collections import Counter
+    from threadlens.plans import QUERIES, load_all
+    load_all()
+    # per-sentence decisions from Spark's flagship (itself brute-force checked above)
+    keys = ("entity_category", "final_aspect_categories", "day", "platform")
+    op = QUERIES["opinion_daily"](spark, SF)
+    rows = [(r.entity_category, r.final_aspect_categories, r.day, r.platform,
+             r.final_sentiment_prediction)
+            for r in __import__("threadlens.plans.q_opinions", fromlist=["x"])
+            .sentence_opinions(spark, SF)
+            .select("entity_category", "final_aspect_categories",
+                    F.to_date("comment_timestamp").alias("day"), "platform",
+                    "final_sentiment_prediction").collect()]
+    want = {}
+    for depth in range(len(keys) + 1):              # ROLLUP prefixes
+        c = Counter()
+        for r in rows:
+            g = tuple(r[:depth]) + (None,) * (len(keys) - depth)
+            c[(g, "n")] += 1
+            c[(g, r[4])] += 1
+        for (g, k), v in c.items():
+            want.setdefault(g, {"n": 0, 1: 0, 0: 0, -1: 0})[k] = v
+    got = {(r.entity_category, r.final_aspect_categories, r.day, r.platform):
+           {"n": r.n, 1: r.n_positive, 0: r.n_neutral, -1: r.n_negative} for r in op.collect()}
+    assert got == want
