@@ -258,7 +258,7 @@ def chunked(docs: DataFrame, size: int, ask: Callable[[Chunk], list[tuple[int, i
 
 def with_answers(chunks: DataFrame, answers: DataFrame) -> DataFrame:
     """(chunk, payload, answers: array of (kind, bucket, payload)) for each chunk."""
-    got = (answers.groupBy("chunk")
+    got = (answers.where("chunk >= 0").groupBy("chunk")
            .agg(F.collect_list(F.struct("kind", "bucket", "payload")).alias("answers")))
     return (chunks.where(F.col("kind") == TEXT).select("chunk", "payload")
             .join(got, "chunk", "left"))

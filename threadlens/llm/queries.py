@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from threadlens.llm import common as C
 from threadlens.llm.anchors import substring_dedup
+from threadlens.llm.brown import class_scores
 from threadlens.llm.parsing import suffix_dedup
+from threadlens.llm.sketches import near_duplicates
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -27,3 +29,13 @@ def op8_substring_dedup(spark, sf_dir):
 @_register("op10_suffix_dedup")
 def op10_suffix_dedup(spark, sf_dir):
     return suffix_dedup(C.documents(spark, sf_dir))
+
+
+@_register("op7_minhash_near_dedup")
+def op7_minhash_near_dedup(spark, sf_dir):
+    return near_duplicates(C.documents(spark, sf_dir))
+
+
+@_register("op6_brown_lm_score")
+def op6_brown_lm_score(spark, sf_dir):
+    return class_scores(C.documents(spark, sf_dir))
