@@ -21,7 +21,7 @@ star rounds compare each component with one other of a shared list, which
 joins large groups of copies without looking at all their pairs; at last all
 pairs of a list across components are compared. A list longer than ``hot`` is
 not paired: its documents are compared by prefix filter (the rarest fifth of
-the shingles must meet), which is exact too. Pairs pass the size bound, the
+the shingles must meet, at ranks that leave room for the overlap), exact too. Pairs pass the size bound, the
 Jaccard estimate of the union sketch, then the exact count on full sets.
 
 Null doc_id: no part. Repeated rows of one doc_id stand for themselves and get
@@ -229,13 +229,20 @@ def _star(lists: DataFrame, percent: int) -> DataFrame:
             .select("p.a", "p.b"))
 
 
-def _across(lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a list whose components differ and sizes fit."""
-    x = lists.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    y = lists.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    return (x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) &
-                                   _fits(F.col("na"), F.col("nb"), percent))
-            .select("a", "b").distinct())
+def _across(lists: DataFrame, percent: int, ranked: bool = False) -> DataFrame:
+    """All pairs of a list whose components differ and sizes fit.
+
+    With ``ranked`` lists the shared shingle's ranks bound the overlap as well:
+    at the first shared one, what follows in either set must suffice."""
+    cols = ["rep", "n", "comp"] + ["r"] * ranked
+    x = lists.select("key", *[F.col(c).alias(f"{c}_a") for c in cols])
+    y = lists.select("key", *[F.col(c).alias(f"{c}_b") for c in cols])
+    na, nb = F.col("n_a"), F.col("n_b")
+    meets = (F.col("rep_a") < F.col("rep_b")) & (F.col("comp_a") != F.col("comp_b")) & _fits(na, nb, percent)
+    if ranked:
+        most = 1 + F.least(na - F.col("r_a"), nb - F.col("r_b"))
+        meets &= (100 + percent) * most >= percent * (na + nb)
+    return x.join(y, "key").where(meets).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
 def _prefix_lists(docs: DataFrame, percent: int) -> DataFrame:
@@ -257,7 +264,7 @@ def _prefix_lists(docs: DataFrame, percent: int) -> DataFrame:
     ranked = (tokens.join(freq, "key")
               .withColumn("r", F.row_number().over(W.partitionBy("rep").orderBy("df", "key"))))
     need = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / F.lit(100)) + 1
-    return ranked.where((F.col("r") <= need) & (F.col("lo") < F.col("hi"))).select("key", "rep", "n", "comp")
+    return ranked.where((F.col("r") <= need) & (F.col("lo") < F.col("hi"))).select("key", "rep", "n", "comp", "r")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, k: int = 64,
@@ -284,7 +291,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, k: int
     cold = open_lists.where(F.col("m") <= hot).drop("m")
     warm = (open_lists.where(F.col("m") > hot).select("rep", "n", "comp").distinct()
             .join(sets.select("rep", "members"), "rep"))
-    pairs = _across(cold, percent).unionByName(_across(_prefix_lists(warm, percent), percent)).distinct()
+    pairs = _across(cold, percent).unionByName(_across(_prefix_lists(warm, percent), percent, ranked=True)).distinct()
     links = add(_confirm(pairs, sets, percent, k))
     comp = C.components(links).select(F.col("id").alias("rep"), "component")
     return (members.join(comp, "rep", "left")
