@@ -143,6 +143,8 @@ def _exchange(cells: np.ndarray, k: int, half: int):
         return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
 
     into, out_of = n.sum(0), n.sum(1)                       # per class, as follower and as leader
+    ones = phi(n[:, :k] + 1) - phi(n[:, :k])                # most counts are one
+    ones_t = np.ascontiguousarray((phi(n[:k] + 1) - phi(n[:k])).T)
 
     def answer(kind, chunks, payloads):
         import zstandard
@@ -175,7 +177,10 @@ def _exchange(cells: np.ndarray, k: int, half: int):
                 i, j = np.searchsorted(owner, [lo, hi])
                 o, cc, xx = owner[i:j] - lo, c[i:j], x[i:j]
                 base = n[cc, :k] if axis == 0 else n[:k, cc].T
-                add = phi(base + xx[:, None]) - phi(base)
+                add = ones[cc] if axis == 0 else ones_t[cc]
+                more = np.flatnonzero(xx > 1)
+                if len(more):
+                    add[more] = phi(base[more] + xx[more, None]) - phi(base[more])
                 stay = base[np.arange(len(o)), own[o]]
                 add[np.arange(len(o)), own[o]] = phi(stay) - phi(np.maximum(stay - xx, 0))
                 if len(o):
@@ -221,7 +226,7 @@ RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
           "base_score double, score double")
 
 
-def class_scores(docs: DataFrame, classes: int = 128, sweeps: int = 2, folds: int = 7,
+def class_scores(docs: DataFrame, classes: int = 64, sweeps: int = 2, folds: int = 7,
                  held_out: int = 2, alpha: float = 1.0) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     if not 2 <= classes <= 250:
