@@ -112,8 +112,10 @@ def pieces(offs: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def words(data: np.ndarray, offs: np.ndarray, lower: bool, block: int = 1 << 20):
-    """Words ``[^\\x20\\x09-\\x0D]+`` of concatenated documents.
+def words(data: np.ndarray, offs: np.ndarray, lower: bool, block: int = 1 << 20,
+          space: np.ndarray = _SPACE):
+    """Words ``[^\\x20\\x09-\\x0D]+`` of concatenated documents (``space``: the
+    bytes that part them).
 
     Returns (starts, ends, hash of each word, pointer: words of document i are
     pointer[i]:pointer[i+1]).
@@ -122,7 +124,7 @@ def words(data: np.ndarray, offs: np.ndarray, lower: bool, block: int = 1 << 20)
     if n == 0:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(0, np.uint64), np.zeros(len(offs), np.int64)
-    inside = ~_SPACE[data]
+    inside = ~space[data]
     edge = np.zeros(n + 1, dtype=bool)
     edge[offs] = True                                   # a document starts (or all ends) here
     before = np.empty(n, dtype=bool)
@@ -374,3 +376,17 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
         label = new.select("id", "component")
         if not moved:
             return label
+
+
+# ------------------------------------------------------------- worker state
+
+
+def worker_state(name: str, make: Callable):
+    """An object kept by the Python worker across tasks (closures are shipped by
+    value, so module globals are not)."""
+    import sys
+    import types
+    held = sys.modules.setdefault("_llm_worker_state", types.ModuleType("_llm_worker_state"))
+    if not hasattr(held, name):
+        setattr(held, name, make())
+    return getattr(held, name)

@@ -5,8 +5,11 @@ from __future__ import annotations
 from threadlens.llm import common as C
 from threadlens.llm.anchors import substring_dedup
 from threadlens.llm.brown import class_scores
+from threadlens.llm.merkle import document_fingerprints
+from threadlens.llm.packing import pack
 from threadlens.llm.parsing import suffix_dedup
 from threadlens.llm.sketches import near_duplicates
+from threadlens.llm.toxicity import toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +42,19 @@ def op7_minhash_near_dedup(spark, sf_dir):
 @_register("op6_brown_lm_score")
 def op6_brown_lm_score(spark, sf_dir):
     return class_scores(C.documents(spark, sf_dir))
+
+
+@_register("op2_toxicity")
+def op2_toxicity(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return toxicity(C.documents(spark, sf_dir), labels)
+
+
+@_register("op3_packing")
+def op3_packing(spark, sf_dir):
+    return pack(C.documents(spark, sf_dir))
+
+
+@_register("op4_fingerprints")
+def op4_fingerprints(spark, sf_dir):
+    return document_fingerprints(C.documents(spark, sf_dir))
