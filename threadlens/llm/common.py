@@ -390,3 +390,52 @@ def worker_state(name: str, make: Callable):
     if not hasattr(held, name):
         setattr(held, name, make())
     return getattr(held, name)
+
+
+class Memo:
+    """Id lists of byte strings, kept for up to ``most`` of them; ``encode`` makes them."""
+
+    most = 400_000
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self):
+        self.slot, self.used = {}, 0
+        self.ids = np.zeros(1 << 16, dtype=np.uint32)
+        self.ptr = np.zeros(1 << 12, dtype=np.int64)
+
+    def encode(self, words: list[bytes]) -> list[list[int]]:
+        raise NotImplementedError
+
+    def _grow(self, name, need):
+        a = getattr(self, name)
+        if need > len(a):
+            b = np.zeros(max(need, 2 * len(a)), dtype=a.dtype)
+            b[:len(a)] = a
+            setattr(self, name, b)
+
+    def slots(self, words: list[bytes]) -> np.ndarray:
+        """Places of the ids of (distinct) words; valid until the next call."""
+        if len(self.slot) + len(words) > self.most:
+            self.clear()
+        slot = self.slot
+        new = [w for w in words if w not in slot]
+        for lo in range(0, len(new), 5000):
+            part = new[lo:lo + 5000]
+            got = self.encode(part)
+            n = len(slot)
+            slot.update(zip(part, range(n, n + len(part))))
+            ends = self.used + np.cumsum([len(g) for g in got])
+            self._grow("ptr", n + len(part) + 1)
+            self._grow("ids", int(ends[-1]))
+            self.ptr[n + 1:n + len(part) + 1] = ends
+            self.ids[self.used:ends[-1]] = np.fromiter((x for g in got for x in g), np.uint32)
+            self.used = int(ends[-1])
+        return np.array([slot[w] for w in words], dtype=np.int64)
+
+    def gather(self, slot: np.ndarray) -> np.ndarray:
+        """The ids of all slots, one after the other."""
+        size = self.ptr[slot + 1] - self.ptr[slot]
+        total = np.concatenate(([0], np.cumsum(size)))
+        return self.ids[np.repeat(self.ptr[slot] - total[:-1], size) + np.arange(total[-1])]

@@ -32,7 +32,6 @@ from pyspark.sql.window import Window as W
 from threadlens.llm import common as C
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-MEMO = 400_000
 
 
 def default_tokenizer() -> str:
@@ -40,46 +39,17 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class _Encoder:
-    """Ids of words; keeps those of up to MEMO words."""
-
+class _Encoder(C.Memo):
     def __init__(self, path: str):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self):
-        self.slot, self.used = {}, 0
-        self.ids = np.zeros(1 << 16, dtype=np.uint32)
-        self.ptr = np.zeros(1 << 12, dtype=np.int64)
-
-    def _grow(self, name, need):
-        a = getattr(self, name)
-        if need > len(a):
-            b = np.zeros(max(need, 2 * len(a)), dtype=a.dtype)
-            b[:len(a)] = a
-            setattr(self, name, b)
-
-    def slots(self, words: list[bytes]) -> np.ndarray:
-        if len(self.slot) + len(words) > MEMO:
-            self.clear()
-        slot = self.slot
-        new = [w for w in words if w not in slot]
-        for lo in range(0, len(new), 5000):
-            part = new[lo:lo + 5000]
-            got = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in part],
-                                                              add_special_tokens=False)]
-            n = len(slot)
-            slot.update(zip(part, range(n, n + len(part))))
-            ends = self.used + np.cumsum([len(g) for g in got])
-            self._grow("ptr", n + len(part) + 1)
-            self._grow("ids", int(ends[-1]))
-            self.ptr[n + 1:n + len(part) + 1] = ends
-            self.ids[self.used:ends[-1]] = np.fromiter((x for g in got for x in g), np.uint32)
-            self.used = int(ends[-1])
-        return np.array([slot[w] for w in words], dtype=np.int64)
+        super().__init__()
+
+    def encode(self, words):
+        return [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in words],
+                                                           add_special_tokens=False)]
 
 
 def token_ids(data: np.ndarray, offs: np.ndarray, encoder: _Encoder, closing: int):
@@ -90,7 +60,7 @@ def token_ids(data: np.ndarray, offs: np.ndarray, encoder: _Encoder, closing: in
     slot = encoder.slots([raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist())])[inverse]
     size = encoder.ptr[slot + 1] - encoder.ptr[slot]
     total = np.concatenate(([0], np.cumsum(size)))
-    ids = encoder.ids[np.repeat(encoder.ptr[slot] - total[:-1], size) + np.arange(total[-1])]
+    ids = encoder.gather(slot)
     close = total[ptr[1:]]
     return np.insert(ids, close, closing).astype("<u4"), np.concatenate(([0], close + np.arange(1, len(offs))))
 

@@ -5,11 +5,14 @@ from __future__ import annotations
 from threadlens.llm import common as C
 from threadlens.llm.anchors import substring_dedup
 from threadlens.llm.brown import class_scores
+from threadlens.llm.licenses import license_scan
 from threadlens.llm.merkle import document_fingerprints
 from threadlens.llm.packing import pack
 from threadlens.llm.parsing import suffix_dedup
 from threadlens.llm.sketches import near_duplicates
+from threadlens.llm.topk import top_inner_products
 from threadlens.llm.toxicity import toxicity
+from threadlens.llm.viterbi import sentencepiece_ids
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -58,3 +61,18 @@ def op3_packing(spark, sf_dir):
 @_register("op4_fingerprints")
 def op4_fingerprints(spark, sf_dir):
     return document_fingerprints(C.documents(spark, sf_dir))
+
+
+@_register("op1_top_inner_products")
+def op1_top_inner_products(spark, sf_dir):
+    return top_inner_products(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
+@_register("op5_sentencepiece")
+def op5_sentencepiece(spark, sf_dir):
+    return sentencepiece_ids(C.documents(spark, sf_dir))
+
+
+@_register("op9_license_scan")
+def op9_license_scan(spark, sf_dir):
+    return license_scan(C.documents(spark, sf_dir))
