@@ -393,9 +393,10 @@ def worker_state(name: str, make: Callable):
 
 
 class Memo:
-    """Id lists of byte strings, kept for up to ``most`` of them; ``encode`` makes them."""
+    """Id lists of byte strings, kept for up to ``most`` of them; ``encode`` makes
+    them. When full, those asked for most often stay (half at most)."""
 
-    most = 400_000
+    most = 800_000
 
     def __init__(self):
         self.clear()
@@ -404,6 +405,26 @@ class Memo:
         self.slot, self.used = {}, 0
         self.ids = np.zeros(1 << 16, dtype=np.uint32)
         self.ptr = np.zeros(1 << 12, dtype=np.int64)
+        self.asked = np.zeros(1 << 12, dtype=np.int32)
+
+    def _thin(self):
+        n = len(self.slot)
+        asked = self.asked[:n]
+        least = max(2, int(np.partition(asked, n // 2)[n // 2]) + 1)
+        keep = asked >= least
+        stay = np.flatnonzero(keep)
+        size = np.diff(self.ptr[:n + 1])[stay]
+        ids = self.gather(stay)
+        words = [w for w, k in zip(self.slot, keep.tolist()) if k]
+        self.clear()
+        self.slot = dict(zip(words, range(len(words))))
+        self.used = len(ids)
+        self._grow("ids", len(ids))
+        self._grow("ptr", len(words) + 1)
+        self._grow("asked", len(words) + 1)
+        self.ids[:len(ids)] = ids
+        self.ptr[1:len(words) + 1] = np.cumsum(size)
+        self.asked[:len(words)] = 1
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         raise NotImplementedError
@@ -418,7 +439,7 @@ class Memo:
     def slots(self, words: list[bytes]) -> np.ndarray:
         """Places of the ids of (distinct) words; valid until the next call."""
         if len(self.slot) + len(words) > self.most:
-            self.clear()
+            self._thin()
         slot = self.slot
         new = [w for w in words if w not in slot]
         for lo in range(0, len(new), 5000):
@@ -428,11 +449,14 @@ class Memo:
             slot.update(zip(part, range(n, n + len(part))))
             ends = self.used + np.cumsum([len(g) for g in got])
             self._grow("ptr", n + len(part) + 1)
+            self._grow("asked", n + len(part) + 1)
             self._grow("ids", int(ends[-1]))
             self.ptr[n + 1:n + len(part) + 1] = ends
             self.ids[self.used:ends[-1]] = np.fromiter((x for g in got for x in g), np.uint32)
             self.used = int(ends[-1])
-        return np.array([slot[w] for w in words], dtype=np.int64)
+        got = np.array([slot[w] for w in words], dtype=np.int64)
+        self.asked[got] += 1
+        return got
 
     def gather(self, slot: np.ndarray) -> np.ndarray:
         """The ids of all slots, one after the other."""

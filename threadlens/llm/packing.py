@@ -20,6 +20,9 @@ distinct word of a block is encoded once, with a bounded memo in the worker.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
 
 import numpy as np
@@ -39,17 +42,57 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: The normalizer and splitting pattern (fixed values of word_bpe_49k.json) for
+#: which words of ASCII and Latin-1 letters are split here.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+
 class _Encoder(C.Memo):
+    """Ids of words by a tokenizer file. Where the file lower-cases and splits by
+    ``_SPLIT``, plain words are split here and only their distinct parts go to the
+    tokenizer's model; all other words take the whole tokenizer."""
+
     def __init__(self, path: str):
-        import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        steps = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+        splits = [x.get("pattern", {}).get("Regex") for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+        self.plain = steps == ["NFC", "Replace", "Lowercase"] and splits == [_SPLIT, None]
+        # byte-level alphabet: printable bytes stand for themselves, others for code points from 256
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in shown]
+        self.letter = {b: chr(256 + k) for k, b in enumerate(rest)}
+        self.part: dict[str, list[int]] = {}
         super().__init__()
 
+    def _part_ids(self, part: str) -> list[int]:
+        got = self.part.get(part)
+        if got is None:
+            if len(self.part) >= self.most:
+                self.part.clear()
+            text = part if part.isascii() else part.encode().decode("latin-1").translate(self.letter)
+            got = self.part[part] = [t.id for t in self.tokenizer.model.tokenize(text)]
+        return got
+
     def encode(self, words):
-        return [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in words],
-                                                           add_special_tokens=False)]
+        out: list = [None] * len(words)
+        others = []
+        for k, w in enumerate(words):
+            text = w.decode()
+            if self.plain and _PLAIN.fullmatch(text) and "<|" not in text:
+                parts = _PARTS.findall(text.lower())
+                out[k] = self._part_ids(parts[0]) if len(parts) == 1 else [i for p in parts for i in self._part_ids(p)]
+            else:
+                others.append(k)
+        got = self.tokenizer.encode_batch([words[k].decode() for k in others], add_special_tokens=False)
+        for k, e in zip(others, got):
+            out[k] = e.ids
+        return out
 
 
 def token_ids(data: np.ndarray, offs: np.ndarray, encoder: _Encoder, closing: int):
