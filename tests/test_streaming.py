@@ -20,7 +20,7 @@ def test_stream_append_restarts_are_exactly_once(spark, tmp_path):
 
     def run(sch):
         q = stream_append(spark, f"{base}/landing/*", sch, f"{base}/stored", "event_id",
-                          ["ts", "user_id"], "ts", f"{base}/_ckpt", n_buckets=4)
+                          ["ts", "user_id"], f"{base}/_ckpt", n_buckets=4)
         q.awaitTermination()
         return {r.event_id: r.v for r in spark.read.parquet(f"{base}/stored").collect()}
 

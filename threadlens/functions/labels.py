@@ -31,12 +31,12 @@ def sigmoid(c) -> Column:
 
 def threshold_strict(scores, t: float = ENTITY_THRESHOLD) -> Column:
     """array<double> -> array<int>, 1 where score > t."""
-    return F.transform(_c(scores), lambda x: (x > F.lit(t)).cast("int"))
+    return F.transform(_c(scores), lambda x: _gt(x, t).cast("int"))
 
 
 def threshold_inclusive(scores, t: float = ASPECT_THRESHOLD) -> Column:
     """array<double> -> array<int>, 1 where score >= t."""
-    return F.transform(_c(scores), lambda x: (x >= F.lit(t)).cast("int"))
+    return F.transform(_c(scores), lambda x: _ge(x, t).cast("int"))
 
 
 def multihot_sum(v) -> Column:
@@ -60,7 +60,9 @@ def extend_others_slot(v) -> Column:
 
 
 def _label_parts(text, sep: str) -> Column:
-    return F.transform(F.split(_c(text), sep), lambda p: F.trim(F.lower(p)))
+    # white space as Python's strip() sees it: Unicode spaces and the separators 1C-1F
+    edge = "(?U)^[\\s\\x1c-\\x1f]+|[\\s\\x1c-\\x1f]+$"
+    return F.transform(F.split(_c(text), sep), lambda p: F.regexp_replace(F.lower(p), edge, ""))
 
 
 def parse_label_list(text, labels=ASPECT_LABELS, sep: str = ";") -> Column:
@@ -107,7 +109,11 @@ def label_index(name, labels=ASPECT_LABELS) -> Column:
 
 def _ge(x, t) -> Column:
     # NaN and NULL never satisfy a test (Spark orders NaN above everything).
-    return F.coalesce(F.nanvl(_c(x), F.lit(None).cast("double")) >= F.lit(t), F.lit(False))
+    return F.coalesce(F.nanvl(_c(x).cast("double"), F.lit(None).cast("double")) >= F.lit(t), F.lit(False))
+
+
+def _gt(x, t) -> Column:
+    return F.coalesce(F.nanvl(_c(x).cast("double"), F.lit(None).cast("double")) > F.lit(t), F.lit(False))
 
 
 def arbitrate(first_pred, first_conf, second_pred, second_conf,
@@ -143,4 +149,4 @@ def subjective_flag(scores, profile: str, threshold: float = SUBJECTIVE_MIN,
     slot = profiles.get(profile)
     if slot is None:
         return F.lit(None).cast("int")
-    return (_c(scores)[slot] > F.lit(threshold)).cast("int")
+    return _gt(_c(scores)[slot], threshold).cast("int")

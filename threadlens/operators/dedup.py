@@ -44,7 +44,7 @@ def incremental_append(stored: DataFrame, arriving: DataFrame, key: str,
     Returns ``(appended_rows, updated_table)``. Equivalent to anti-joining per
     (group, key) and then keeping the first row per key over stored-then-new:
     a new row whose key is already stored under another group is dropped by
-    that dedup anyway. Only the key column of ``stored`` is read; with
+    that dedup anyway. A NULL key counts as one key, stored once. Only the key column of ``stored`` is read; with
     ``stored`` bucketed on ``key`` the anti-join needs no shuffle of it, and
     Spark's runtime bloom filter prunes its scan by the arriving keys.
     Running it twice with the same batch appends nothing the second time.
@@ -54,15 +54,13 @@ def incremental_append(stored: DataFrame, arriving: DataFrame, key: str,
     the bucket ids (at most the table's bucket count) become a partition
     filter, so a small batch never scans the whole table.
     """
+    stored_keys = stored
     if bucket_col is not None:
         touched = [r[0] for r in arriving.select(bucket_col).distinct().limit(MAX_BUCKETS + 1)
                    .collect()]
-        if len(touched) > MAX_BUCKETS:
-            raise ValueError(f"more than {MAX_BUCKETS} buckets")
-        keys = stored.where(F.col(bucket_col).isin(touched)).select(bucket_col, key)
-        fresh = arriving.join(keys, [bucket_col, key], "left_anti")
-        fresh = keep_first(fresh, [key], order).select(*stored.columns)
-        return fresh, stored.unionByName(fresh)
-    fresh = arriving.join(stored.select(key), key, "left_anti")
+        if len(touched) <= MAX_BUCKETS:                      # else the whole key column is read
+            stored_keys = stored.where(F.col(bucket_col).isin(touched))
+    known = stored_keys.select(F.col(key).alias("_known"))
+    fresh = arriving.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
     fresh = keep_first(fresh, [key], order).select(*stored.columns)
     return fresh, stored.unionByName(fresh)

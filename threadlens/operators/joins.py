@@ -6,7 +6,9 @@ of the probe rows (a viral comment), a shuffle join sends all of them to one
 task. ``lookup_join`` finds the keys holding more than ``1/max_hot`` of the
 probe rows (and at least ``min_rows``), joins those rows against a broadcast
 of just their lookup rows (at most ``max_hot`` rows: a proven size bound)
-without shuffling them, and shuffle-joins everything else. AQE's skew join
+without shuffling them, and shuffle-joins everything else. Rows without a key
+(the roots of a forest, often its largest group) match nothing; in the shuffle
+they are dealt over ``NULL_SLOTS`` slots instead of meeting in one task. AQE's skew join
 remains enabled as a second line of defence.
 """
 
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_HOT = 1000
+NULL_SLOTS = 1024
 MIN_HOT_ROWS = 100_000
 SPLITS: deque[int] = deque(maxlen=1000)  # hot-key counts of recent calls (diagnostics)
 
@@ -49,16 +52,25 @@ def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     distribution (detection then costs nothing here).
     """
     cond = F.col(left_key) == F.col(right_key)
+
+    def shuffled(a: DataFrame, b: DataFrame) -> DataFrame:
+        # the slot is 0 for rows with a key on both sides, so it never parts a match
+        a = a.withColumn("_lslot", F.when(F.col(left_key).isNull(), F.pmod(
+            F.monotonically_increasing_id(), F.lit(NULL_SLOTS))).otherwise(F.lit(0)).cast("int"))
+        # always 0, but no constant: a constant would stop being a join key
+        b = b.withColumn("_rslot", F.pmod(F.xxhash64(F.col(right_key)), F.lit(1)).cast("int"))
+        return a.join(b, cond & (F.col("_lslot") == F.col("_rslot")), how).drop("_lslot", "_rslot")
+
     if hot is None:
         if n_left is None:
             n_left = left.count()
         hot = hot_keys(left, left_key, n_left, max_hot, min_rows)
     SPLITS.append(len(hot))
     if not hot:
-        return left.join(right, cond, how)
+        return shuffled(left, right)
     is_hot = F.col(left_key).isin(hot)
     hot_right = right.where(F.col(right_key).isin(hot))        # <= len(hot) rows
     hot_part = left.where(is_hot).join(F.broadcast(hot_right), cond, how)
-    cold_part = left.where(~is_hot | F.col(left_key).isNull()).join(
-        right.where(~F.col(right_key).isin(hot) | F.col(right_key).isNull()), cond, how)
+    cold_part = shuffled(left.where(~is_hot | F.col(left_key).isNull()),
+                         right.where(~F.col(right_key).isin(hot) | F.col(right_key).isNull()))
     return hot_part.unionByName(cold_part)

@@ -1,13 +1,10 @@
 """Language identification as Spark jobs: multinomial naive Bayes on words.
 
-Training is two aggregations: token counts per (label, token), combined
-map-side, and the top ``vocab_per_label`` tokens per label (a per-group
-row_number <= k, planned with a partial WindowGroupLimit). The vocabulary
-cap is the model's size parameter: the model has at most
-``vocab_per_label * n_labels`` rows, which is what makes broadcasting it a
-proven-size choice. Scoring explodes document tokens, joins them to the
-broadcast model map-side (no shuffle of the token stream, so frequent tokens
-cannot skew it) and sums per document.
+Training is one aggregation, token counts per (label, token), combined
+map-side; the vocabulary is every token seen. Scoring counts the tokens of
+each document and joins them to the model by token: the ``HOT_TOKENS`` most
+frequent ones (a bounded list) meet their weights in a broadcast without a
+shuffle, all others in a shuffle join, and the sums are taken per document.
 
 score(doc, l) = ln prior_l - n_V(doc) * ln(T_l + |V|) + sum_t cnt * ln(c_l(t) + 1)
 (add-one smoothing; tokens outside the vocabulary V are ignored).
@@ -18,12 +15,14 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadlens.operators.joins import lookup_join
 from threadlens.session import cut_lineage
 
 MAX_LABELS = 256
+HOT_TOKENS = 500
 
 
 def word_tokens(c) -> Column:
@@ -36,10 +35,10 @@ class WordNB:
     labels: list[str]
     consts: list[tuple[float, float]]   # (ln prior, ln(T_l + |V|)) per label
     weights: DataFrame                  # token, w_<i> = ln(c_i(token) + 1)
+    hot: list[str]                      # the most frequent tokens
 
 
-def train_word_nb(docs: DataFrame, text_col: str, label_col: str,
-                  vocab_per_label: int = 5000) -> WordNB:
+def train_word_nb(docs: DataFrame, text_col: str, label_col: str) -> WordNB:
     labelled = docs.where(F.col(label_col).isNotNull())
     priors = (labelled.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
               .limit(MAX_LABELS + 1).collect())
@@ -52,11 +51,7 @@ def train_word_nb(docs: DataFrame, text_col: str, label_col: str,
                            F.explode(word_tokens(text_col)).alias("token"))
     # Sufficient statistics: sized by vocabulary x labels, not by the corpus.
     counts = cut_lineage(toks.groupBy("label", "token").agg(F.count(F.lit(1)).alias("c")))
-    w = Window.partitionBy("label").orderBy(F.col("c").desc(), F.col("token"))
-    top = counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= vocab_per_label)
-    vocab = top.select("token").distinct()
-    in_vocab = counts.join(vocab, "token", "left_semi")
-    wide = (in_vocab.groupBy("token").pivot("label", labels).agg(F.first("c")))
+    wide = (counts.groupBy("token").pivot("label", labels).agg(F.first("c")))
     wide = cut_lineage(wide.select("token", *[
         F.coalesce(F.col(f"`{lab}`"), F.lit(0)).cast("long").alias(f"c_{i}")
         for i, lab in enumerate(labels)]))
@@ -68,17 +63,20 @@ def train_word_nb(docs: DataFrame, text_col: str, label_col: str,
               for i, lab in enumerate(labels)]
     weights = wide.select("token", *[F.log(F.col(f"c_{i}").cast("double") + 1.0).alias(f"w_{i}")
                                      for i in range(len(labels))])
-    return WordNB(labels, consts, weights)
+    total = sum((F.col(f"c_{i}") for i in range(len(labels))), F.lit(0))
+    hot = [r[0] for r in wide.orderBy(total.desc(), "token").select("token").limit(HOT_TOKENS).collect()]
+    return WordNB(labels, consts, weights, hot)
 
 
 def predict_word_nb(model: WordNB, docs: DataFrame, text_col: str, key: str,
                     out_col: str = "lang_pred") -> DataFrame:
     """Adds ``out_col`` (argmax label; NULL when no vocabulary token)."""
-    toks = docs.select(key, F.explode(word_tokens(text_col)).alias("token"))
-    hit = toks.join(F.broadcast(model.weights), "token")
+    toks = (docs.select(key, F.explode(word_tokens(text_col)).alias("_t"))
+            .groupBy(key, "_t").agg(F.count(F.lit(1)).alias("_c")))
+    hit = lookup_join(toks, model.weights, "_t", "token", "inner", hot=model.hot)
     n = len(model.labels)
-    agg = hit.groupBy(key).agg(F.count(F.lit(1)).alias("_nv"),
-                               *[F.sum(f"w_{i}").alias(f"_s{i}") for i in range(n)])
+    agg = hit.groupBy(key).agg(F.sum("_c").alias("_nv"),
+                               *[F.sum(F.col("_c") * F.col(f"w_{i}")).alias(f"_s{i}") for i in range(n)])
     scores = [F.lit(lp) - F.col("_nv") * F.lit(lt) + F.col(f"_s{i}")
               for i, (lp, lt) in enumerate(model.consts)]
     arr = F.array(*scores)

@@ -1,23 +1,19 @@
 """Gazetteer mentions: contains-any flags, matched terms, antichain reduction.
 
 Term lists are configuration (bounded; their size is checked before they are
-inlined). Up to ``INLINE_MAX`` terms are compiled into a native higher-order
-expression (codegen, no Python); larger lists switch to one Aho-Corasick
-automaton per Python worker over Arrow batches (linear in text length).
+inlined). Lists of every size take one path: a JVM higher-order expression over
+the array of terms, without Python.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from threadlens.functions.hof import let
 
-INLINE_MAX = 256
 TERMS_MAX = 1_000_000  # refuse to inline/broadcast unbounded term lists
 
 
@@ -47,41 +43,6 @@ def collect_terms(spark: SparkSession, terms: DataFrame, col: str = "term") -> l
     return [r[0] for r in terms.select(col).collect()]
 
 
-def _has_automaton() -> bool:
-    try:
-        import ahocorasick  # noqa: F401
-    except ImportError:      # fall back to the native expression (slower, same flags)
-        return False
-    return True
-
-
-def _ac_contains_udf(terms: list[str]):
-    """Aho-Corasick over Arrow batches; the term list ships once per executor
-    as a broadcast variable and the automaton is built once per batch."""
-    import ahocorasick
-    from pyspark import SparkContext
-
-    if len(terms) > TERMS_MAX:
-        raise ValueError(f"{len(terms)} terms (> {TERMS_MAX})")
-    shared = SparkContext.getOrCreate().broadcast(terms)
-
-    @F.pandas_udf(T.IntegerType())
-    def _flag(s: pd.Series) -> pd.Series:
-        auto = ahocorasick.Automaton()
-        for t in shared.value:
-            auto.add_word(t, t)
-        auto.make_automaton()
-
-        def hit(x):
-            if not isinstance(x, str):
-                return None
-            for _ in auto.iter(x.lower()):
-                return 1
-            return 0
-        return s.map(hit).astype("Int32")
-    return _flag
-
-
 def contains_any(text, terms: Iterable[str], word_boundary: bool = False) -> Column:
     """1 if the lower-cased text contains any term (case-insensitive substring), else 0."""
     col = _c(text)
@@ -92,8 +53,8 @@ def contains_any(text, terms: Iterable[str], word_boundary: bool = False) -> Col
         pattern = "(?i)\\b(" + "|".join(re.escape(t) for t in full) + ")\\b"
         return F.when(col.isNotNull(), col.rlike(pattern).cast("int"))
     low = reduce_antichain(terms)
-    if len(low) > INLINE_MAX and _has_automaton():
-        return _ac_contains_udf(low)(col)
+    if len(low) > TERMS_MAX:
+        raise ValueError(f"{len(low)} terms (> {TERMS_MAX})")
     arr = F.array(*[F.lit(t) for t in low])
     return F.when(col.isNotNull(), let(F.lower(col), lambda lowered: F.exists(
         arr, lambda t: lowered.contains(t)).cast("int")))

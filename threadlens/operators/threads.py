@@ -26,9 +26,20 @@ from threadlens.schemas import DELETED
 from threadlens.session import cut_lineage, scratch_path
 
 
+SCOPE = "platform"
+
+
+def _scoped(df: DataFrame, col: str) -> Column:
+    """An id within its platform (ids of two platforms may be equal); NULL stays."""
+    c = F.col(col).cast("string")
+    if SCOPE not in df.columns:
+        return c
+    return F.concat(F.coalesce(F.col(SCOPE).cast("string"), F.lit("")), F.lit("\u0001"), c)
+
+
 def _edges(df: DataFrame, id_col: str, parent_col: str) -> DataFrame:
     # One parent per id (ids are expected unique; duplicates keep the smallest).
-    return (df.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent"))
+    return (df.select(_scoped(df, id_col).alias("id"), _scoped(df, parent_col).alias("parent"))
               .where(F.col("id").isNotNull())
               .groupBy("id").agg(F.min("parent").alias("parent")))
 
@@ -42,8 +53,8 @@ def _cut_counting_open(state: DataFrame) -> tuple[DataFrame, int]:
 
 
 def level_table(df: DataFrame, id_col: str = "comment_id",
-                parent_col: str = "parent_comment_id", max_rounds: int = 64) -> DataFrame:
-    """(id, level, unreachable) for every distinct id of ``df``."""
+                parent_col: str = "parent_comment_id") -> DataFrame:
+    """(_node, level, unreachable) for every distinct id of ``df`` (per platform)."""
     from pyspark.sql import Observation
     obs = Observation()
     edges = cut_lineage(_edges(df, id_col, parent_col).observe(obs, F.count(F.lit(1)).alias("n")))
@@ -56,7 +67,7 @@ def level_table(df: DataFrame, id_col: str = "comment_id",
                           F.lit(1).cast("int").alias("d")))
     state, n_open = _cut_counting_open(state)
     prev_open = None
-    for _ in range(max_rounds):
+    while True:
         if n_open == 0 or n_open == prev_open:
             break  # all resolved, or only cycle-bound nodes remain
         prev_open = n_open
@@ -68,7 +79,7 @@ def level_table(df: DataFrame, id_col: str = "comment_id",
                   .select("id", F.col("_ranc").alias("anc"), (F.col("d") + F.col("_rd")).alias("d")))
         state, n_open = _cut_counting_open(state.where(F.col("anc").isNull()).unionByName(jumped))
     return state.select(
-        F.col("id").alias(id_col),
+        F.col("id").alias("_node"),
         F.when(F.col("anc").isNull(), F.col("d")).alias("level"),
         F.col("anc").isNotNull().alias("unreachable"))
 
@@ -77,7 +88,7 @@ def assign_levels(df: DataFrame, id_col: str = "comment_id",
                   parent_col: str = "parent_comment_id") -> DataFrame:
     """Add ``level`` (root = 1) and ``unreachable`` to every row of ``df``."""
     lv = level_table(df, id_col, parent_col)
-    return df.join(lv, id_col, "left")
+    return df.withColumn("_node", _scoped(df, id_col)).join(lv, "_node", "left").drop("_node")
 
 
 def orphan_roots(df: DataFrame, id_col: str = "comment_id",
@@ -86,9 +97,9 @@ def orphan_roots(df: DataFrame, id_col: str = "comment_id",
 
     ``n_rows`` (rows of ``df``, an upper bound of the probe side) skips a count.
     """
-    ids = df.select(F.col(id_col).alias("_m"))  # duplicates do not change an anti join
-    return lookup_join(df.where(F.col(parent_col).isNotNull()), ids, parent_col, "_m",
-                       "left_anti", n_left=n_rows)
+    ids = df.select(_scoped(df, id_col).alias("_m")).distinct()
+    probe = df.where(F.col(parent_col).isNotNull()).withColumn("_parent", _scoped(df, parent_col))
+    return lookup_join(probe, ids, "_parent", "_m", "left_anti", n_left=n_rows).drop("_parent")
 
 
 def identity_rewrite(combined: Column) -> Column:
@@ -116,7 +127,7 @@ def thread_context(df: DataFrame, rewrite: Callable[[Column], Column] = identity
     base.write.partitionBy("level").parquet(path)
     base = spark.read.parquet(path)
     stats = (base.where(F.col("level").isNotNull()).groupBy("level")
-             .agg(F.count(F.lit(1)).alias("n"), F.count_distinct(id_col).alias("ids"))
+             .agg(F.count(F.lit(1)).alias("n"), F.count_distinct(_scoped(base, id_col)).alias("ids"))
              .collect())                                   # at most max-depth rows
     sizes = {r["level"]: r["n"] for r in stats}
     unique = {r["level"]: r["n"] == r["ids"] for r in stats}
@@ -129,11 +140,12 @@ def thread_context(df: DataFrame, rewrite: Callable[[Column], Column] = identity
         cur = base.where(F.col("level") == lvl)
         if prev is not None:
             if unique[prev_lvl]:
-                lookup = prev.select(F.col(id_col).alias("_pid"), F.col(out_col).alias("_ptext"))
+                lookup = prev.select(_scoped(prev, id_col).alias("_pid"), F.col(out_col).alias("_ptext"))
             else:   # duplicate ids: the last row (by order) wins
-                lookup = (prev.groupBy(F.col(id_col).alias("_pid"))
+                lookup = (prev.groupBy(_scoped(prev, id_col).alias("_pid"))
                               .agg(F.max_by(F.col(out_col), F.col("_ord")).alias("_ptext")))
-            cur = lookup_join(cur, lookup, parent_col, "_pid", "left", n_left=sizes[lvl])
+            cur = lookup_join(cur.withColumn("_parent", _scoped(cur, parent_col)), lookup, "_parent", "_pid",
+                              "left", n_left=sizes[lvl])
             use_lookup = F.coalesce(F.col("parent_comment") != F.lit(DELETED), F.lit(True))
             cur = cur.withColumn(
                 "parent_comment",

@@ -15,8 +15,6 @@ from threadlens.schemas import SUBJECTIVE_MIN
 from threadlens.sources.fixtures import v_sentence_docs
 from threadlens.sources.tables import table
 
-VOCAB_PER_LABEL = 2000
-
 # Training rows: split by a property of the text (never doc_id), so exact
 # copies of a text land on the same side.
 def _is_train(text_col="text"):
@@ -29,9 +27,7 @@ pri AS (SELECT lang, ln(count(*) / (SELECT count(*) FROM tr)) AS lp FROM tr GROU
 tk AS (SELECT lang, unnest(list_filter(regexp_split_to_array(lower(replace(text, chr(10), '')), '[^\\p{{L}}]+'),
                                        lambda t: t <> '')) AS token FROM tr),
 cnt AS (SELECT lang, token, count(*) AS c FROM tk GROUP BY lang, token),
-top AS (SELECT token FROM (SELECT token, row_number() OVER (PARTITION BY lang ORDER BY c DESC, token) AS r
-                           FROM cnt) WHERE r <= {VOCAB_PER_LABEL}),
-voc AS (SELECT DISTINCT token FROM top),
+voc AS (SELECT DISTINCT token FROM cnt),
 civ AS (SELECT * FROM cnt WHERE token IN (SELECT token FROM voc)),
 tot AS (SELECT lang, sum(c) AS t FROM civ GROUP BY lang),
 cons AS (SELECT p.lang, p.lp, ln(coalesce(t.t, 0) + (SELECT count(*) FROM voc)) AS lt
@@ -58,7 +54,7 @@ def lang_filter(spark, sf_dir):
     """Train word NB on half the documents (split by text), keep English."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     d = d.withColumn("lt", lang_text("text"))   # newlines removed, lower-cased
-    model = train_word_nb(d.where(_is_train()), "lt", "lang", VOCAB_PER_LABEL)
+    model = train_word_nb(d.where(_is_train()), "lt", "lang")
     pred = predict_word_nb(model, d, "lt", "doc_id")
     return pred.where(F.col("lang_pred") == "en").select("doc_id", "lang", "lang_pred")
 
@@ -102,7 +98,7 @@ def lang_quality(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     d = d.where(F.col("lang").isNotNull()).withColumn("lt", lang_text("text"))
     train, test = d.where(_is_train()), d.where(~_is_train())
-    model = train_word_nb(train, "lt", "lang", VOCAB_PER_LABEL)
+    model = train_word_nb(train, "lt", "lang")
     majority = (train.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
                 .orderBy(F.col("n").desc(), F.col("lang")).first()["lang"])  # one value
     pred = predict_word_nb(model, test, "lt", "doc_id").withColumn(

@@ -23,8 +23,7 @@ def stream_append_q(spark, sf_dir):
     arriving = v_events_arriving(spark, sf_dir)
     arriving.write.parquet(landing_dir)
     q = stream_append(spark, landing_dir, arriving.schema, stored_path, "event_id",
-                      ["ts", "user_id"], "ts", f"{base}/_checkpoint", watermark="365 days",
-                      n_buckets=BUCKETS)
+                      ["ts", "user_id"], f"{base}/_checkpoint", n_buckets=BUCKETS)
     q.awaitTermination()
     return spark.read.parquet(stored_path).drop("_bucket")
 

@@ -139,9 +139,8 @@ def clean_langid_q(spark, sf_dir):
     from threadlens.functions.text import lang_text
     from threadlens.operators.clean import ModelGate
     from threadlens.operators.langid import train_word_nb
-    from threadlens.plans.q_models import VOCAB_PER_LABEL
     from threadlens.sources.tables import table
     d = table(spark, sf_dir, "documents").select("text", "lang")
-    model = train_word_nb(d.withColumn("lt", lang_text("text")), "lt", "lang", VOCAB_PER_LABEL)
+    model = train_word_nb(d.withColumn("lt", lang_text("text")), "lt", "lang")
     u = unified(spark, sf_dir)
     return clean_comments(u, ModelGate(model)).select(*UNIFIED_COLUMNS, "platform")

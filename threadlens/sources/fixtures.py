@@ -58,9 +58,10 @@ def v_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comment forest from ``documents`` (+ post titles from ``pages``)."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
     i = F.col("doc_id")
-    parent = (F.when(i % 5 == 0, _null_s())
+    # replies stay on their parent's platform (parity of the id); 1 would be its own parent
+    parent = (F.when((i % 5 == 0) | (i == 1), _null_s())
               .when(i % 17 == 3, F.concat(F.lit("gone"), i.cast("string")))
-              .otherwise(F.concat(F.lit("c"), F.expr("doc_id div 4").cast("string"))))
+              .otherwise(F.concat(F.lit("c"), F.expr("(doc_id div 8) * 2 + doc_id % 2").cast("string"))))
     iso = F.concat(_day_text(i % 28, "yyyy-MM-dd"), F.lit("T"),
                    F.lpad((i % 24).cast("string"), 2, "0"), F.lit(":"),
                    F.lpad((i % 60).cast("string"), 2, "0"), F.lit(":00Z"))
@@ -220,9 +221,9 @@ FROM pages"""),
 SELECT c.*, t.post_title, t.created_utc FROM (
 SELECT d.doc_id,
        'c' || CAST(d.doc_id AS VARCHAR) AS comment_id,
-       CASE WHEN d.doc_id % 5 = 0 THEN NULL
+       CASE WHEN d.doc_id % 5 = 0 OR d.doc_id = 1 THEN NULL
             WHEN d.doc_id % 17 = 3 THEN 'gone' || CAST(d.doc_id AS VARCHAR)
-            ELSE 'c' || CAST(d.doc_id // 4 AS VARCHAR) END AS parent_comment_id,
+            ELSE 'c' || CAST((d.doc_id // 8) * 2 + d.doc_id % 2 AS VARCHAR) END AS parent_comment_id,
        'p' || CAST(d.doc_id % 40 AS VARCHAR) AS post_id,
        CASE WHEN d.doc_id % 2 = 0 THEN 'Reddit' ELSE 'Youtube' END AS platform,
        d.n_chars AS number_of_comment_votes,

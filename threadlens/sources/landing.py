@@ -142,7 +142,7 @@ def flatten_replies(items: DataFrame) -> DataFrame:
 
 
 def flatten_threads(threads: DataFrame, payload_col: str = "payload",
-                    post_col: str = "post_id", max_depth: int = 10_000) -> DataFrame:
+                    post_col: str = "post_id") -> DataFrame:
     """Arbitrarily nested reply trees (JSON text) -> flat comment rows.
 
     Each node is ``{"id", "body", "created", "score", "replies": [...]}``.
@@ -156,7 +156,7 @@ def flatten_threads(threads: DataFrame, payload_col: str = "payload",
     level = level.selectExpr("post_id", "parent_comment_id",
                              "explode(variant_get(v, '$.comments', 'array<variant>')) AS node")
     out = None
-    for _ in range(max_depth):
+    while True:
         rows = level.selectExpr(
             "post_id", "parent_comment_id",
             "variant_get(node, '$.id', 'string') AS comment_id",
@@ -217,9 +217,12 @@ def video_records(search_pages: DataFrame) -> DataFrame:
 def enrich_with_videos(comments: DataFrame, videos: DataFrame,
                        n_comments: int | None = None) -> DataFrame:
     """Attach video title and post date to flattened comments (inner join on
-    video_id; AQE broadcasts the video side when it is small)."""
+    video_id). A video found by several queries or pages counts once: its first
+    record by relevance, then query."""
     from threadlens.operators.joins import lookup_join
-    v = videos.select(F.col("video_id").alias("_vid"), F.col("title").alias("video_title"),
+    from threadlens.operators.dedup import keep_first
+    order = [c for c in ("relevance", "query", "title", "published_date") if c in videos.columns]
+    v = keep_first(videos, ["video_id"], order).select(F.col("video_id").alias("_vid"), F.col("title").alias("video_title"),
                       F.col("published_date").alias("video_post_date"))
     return lookup_join(comments, v, "video_id", "_vid", "inner", n_left=n_comments).drop("_vid")
 

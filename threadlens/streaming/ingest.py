@@ -1,11 +1,11 @@
 """Continuous landing ingest: at most one row per key, first arrival wins.
 
-``readStream`` over the landing folder -> watermark + ``dropDuplicatesWithinWatermark``
-(duplicates inside the stream) -> ``foreachBatch`` that anti-joins each
-micro-batch against the stored table and appends only unseen keys. A retried
-batch finds its own rows already stored and appends nothing, so the sink is
-idempotent; the file commit protocol makes each append all-or-nothing.
-State is bounded by the watermark, never by the table size.
+``readStream`` over the landing folder -> ``foreachBatch`` that keeps the first
+row per key of the micro-batch, anti-joins it against the stored table and
+appends only unseen keys, however late a row arrives. A retried batch finds its
+own rows already stored and appends nothing, so the sink is idempotent; the
+file commit protocol makes each append all-or-nothing. The stream keeps no
+state: what is stored decides.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.operators.clean import normalize_text
@@ -29,23 +28,20 @@ def init_stored(df: DataFrame, stored_path: str, key: str, n_buckets: int = 64,
 
 
 def stream_append(spark: SparkSession, landing_dir: str, schema: T.StructType,
-                  stored_path: str, key: str, order: Sequence[str], ts_col: str,
-                  checkpoint: str, watermark: str = "1 day",
-                  available_now: bool = True, fmt: str = "parquet",
+                  stored_path: str, key: str, order: Sequence[str],
+                  checkpoint: str, available_now: bool = True, fmt: str = "parquet",
                   n_buckets: int = 64, bucket_col: str = "_bucket"):
     """``stored_path`` is partitioned by ``bucket_col`` (see ``init_stored``);
     each micro-batch reads only the buckets its keys fall into."""
     src = spark.readStream.schema(schema).format(fmt).load(landing_dir)
-    # Watermarks need TIMESTAMP; an NTZ event time is cast for that purpose only.
-    src = src.withColumn("_event_time", F.col(ts_col).cast("timestamp"))
-    src = src.withWatermark("_event_time", watermark).dropDuplicatesWithinWatermark([key])
 
     def append_batch(batch: DataFrame, epoch_id: int) -> None:
         stored = spark.read.parquet(stored_path)
-        batch = batch.withColumn(bucket_col, key_bucket(key, n_buckets))
+        batch = batch.withColumn(bucket_col, key_bucket(key, n_buckets)).persist()
         fresh, _ = incremental_append(stored, batch.select(*stored.columns), key, order,
                                       bucket_col=bucket_col)
         fresh.write.mode("append").partitionBy(bucket_col).parquet(stored_path)
+        batch.unpersist()
 
     writer = src.writeStream.foreachBatch(append_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer
