@@ -396,7 +396,7 @@ class Memo:
     """Id lists of byte strings, kept for up to ``most`` of them; ``encode`` makes
     them. When full, those asked for most often stay (half at most)."""
 
-    most = 800_000
+    most = 500_000
 
     def __init__(self):
         self.clear()
