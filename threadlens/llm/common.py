@@ -59,10 +59,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(max(n, 1), base, dtype=np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    """base^0 .. base^(n-1) mod 2^64; kept up to 2^21 of them."""
+    held = _POWERS.get(base)
+    if held is None or len(held) < n:
+        held = np.full(max(n, 1 << 10), base, dtype=np.uint64)
+        held[0] = 1
+        held = np.cumprod(held, dtype=np.uint64)
+        if n <= 1 << 21:
+            _POWERS[base] = held
+    return held[:n]
 
 
 class Roll:
@@ -74,6 +83,11 @@ class Roll:
         self.sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(values * powers(base, n)[:n], out=self.sums[1:])
 
+    def windows(self, width: int) -> np.ndarray:
+        """The hash of ``width`` values from each position on."""
+        n = len(self.sums) - width
+        return (self.sums[width:] - self.sums[:n]) * self.inv[:n]
+
     def span(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.sums[end] - self.sums[start]) * self.inv[start]
 
@@ -156,9 +170,7 @@ def runs_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def cover(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Boolean mask of positions below n in any [start, end)."""
-    d = np.zeros(n + 1, dtype=np.int64)
-    np.add.at(d, starts, 1)
-    np.add.at(d, ends, -1)
+    d = np.bincount(starts, minlength=n + 1) - np.bincount(ends, minlength=n + 1)
     return np.cumsum(d[:-1]) > 0
 
 

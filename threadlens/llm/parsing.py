@@ -94,9 +94,8 @@ class _Parse:
         end = np.repeat(offs[1:], np.diff(offs))
         data = self.chunk.data[lo:hi]
         roll = C.Roll(C.byte_codes()[data])
-        at = np.arange(n - gram + 1)
-        g = C.mix(roll.span(at, at + gram))
-        low = _sliding_min((g & ~_POS) | at.astype(np.uint64), length - gram + 1) & _POS
+        g = C.mix(roll.windows(gram))
+        low = _sliding_min((g & ~_POS) | np.arange(len(g), dtype=np.uint64), length - gram + 1) & _POS
         start = np.arange(n - length + 1)
         start = start[(start + length <= end[:len(start)]) & (start < stop - lo)]
         if not len(start):
@@ -233,21 +232,26 @@ def _suffix_hashes(text: np.ndarray, length: int):
     return lambda col: [C.mix((s[:, col + length] - s[:, col]) * inv[col]) for s, inv in out]
 
 
+def _deal(p: _Parse, sel: np.ndarray, buckets: int):
+    """Order of runs by the bucket of their trigger, and the buckets in that order."""
+    bucket = ((p.mark[sel] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return order, bucket[order]
+
+
 def _send_suffixes(p: _Parse, sel: np.ndarray, buckets: int):
     """Runs to compare, once each: bytes around the trigger and the shifts that count."""
     back = p.length - p.gram
-    mark = p.mark[sel]
-    bucket = ((mark >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    order, bucket = _deal(p, sel, buckets)
     rows = []
-    for k, s in C.by_bucket(bucket[order]):
+    for k, s in C.by_bucket(bucket):
         o = sel[order[s]]
         text = p.bytes_at(p.trigger[o] - back, back + p.length)
         rows.append((SUFFIX, k, C.blob(
             (p.mark[o] & np.uint64(0xFFFFFFFF)).astype(np.uint32), p.doc[o],
             (p.trigger[o] - p.last[o]).astype(np.uint8), (p.trigger[o] - p.first[o]).astype(np.uint8),
             text.ravel())))
-    return rows, order, bucket[order]
+    return rows
 
 
 def _answer_suffixes(chunks, payloads, length, gram):
@@ -349,7 +353,7 @@ def suffix_dedup(docs: DataFrame, length: int = 50, gram: int = 24, every: int =
             for key, chunk, answers in C.answer_lists(batch):
                 p = parse(chunk)
                 _, runs, hot = open_runs(p, answers)
-                rows = _send_suffixes(p, runs, buckets)[0]
+                rows = _send_suffixes(p, runs, buckets)
                 rows += _hot_keys(p, _starts(p, hot), buckets).questions()
                 if rows:
                     yield C.part_batch([(k, key, b, x) for k, b, x in rows])
@@ -364,7 +368,7 @@ def suffix_dedup(docs: DataFrame, length: int = 50, gram: int = 24, every: int =
                 p = parse(chunk)
                 owned, runs, hot = open_runs(p, answers)
                 lo, hi = [p.p_first[owned]], [p.p_last[owned] + length]
-                _, order, bucket = _send_suffixes(p, runs, buckets)
+                order, bucket = _deal(p, runs, buckets)
                 found = {x["bucket"]: x["payload"] for x in answers if x["kind"] == SUFFIX}
                 for b, s in C.by_bucket(bucket):
                     if b in found:

@@ -66,10 +66,9 @@ class _Sets:
         self.n = np.diff(self.ptr)
         self.rank = np.arange(len(self.value)) - self.ptr[self.own]
         self.ids = chunk.ids
-        a = np.zeros(docs, dtype=np.uint64)
-        b = np.zeros(docs, dtype=np.uint64)
-        np.add.at(a, self.own, C.mix(self.value))
-        np.add.at(b, self.own, C.mix(self.value ^ np.uint64(C.BASE_B)))
+        a, b = (np.concatenate(([np.uint64(0)], np.cumsum(x)))[self.ptr] for x in (
+            C.mix(self.value), C.mix(self.value ^ np.uint64(C.BASE_B))))
+        a, b = a[1:] - a[:-1], b[1:] - b[:-1]
         self.a, self.b = C.mix(a + self.n.astype(np.uint64)), b
         self.keys, self.key_doc = self._keys(k)
 
