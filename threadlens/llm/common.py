@@ -405,10 +405,10 @@ def worker_state(name: str, make: Callable):
 
 
 class Memo:
-    """Id lists of byte strings, kept for up to ``most`` of them; ``encode`` makes
-    them. When full, those asked for most often stay (half at most)."""
+    """Ids of byte strings, kept for up to ``most`` of them; ``encode`` makes them,
+    as little-endian 32-bit strings. When full, those asked for most often stay (half at most)."""
 
-    most = 500_000
+    most = 250_000
 
     def __init__(self):
         self.clear()
@@ -438,7 +438,7 @@ class Memo:
         self.ptr[1:len(words) + 1] = np.cumsum(size)
         self.asked[:len(words)] = 1
 
-    def encode(self, words: list[bytes]) -> list[list[int]]:
+    def encode(self, words: list[bytes]) -> list[bytes]:
         raise NotImplementedError
 
     def _grow(self, name, need):
@@ -459,12 +459,12 @@ class Memo:
             got = self.encode(part)
             n = len(slot)
             slot.update(zip(part, range(n, n + len(part))))
-            ends = self.used + np.cumsum([len(g) for g in got])
+            ends = self.used + np.cumsum([len(g) // 4 for g in got])
             self._grow("ptr", n + len(part) + 1)
             self._grow("asked", n + len(part) + 1)
             self._grow("ids", int(ends[-1]))
             self.ptr[n + 1:n + len(part) + 1] = ends
-            self.ids[self.used:ends[-1]] = np.fromiter((x for g in got for x in g), np.uint32)
+            self.ids[self.used:ends[-1]] = np.frombuffer(b"".join(got), "<u4")
             self.used = int(ends[-1])
         got = np.array([slot[w] for w in words], dtype=np.int64)
         self.asked[got] += 1

@@ -24,6 +24,7 @@ import json
 import os
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -67,16 +68,16 @@ class _Encoder(C.Memo):
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in shown]
         self.letter = {b: chr(256 + k) for k, b in enumerate(rest)}
-        self.part: dict[str, list[int]] = {}
+        self.part: dict[str, bytes] = {}
         super().__init__()
 
-    def _part_ids(self, part: str) -> list[int]:
+    def _part_ids(self, part: str) -> bytes:
         got = self.part.get(part)
         if got is None:
             if len(self.part) >= self.most:
                 self.part.clear()
             text = part if part.isascii() else part.encode().decode("latin-1").translate(self.letter)
-            got = self.part[part] = [t.id for t in self.tokenizer.model.tokenize(text)]
+            got = self.part[part] = array("I", [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
         return got
 
     def encode(self, words):
@@ -86,12 +87,12 @@ class _Encoder(C.Memo):
             text = w.decode()
             if self.plain and _PLAIN.fullmatch(text) and "<|" not in text:
                 parts = _PARTS.findall(text.lower())
-                out[k] = self._part_ids(parts[0]) if len(parts) == 1 else [i for p in parts for i in self._part_ids(p)]
+                out[k] = self._part_ids(parts[0]) if len(parts) == 1 else b"".join(map(self._part_ids, parts))
             else:
                 others.append(k)
         got = self.tokenizer.encode_batch([words[k].decode() for k in others], add_special_tokens=False)
         for k, e in zip(others, got):
-            out[k] = e.ids
+            out[k] = array("I", e.ids).tobytes()
         return out
 
 

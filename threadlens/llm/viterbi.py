@@ -21,6 +21,7 @@ space there (as in SentencePiece), and ``round_trip`` is false.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -135,9 +136,9 @@ class Encoder(C.Memo):
         for lo in range(0, len(short), 1000):
             part = short[lo:lo + 1000]
             for i, ids in zip(part, self._lock_step([texts[i] for i in part])):
-                out[i] = ids
+                out[i] = array("I", ids).tobytes()
         for i in order[len(short):]:
-            out[i] = list(stream(texts[i], self.p))
+            out[i] = array("I", stream(texts[i], self.p)).tobytes()
         return out
 
     def _lock_step(self, texts):
