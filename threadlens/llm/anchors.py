@@ -152,7 +152,7 @@ def substring_dedup(docs: DataFrame, length: int = 35, period: int = 21,
                     yield C.part_batch([(k, key, b, p) for k, b, p in
                                         _Pairs(d, start, length, buckets).questions()])
 
-    asked = C.with_answers(chunks, got).mapInArrow(second, C.PART)
+    asked = C.with_answers(chunks, got).mapInArrow(C.lean(second), C.PART)
     more = C.stage(C.each_bucket(asked, _windows_in_bucket), "window-answers")
     schema = RESULT + (", text string" if with_text else "")
 
@@ -178,4 +178,4 @@ def substring_dedup(docs: DataFrame, length: int = 35, period: int = 21,
                 names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["text"] * with_text
                 yield pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*rows)))))
 
-    return C.with_answers(chunks, got.unionByName(more)).mapInArrow(third, schema)
+    return C.with_answers(chunks, got.unionByName(more)).mapInArrow(C.lean(third), schema)

@@ -267,7 +267,8 @@ def chunked(docs: DataFrame, size: int, ask: Callable[[Chunk], list[tuple[int, i
         if held:
             yield flush()
 
-    return whole(docs).mapInArrow(run, PART)
+    small_batches(docs.sparkSession)
+    return whole(docs).mapInArrow(lean(run), PART)
 
 
 def with_answers(chunks: DataFrame, answers: DataFrame) -> DataFrame:
@@ -354,7 +355,10 @@ def each_bucket(questions: DataFrame, answer: Callable[[int, list[int], list[byt
     def run(key, table):
         kind, bucket = key[0].as_py(), key[1].as_py()
         rows = answer(kind, table.column("chunk").to_pylist(), table.column("payload").to_pylist())
-        return part_table([(k, c, bucket, p) for k, c, _, p in rows])
+        out = part_table([(k, c, bucket, p) for k, c, _, p in rows])
+        del rows
+        give_back()
+        return out
 
     return questions.groupBy("kind", "bucket").applyInArrow(run, PART)
 
@@ -393,17 +397,51 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
 # ------------------------------------------------------------- worker state
 
 
+WORKER_STATE = "_llm_worker_state"
+
+
 def worker_state(name: str, make: Callable):
     """An object kept by the Python worker across tasks (closures are shipped by
     value, so module globals are not)."""
     import sys
     import types
-    held = sys.modules.setdefault("_llm_worker_state", types.ModuleType("_llm_worker_state"))
+    held = sys.modules.setdefault(WORKER_STATE, types.ModuleType(WORKER_STATE))
     if not hasattr(held, name):
         setattr(held, name, make())
     return getattr(held, name)
 
 
+def give_back():
+    """Return freed memory to the system: Python workers outlive their tasks."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable) -> Callable:
+    """``run`` of mapInArrow in a worker that keeps nothing: what another operator
+    left there goes before, freed memory after."""
+    def task(batches):
+        import gc
+        import sys
+        sys.modules.pop(WORKER_STATE, None)
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            give_back()
+    return task
+
+
+def small_batches(spark: SparkSession, rows: int = 2000):
+    """Let Arrow batches hold at most ``rows`` rows; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 class Memo:
     """Ids of byte strings, kept for up to ``most`` of them; ``encode`` makes them,
     as little-endian 32-bit strings. When full, those asked for most often stay (half at most)."""

@@ -358,7 +358,7 @@ def suffix_dedup(docs: DataFrame, length: int = 50, gram: int = 24, every: int =
                 if rows:
                     yield C.part_batch([(k, key, b, x) for k, b, x in rows])
 
-    more = C.stage(C.each_bucket(C.with_answers(chunks, got).mapInArrow(second, C.PART), answer),
+    more = C.stage(C.each_bucket(C.with_answers(chunks, got).mapInArrow(C.lean(second), C.PART), answer),
                    "suffix-answers")
     schema = RESULT + (", text string" if with_text else "")
 
@@ -395,4 +395,4 @@ def suffix_dedup(docs: DataFrame, length: int = 50, gram: int = 24, every: int =
                 names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["text"] * with_text
                 yield pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*rows)))))
 
-    return C.with_answers(chunks, got.unionByName(more)).mapInArrow(third, schema)
+    return C.with_answers(chunks, got.unionByName(more)).mapInArrow(C.lean(third), schema)

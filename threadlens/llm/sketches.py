@@ -167,7 +167,7 @@ def _members(docs: DataFrame, shingle: int, k: int) -> DataFrame:
                      pa.array(lists, pa.list_(pa.int64())), pa.array(sets, pa.binary())],
                     names=["doc_id", "n_shingles", "rep", "keys", "members"])
 
-    return C.stage(C.with_answers(chunks, got).mapInArrow(second, MEMBER), "members")
+    return C.stage(C.with_answers(chunks, got).mapInArrow(C.lean(second), MEMBER), "members")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int, k: int) -> DataFrame:
@@ -199,8 +199,8 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int, k: int) -> DataFra
         n = len(np.intersect1d(x, y, assume_unique=True))
         return 100 * n >= percent * (len(x) + len(y) - n)
 
-    likely = joined(pairs, sketch, "s").mapInArrow(tested(estimate), "a long, b long")
-    return joined(likely, sets, "members").mapInArrow(tested(exact), "a long, b long")
+    likely = joined(pairs, sketch, "s").mapInArrow(C.lean(tested(estimate)), "a long, b long")
+    return joined(likely, sets, "members").mapInArrow(C.lean(tested(exact)), "a long, b long")
 
 
 def _fits(a, b, percent):
@@ -257,7 +257,7 @@ def _prefix_lists(docs: DataFrame, percent: int) -> DataFrame:
                 names=["rep", "n", "comp", "key"])
 
     tokens = docs.select("rep", "n", "comp", "members").mapInArrow(
-        explode, "rep long, n long, comp long, key long")
+        C.lean(explode), "rep long, n long, comp long, key long")
     freq = tokens.groupBy("key").agg(F.count(F.lit(1)).alias("df"), F.min("comp").alias("lo"),
                                      F.max("comp").alias("hi"))
     ranked = (tokens.join(freq, "key")

@@ -102,9 +102,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
         f, y = table.column("f").to_pylist(), table.column("y").to_pylist()
         rows = [(np.frombuffer(f[i], np.int32), y[i]) for i in order.tolist()]
         i, w, b = ftrl(rows, epochs, alpha, beta, l1, l2)
+        del rows, f
+        C.give_back()
         return pa.table({"i": [i.astype(np.int64).tobytes()], "w": [w.tobytes()], "b": [b]})
 
-    model = (rows.mapInArrow(extract, "doc_id long, y int, f binary")
+    model = (rows.mapInArrow(C.lean(extract), "doc_id long, y int, f binary")
              .groupBy(F.lit(0).alias("one")).applyInArrow(fit, "i binary, w binary, b double").first())
     if model is None:
         return np.zeros(0, np.int64), np.zeros(0), 0.0
@@ -135,7 +137,8 @@ def score(docs: DataFrame, model, extra: tuple[str, ...] = ()) -> DataFrame:
                 [batch.column(k) for k in range(1, batch.num_columns)] + [pa.array(p)],
                 names=[*batch.schema.names[1:], "score"])
 
-    return base.mapInArrow(run, schema)
+    C.small_batches(docs.sparkSession)
+    return base.mapInArrow(C.lean(run), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int = 4,
