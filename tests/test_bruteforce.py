@@ -250,11 +250,12 @@ def _sig(z):
     return 1.0 / (1.0 + math.exp(-z))
 
 
-def _lex(text, weights, labels, bias, link="sigmoid"):
+def _lex(text, weights, labels, bias, link="sigmoid", given=()):
     low = text.lower()
     out = []
-    for lab in labels:
+    for k, lab in enumerate(labels):
         z = bias + sum(w for t, w in weights.get(lab, {}).items() if t.lower() in low)
+        z += sum(row[k] for row in given)
         out.append(_sig(z) if link == "sigmoid" else z)
     return out
 
@@ -267,22 +268,26 @@ def _py_decisions(sentence):
     aspect_w = {lab: {t: 1.5} for lab, t in zip(ASPECT_LABELS[:-1], qo.ASPECT_TERMS)}
     rows = []
     for e in slots:
-        dl = [int(p >= 0.35) for p in _lex(sentence, aspect_w, ASPECT_LABELS[:-1], qo.ASPECT_BIAS)]
+        dl = [int(p >= 0.35) for p in _lex(sentence, aspect_w, ASPECT_LABELS[:-1], qo.ASPECT_BIAS,
+                                         given=[qo.ENTITY_ASPECT[e]])]
         cats = [ASPECT_LABELS[i] for i in range(13) if dl[i]] or ["others"]
         if cats == ["others"]:
-            low = sentence.lower()
-            text = "; ".join(ASPECT_LABELS[i] for i in range(14) if qo.ASPECT_SECOND_TERMS[i] in low)
+            who = ENTITY_LABELS[e].replace("others", "neither trump nor kamala")
+            low = f"entity of interest: {who} [SEP] {sentence}".lower()
+            text = "; ".join(ASPECT_LABELS[i] for i in range(14) if low.count(qo.ASPECT_SECOND_TERMS[i]) > 1)
             parts = [p.lower().strip(" ") for p in text.split(";")]
             labels = [int(lab in parts) for lab in ASPECT_LABELS]
             cats = [ASPECT_LABELS[i] for i in range(14) if labels[i]] or ["others"]
         else:
             labels = dl + [0]
-        logits = _lex(sentence, qo.SENTIMENT_LEXICON, SENTIMENT_LABELS, 0.0, "identity")
-        p1, c1 = logits.index(max(logits)) - 1, max(logits)
-        p2 = 1 if "!" in sentence else (-1 if "?" in sentence else 0)
-        c2 = -0.2 if ("!" in sentence or "?" in sentence) else -0.5
-        final = p1 if c1 >= 0.85 else (p2 if c2 >= -0.36 else p1)
         for cat in cats:
+            logits = _lex(sentence, qo.SENTIMENT_LEXICON, SENTIMENT_LABELS, 0.0, "identity",
+                          given=[qo.ENTITY_SENTIMENT[e], qo.ASPECT_SENTIMENT[ASPECT_LABELS.index(cat)]])
+            p1, c1 = logits.index(max(logits)) - 1, max(logits)
+            cue = cat[:3] in sentence.lower()
+            p2 = 1 if "!" in sentence else (-1 if "?" in sentence else int(cue))
+            c2 = -0.2 if ("!" in sentence or "?" in sentence or cue) else -0.5
+            final = p1 if c1 >= 0.85 else (p2 if c2 >= -0.36 else p1)
             rows.append((ENTITY_LABELS[e], cat, final, str(ent).replace(" ", ""),
                          str(labels).replace(" ", "")))
     return rows

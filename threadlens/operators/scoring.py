@@ -54,34 +54,50 @@ class FrameScorer:
         return hit.unionByName(miss).drop("_mask")
 
 
+def _given(given: Mapping[str, Sequence[Sequence[float]]], k) -> Column:
+    """What the row's codes add to slot ``k``: per code column (entity_id,
+    final_aspect_ids) a row of weights for each code; an unknown code adds 0."""
+    z = F.lit(0.0)
+    for col, rows in given.items():
+        m = F.array(*[F.array(*[F.lit(float(w)) for w in r]) for r in rows])
+        z = z + F.coalesce(F.get(F.get(m, F.col(col)), k), F.lit(0.0))
+    return z
+
+
 def linear_slots(vec_col: str, out_col: str, slots: Sequence[int], scale: float,
-                 bias: float = 0.0, link: str = "sigmoid") -> ExprScorer:
-    """score[k] = link(scale * vec[slots[k]] + bias); vector cast to double."""
+                 bias: float = 0.0, link: str = "sigmoid",
+                 given: Mapping[str, Sequence[Sequence[float]]] | None = None) -> ExprScorer:
+    """score[k] = link(scale * vec[slots[k]] + bias + given weights); vector cast to double."""
     def expr(df: DataFrame) -> Column:
         v = F.col(vec_col)
         idx = F.array(*[F.lit(int(s)) for s in slots])
 
-        def one(i):
+        def one(i, k):
             z = F.lit(float(scale)) * v[i].cast("double") + F.lit(float(bias))
+            if given:
+                z = z + _given(given, k)
             return sigmoid(z) if link == "sigmoid" else z
         return F.transform(idx, one)
     return ExprScorer(out_col, expr)
 
 
 def lexicon(text_col: str, out_col: str, weights: Mapping[str, Mapping[str, float]],
-            labels: Sequence[str], bias: float = 0.0, link: str = "sigmoid") -> ExprScorer:
-    """Per label: link(bias + sum of weights of terms contained in the text).
+            labels: Sequence[str], bias: float = 0.0, link: str = "sigmoid",
+            given: Mapping[str, Sequence[Sequence[float]]] | None = None) -> ExprScorer:
+    """Per label: link(bias + sum of weights of terms contained in the text + given weights).
 
     The lexicon is configuration of bounded size and is inlined as literals.
     """
     def expr(df: DataFrame) -> Column:
         low = F.lower(F.col(text_col))
         outs = []
-        for lab in labels:
+        for k, lab in enumerate(labels):
             terms = weights.get(lab, {})
             z = F.lit(float(bias))
             for term, w in terms.items():
                 z = z + F.when(low.contains(term.lower()), F.lit(float(w))).otherwise(F.lit(0.0))
+            if given:
+                z = z + _given(given, F.lit(k))
             outs.append(sigmoid(z) if link == "sigmoid" else z)
         return F.array(*outs)
     return ExprScorer(out_col, expr)

@@ -9,7 +9,9 @@ from threadlens.operators import absa as ab
 from threadlens.operators.scoring import ExprScorer, linear_slots
 from threadlens.plans import register
 from threadlens.schemas import ASPECT_LABELS, ENTITY_LABELS, SENTIMENT_LABELS
-from threadlens.sources.fixtures import SECOND_SENTIMENT_TEXTS, v_scores, with_views
+from threadlens.sources.fixtures import (
+    ASPECT_SENTIMENT, ENTITY_ASPECT, ENTITY_SENTIMENT, SECOND_SENTIMENT_TEXTS, given_sql, v_scores, with_views,
+)
 from threadlens.sources.tables import table
 
 ASPECT13 = ASPECT_LABELS[:-1]
@@ -44,9 +46,11 @@ _SQL_SECOND_ASPECT_CTE = f"""SELECT *, {_SQL_SECOND_ASPECT} AS aspect_second_tex
 def scorers() -> ab.Scorers:
     return ab.Scorers(
         entity=linear_slots("e", "entity_probs", [0, 1, 2], 12.0),
-        aspect=linear_slots("e", "aspect_probs", list(range(3, 16)), 12.0, -3.0),
+        aspect=linear_slots("e", "aspect_probs", list(range(3, 16)), 12.0, -3.0,
+                            given={"entity_id": ENTITY_ASPECT}),
         aspect_second=ExprScorer("aspect_second_text", lambda df: second_aspect_text()),
-        sentiment=linear_slots("e", "sentiment_logits", [16, 17, 18], 6.0, link="identity"),
+        sentiment=linear_slots("e", "sentiment_logits", [16, 17, 18], 6.0, link="identity",
+                               given={"entity_id": ENTITY_SENTIMENT, "final_aspect_ids": ASPECT_SENTIMENT}),
         sentiment_second=ExprScorer("sentiment_second", lambda df: F.struct(
             F.element_at(F.array(*[F.lit(t) for t in SECOND_SENTIMENT_TEXTS]),
                          (F.col("vec_id") % 4 + 1).cast("int")).alias("text"),
@@ -154,6 +158,12 @@ def label_parse(spark, sf_dir):
                     lb.unknown_label_count("aspect_second_text").alias("n_unknown"))
 
 
+_SQL_DL_GIVEN = (f"list_transform(range(1, 14), lambda i: CAST(1.0 / (1.0 + exp(-((12.0 * e[i + 3] - 3.0) + "
+                 f"{given_sql([('entity_id', ENTITY_ASPECT)], 'i')}))) >= 0.35 AS INTEGER))")
+_SQL_ASPECT_ID = f"(list_position({_SQL_L14}, final_aspect_category) - 1)"
+_SQL_GIVEN_SENTIMENT = given_sql([("entity_id", ENTITY_SENTIMENT), (_SQL_ASPECT_ID, ASPECT_SENTIMENT)], "k")
+
+
 # The whole cascade in SQL (entity expand -> first opinion -> masked second
 # opinion -> final labels), shared by the remaining oracles.
 _CASCADE = {
@@ -164,7 +174,7 @@ _CASCADE = {
         SELECT *, unnest(list_filter([0, 1, 2], lambda i: entity_ids[i + 1] = 1
                   OR (i = 2 AND list_sum(entity_ids) = 0))) AS entity_id FROM ent)""",
     "a1": f"""SELECT *, {_sql_decode('dl', _SQL_L13, 13)} AS distil_categories FROM (
-        SELECT *, {_SQL_DL} AS dl FROM ex)""",
+        SELECT *, {_SQL_DL_GIVEN} AS dl FROM ex)""",
     "a2": f"""SELECT *, CASE WHEN distil_categories = ['others'] THEN {_SQL_PARSE} END AS bart_labels
         FROM a1""",
     "a3": f"""SELECT *,
@@ -174,11 +184,12 @@ _CASCADE = {
         bart_labels IS NOT NULL AS used_second FROM a2""",
     "a4": f"""SELECT *, unnest(final_categories) AS final_aspect_category FROM a3""",
     "s1": f"""SELECT *,
-        CAST(list_position(first_logits, list_max(first_logits)) - 2 AS INTEGER) AS p1,
-        list_max(first_logits) AS c1,
+        CAST(list_position(lg, list_max(lg)) - 2 AS INTEGER) AS p1,
+        list_max(lg) AS c1,
         CAST(coalesce(CASE string_split(second_text, ': ')[2] WHEN 'negative' THEN -1
              WHEN 'neutral' THEN 0 WHEN 'positive' THEN 1 END, 0) AS INTEGER) AS p2,
-        second_conf AS c2 FROM a4""",
+        second_conf AS c2 FROM (SELECT *, list_transform(range(1, 4),
+          lambda k: 6.0 * e[k + 16] + {_SQL_GIVEN_SENTIMENT}) AS lg FROM a4)""",
     "s2": """SELECT *, CASE WHEN coalesce(CASE WHEN isnan(c1) THEN NULL ELSE c1 END >= 0.85, false) THEN p1
                             WHEN coalesce(CASE WHEN isnan(c2) THEN NULL ELSE c2 END >= -0.36, false) THEN p2
                             ELSE p1 END AS final_sentiment_prediction FROM s1""",

@@ -12,7 +12,9 @@ from threadlens.plans import register
 from threadlens.plans.q_models import SUBJECTIVE_BIAS, SUBJECTIVE_TERMS
 from threadlens.plans.q_threads import comment_level
 from threadlens.schemas import ASPECT_LABELS, ENTITY_LABELS, SENTIMENT_LABELS
-from threadlens.sources.fixtures import GAZETTEER_A, GAZETTEER_B
+from threadlens.sources.fixtures import (
+    ASPECT_SENTIMENT, ENTITY_ASPECT, ENTITY_SENTIMENT, GAZETTEER_A, GAZETTEER_B, given_sql,
+)
 
 # Lexicons of the default sentence scorers (configuration of
 # the non-neural stand-ins; real weights plug in through scoring.external).
@@ -38,25 +40,30 @@ def sentence_scorers() -> ab.Scorers:
     second_terms = F.array(*[F.lit(t) for t in ASPECT_SECOND_TERMS])
 
     def aspect_second(df):
-        low = F.lower(F.col("sentence"))
+        low = F.lower(F.col("sentence2"))             # the entity prompt: a term counts from twice on
+        twice = lambda t: F.length(low) - F.length(F.replace(low, t, F.lit(""))) >= 4
         hits = F.transform(F.sequence(F.lit(0), F.lit(len(ASPECT_LABELS) - 1)),
-                           lambda i: F.when(low.contains(second_terms[i]), names[i]))
+                           lambda i: F.when(twice(second_terms[i]), names[i]))
         return F.array_join(F.filter(hits, lambda x: x.isNotNull()), "; ")
 
     def sentiment_second(df):
         s = F.col("sentence")
+        aspect = F.regexp_extract("sentence3", r"\[SEP\] aspect of interest: (.*?) \[SEP\] ", 1)
+        cue = F.lower(s).contains(F.substring(aspect, 1, 3))   # the sentence speaks of the aspect
         label = (F.when(s.contains("!"), "positive").when(s.contains("?"), "negative")
-                 .otherwise("neutral"))
-        conf = F.when(s.contains("!") | s.contains("?"), F.lit(-0.2)).otherwise(F.lit(-0.5))
+                 .when(cue, "positive").otherwise("neutral"))
+        conf = F.when(s.contains("!") | s.contains("?") | cue, F.lit(-0.2)).otherwise(F.lit(-0.5))
         return F.struct(F.concat(F.lit("sentiment: "), label).alias("text"),
                         conf.alias("confidence"))
 
     return ab.Scorers(
         entity=lexicon("sentence", "entity_probs", ENTITY_LEXICON, ENTITY_LABELS, ENTITY_BIAS),
-        aspect=lexicon("sentence", "aspect_probs", aspect_w, ASPECT_LABELS[:-1], ASPECT_BIAS),
+        aspect=lexicon("sentence", "aspect_probs", aspect_w, ASPECT_LABELS[:-1], ASPECT_BIAS,
+                       given={"entity_id": ENTITY_ASPECT}),
         aspect_second=ExprScorer("aspect_second_text", aspect_second),
         sentiment=lexicon("sentence", "sentiment_logits", SENTIMENT_LEXICON, SENTIMENT_LABELS,
-                          link="identity"),
+                          link="identity",
+                          given={"entity_id": ENTITY_SENTIMENT, "final_aspect_ids": ASPECT_SENTIMENT}),
         sentiment_second=ExprScorer("sentiment_second", sentiment_second),
     )
 
@@ -96,19 +103,21 @@ def opinion_daily(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# The same decision chain on English documents' sentences, with an oracle.
+# The same decision chain on all documents' sentences, with an oracle.
 # ---------------------------------------------------------------------------
 
 def _sq(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 
 
-def _lexicon_sql(text: str, weights, labels, bias: float, link: str = "sigmoid") -> str:
+def _lexicon_sql(text: str, weights, labels, bias: float, link: str = "sigmoid", given=()) -> str:
     items = []
-    for lab in labels:
+    for k, lab in enumerate(labels, 1):
         z = " + ".join([f"({bias})"] + [
             f"CASE WHEN contains(lower({text}), {_sq(t.lower())}) THEN {w} ELSE 0.0 END"
             for t, w in weights.get(lab, {}).items()])
+        if given:
+            z = f"({z}) + {given_sql(given, str(k))}"
         items.append(f"1.0 / (1.0 + exp(-({z})))" if link == "sigmoid" else f"({z})")
     return "[" + ", ".join(items) + "]"
 
@@ -128,20 +137,22 @@ def _sentence_decisions_sql() -> str:
     sec_terms = "[" + ", ".join(_sq(x) for x in ASPECT_SECOND_TERMS) + "]"
     parts = f"list_transform(string_split(second_text, ';'), lambda p: trim(lower(p)))"
     parse = f"list_transform({l14}, lambda lab: CAST(list_contains({parts}, lab) AS INTEGER))"
+    prompt = ("('entity of interest: ' || replace(entity_category, 'others', 'neither trump nor kamala') "
+              "|| ' [SEP] ' || sentence)")
+    cue = "contains(lower(sentence), substr(final_aspect_category, 1, 3))"
+    aspect_id = f"(list_position({l14}, final_aspect_category) - 1)"
     return f"""
 WITH s AS ({_subj_sql()}),
-sc AS (SELECT *, {_lexicon_sql('sentence', ENTITY_LEXICON, ENTITY_LABELS, ENTITY_BIAS)} AS ep,
-              {_lexicon_sql('sentence', aspect_w, ASPECT_LABELS[:-1], ASPECT_BIAS)} AS ap,
-              {_lexicon_sql('sentence', SENTIMENT_LEXICON, SENTIMENT_LABELS, 0.0, 'identity')} AS lg
-       FROM s),
+sc AS (SELECT *, {_lexicon_sql('sentence', ENTITY_LEXICON, ENTITY_LABELS, ENTITY_BIAS)} AS ep FROM s),
 ent AS (SELECT *, list_transform(ep, lambda p: CAST(p > 0.65 AS INTEGER)) AS entity_ids FROM sc),
 ex AS (SELECT *, ({l3})[entity_id + 1] AS entity_category FROM (
        SELECT *, unnest(list_filter([0, 1, 2], lambda i: entity_ids[i + 1] = 1
                  OR (i = 2 AND list_sum(entity_ids) = 0))) AS entity_id FROM ent)),
 a1 AS (SELECT *, {_decode_sql('dl', ASPECT_LABELS[:-1], 13)} AS distil_categories FROM (
-       SELECT *, list_transform(ap, lambda p: CAST(p >= 0.35 AS INTEGER)) AS dl FROM ex)),
+       SELECT *, list_transform({_lexicon_sql('sentence', aspect_w, ASPECT_LABELS[:-1], ASPECT_BIAS,
+           given=[('entity_id', ENTITY_ASPECT)])}, lambda p: CAST(p >= 0.35 AS INTEGER)) AS dl FROM ex)),
 a2 AS (SELECT *, CASE WHEN distil_categories = ['others'] THEN array_to_string(list_filter(
-         list_transform(range(0, 14), lambda i: CASE WHEN contains(lower(sentence), ({sec_terms})[i + 1])
+         list_transform(range(0, 14), lambda i: CASE WHEN length(lower({prompt})) - length(replace(lower({prompt}), ({sec_terms})[i + 1], '')) >= 4
            THEN ({l14})[i + 1] END), lambda x: x IS NOT NULL), '; ') END AS second_text FROM a1),
 a3 AS (SELECT *, CASE WHEN second_text IS NOT NULL THEN {parse} END AS bart_labels FROM a2),
 a4 AS (SELECT *, coalesce(CASE WHEN bart_labels IS NOT NULL THEN {_decode_sql('bart_labels', ASPECT_LABELS, 14)} END,
@@ -150,9 +161,10 @@ a4 AS (SELECT *, coalesce(CASE WHEN bart_labels IS NOT NULL THEN {_decode_sql('b
        FROM a3),
 a5 AS (SELECT *, unnest(final_categories) AS final_aspect_category FROM a4),
 s1 AS (SELECT *, CAST(list_position(lg, list_max(lg)) - 2 AS INTEGER) AS p1, list_max(lg) AS c1,
-              CASE WHEN contains(sentence, '!') THEN 1 WHEN contains(sentence, '?') THEN -1 ELSE 0 END AS p2,
-              CASE WHEN contains(sentence, '!') OR contains(sentence, '?') THEN -0.2 ELSE -0.5 END AS c2
-       FROM a5)
+              CASE WHEN contains(sentence, '!') THEN 1 WHEN contains(sentence, '?') THEN -1 WHEN {cue} THEN 1 ELSE 0 END AS p2,
+              CASE WHEN contains(sentence, '!') OR contains(sentence, '?') OR {cue} THEN -0.2 ELSE -0.5 END AS c2
+       FROM (SELECT *, {_lexicon_sql('sentence', SENTIMENT_LEXICON, SENTIMENT_LABELS, 0.0, 'identity',
+                given=[('entity_id', ENTITY_SENTIMENT), (aspect_id, ASPECT_SENTIMENT)])} AS lg FROM a5))
 SELECT doc_id, sentence_idx, entity_category, final_aspect_category AS final_aspect_categories,
        CASE WHEN coalesce(CASE WHEN isnan(c1) THEN NULL ELSE c1 END >= 0.85, false) THEN p1
             WHEN coalesce(CASE WHEN isnan(c2) THEN NULL ELSE c2 END >= -0.36, false) THEN p2
@@ -162,7 +174,7 @@ FROM s1"""
 
 
 def sentence_decisions(spark, sf_dir):
-    """English documents -> sentences -> subjectivity gate -> decisions
+    """Documents -> sentences -> subjectivity gate -> decisions
     (the chain of ``sentence_opinions`` without the HTML step, oracle-checked)."""
     from threadlens.sources.fixtures import v_sentence_docs
     scorer = lexicon("sentence", "subj_scores", {"subjective": SUBJECTIVE_TERMS}, ["subjective"],

@@ -56,6 +56,12 @@ def _context_input(spark, sf_dir):
     return g.withColumn("parent_comment", F.coalesce("_ptext", F.lit(""))).drop("_pid", "_ptext")
 
 
+def _placed(*names):
+    """Rows on a cycle have no level: they stay, without context."""
+    return [F.when(F.col("level").isNotNull(), F.col(c)).alias(c) if c == "parent_comment" else F.col(c)
+            for c in names]
+
+
 def _recover(x):
     return f"coalesce(string_split({x}, '[NEXT_COMMENT] ')[2], {x})"
 
@@ -85,13 +91,14 @@ _CTX_CTES = {
 
 
 @register("thread_context", with_views("""
-SELECT comment_id, level, parent_comment, resolved AS comment_after_coref FROM ctx""",
+SELECT comment_id, level, parent_comment, resolved AS comment_after_coref FROM ctx
+UNION ALL SELECT comment_id, NULL, NULL, NULL FROM ci WHERE comment_id NOT IN (SELECT comment_id FROM lv)""",
                                        "v_comments", extra=_CTX_CTES, recursive=True))
 def thread_context_q(spark, sf_dir):
     c = assign_levels(_context_input(spark, sf_dir))
     out = thread_context(c, order_col="doc_id")
-    return out.where(F.col("level").isNotNull()).select(
-        "comment_id", "level", "parent_comment", "comment_after_coref")
+    return out.select(*_placed(
+        "comment_id", "level", "parent_comment", "comment_after_coref"))
 
 
 @register("clean")
@@ -128,8 +135,8 @@ def thread_context_rewrite_q(spark, sf_dir):
     from threadlens.operators.rewrite import rule_rewrite
     c = assign_levels(_context_input(spark, sf_dir))
     out = thread_context(c, rewrite=rule_rewrite(GAZETTEER_A + GAZETTEER_B), order_col="doc_id")
-    return out.where(F.col("level").isNotNull()).select(
-        "comment_id", "level", "parent_comment", "comment_after_coref")
+    return out.select(*_placed(
+        "comment_id", "level", "parent_comment", "comment_after_coref"))
 
 
 @register("clean_langid")

@@ -19,6 +19,10 @@ BASE_DAY = "2024-10-01"
 # Fixture gazetteers (each holds redundant super-strings).
 GAZETTEER_A = ["tionwh", "TionWhst", "andth"]
 GAZETTEER_B = ["eding", "enthe", "Edings"]
+# What entity and aspect add to the stand-in scorers' slots.
+ENTITY_ASPECT = [[0.4 if i % 3 == e else -0.2 for i in range(13)] for e in range(3)]
+ENTITY_SENTIMENT = [[0.31 if k == e else 0.0 for k in range(3)] for e in range(3)]
+ASPECT_SENTIMENT = [[0.62 if k == a % 3 else 0.0 for k in range(3)] for a in range(14)]
 # Second-opinion sentiment texts by vec_id % 4.
 SECOND_SENTIMENT_TEXTS = ["sentiment: positive", "sentiment: neutral",
                           "sentiment: negative", "positive"]
@@ -28,6 +32,12 @@ def _day_text(offset: Column, fmt: str) -> Column:
     return F.date_format(F.date_add(F.lit(BASE_DAY).cast("date"), offset.cast("int")), fmt)
 
 
+def given_sql(given, k: str) -> str:
+    """SQL of the weights that codes add to the 1-based slot ``k``; given: (code, rows) pairs."""
+    return "(CAST(0 AS DOUBLE)" + "".join(
+        f" + coalesce((CAST({rows} AS DOUBLE[][]))[{code} + 1][{k}], 0.0)" for code, rows in given) + ")"
+
+
 def v_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages")
     i = F.col("page_id")
@@ -133,9 +143,9 @@ def v_turns(spark, sf_dir) -> DataFrame:
 
 
 def v_sentence_docs(spark, sf_dir) -> DataFrame:
-    """English documents, control characters stripped (sentence input)."""
+    """Documents of all languages, control characters stripped (sentence input)."""
     from threadlens.functions.text import strip_control
-    d = table(spark, sf_dir, "documents").where(F.col("lang") == "en")
+    d = table(spark, sf_dir, "documents")
     return d.select("doc_id", strip_control("text").alias("comment"))
 
 
@@ -263,7 +273,7 @@ SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS comment_id,
 FROM conversations"""),
     "v_sentence_docs": ((), r"""
 SELECT doc_id, regexp_replace(text, '[\x00-\x1f\x7f-\x9f]', '', 'g') AS comment
-FROM documents WHERE lang = 'en'"""),
+FROM documents"""),
     "v_scores": ((), """
 SELECT vec_id, e,
        list_transform([1, 2, 3], lambda i: 1.0 / (1.0 + exp(-(12.0 * e[i])))) AS entity_probs,
