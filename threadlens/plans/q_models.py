@@ -47,6 +47,43 @@ best AS (SELECT doc_id, min(lang) AS lang_pred FROM (
 # (ties go to the alphabetically first label, as in Spark's sorted label array)
 
 
+def _label_sql(label: str) -> str:
+    """Held-out accuracy of the same model on a column of ``labels``, beside the majority class."""
+    src = (f"WITH documents_l AS (SELECT d.doc_id, d.text, CAST(l.{label} AS VARCHAR) AS lang FROM documents d "
+           f"JOIN (SELECT doc_id, max({label}) AS {label} FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id),")
+    nb = _NB_SQL.replace("FROM documents", "FROM documents_l").strip().removeprefix("WITH")
+    return f"""{src}{nb},
+test AS (SELECT d.lang, b.lang_pred FROM documents_l d LEFT JOIN best b ON d.doc_id = b.doc_id
+         WHERE length(d.text) % 2 = 1 AND d.lang IS NOT NULL),
+maj AS (SELECT lang FROM tr GROUP BY lang ORDER BY count(*) DESC, lang LIMIT 1)
+SELECT '{label}' AS label, CAST(count(*) AS BIGINT) AS n_test,
+       round(avg(CASE WHEN lang_pred = lang THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+       round(avg(CASE WHEN lang = (SELECT lang FROM maj) THEN 1.0 ELSE 0.0 END), 6) AS majority_accuracy
+FROM test"""
+
+
+@register("scorer_quality", " UNION ALL ".join(f"SELECT * FROM ({_label_sql(x)})" for x in ("quality", "toxic")))
+def scorer_quality(spark, sf_dir):
+    """Text scorers trained on ``documents`` with each column of ``labels``
+    (word naive Bayes): held-out accuracy beside that of the majority class."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", lang_text("text").alias("lt"), _is_train().alias("tr"))
+    out = None
+    for label in ("quality", "toxic"):
+        y = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max(label).cast("string").alias("lang"))
+        d = docs.join(y.where(F.col("lang").isNotNull()), "doc_id")
+        train = d.where("tr")
+        majority = (train.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+                    .orderBy(F.col("n").desc(), F.col("lang")).first()["lang"])  # one value
+        pred = predict_word_nb(train_word_nb(train, "lt", "lang"), d.where(~F.col("tr")), "lt", "doc_id")
+        share = lambda c: F.round(F.avg(F.when(c, F.lit(1.0)).otherwise(F.lit(0.0))), 6)
+        got = pred.agg(F.count(F.lit(1)).alias("n_test"),
+                       share(F.col("lang_pred") == F.col("lang")).alias("accuracy"),
+                       share(F.col("lang") == F.lit(majority)).alias("majority_accuracy")
+                       ).select(F.lit(label).alias("label"), "*")
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 @register("lang_filter", _NB_SQL + """
 SELECT d.doc_id, d.lang, b.lang_pred FROM documents d JOIN best b ON d.doc_id = b.doc_id
 WHERE b.lang_pred = 'en'""")
