@@ -103,6 +103,17 @@ def entity_expand(spark, sf_dir):
     return ab.expand_entities(s).select("vec_id", "entity_id", "entity_category")
 
 
+@register("entity_expand_named", with_views(f"""
+SELECT vec_id, entity_id, ({_SQL_L3})[entity_id + 1] AS entity_category FROM (
+  SELECT vec_id, unnest(list_filter([0, 1], lambda i: ids[i + 1] = 1)) AS entity_id
+  FROM (SELECT vec_id, {_SQL_IDS} AS ids FROM v_scores))""", "v_scores"))
+def entity_expand_named(spark, sf_dir):
+    """Named entities only: neither the last slot nor rows without an entity."""
+    s = ab.entity_multihot(v_scores(spark, sf_dir))
+    return ab.expand_entities(s, all_zero="drop", drop_others=True).select(
+        "vec_id", "entity_id", "entity_category")
+
+
 @register("first_label", with_views(f"""
 SELECT vec_id, ({_SQL_L3})[nullif(list_position(ids, 1), 0)] AS first_entity
 FROM (SELECT vec_id, {_SQL_IDS} AS ids FROM v_scores)""", "v_scores"))
