@@ -48,3 +48,36 @@ def test_empty_tables(spark):
     only = next(i for i in range(100) if held(i))
     got = class_scores(data.frame(spark, [(only, "a b")]), classes=4).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got] == [(3, 0, 0, 0.0, 0.0)]
+
+
+def test_both_halves_move_after_the_first_sweep(spark, monkeypatch):
+    from threadlens.llm import brown
+    seen, real = [], brown._exchange
+
+    def noted(cells, k, half):
+        seen.append((k, half))
+        return real(cells, k, half)
+
+    monkeypatch.setattr(brown, "_exchange", noted)
+    df = data.frame(spark, data.rows(22, 40))
+    class_scores(df, sweeps=3).collect()
+    assert seen == [(128, 0), (128, 1), (128, 2), (128, 1), (128, 2)]
+
+
+def test_halves_make_the_moves_of_all():
+    import numpy as np
+
+    from threadlens.llm import brown
+    from threadlens.llm import common as C
+    texts = [(t or "").encode() for t in data.texts(23, 60)]
+    offs = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    w = brown._Words(C.Chunk(np.arange(len(texts)), offs, np.frombuffer(b"".join(texts), np.uint8)), 16, 7, 2)
+    moved = {}
+    for half in (0, 1, 2):
+        ask = list(w.questions(1))
+        rows = brown._exchange(w.cells(), 16, half)(brown.WORD, [0], [ask[0][2]])
+        moved[half] = C.unblob(rows[1][3], np.uint8, np.int64)[0].astype(int)
+    own = w.cls[w.deal(1)[0]]
+    one, two = moved[1] != own, moved[2] != own
+    assert one.any() and two.any() and not (one & two).any()
+    assert (np.where(one, moved[1], moved[2]) == moved[0]).all()

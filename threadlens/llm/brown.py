@@ -7,8 +7,9 @@ a document. Training documents are those whose crc32(doc_id as text) modulo
 Classes. Each word starts in the class given by its last bytes. An exchange
 sweep counts, for each word, the classes before and after it, brings these
 counts together in the word's bucket and moves the word to the class that
-raises the class-bigram likelihood most, the other words held fixed (all words
-of a sweep move at once; in later sweeps half of them, by hash).
+raises the class-bigram likelihood most, the other words held fixed. All words of
+the first sweep move at once; a later sweep has two rounds, in which the halves of
+the vocabulary (by hash) move in turn, each against the counts the last one left.
 
 Model. P(word | previous) = (1 - u) P(class | previous class) count / class count;
 transitions are smoothed by class frequency, and u, the chance of an unseen
@@ -135,6 +136,11 @@ class _Words:
         return m
 
 
+def _rounds(sweeps: int) -> list[int]:
+    """What moves in each round: all words (0), then the first (1) and the second half (2)."""
+    return [0, *[1, 2] * (sweeps - 1)] if sweeps > 0 else []
+
+
 def _exchange(cells: np.ndarray, k: int, half: int):
     """Answer of a bucket: for each asked word its new class and its count."""
     n = cells[:k + 1, :k + 1].astype(np.float64)
@@ -165,13 +171,18 @@ def _exchange(cells: np.ndarray, k: int, half: int):
             sides.append((key // (k + 1), key % (k + 1), x))
         total = np.bincount(sides[0][0], weights=sides[0][2], minlength=w).astype(np.int64)
         new = now.copy()
-        size = 4096
-        for lo in range(0, w, size):
-            hi = min(lo + size, w)
+        moving = np.arange(w)
+        if half:                                            # the others are not weighed
+            turn = (words >> np.uint64(7)) % np.uint64(2) == np.uint64(half - 1)
+            moving, place = np.flatnonzero(turn), np.cumsum(turn) - 1
+            sides = [(place[o[turn[o]]], c[turn[o]], x[turn[o]]) for o, c, x in sides]
+        size = (1 << 18) // k
+        for lo in range(0, len(moving), size):
+            hi = min(lo + size, len(moving))
             m = hi - lo
-            own = now[lo:hi]
+            own = now[moving[lo:hi]]
             gain = np.zeros((m, k))
-            count = total[lo:hi].astype(np.float64)
+            count = total[moving[lo:hi]].astype(np.float64)
             mine = np.arange(m), own
             for axis, (owner, c, x) in enumerate(sides):
                 i, j = np.searchsorted(owner, [lo, hi])
@@ -192,9 +203,7 @@ def _exchange(cells: np.ndarray, k: int, half: int):
                 gain -= loss
             best = gain.argmax(1)
             better = gain[np.arange(m), best] > gain[mine] + 1e-9
-            if half:
-                better &= (words[lo:hi] >> np.uint64(7)) % np.uint64(2) == np.uint64(half - 1)
-            new[lo:hi] = np.where(better & (count > 0), best, own)
+            new[moving[lo:hi]] = np.where(better & (count > 0), best, own)
         rows, lo = [(KINDS, -1, -1, np.array([(total > 0).sum()]).tobytes())], 0
         for chunk, p in zip(chunks, parts):
             mine = word[lo:lo + len(p[0])]
@@ -226,7 +235,7 @@ RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
           "base_score double, score double")
 
 
-def class_scores(docs: DataFrame, classes: int = 64, sweeps: int = 2, folds: int = 7,
+def class_scores(docs: DataFrame, classes: int = 128, sweeps: int = 2, folds: int = 7,
                  held_out: int = 2, alpha: float = 1.0) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     if not 2 <= classes <= 250:
@@ -255,10 +264,10 @@ def class_scores(docs: DataFrame, classes: int = 64, sweeps: int = 2, folds: int
                     yield ask(batch.column(0)[i].as_py(), w)
 
     questions = chunks.where(F.col("kind") == C.TEXT).select("chunk", "payload").mapInArrow(first, C.PART)
-    for sweep in range(sweeps):
-        answers = C.stage(C.each_bucket(questions, _exchange(cells, classes, sweep and 1 + sweep % 2)),
-                          "classes")
-        if sweep < sweeps - 1:
+    rounds = _rounds(sweeps)
+    for turn, half in enumerate(rounds):
+        answers = C.stage(C.each_bucket(questions, _exchange(cells, classes, half)), "classes")
+        if turn < len(rounds) - 1:
             def again(batches):
                 for batch in batches:
                     for key, chunk, got in C.answer_lists(batch):
