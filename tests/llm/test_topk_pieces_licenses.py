@@ -126,3 +126,49 @@ def test_licenses_as_brute_force(spark):
     assert got == {i: brute_license(t or "") for i, t in rs}
     assert got[8001][0] == got[8004][0] == "MIT" and got[8002][0] == "ISC" and got[8003][2] == 2
     assert license_scan(data.frame(spark, [])).collect() == []
+
+
+def brute_windows(text, least=0.8):
+    def words(t):
+        return re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+    best, w = (0.0, ""), words(text)
+    for name in sorted(TEMPLATES):
+        for t in TEMPLATES[name]:
+            own = words(t)
+            grams = set(zip(own, own[1:]))
+            reach = int((2 - least) / least * (len(own) - 1) + 1e-9)
+            for i in range(len(w) - 1):
+                for j in range(i + 1, min(i + reach, len(w) - 1) + 1):
+                    got = set(zip(w[i:j], w[i + 1:j + 1]))
+                    dice = 2 * len(got & grams) / (len(got) + len(grams))
+                    if dice >= least and dice > best[0]:
+                        best = (dice, name)
+    return best[1] or None, round(best[0], 9)
+
+
+def test_license_windows_as_brute_force(spark):
+    import textwrap
+    gpl, mit = TEMPLATES["GPL-3.0"][1], TEMPLATES["MIT"][1]
+    tail = ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+            "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
+            "License for more details. You should have received a copy of the GNU General Public License along with "
+            "this program. If not, see the project's page, where all of it can be read at leisure.")
+    wrap = textwrap.wrap
+    block = "\n".join(["# Copyright 2020 A. Writer", "#", *("# " + x for x in wrap(gpl, 60)), "#",
+                       *("# " + x for x in wrap(tail, 60)), "", "import os"])
+    stars = "\n".join(["/*", " * Copyright (c) 2020", " *", *(" * " + x for x in wrap(mit, 60)), " *",
+                       *(" * " + x for x in wrap(tail * 2, 60)), " */", "int x;"])
+    crlf = "\r\n".join([*wrap(tail, 70), "", *wrap(TEMPLATES["ISC"][0], 50), "", *wrap(tail, 70)])
+    blanks = " \n".join([*wrap(tail, 70), "  ", *wrap(TEMPLATES["MPL-2.0"][0], 30), "\t", *wrap(tail, 70)])
+    line = ("Some words about this page and who wrote it. " * 4 + "It is all licensed under CC BY-SA 4.0. " + tail + " "
+            + TEMPLATES["Unlicense"][0] + " And more words follow here, none of them of any use.")
+    two = "GNU General Public License as published by the Free Software Foundation; either version 2 of the License"
+    old = tail + " " + TEMPLATES["GPL-2.0"][1] + " " + tail
+    near = tail + " " + gpl.replace("modify it", "change all of it") + " " + tail
+    rs = list(enumerate([block, stars, crlf, blanks, line, two, old, near, tail]))
+    got = {r.doc_id: r for r in license_scan(data.frame(spark, rs)).collect()}
+    for i, t in rs:
+        assert (got[i].license, round(got[i].dice, 9)) == brute_windows(t)
+    assert [got[i].license for i, _ in rs] == [
+        "GPL-3.0", "MIT", "ISC", "MPL-2.0", "CC-BY-SA-4.0", None, "GPL-2.0", "GPL-3.0", None]
+    assert got[4].n_matches == 2 and got[0].n_matches == 1 and got[8].n_matches == 0

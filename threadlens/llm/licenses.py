@@ -3,16 +3,24 @@
 Texts and templates are normalised alike: A-Z lower-cased, words parted by
 anything but letters, digits and non-ASCII bytes; a segment's set holds its
 distinct word bigrams (a single word counts as one). Segments are each line,
-each paragraph (between empty lines) and the whole text. A template can only
-reach the threshold t with segments of between t/(2-t) and (2-t)/t times its
-size; other segments are never compared. Per document the best match counts;
-ties go to the template first by name.
+each paragraph (between empty lines), the whole text, and, however the text is
+broken into lines or marked as comments, every window of a document's words of
+up to (2-t)/t times a template's length. A template can only reach the threshold
+t with segments of between t/(2-t) and (2-t)/t times its size; other segments are
+never compared. The best window starts and ends with a bigram of the template,
+so only such starts are looked at, and only where enough of the template's
+bigrams follow: work is linear in the text. Per document the best match counts;
+ties go to the template first by name. n_matches counts lines, paragraphs and
+whole texts that match, and matching windows (the best first) that overlap
+neither those nor each other. Templates of one word only meet one-word segments.
 
 Null and empty texts match nothing (license null, dice 0). Empty table: no rows.
 """
 
 from __future__ import annotations
 
+import bisect
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,6 +35,10 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
         "compliance with the License. You may obtain a copy of the License at "
         "http://www.apache.org/licenses/LICENSE-2.0"],
+    "AGPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version."],
     "BSD-3-Clause": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
         "that the following conditions are met:",
@@ -39,6 +51,11 @@ TEMPLATES = {
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0."],
     "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring "
                 "rights to this work."],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version."],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
@@ -46,6 +63,14 @@ TEMPLATES = {
         "option) any later version."],
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
             "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "LGPL-2.1": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version."],
+    "LGPL-3.0": [
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version."],
     "MIT": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -57,14 +82,20 @@ TEMPLATES = {
 }
 
 
+def _bigrams(h: np.ndarray, seg: np.ndarray):
+    """Places of the words that have a next one in their segment, and the bigrams' hashes."""
+    two = np.flatnonzero(seg[1:] == seg[:-1]) if len(h) else np.zeros(0, np.int64)
+    return two, C.mix(h[two] * np.uint64(3) + C.mix(h[two + 1])) if len(two) else h[:0]
+
+
 def bigram_sets(data: np.ndarray, offs: np.ndarray):
     """Distinct bigram hashes of each segment: (hash, segment), sorted by segment."""
     _, _, h, ptr = C.words(data, offs, lower=True, space=_parting())
     count = np.diff(ptr)
     seg = np.repeat(np.arange(len(count)), count)
-    two = np.flatnonzero(seg[1:] == seg[:-1]) if len(h) else np.zeros(0, np.int64)
+    two, pairs = _bigrams(h, seg)
     one = ptr[:-1][count == 1]
-    value = np.concatenate([C.mix(h[two] * np.uint64(3) + C.mix(h[two + 1])) if len(two) else h[:0], h[one]])
+    value = np.concatenate([pairs, h[one]])
     own = np.concatenate([seg[two], seg[one]])
     order = np.lexsort((value, own))
     value, own = value[order], own[order]
@@ -81,15 +112,61 @@ def _line_ends(data: np.ndarray, offs: np.ndarray):
     return lines, np.unique(np.concatenate([offs, empty]))
 
 
-def matches(data: np.ndarray, offs: np.ndarray, templates: list[tuple[str, np.ndarray]], least: float):
-    """For each document: number of matching segments, best Dice, its template."""
+def _windows(data: np.ndarray, offs: np.ndarray, templates: list, known: np.ndarray, least: float):
+    """Best matching window from each start: (-dice, template, document, first byte, end)."""
+    starts, ends, h, ptr = C.words(data, offs, lower=True, space=_parting())
+    doc = np.repeat(np.arange(len(offs) - 1), np.diff(ptr))
+    at, value = _bigrams(h, doc)
+    hit = np.flatnonzero(known[np.minimum(np.searchsorted(known, value), len(known) - 1)] == value)
+    found = []
+    for t, (_, grams, n_words) in enumerate(templates):
+        if n_words < 2:
+            continue
+        reach = int((2 - least) / least * (n_words - 1) + 1e-9)
+        need = max(int(np.ceil(least * len(grams) / (2 - least) - 1e-9)), 1)
+        own = hit[grams[np.minimum(np.searchsorted(grams, value[hit]), len(grams) - 1)] == value[hit]]
+        if len(own) < need:
+            continue
+        last = len(own) - need + 1                              # enough anchors within reach, in one document?
+        near = (at[own[need - 1:]] - at[own[:last]] < reach) & (doc[at[own[need - 1:]]] == doc[at[own[:last]]])
+        if not near.any():
+            continue
+        wanted = set(grams.tolist())
+        for k in own[:last][near].tolist():
+            d = int(doc[at[k]])
+            seen, shared, top = set(), 0, (0.0, 0)
+            for j, v in enumerate(value[k:min(k + reach, int(np.searchsorted(at, ptr[d + 1])))].tolist(), k):
+                if v not in seen:
+                    seen.add(v)
+                    if v in wanted:
+                        shared += 1
+                        dice = 2 * shared / (len(seen) + len(wanted))
+                        if dice > top[0]:
+                            top = (dice, j)
+            if top[0] >= least:
+                found.append((-top[0], t, d, int(starts[at[k]]), int(ends[at[top[1]] + 1])))
+    return found
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def matches(data: np.ndarray, offs: np.ndarray, templates: list[tuple[str, np.ndarray, int]], least: float):
+    """For each document: number of matches, best Dice, its template (name, bigrams, words)."""
     docs = len(offs) - 1
     hits, best, which = np.zeros(docs, np.int64), np.zeros(docs), np.full(docs, -1)
     known = np.unique(np.concatenate([t[1] for t in templates]))
     lo = min(len(t[1]) for t in templates) * least / (2 - least)
     hi = max(len(t[1]) for t in templates) * (2 - least) / least
     lines, paragraphs = _line_ends(data, offs)
-    seen = set()
+    seen, taken = set(), [[] for _ in range(docs)]
     for bounds in (lines, paragraphs, offs):
         value, own = bigram_sets(data, bounds)
         n = np.bincount(own, minlength=len(bounds) - 1)
@@ -102,7 +179,7 @@ def matches(data: np.ndarray, offs: np.ndarray, templates: list[tuple[str, np.nd
             seen.add(span)
             a, b = np.searchsorted(own, [s, s + 1])
             top = (0.0, -1)
-            for t, (_, grams) in enumerate(templates):
+            for t, (_, grams, _) in enumerate(templates):
                 size = b - a
                 if least * len(grams) <= (2 - least) * size and least * size <= (2 - least) * len(grams):
                     dice = 2 * len(np.intersect1d(value[a:b], grams, assume_unique=True)) / (size + len(grams))
@@ -111,8 +188,18 @@ def matches(data: np.ndarray, offs: np.ndarray, templates: list[tuple[str, np.nd
             if top[1] >= 0:
                 d = int(np.searchsorted(offs, span[0], side="right")) - 1
                 hits[d] += 1
+                taken[d].append(span)
                 if top[0] > best[d] or (top[0] == best[d] and top[1] < which[d]):
                     best[d], which[d] = top
+    for bounds in taken:
+        bounds[:] = _merged(bounds)
+    for dice, t, d, a, b in sorted(_windows(data, offs, templates, known, least)):
+        if -dice > best[d] or (-dice == best[d] and t < which[d]):
+            best[d], which[d] = -dice, t
+        place = bisect.bisect_left(taken[d], (a, b))
+        if (place == 0 or taken[d][place - 1][1] <= a) and (place == len(taken[d]) or taken[d][place][0] >= b):
+            taken[d].insert(place, (a, b))
+            hits[d] += 1
     return hits, best, which
 
 
@@ -128,7 +215,9 @@ def license_scan(docs: DataFrame, templates: dict[str, list[str]] | None = None,
         for name in sorted(templates):
             for text in templates[name]:
                 raw = np.frombuffer(text.encode(), np.uint8)
-                table.append((name, bigram_sets(raw, np.array([0, len(raw)]))[0]))
+                bounds = np.array([0, len(raw)])
+                n_words = len(C.words(raw, bounds, lower=True, space=_parting())[0])
+                table.append((name, bigram_sets(raw, bounds)[0], n_words))
         for batch in batches:
             ids = np.asarray(batch.column(0))
             data, offs = C.strings(batch.column(1))
