@@ -172,3 +172,43 @@ def test_license_windows_as_brute_force(spark):
     assert [got[i].license for i, _ in rs] == [
         "GPL-3.0", "MIT", "ISC", "MPL-2.0", "CC-BY-SA-4.0", None, "GPL-2.0", "GPL-3.0", None]
     assert got[4].n_matches == 2 and got[0].n_matches == 1 and got[8].n_matches == 0
+
+
+def test_scores_are_log_probabilities_of_the_documents(spark):
+    import collections
+
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+    path = default_model()
+    lib = sentencepiece.SentencePieceProcessor(model_file=path)
+    rs = [*data.rows(53, 60), (7001, "An international agreement between the governments of the north"),
+          (7002, "the international governments agree  on 日本語 "), (7003, "international " * 50)]
+    docs = data.frame(spark, [*rs, (None, "nobody counts this")]).repartition(3)
+    scores = viterbi.piece_scores(docs, path)
+    n = collections.Counter(i for _, t in rs for i in lib.encode(t or ""))
+    plain = [i for i in range(lib.get_piece_size()) if not (lib.is_byte(i) or lib.is_control(i) or lib.is_unknown(i))]
+    total = sum(n[i] for i in plain) + len(plain) / 2
+    assert all(abs(scores[i] - math.log((n[i] + .5) / total)) < 1e-6 for i in plain)
+    # the library's own Viterbi over a unigram model of these scores
+    proto = sentencepiece_model_pb2.ModelProto()
+    with open(path, "rb") as f:
+        proto.ParseFromString(f.read())
+    proto.trainer_spec.model_type = 1
+    for i in plain:
+        proto.pieces[i].score = scores[i]
+    other = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+    p = Pieces(path, scores)
+
+    def worth(ids):
+        return sum(scores[i] if not lib.is_byte(i) else 0.0 for i in ids)
+
+    got = {r.doc_id: list(r.ids) for r in sentencepiece_ids(docs, with_ids=True).collect()}
+    same = 0
+    for i, t in rs:
+        esc = viterbi.SPACE + (t or "").replace(" ", viterbi.SPACE) if t else ""
+        assert got[i] == full_viterbi(esc, p)
+        want = other.encode(t or "")
+        same += want == got[i]
+        assert abs(worth(want) - worth(got[i])) <= 1e-4 * (1 + abs(worth(want)))        # it adds in 32 bits
+    assert same >= 0.9 * len(rs)
+    assert got[7003] == lib.encode("international " * 50)

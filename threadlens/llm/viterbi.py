@@ -5,6 +5,13 @@ and cut into the pieces of greatest total score; of equal totals the longest
 last piece wins. A character that is no piece costs ten less than the least
 score and becomes its UTF-8 bytes.
 
+Scores are unigram log probabilities of the model's pieces: the model is a BPE
+model, whose own scores are merge ranks and mean nothing when added up. A first
+job counts the pieces over all documents, as the model's library cuts them; a
+piece seen n times of N scores log((n + 1/2) / (N + V/2)), V the number of
+pieces, rounded to 2^-20. So the vocabulary is the model's, and the ids are those of a unigram
+model: they may differ from what BPE merges give (README: how often).
+
 ``stream`` reads characters one by one and keeps scores for a window of the
 longest piece; whenever the paths behind all positions of the window meet in
 one boundary, everything before it is committed, so memory does not grow with
@@ -27,6 +34,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from threadlens.llm import common as C
 
@@ -40,9 +48,9 @@ def default_model() -> str:
 
 
 class Pieces:
-    """Pieces and scores of a model file."""
+    """Pieces of a model file, with its scores or those given (by id)."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, scores: np.ndarray | None = None):
         import sentencepiece
         m = sentencepiece.SentencePieceProcessor(model_file=path)
         self.score, self.bytes_of, self.byte_id = {}, [], {}
@@ -52,7 +60,7 @@ class Pieces:
                 raw = bytes([int(piece[3:5], 16)])
                 self.byte_id[raw[0]] = i
             elif not (m.is_control(i) or m.is_unknown(i) or m.is_unused(i)):
-                self.score[piece] = (m.get_score(i), i)
+                self.score[piece] = (m.get_score(i) if scores is None else float(scores[i]), i)
                 raw = piece.replace(SPACE, " ").encode()
             self.bytes_of.append(raw)
         self.longest = max(map(len, self.score))
@@ -111,8 +119,8 @@ def stream(chars: Iterable[str], p: Pieces) -> Iterator[int]:
 class Encoder(C.Memo):
     """Ids of segments (UTF-8, spaces as U+2581)."""
 
-    def __init__(self, path: str):
-        self.p = Pieces(path)
+    def __init__(self, path: str, scores: np.ndarray | None = None):
+        self.p = Pieces(path, scores)
         keys = list(self.p.score)
         h = np.array([self._hash(np.array([[ord(c) for c in k]], dtype=np.uint64))[0] for k in keys], dtype=np.uint64)
         order = np.argsort(h)
@@ -197,8 +205,9 @@ _ONLY_SPACE = np.zeros(256, dtype=bool)
 _ONLY_SPACE[0x20] = True
 
 
-def encode(data: np.ndarray, offs: np.ndarray, encoder: Encoder) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of documents and their pointer."""
+def _segments(data: np.ndarray, offs: np.ndarray):
+    """Distinct segments of documents; for each word, then for each document's
+    end, the place of its segment; the words' documents."""
     starts, ends, h, ptr = C.words(data, offs, lower=False, space=_ONLY_SPACE)
     docs, count = len(offs) - 1, np.diff(ptr)
     doc = np.repeat(np.arange(docs), count)
@@ -219,6 +228,13 @@ def encode(data: np.ndarray, offs: np.ndarray, encoder: Encoder) -> tuple[np.nda
             words.append(mark * int(before[i]) + raw[starts[i]:ends[i]])
         else:
             words.append(mark * int(tail[i - n]))
+    return words, inverse, doc
+
+
+def encode(data: np.ndarray, offs: np.ndarray, encoder: Encoder) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of documents and their pointer."""
+    words, inverse, doc = _segments(data, offs)
+    docs = len(offs) - 1
     slot = encoder.slots(words)[inverse]
     order = np.argsort(np.concatenate([doc * 2, np.arange(docs) * 2 + 1]), kind="stable")
     ids = encoder.gather(slot[order])
@@ -237,16 +253,66 @@ def decode(ids: np.ndarray, ptr: np.ndarray, pieces: Pieces) -> list[bytes]:
     return out
 
 
+class Merges(C.Memo):
+    """Ids of segments as the model's own library cuts them."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+        self.m = sentencepiece.SentencePieceProcessor(model_file=path)
+        super().__init__()
+
+    def encode(self, words):
+        texts = [w.decode()[1:].replace(SPACE, " ") for w in words]     # the library adds the first space
+        out: list = [b""] * len(words)
+        some = [i for i, w in enumerate(words) if w]
+        for i, ids in zip(some, self.m.encode([texts[i] for i in some], out_type=int, num_threads=1)):
+            out[i] = array("I", ids or [self.m.piece_to_id(SPACE)]).tobytes()     # one space: no text is left
+        return out
+
+
+def _state(kind: str, path: str) -> str:
+    return f"{kind}_" + "".join(c if c.isalnum() else "_" for c in path)
+
+
+def piece_scores(docs: DataFrame, path: str) -> np.ndarray:
+    """Log probability of each piece id, counted over all documents."""
+    import sentencepiece
+    m = sentencepiece.SentencePieceProcessor(model_file=path)
+    size = m.get_piece_size()
+    plain = np.array([not (m.is_byte(i) or m.is_control(i) or m.is_unknown(i) or m.is_unused(i))
+                      for i in range(size)])
+
+    def count(batches):
+        merges = C.worker_state(_state("merges", path), lambda: Merges(path))
+        total = np.zeros(size, dtype=np.int64)
+        for batch in batches:
+            data, offs = C.strings(batch.column(1))
+            for i, j in C.pieces(offs, 4 << 20):
+                words, inverse, _ = _segments(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+                slot = merges.slots(words)
+                often = np.repeat(np.bincount(inverse, minlength=len(words)), merges.ptr[slot + 1] - merges.ptr[slot])
+                total += np.bincount(merges.gather(slot), weights=often, minlength=size).astype(np.int64)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"piece": at, "n": total[at]})
+
+    rows = C.whole(docs).mapInArrow(count, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).toPandas()
+    n = np.zeros(size)
+    n[rows["piece"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
+    # multiples of 2^-20: totals are exact, so ties are the same wherever a text is cut
+    return np.round(np.log((n + 0.5) / (n[plain].sum() + 0.5 * plain.sum())) * (1 << 20)) / (1 << 20)
+
+
 RESULT = "doc_id long, n_ids long, ids_crc32 long, n_bytes long, round_trip boolean"
 
 
 def sentencepiece_ids(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """Per document: doc_id, n_ids, ids_crc32, n_bytes, round_trip (and the ids)."""
     path = path or default_model()
+    scores = piece_scores(docs, path)
+    state = f"{_state('pieces', path)}_{zlib.crc32(scores.tobytes())}"
 
     def run(batches):
-        encoder = C.worker_state("pieces_" + "".join(c if c.isalnum() else "_" for c in path),
-                                 lambda: Encoder(path))
+        encoder = C.worker_state(state, lambda: Encoder(path, scores))
         for batch in batches:
             doc_ids = np.asarray(batch.column(0))
             data, offs = C.strings(batch.column(1))
