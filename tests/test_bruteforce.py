@@ -138,6 +138,16 @@ def test_rule_rewrite_matches_python(spark):
     assert changed > 0
 
 
+def test_mention_rewrite_takes_all_languages(spark):
+    from threadlens.plans import QUERIES, load_all
+    from threadlens.plans.common import present_comments
+    load_all()
+    rows = present_comments(spark, SF).select("comment_id", "comment", "lang").collect()
+    got = {r.comment_id: r.comment_rewritten for r in QUERIES["mention_rewrite"](spark, SF).collect()}
+    assert got == {r.comment_id: _py_rule_rewrite(r.comment, GAZETTEER_A + GAZETTEER_B) for r in rows}
+    assert any(r.lang != "en" for r in rows)
+
+
 # --- levels + context propagation with the rewrite ---------------------------
 
 _PUNCT_END = re.compile(r"[!-/:-@\[-`{-~]\s*$")

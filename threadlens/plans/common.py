@@ -70,11 +70,16 @@ def unified(spark, sf_dir) -> DataFrame:
                            extra=["lang", "_order"])
 
 
-def gated_comments(spark, sf_dir) -> DataFrame:
-    """v_comments after the scan NA rule, NULL drop and English gate (no Python)."""
+def present_comments(spark, sf_dir) -> DataFrame:
+    """v_comments of all languages after the scan NA rule and NULL drop (no Python)."""
     c = v_comments(spark, sf_dir)
     c = c.withColumn("comment", normalize_na("comment"))
-    return c.where(F.col("comment").isNotNull() & (F.col("lang") == "en"))
+    return c.where(F.col("comment").isNotNull())
+
+
+def gated_comments(spark, sf_dir) -> DataFrame:
+    """v_comments after the scan NA rule, NULL drop and English gate (no Python)."""
+    return present_comments(spark, sf_dir).where(F.col("lang") == "en")
 
 
 def _dedup_sql(src: str, key: str, order: str = "_order") -> str:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from threadlens.operators.clean import clean_comments, stored_label_gate
 from threadlens.operators.threads import assign_levels, orphan_roots, thread_context
 from threadlens.plans import register
-from threadlens.plans.common import ctes, gated_comments, unified
+from threadlens.plans.common import ctes, gated_comments, present_comments, unified
 from threadlens.plans.q_text import PUNCT_END_SQL
 from threadlens.schemas import UNIFIED_COLUMNS
 from threadlens.sources.fixtures import GAZETTEER_A, GAZETTEER_B, v_comments, v_turns, with_views
@@ -122,9 +122,9 @@ register("comment_level")(comment_level)
 
 @register("mention_rewrite")
 def mention_rewrite_q(spark, sf_dir):
-    """Rule clusters + exact rewrite on every English comment (rows-only check)."""
+    """Rule clusters + exact rewrite on every comment, whatever its language (rows-only check)."""
     from threadlens.operators.rewrite import rule_rewrite
-    g = gated_comments(spark, sf_dir)
+    g = present_comments(spark, sf_dir)
     rw = rule_rewrite(GAZETTEER_A + GAZETTEER_B)
     return g.select("comment_id", rw(F.col("comment")).alias("comment_rewritten"))
 
