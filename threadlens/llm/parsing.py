@@ -15,13 +15,12 @@ Dictionary. Equal phrases meet in a bucket and learn their smallest doc_id:
 a phrase that a smaller document also holds is removed whole. This settles
 repetitive text without looking at its positions.
 
-Suffix order. What is left can only match another phrase in part. Suffixes of
-these phrases are compared in the order of their trigger's bucket: only
-suffixes whose trigger occurs again are sent, once a run, with the bytes
-around the trigger; in the bucket the ``length``-byte prefixes of the run's
-suffixes are ordered, and equal neighbours show the smallest document. A full
-suffix array over the distinct text is not built: only the order among
-suffixes that share a trigger can matter for matches of ``length`` bytes.
+Window hashes. What is left can only match another phrase in part. Only runs
+whose trigger occurs again are sent to the trigger's bucket, with the bytes
+around it; there the ``length``-byte windows of the runs are grouped by hash,
+and a group shows its smallest document. These hashes replace the suffix
+arrays of dictionary and parse, of which none is built: equal windows share
+their trigger, and only equality of ``length`` bytes matters, not order.
 
 Hot triggers (in many chunks, or many times in a chunk) send distinct suffix
 hashes instead, at most one a chunk, dealt to buckets by their own value.
