@@ -212,3 +212,13 @@ def test_scores_are_log_probabilities_of_the_documents(spark):
         assert abs(worth(want) - worth(got[i])) <= 1e-4 * (1 + abs(worth(want)))        # it adds in 32 bits
     assert same >= 0.9 * len(rs)
     assert got[7003] == lib.encode("international " * 50)
+
+
+def test_equal_segments_of_spaces_and_marks_keep_the_memo_right():
+    enc = Encoder(default_model())
+    for texts in ([viterbi.SPACE, "lead  ", "then words"], ["other words", "and more of them"]):
+        raw = [t.encode() for t in texts]
+        offs = np.concatenate(([0], np.cumsum([len(t) for t in raw])))
+        ids, ptr = viterbi.encode(np.frombuffer(b"".join(raw), np.uint8), offs, enc)
+        for t, a, b in zip(texts, ptr[:-1], ptr[1:]):
+            assert ids[a:b].tolist() == full_viterbi(viterbi.SPACE + t.replace(" ", viterbi.SPACE), enc.p)

@@ -228,6 +228,10 @@ def _segments(data: np.ndarray, offs: np.ndarray):
             words.append(mark * int(before[i]) + raw[starts[i]:ends[i]])
         else:
             words.append(mark * int(tail[i - n]))
+    if mark in raw:                                          # a U+2581 may be one of the text: equal segments
+        place: dict[bytes, int] = {}
+        inverse = np.array([place.setdefault(w, len(place)) for w in words], dtype=np.int64)[inverse]
+        words = list(place)
     return words, inverse, doc
 
 
