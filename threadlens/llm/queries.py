@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from threadlens.llm import common as C
 from threadlens.llm.anchors import substring_dedup
+from threadlens.llm.audit import ORACLE as AUDIT_SQL
+from threadlens.llm.audit import filter_audit
 from threadlens.llm.brown import class_scores
 from threadlens.llm.licenses import license_scan
 from threadlens.llm.merkle import document_fingerprints
@@ -76,3 +78,9 @@ def op5_sentencepiece(spark, sf_dir):
 @_register("op9_license_scan")
 def op9_license_scan(spark, sf_dir):
     return license_scan(C.documents(spark, sf_dir))
+
+
+@_register("op13_filter_audit", AUDIT_SQL)
+def op13_filter_audit(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return filter_audit(C.documents(spark, sf_dir), labels)
