@@ -7,6 +7,8 @@ from threadlens.llm.anchors import substring_dedup
 from threadlens.llm.audit import ORACLE as AUDIT_SQL
 from threadlens.llm.audit import filter_audit
 from threadlens.llm.brown import class_scores
+from threadlens.llm.lemp import ORACLE as SEARCH_SQL
+from threadlens.llm.lemp import lexical_search
 from threadlens.llm.licenses import license_scan
 from threadlens.llm.merkle import document_fingerprints
 from threadlens.llm.packing import pack
@@ -84,3 +86,9 @@ def op9_license_scan(spark, sf_dir):
 def op13_filter_audit(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return filter_audit(C.documents(spark, sf_dir), labels)
+
+
+@_register("op11_lexical_search", SEARCH_SQL)
+def op11_lexical_search(spark, sf_dir):
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return lexical_search(C.documents(spark, sf_dir), items)
