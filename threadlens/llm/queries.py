@@ -6,6 +6,7 @@ from threadlens.llm import common as C
 from threadlens.llm.anchors import substring_dedup
 from threadlens.llm.audit import ORACLE as AUDIT_SQL
 from threadlens.llm.audit import filter_audit
+from threadlens.llm.bpe import round_trip
 from threadlens.llm.brown import class_scores
 from threadlens.llm.lemp import ORACLE as SEARCH_SQL
 from threadlens.llm.lemp import lexical_search
@@ -92,3 +93,8 @@ def op13_filter_audit(spark, sf_dir):
 def op11_lexical_search(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     return lexical_search(C.documents(spark, sf_dir), items)
+
+
+@_register("op12_byte_bpe")
+def op12_byte_bpe(spark, sf_dir):
+    return round_trip(C.documents(spark, sf_dir))
