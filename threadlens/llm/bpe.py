@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,10 +36,11 @@ from pyspark.sql import DataFrame
 
 from threadlens.llm import common as C
 
-STATES = 100_000                                             # of a worker's transducer
+STATES = 300_000                                             # of a worker's transducer
 KEPT = 200_000                                               # matches with their ids that a worker keeps
 WINDOW = 4 << 20                                             # bytes of text parted at once
 NEVER = 1 << 62                                              # above all ranks
+NONE: list[int] = []                                         # shared, never changed
 
 #: The pattern whose rules ``split`` follows (a fixed value of the vocabulary).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -137,26 +139,27 @@ class _State:
     """Bytes ``held`` since the last committed token. ``live``: trie nodes of the
     tokens that may still be under way, the longest first. For each place among the
     bytes, ``last`` and ``size``: the token that ends there, and its bytes (place 0:
-    the committed token; of places that no survivor's path passes, nothing sure)."""
+    the committed token; of places that no survivor's path passes, nothing sure).
+    ``name``: a multiple of 256; with a byte it names an arc."""
 
-    __slots__ = ("held", "live", "last", "size", "arcs")
+    __slots__ = ("name", "held", "live", "last", "size")
 
-    def __init__(self, held: bytes, live: list[int], last: list[int], size: list[int]):
-        self.held, self.live, self.last, self.size = held, live, last, size
-        self.arcs: dict[int, tuple[_State, tuple]] = {}
+    def __init__(self, name: int, held: bytes, live: list[int], last: list[int], size: list[int]):
+        self.name, self.held, self.live, self.last, self.size = name, held, live, last, size
 
-    def rest(self) -> tuple:
+    def rest(self) -> list[int]:
         """Ids still due if the input ends here."""
         return _tokens(self.last, self.size, len(self.held))
 
 
-def _tokens(last: list[int], size: list[int], place: int) -> tuple:
+def _tokens(last: list[int], size: list[int], place: int) -> list[int]:
     """Ids on the path from place 0 to ``place``."""
     out = []
     while place > 0:
         out.append(last[place])
         place -= size[place]
-    return tuple(out[::-1])
+    out.reverse()
+    return out
 
 
 class Transducer:
@@ -179,15 +182,20 @@ class Transducer:
                     self.inner.append(False)
                 node = to
             self.token[node] = ranks[raw]
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.steps: dict[int, tuple[list, list]] = {}
         self._anew()
 
     def _anew(self):
+        """Forget all states; those on the way of a match stay as they are."""
+        self.names = 0
         self.table: dict[tuple[int, bytes], _State] = {}
-        self.root = self.table[-1, b""] = _State(b"", [0], [-1], [0])
-        if self.most > 10_000:
-            gc.collect()                                     # states refer to each other
+        self.arcs: dict[int, tuple[_State, list[int]]] = {}
+        self.root = self.table[-1, b""] = _State(self._name(), b"", [0], [-1], [0])
+
+    def _name(self) -> int:
+        self.names += 256
+        return self.names
 
     def merges(self, raw: bytes) -> tuple[list[bytes], list[tuple[int, bytes, bytes]]]:
         """Merging the lowest rank, leftmost first: the parts left, and for each merge
@@ -219,10 +227,10 @@ class Transducer:
     def compatible(self, before: int, token: int) -> bool:
         """May ``token`` follow ``before`` (-1: nothing) in an encoding? The merges inside
         both take place in order of rank; none may be preceded by one across the border."""
-        key = (before, token)
+        key = before << 32 | token
         ok = self.fits.get(key)
         if ok is None:
-            if len(self.fits) >= 4 * self.most:
+            if len(self.fits) >= 2 * self.most:
                 self.fits.clear()
             self.fits[key] = ok = self._border_holds(before, token)
         return ok
@@ -246,50 +254,53 @@ class Transducer:
             else:
                 j += 1
 
-    def _arc(self, state: _State, byte: int) -> tuple[_State, tuple]:
-        """The state after ``byte``, and the ids that it commits."""
-        here = len(state.held) + 1
+    def _arc(self, state: _State, byte: int) -> tuple[_State, list[int]]:
+        """The state after ``byte``, and the ids that it commits; kept for the next time."""
+        if len(self.table) >= self.most:
+            self._anew()
+            state.name = self._name()                        # its old name may be given again
+        held = state.held + bytes((byte,))
+        here = len(held)
         last, size = state.last, state.size
-        child, live, found, length = self.child, [], -1, 0
+        child, tokens, depth = self.child, self.token, self.depth
+        live, found, length = [], -1, 0
         for node in state.live:
             to = child.get(node << 8 | byte)
             if to is None:
                 continue
-            token = self.token[to]
-            if found < 0 and token >= 0 and self.compatible(last[here - self.depth[to]], token):
-                found, length = token, self.depth[to]
+            if found < 0:
+                token = tokens[to]
+                if token >= 0 and self.compatible(last[here - depth[to]], token):
+                    found, length = token, depth[to]
             if self.inner[to]:
                 live.append(to)
         last, size = [*last, found], [*size, length]
         # the furthest place that the paths of all survivors pass is committed
         base = here
         for node in live:
-            place = here - self.depth[node]
+            place = here - depth[node]
             while place != base:
                 if place > base:
                     place -= size[place]
                 else:
                     base -= size[base]
-        live.append(0)
-        out = _tokens(last, size, base) if base else ()
-        held = (state.held + bytes((byte,)))[base:]
-        key = (last[base], held)
+        out = NONE
+        if base:
+            out = _tokens(last, size, base)
+            held, last, size = held[base:], last[base:], size[base:]
+        key = (last[0], held)
         to = self.table.get(key)
         if to is None:
-            to = self.table[key] = _State(held, live, last[base:], size[base:])
-        return to, out
-
-    def _made(self, state: _State, byte: int) -> tuple[_State, tuple]:
-        if len(self.table) >= self.most:
-            self._anew()                                     # states on the way stay as they are
-        arc = state.arcs[byte] = self._arc(state, byte)
+            live.append(0)
+            to = self.table[key] = _State(self._name(), held, live, last, size)
+        arc = self.arcs[state.name | byte] = (to, out)
         return arc
 
-    def stream(self, raw: bytes) -> Iterator[tuple[int, tuple]]:
+    def stream(self, raw: bytes) -> Iterator[tuple[int, list[int]]]:
         """(bytes read, ids committed by them) along a match that is no token itself."""
         state = self.root
         for k, byte in enumerate(raw):
-            state, ids = state.arcs.get(byte) or self._made(state, byte)
+            state, ids = self.arcs.get(state.name | byte) or self._arc(state, byte)
             yield k + 1, ids
         yield len(raw), state.rest()
 
@@ -299,7 +310,8 @@ class Transducer:
             return [whole]
         state, out = self.root, []
         for byte in raw:
-            state, ids = state.arcs.get(byte) or self._made(state, byte)
+            # the table may be a new one after any step
+            state, ids = self.arcs.get(state.name | byte) or self._arc(state, byte)
             if ids:
                 out += ids
         out += state.rest()
@@ -318,7 +330,7 @@ class Matches(dict):
         got = self.older.get(match)
         if got is None:
             ids = self.transducer.encode(match)
-            got = (np.array(ids, dtype="<u4").tobytes(), ",".join(map(str, ids)).encode())
+            got = (array("I", ids).tobytes(), ",".join(map(str, ids)).encode())
         if len(match) <= 64:                                 # longer ones are rare and large
             if len(self) >= self.most:
                 self.older = dict(self)
