@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import sys
 from array import array
 from collections.abc import Iterator
 
@@ -437,19 +438,31 @@ class _Worker:
                     yield d, got[ptr[d - i]:ptr[d - i + 1]], hi == len(part)
 
 
-def _quiet(run):
-    """``run`` without the cycle collector, which would walk all states again and again."""
+def _state(path: str) -> str:
+    return "bpe_" + "".join(c if c.isalnum() else "_" for c in path)
+
+
+def _worker(path: str) -> _Worker:
+    return C.worker_state(_state(path), lambda: _Worker(path))
+
+
+def _kept(run, path: str):
+    """``run`` of mapInArrow in a worker that keeps its tables from task to task, and
+    nothing of other operators; without the cycle collector, which would walk the
+    tables (they hold no cycles) again and again."""
+    mine = _state(path)
+
     def task(batches):
+        held = sys.modules.get(C.WORKER_STATE)
+        for name in [n for n in vars(held) if not n.startswith("__") and n != mine] if held else []:
+            delattr(held, name)
         gc.disable()
         try:
             yield from run(batches)
         finally:
             gc.enable()
-    return C.lean(task)
-
-
-def _worker(path: str) -> _Worker:
-    return C.worker_state("bpe_" + "".join(c if c.isalnum() else "_" for c in path), lambda: _Worker(path))
+            C.give_back()
+    return task
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -470,7 +483,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
                                                      names=["doc_id", "ids"])
 
     C.small_batches(docs.sparkSession)
-    return C.whole(docs).mapInArrow(_quiet(run), "doc_id long, ids array<int>")
+    return C.whole(docs).mapInArrow(_kept(run, path), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -486,7 +499,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     C.small_batches(encoded.sparkSession)
-    return encoded.select("doc_id", "ids").mapInArrow(_quiet(run), "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(_kept(run, path), "doc_id long, text string")
 
 
 ROUND_TRIP = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -522,4 +535,4 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
                                              names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     C.small_batches(docs.sparkSession)
-    return C.whole(docs).mapInArrow(_quiet(run), ROUND_TRIP)
+    return C.whole(docs).mapInArrow(_kept(run, path), ROUND_TRIP)
