@@ -7,11 +7,13 @@ tokens is a match's encoding exactly if all neighbours are compatible (no merge
 ever crosses their borders). So a prefix of a match has one last token, found
 from the last tokens of shorter prefixes: a transducer whose arcs read a token's
 bytes and whose states are last tokens. ``Transducer`` determinises it as input
-comes: a state is the last committed token and the bytes read since; of the
-places in these bytes, those that a token can still begin at survive, and when
-the paths of all survivors pass one place, the tokens before it are emitted.
-How far it looks ahead is bounded by the vocabulary, not by the text. States and
-arcs are kept up to ``STATES``; beyond, the table starts anew.
+comes: a state is the bytes read since the last committed token, and the tokens
+found in them; of the places in these bytes, those that a token can still begin
+at survive, and when the paths of all survivors pass one place, the tokens
+before it are emitted. The last committed token itself is no part of a state:
+an arc on which it matters asks whether it and the next are compatible.
+How far it looks ahead is bounded by the vocabulary, not by the text. Arcs are
+kept up to ``ARCS``, and as many that were used before these.
 
 Decoding. ``Decoder`` takes ids one after the other and gives text: a state is
 the bytes of an unfinished character (three at most); arcs are the steps of a
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame
 
 from threadlens.llm import common as C
 
-STATES = 300_000                                             # of a worker's transducer
+ARCS = 200_000                                             # of a worker's transducer
 KEPT = 200_000                                               # matches with their ids that a worker keeps
 WINDOW = 4 << 20                                             # bytes of text parted at once
 NEVER = 1 << 62                                              # above all ranks
@@ -137,66 +139,93 @@ def windows(data: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
 
 
 class _State:
-    """Bytes ``held`` since the last committed token. ``live``: trie nodes of the
-    tokens that may still be under way, the longest first. For each place among the
-    bytes, ``last`` and ``size``: the token that ends there, and its bytes (place 0:
-    the committed token; of places that no survivor's path passes, nothing sure).
-    ``name``: a multiple of 256; with a byte it names an arc."""
+    """Bytes ``held`` since the last committed token; ``node``: the longest ending of
+    them that begins a token. ``path``: for each place among the bytes that the path of
+    a survivor passes, the token that ends there times 256, plus its bytes (0 at others
+    and at place 0). ``rest``: ids still due if the input ends here. ``name``: a
+    multiple of 256; with a byte it names an arc."""
 
-    __slots__ = ("name", "held", "live", "last", "size")
+    __slots__ = ("name", "held", "node", "path", "rest")
 
-    def __init__(self, name: int, held: bytes, live: list[int], last: list[int], size: list[int]):
-        self.name, self.held, self.live, self.last, self.size = name, held, live, last, size
+    def __init__(self, name: int, held: bytes, node: int, path: list[int]):
+        self.name, self.held, self.node, self.path = name, held, node, path
+        self.rest = _tokens(path, len(held))
 
-    def rest(self) -> list[int]:
-        """Ids still due if the input ends here."""
-        return _tokens(self.last, self.size, len(self.held))
 
-
-def _tokens(last: list[int], size: list[int], place: int) -> list[int]:
+def _tokens(path: list[int], place: int) -> list[int]:
     """Ids on the path from place 0 to ``place``."""
     out = []
     while place > 0:
-        out.append(last[place])
-        place -= size[place]
+        out.append(path[place] >> 8)
+        place -= path[place] & 255
     out.reverse()
     return out
 
 
 class Transducer:
-    """Encodes matches by the ranks of a vocabulary."""
+    """Encodes matches by the ranks of a vocabulary (tokens of 255 bytes at most).
+
+    The beginnings of tokens form a trie. The survivors of a state are the endings
+    of its bytes that begin a longer token: the trie node of the longest, and those
+    that its falls (to the next shorter ending in the trie) pass.
+    """
 
-    def __init__(self, ranks: dict[bytes, int], states: int = STATES):
-        self.ranks, self.most = ranks, states
+    def __init__(self, ranks: dict[bytes, int], arcs: int = ARCS):
+        if max(map(len, ranks), default=0) > 255:
+            raise ValueError("tokens of more than 255 bytes")
+        self.ranks, self.most = ranks, arcs
         self.bytes = {r: t for t, r in ranks.items()}
-        self.child: dict[int, int] = {}                      # trie: node * 256 + byte to node
-        self.token, self.depth, self.inner = [-1], [0], [True]
+        self.child: dict[int, int] = {}                      # node * 256 + byte to node
+        token, depth, inner, parent = [-1], [0], [True], [0]
         for raw in sorted(ranks):                            # beginnings before what they begin
             node = 0
             for k, byte in enumerate(raw):
-                self.inner[node] = True
+                inner[node] = True
                 to = self.child.get(node << 8 | byte)
                 if to is None:
-                    to = self.child[node << 8 | byte] = len(self.token)
-                    self.token.append(-1)
-                    self.depth.append(k + 1)
-                    self.inner.append(False)
+                    to = self.child[node << 8 | byte] = len(token)
+                    token.append(-1)
+                    depth.append(k + 1)
+                    inner.append(False)
+                    parent.append(node << 8 | byte)
                 node = to
-            self.token[node] = ranks[raw]
+            token[node] = ranks[raw]
+        fall = [0] * len(token)
+        # of each node: (bytes, token) of the tokens, and bytes of the survivors, the longest first
+        self.ends: list[tuple] = [()] * len(token)
+        self.lives: list[tuple] = [()] * len(token)
+        for node in sorted(range(1, len(token)), key=depth.__getitem__):
+            if depth[node] > 1:
+                up, byte = fall[parent[node] >> 8], parent[node] & 255
+                while up and up << 8 | byte not in self.child:
+                    up = fall[up]
+                fall[node] = self.child.get(up << 8 | byte, 0)
+            self.ends[node] = (((depth[node], token[node]),) if token[node] >= 0 else ()) + self.ends[fall[node]]
+            self.lives[node] = ((depth[node],) if inner[node] else ()) + self.lives[fall[node]]
+        self.fall = fall
         self.fits: dict[int, bool] = {}
-        self.steps: dict[int, tuple[list, list]] = {}
-        self._anew()
-
-    def _anew(self):
-        """Forget all states; those on the way of a match stay as they are."""
+        self.steps: dict[int, tuple | None] = {}
         self.names = 0
-        self.table: dict[tuple[int, bytes], _State] = {}
-        self.arcs: dict[int, tuple[_State, list[int]]] = {}
-        self.root = self.table[-1, b""] = _State(self._name(), b"", [0], [-1], [0])
-
-    def _name(self) -> int:
-        self.names += 256
-        return self.names
+        self.table: dict[tuple, _State] = {}
+        self.old_table: dict[tuple, _State] = {}
+        # (state, its name, committed ids), or a list: token to ask for, such arcs for no and yes
+        self.arcs: dict[int, tuple | list] = {}
+        self.root = self._state(b"", 0, [0])
+        self._turn()
+
+    def _state(self, held: bytes, node: int, path: list[int]) -> _State:
+        key = (held, *path)
+        state = self.table.get(key) or self.old_table.get(key)
+        if state is None:
+            self.names += 256
+            state = _State(self.names, held, node, path)
+        self.table[key] = state
+        return state
+
+    def _turn(self):
+        """Begin new tables; of the old ones, what is asked for again is taken over."""
+        self.old_table, self.old_arcs = self.table, self.arcs
+        self.table, self.arcs = {}, {}
 
     def merges(self, raw: bytes) -> tuple[list[bytes], list[tuple[int, bytes, bytes]]]:
         """Merging the lowest rank, leftmost first: the parts left, and for each merge
@@ -255,68 +284,83 @@ class Transducer:
             else:
                 j += 1
 
-    def _arc(self, state: _State, byte: int) -> tuple[_State, list[int]]:
-        """The state after ``byte``, and the ids that it commits; kept for the next time."""
-        if len(self.table) >= self.most:
-            self._anew()
-            state.name = self._name()                        # its old name may be given again
+    def _arc(self, state: _State, byte: int) -> tuple | list:
+        """The arc of a byte; kept for the next time. If all bytes since the last committed
+        token are a token, it depends on whether that one may follow."""
+        name = state.name | byte
+        arc = self.old_arcs.get(name)
+        if arc is None:
+            to = self._fallen(state.node, byte)
+            here = len(state.held) + 1
+            whole = next((token for length, token in self.ends[to] if length == here), None)
+            arc = self._made(state, byte, False) if whole is None else [whole, None, None]
+        self.arcs[name] = arc
+        return arc
+
+    def _fallen(self, node: int, byte: int) -> int:
+        to = self.child.get(node << 8 | byte)
+        while to is None:
+            node = self.fall[node]
+            to = self.child.get(node << 8 | byte)
+        return to
+
+    def _made(self, state: _State, byte: int, whole: bool) -> tuple[_State, int, list[int]]:
+        """The state after ``byte`` with its name, and the ids committed; ``whole``: all
+        bytes since the last committed token are a token that may follow it."""
         held = state.held + bytes((byte,))
-        here = len(held)
-        last, size = state.last, state.size
-        child, tokens, depth = self.child, self.token, self.depth
-        live, found, length = [], -1, 0
-        for node in state.live:
-            to = child.get(node << 8 | byte)
-            if to is None:
-                continue
-            if found < 0:
-                token = tokens[to]
-                if token >= 0 and self.compatible(last[here - depth[to]], token):
-                    found, length = token, depth[to]
-            if self.inner[to]:
-                live.append(to)
-        last, size = [*last, found], [*size, length]
+        here = base = len(held)
+        to = self._fallen(state.node, byte)
+        path, found = state.path, 0
+        for length, token in self.ends[to]:
+            if whole if length == here else length < here and self.compatible(path[here - length] >> 8, token):
+                found = token << 8 | length
+                break
+        path = [*path, found]
         # the furthest place that the paths of all survivors pass is committed
-        base = here
-        for node in live:
-            place = here - depth[node]
+        lives = self.lives[to]
+        for length in lives:
+            place = here - length
             while place != base:
                 if place > base:
-                    place -= size[place]
+                    place -= path[place] & 255
                 else:
-                    base -= size[base]
-        out = NONE
-        if base:
-            out = _tokens(last, size, base)
-            held, last, size = held[base:], last[base:], size[base:]
-        key = (last[0], held)
-        to = self.table.get(key)
-        if to is None:
-            live.append(0)
-            to = self.table[key] = _State(self._name(), held, live, last, size)
-        arc = self.arcs[state.name | byte] = (to, out)
-        return arc
+                    base -= path[base] & 255
+        passed = [0] * (here + 1 - base)
+        for length in (*lives, 0):
+            place = here - length
+            while place > base and not passed[place - base]:
+                passed[place - base] = path[place]
+                place -= path[place] & 255
+        after = self._state(held[base:], to, passed)
+        return after, after.name, _tokens(path, base) if base else NONE
 
     def stream(self, raw: bytes) -> Iterator[tuple[int, list[int]]]:
         """(bytes read, ids committed by them) along a match that is no token itself."""
-        state = self.root
-        for k, byte in enumerate(raw):
-            state, ids = self.arcs.get(state.name | byte) or self._arc(state, byte)
-            yield k + 1, ids
-        yield len(raw), state.rest()
+        state, before, fits = self.root, -1, self.fits
+        for lo in range(0, len(raw), 1000):
+            if len(self.arcs) >= self.most:
+                self._turn()
+            known, name = self.arcs.get, state.name
+            for k, byte in enumerate(raw[lo:lo + 1000], lo + 1):
+                arc = known(name | byte) or self._arc(state, byte)
+                if arc.__class__ is list:
+                    ok = fits.get(before << 32 | arc[0])
+                    if ok is None:
+                        ok = self.compatible(before, arc[0])
+                    if arc[1 + ok] is None:
+                        arc[1 + ok] = self._made(state, byte, ok)
+                    arc = arc[1 + ok]
+                state, name, ids = arc
+                if ids:
+                    before = ids[-1]
+                    yield k, ids
+        yield len(raw), state.rest
 
     def encode(self, raw: bytes) -> list[int]:
         whole = self.ranks.get(raw)
         if whole is not None:
             return [whole]
-        state, out = self.root, []
-        for byte in raw:
-            # the table may be a new one after any step
-            state, ids = self.arcs.get(state.name | byte) or self._arc(state, byte)
-            if ids:
-                out += ids
-        out += state.rest()
-        return out
+        return [i for _, ids in self.stream(raw) for i in ids]
 
 
 class Matches(dict):
