@@ -39,9 +39,10 @@ from pyspark.sql import DataFrame
 
 from threadlens.llm import common as C
 
-ARCS = 200_000                                             # of a worker's transducer
+ARCS = 400_000                                             # of a worker's transducer
 KEPT = 200_000                                               # matches with their ids that a worker keeps
 WINDOW = 4 << 20                                             # bytes of text parted at once
+PAIRS = 1_000_000                                            # of tokens, told compatible or not, that it keeps
 NEVER = 1 << 62                                              # above all ranks
 NONE: list[int] = []                                         # shared, never changed
 
@@ -260,7 +261,7 @@ class Transducer:
         key = before << 32 | token
         ok = self.fits.get(key)
         if ok is None:
-            if len(self.fits) >= 2 * self.most:
+            if len(self.fits) >= PAIRS:
                 self.fits.clear()
             self.fits[key] = ok = self._border_holds(before, token)
         return ok
@@ -360,7 +361,26 @@ class Transducer:
         whole = self.ranks.get(raw)
         if whole is not None:
             return [whole]
-        return [i for _, ids in self.stream(raw) for i in ids]
+        if len(raw) > 100 or len(self.arcs) >= self.most:
+            return [i for _, ids in self.stream(raw) for i in ids]
+        # the same steps for the many short matches
+        state, before, out = self.root, -1, []
+        known, fits, name = self.arcs.get, self.fits, state.name
+        for byte in raw:
+            arc = known(name | byte) or self._arc(state, byte)
+            if arc.__class__ is list:
+                ok = fits.get(before << 32 | arc[0])
+                if ok is None:
+                    ok = self.compatible(before, arc[0])
+                if arc[1 + ok] is None:
+                    arc[1 + ok] = self._made(state, byte, ok)
+                arc = arc[1 + ok]
+            state, name, ids = arc
+            if ids:
+                before = ids[-1]
+                out += ids
+        out += state.rest
+        return out
 
 
 class Matches(dict):
