@@ -53,25 +53,31 @@ def v_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _comment_text(i: Column, text: Column) -> Column:
-    return (F.when(i % 13 == 0, _null_s())
-            .when(i % 7 == 0, F.concat(text, F.lit(" https://ex.org/"), i.cast("string"),
-                                       F.lit(" tail")))
+    return (F.when(i % 7 == 0, F.concat(text, F.lit(" https://ex.org/"), i.cast("string"),
+                                        F.lit(" tail")))
             .when(i % 7 == 1, F.concat(F.lit("“"), text, F.lit("” – it’s…")))
             .when(i % 7 == 2, F.concat(text, F.lit("\u00adx\u200by")))
             .when(i % 7 == 3, F.concat(text, F.lit("\u0085\tz")))
             .when(i % 7 == 4, F.concat(text, F.lit(" &amp; &lt;b&gt; &#39;q&#39;")))
-            .when(i % 11 == 5, F.lit("N/A"))
             .otherwise(text))
 
 
+# Ids of the comments without text that v_comments adds: NULL ones, 'N/A' ones.
+NO_TEXT_IDS, NA_TEXT_IDS = 1_000_000_000_000, 2_000_000_000_000
+
+
 def v_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comment forest from ``documents`` (+ post titles from ``pages``)."""
+    """Comment forest from ``documents`` (+ post titles from ``pages``): every document's
+    text is a comment; replies without text (NULL, 'N/A') come on top, and some
+    comments answer a NULL one."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
     i = F.col("doc_id")
+    up = F.expr("(doc_id div 8) * 2 + doc_id % 2")
     # replies stay on their parent's platform (parity of the id); 1 would be its own parent
     parent = (F.when((i % 5 == 0) | (i == 1), _null_s())
               .when(i % 17 == 3, F.concat(F.lit("gone"), i.cast("string")))
-              .otherwise(F.concat(F.lit("c"), F.expr("(doc_id div 8) * 2 + doc_id % 2").cast("string"))))
+              .when((up % 13 == 0) & (i % 3 == 0), F.concat(F.lit("x"), up.cast("string")))
+              .otherwise(F.concat(F.lit("c"), up.cast("string"))))
     iso = F.concat(_day_text(i % 28, "yyyy-MM-dd"), F.lit("T"),
                    F.lpad((i % 24).cast("string"), 2, "0"), F.lit(":"),
                    F.lpad((i % 60).cast("string"), 2, "0"), F.lit(":00Z"))
@@ -87,6 +93,14 @@ def v_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(i % 2 == 0, _day_text(i % 28, "d-MMM-yyyy")).otherwise(iso)
         .alias("comment_timestamp"),
     )
+
+    def without_text(rows, ids, prefix, comment):
+        return c.where(rows).withColumns({
+            "doc_id": i + F.lit(ids), "parent_comment_id": F.col("comment_id"), "comment": comment,
+            "comment_id": F.concat(F.lit(prefix), i.cast("string"))})
+
+    c = (c.unionByName(without_text(i % 13 == 0, NO_TEXT_IDS, "x", _null_s()))
+          .unionByName(without_text(i % 11 == 5, NA_TEXT_IDS, "y", F.lit("N/A"))))
     titles = v_posts(spark, sf_dir).select("post_id", "post_title", "created_utc")
     return c.join(titles, "post_id", "left")
 
@@ -208,13 +222,11 @@ def _sql_day(offset_sql: str, fmt: str) -> str:
     return f"strftime(DATE '{BASE_DAY}' + CAST({offset_sql} AS INTEGER), '{fmt}')"
 
 
-_COMMENT_SQL = """CASE WHEN d.doc_id % 13 = 0 THEN NULL
-       WHEN d.doc_id % 7 = 0 THEN d.text || ' https://ex.org/' || CAST(d.doc_id AS VARCHAR) || ' tail'
+_COMMENT_SQL = """CASE WHEN d.doc_id % 7 = 0 THEN d.text || ' https://ex.org/' || CAST(d.doc_id AS VARCHAR) || ' tail'
        WHEN d.doc_id % 7 = 1 THEN '“' || d.text || '” – it’s…'
        WHEN d.doc_id % 7 = 2 THEN d.text || chr(173) || 'x' || chr(8203) || 'y'
        WHEN d.doc_id % 7 = 3 THEN d.text || chr(133) || chr(9) || 'z'
        WHEN d.doc_id % 7 = 4 THEN d.text || ' &amp; &lt;b&gt; &#39;q&#39;'
-       WHEN d.doc_id % 11 = 5 THEN 'N/A'
        ELSE d.text END"""
 
 SQL_VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
@@ -229,10 +241,13 @@ SELECT 'p' || CAST(page_id AS VARCHAR) AS post_id,
 FROM pages"""),
     "v_comments": (("v_posts",), f"""
 SELECT c.*, t.post_title, t.created_utc FROM (
+WITH own AS (
 SELECT d.doc_id,
        'c' || CAST(d.doc_id AS VARCHAR) AS comment_id,
        CASE WHEN d.doc_id % 5 = 0 OR d.doc_id = 1 THEN NULL
             WHEN d.doc_id % 17 = 3 THEN 'gone' || CAST(d.doc_id AS VARCHAR)
+            WHEN ((d.doc_id // 8) * 2 + d.doc_id % 2) % 13 = 0 AND d.doc_id % 3 = 0
+            THEN 'x' || CAST((d.doc_id // 8) * 2 + d.doc_id % 2 AS VARCHAR)
             ELSE 'c' || CAST((d.doc_id // 8) * 2 + d.doc_id % 2 AS VARCHAR) END AS parent_comment_id,
        'p' || CAST(d.doc_id % 40 AS VARCHAR) AS post_id,
        CASE WHEN d.doc_id % 2 = 0 THEN 'Reddit' ELSE 'Youtube' END AS platform,
@@ -244,7 +259,13 @@ SELECT d.doc_id,
                  || lpad(CAST(d.doc_id % 24 AS VARCHAR), 2, '0') || ':'
                  || lpad(CAST(d.doc_id % 60 AS VARCHAR), 2, '0') || ':00Z' END
          AS comment_timestamp
-FROM documents d) c LEFT JOIN v_posts t ON c.post_id = t.post_id"""),
+FROM documents d)
+SELECT * FROM own
+UNION ALL SELECT * REPLACE (doc_id + {NO_TEXT_IDS} AS doc_id, comment_id AS parent_comment_id,
+       CAST(NULL AS VARCHAR) AS comment, 'x' || CAST(doc_id AS VARCHAR) AS comment_id) FROM own WHERE doc_id % 13 = 0
+UNION ALL SELECT * REPLACE (doc_id + {NA_TEXT_IDS} AS doc_id, comment_id AS parent_comment_id,
+       'N/A' AS comment, 'y' || CAST(doc_id AS VARCHAR) AS comment_id) FROM own WHERE doc_id % 11 = 5
+) c LEFT JOIN v_posts t ON c.post_id = t.post_id"""),
     "v_reddit_comments_raw": (("v_comments",), """
 SELECT post_title AS "Post Title", post_id AS "Post ID", comment_id AS "Comment ID",
        comment_timestamp AS "Timestamp", number_of_comment_votes AS "Votes",
