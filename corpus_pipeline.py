@@ -6,13 +6,15 @@ docs. All stages but the last return the columns of ``documents``:
 
 - toxicity: documents scored 0.3 or more are rejected; null texts stay.
 - near_dedup: of each group of near duplicates the smallest doc_id stays;
-  documents without words are groups of their own.
+  documents without words are groups of their own. Shingles have two words, as
+  the contract of operator 7 has it, whose decisions the stage carries out.
 - suffix_dedup: bytes covered by a 50-byte string of a smaller document go,
   except parts of a character of which a byte stays; ``n_chars`` follows; a
   document whose text goes entirely stays with an empty one.
 - packing: the pieces and their places in sequences of 4096 tokens.
 
-Rows without doc_id name no document and end in the first stage. Empty tables
+Rows without doc_id name no document and end in the first stage; rows that share
+a doc_id keep their own columns. Empty tables
 pass through.
 """
 
@@ -31,6 +33,7 @@ from threadlens.llm.toxicity import score, train
 ORACLE_SQL = None
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 THRESHOLD = 0.3
+SHINGLE = 2
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,15 +43,13 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
+    kept = near_duplicates(docs, shingle=SHINGLE).where("kept").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
 
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    texts = suffix_dedup(docs, with_text=True).select("doc_id", "text")
-    about = docs.select("doc_id", "lang", "source").dropDuplicates(["doc_id"])
-    return (texts.join(about, "doc_id").withColumn("n_chars", F.length("text").cast("long"))
-            .select(*COLUMNS))
+    texts = suffix_dedup(docs, with_text=True, extra=("lang", "source"))
+    return texts.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

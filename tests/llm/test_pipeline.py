@@ -38,6 +38,18 @@ def test_stages_as_brute_force(spark, tmp_path):
     assert {x.doc_id for x in pieces.select("doc_id").distinct().collect()} == stay
 
 
+def test_columns_stay_with_their_row(spark, tmp_path):
+    rows = data.rows(72, 40)[:-1]
+    rows += [(rows[20][0], "another text under the same id"), (rows[21][0], rows[21][1])]
+    docs = spark.createDataFrame([(i, t, f"l{k}" if k % 3 else None, f"s{k}", None) for k, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = P.suffix_dedup_stage(spark, docs, "").collect()
+    assert sorted((r.doc_id, r.lang or "", r.source) for r in got) == \
+        sorted((i, f"l{k}" if k % 3 else "", f"s{k}") for k, (i, _) in enumerate(rows))
+    own = {r.source: r.text for r in got}
+    assert own[f"s{len(rows) - 2}"] == "another text under the same id"
+
+
 def test_empty_pipeline(spark, tmp_path):
     d = table(spark, [], tmp_path)
     assert P.run(spark, d).collect() == []
@@ -46,4 +58,4 @@ def test_empty_pipeline(spark, tmp_path):
 def test_entry_registers_all():
     import __spark_entry__ as e
     names = set(e.queries())
-    assert {"pipeline"} <= names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert {"pipeline"} <= names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))

@@ -8,7 +8,7 @@ part; a null text counts as an empty one; further columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +24,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{DOCS}.parquet")
 
 
-def whole(docs: DataFrame) -> DataFrame:
-    """(doc_id long, text string without nulls) of every named document."""
+def whole(docs: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """(doc_id long, text string without nulls, ``extra`` columns) of every named document."""
     return (docs.where(F.col("doc_id").isNotNull())
             .select(F.col("doc_id").cast("long").alias("doc_id"),
-                    F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
+                    F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *extra))
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -208,19 +208,37 @@ def unblob(raw: bytes, *types) -> list[np.ndarray]:
 
 
 class Chunk:
-    """Some whole documents: ids, offsets and the bytes of their texts."""
+    """Some whole documents: ids, offsets and the bytes of their texts, and their
+    further columns, if asked for, as an Arrow stream."""
 
-    def __init__(self, ids: np.ndarray, offs: np.ndarray, data: np.ndarray):
+    def __init__(self, ids: np.ndarray, offs: np.ndarray, data: np.ndarray,
+                 further: np.ndarray | None = None):
         self.ids, self.offs, self.data = ids, offs, data
+        self.further = np.zeros(0, np.uint8) if further is None else further
 
     def pack(self) -> bytes:
         import zstandard
-        return zstandard.ZstdCompressor(level=3).compress(blob(self.ids, self.offs, self.data))
+        return zstandard.ZstdCompressor(level=3).compress(blob(self.ids, self.offs, self.data, self.further))
 
     @staticmethod
     def unpack(raw: bytes) -> Chunk:
         import zstandard
-        return Chunk(*unblob(zstandard.ZstdDecompressor().decompress(raw), np.int64, np.int64, np.uint8))
+        return Chunk(*unblob(zstandard.ZstdDecompressor().decompress(raw), np.int64, np.int64, np.uint8, np.uint8))
+
+    def columns(self) -> list[pa.Array]:
+        """The further columns, a value for each document."""
+        if not len(self.further):
+            return []
+        with pa.ipc.open_stream(pa.py_buffer(self.further)) as reader:
+            return [c.combine_chunks() for c in reader.read_all().columns]
+
+
+def _stream(batches: list[pa.RecordBatch]) -> np.ndarray:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batches[0].schema) as writer:
+        for batch in batches:
+            writer.write_batch(batch)
+    return np.frombuffer(sink.getvalue(), np.uint8)
 
 
 class Sizes:
@@ -232,8 +250,9 @@ class Sizes:
         self.buckets = int(min(1 << 16, max(16, math.ceil(total / (8 << 20)))))
 
 
-def chunked(docs: DataFrame, size: int, ask: Callable[[Chunk], list[tuple[int, int, bytes]]]) -> DataFrame:
-    """Deal documents into chunks of about ``size`` bytes (no shuffle).
+def chunked(docs: DataFrame, size: int, ask: Callable[[Chunk], list[tuple[int, int, bytes]]],
+            extra: Sequence[str] = ()) -> DataFrame:
+    """Deal documents, with their ``extra`` columns, into chunks of about ``size`` bytes (no shuffle).
 
     Gives PART rows: one of kind TEXT with the packed documents of each chunk,
     and for each (kind, bucket, payload) of ``ask(chunk)`` a row.
@@ -242,14 +261,15 @@ def chunked(docs: DataFrame, size: int, ask: Callable[[Chunk], list[tuple[int, i
         from pyspark import TaskContext
         base, seq = TaskContext.get().partitionId() << 32, 0
         held: list[Chunk] = []
+        others: list[pa.RecordBatch] = []
         amount = 0
 
         def flush():
-            nonlocal held, amount, seq
+            nonlocal held, others, amount, seq
             offs = np.concatenate([[0]] + [np.diff(c.offs) for c in held]).cumsum()
             c = Chunk(np.concatenate([c.ids for c in held]), offs,
-                      np.concatenate([c.data for c in held]))
-            held, amount = [], 0
+                      np.concatenate([c.data for c in held]), _stream(others) if others else None)
+            held, others, amount = [], [], 0
             rows = [(TEXT, base + seq, -1, c.pack())]
             rows += [(k, base + seq, b, p) for k, b, p in ask(c)]
             seq += 1
@@ -261,6 +281,8 @@ def chunked(docs: DataFrame, size: int, ask: Callable[[Chunk], list[tuple[int, i
             for i, j in pieces(offs, size):
                 held.append(Chunk(ids[i:j].copy(), offs[i:j + 1] - offs[i],
                                   data[offs[i]:offs[j]].copy()))
+                if extra:
+                    others.append(batch.select(list(extra)).slice(i, j - i))
                 amount += int(offs[j] - offs[i])
                 if amount >= size or len(held) > 5000:
                     yield flush()
@@ -268,7 +290,7 @@ def chunked(docs: DataFrame, size: int, ask: Callable[[Chunk], list[tuple[int, i
             yield flush()
 
     small_batches(docs.sparkSession)
-    return whole(docs).mapInArrow(lean(run), PART)
+    return whole(docs, extra).mapInArrow(lean(run), PART)
 
 
 def with_answers(chunks: DataFrame, answers: DataFrame) -> DataFrame:

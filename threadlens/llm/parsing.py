@@ -33,6 +33,7 @@ remove each other's bytes. Empty table: no rows.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -313,12 +314,13 @@ def _whole_chars(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
 
 
 def suffix_dedup(docs: DataFrame, length: int = 50, gram: int = 24, every: int = 8,
-                 with_text: bool = False) -> DataFrame:
+                 with_text: bool = False, extra: Sequence[str] = ()) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with
-    ``with_text`` also the kept text, in which characters stay whole."""
+    ``with_text`` also the kept text, in which characters stay whole; and the
+    document's own ``extra`` columns."""
     if not 4 <= gram < length <= 64:
         raise ValueError("need 4 <= gram < length <= 64")
-    base = C.whole(docs)
+    base = C.whole(docs, extra)
     sizes = C.Sizes(C.text_bytes(base))
     buckets = sizes.buckets
 
@@ -337,7 +339,7 @@ def suffix_dedup(docs: DataFrame, length: int = 50, gram: int = 24, every: int =
             return list(_answer_suffixes(chunks, payloads, length, gram))
         return list(_answer_owned(kind, chunks, payloads))
 
-    chunks = C.stage(C.chunked(base, sizes.chunk, first), "phrases")
+    chunks = C.stage(C.chunked(base, sizes.chunk, first, extra), "phrases")
     got = C.stage(C.each_bucket(chunks.where(F.col("kind") != C.TEXT), answer), "phrase-answers")
 
     def open_runs(p, answers):
@@ -360,6 +362,7 @@ def suffix_dedup(docs: DataFrame, length: int = 50, gram: int = 24, every: int =
     more = C.stage(C.each_bucket(C.with_answers(chunks, got).mapInArrow(C.lean(second), C.PART), answer),
                    "suffix-answers")
     schema = RESULT + (", text string" if with_text else "")
+    schema += "".join(f", `{c}` {base.schema[c].dataType.simpleString()}" for c in extra)
 
     def third(batches):
         for batch in batches:
@@ -392,6 +395,7 @@ def suffix_dedup(docs: DataFrame, length: int = 50, gram: int = 24, every: int =
                         row += (data[~_whole_chars(data, off)].tobytes().decode(),)
                     rows.append(row)
                 names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["text"] * with_text
-                yield pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*rows)))))
+                yield pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*rows))))
+                                                 | dict(zip(extra, chunk.columns())))
 
     return C.with_answers(chunks, got.unionByName(more)).mapInArrow(C.lean(third), schema)
