@@ -137,7 +137,7 @@ def entity_aspect_prompt(entity, aspect, sentence) -> Column:
                     F.lit(" [SEP] "), _c(sentence))
 
 
-def score_of_label(labels, scores, name: str) -> Column:
+def score_of_label(labels, scores, name: str | Column) -> Column:
     """Score of a named label from parallel label/score arrays."""
     return F.try_element_at(F.map_from_arrays(_c(labels), _c(scores)), F.lit(name))
 

@@ -32,9 +32,10 @@ def gated_top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k:
 
 
 def relevance_top_k(df: DataFrame, topic_col: str, votes_col: str, id_col: str,
-                    label: str, k: int, candidates: int,
+                    label: str | Column, k: int, candidates: int,
                     min_score: float = RELEVANCE_MIN) -> DataFrame:
-    """Per topic, top posts by votes whose relevance score for ``label`` >= min."""
+    """Per topic, top posts by votes whose relevance score for ``label`` (a name, or a
+    column that names one) >= min."""
     passes = score_of_label("labels", "scores", label) >= F.lit(min_score)
     return gated_top_k(df, [topic_col], [F.col(votes_col).desc(), F.col(id_col)], k,
                        candidates, passes)

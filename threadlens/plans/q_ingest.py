@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadlens.operators.dedup import incremental_append
+from threadlens.operators.relevance import B, K1, PRIOR, label_words, relevance
 from threadlens.operators.topk import recent, recent_quota, relevance_top_k, sample_n
 from threadlens.plans import register
 from threadlens.schemas import POSTS_RAW
 from threadlens.session import scratch_path
 from threadlens.sources import landing
 from threadlens.sources.fixtures import (
-    v_comments, v_events_arriving, v_events_stored, v_posts, v_relevance, with_views,
+    RELEVANCE_TOPICS, v_comments, v_events_arriving, v_events_stored, v_posts, with_views,
 )
 from threadlens.sources.tables import table
 
@@ -33,17 +34,73 @@ def incremental_append_q(spark, sf_dir):
     return table_
 
 
-@register("relevance_topk", with_views("""
-SELECT topic, doc_id, CAST(rank AS INTEGER) AS rank FROM (
+def _relevance_ctes(source: str) -> dict[str, str]:
+    """BM25 of (id, txt) rows for every label of RELEVANCE_TOPICS, then the softmax."""
+    labels = [(t, k + 1, name, label_words(q)) for t, ls in RELEVANCE_TOPICS.items() for k, (name, q) in enumerate(ls.items())]
+
+    def text(x):
+        return "'" + x.replace("'", "''") + "'"
+
+    label_rows = ", ".join(f"({text(t)}, {k}, {text(n)}, {0.0 if ws else PRIOR}::DOUBLE)" for t, k, n, ws in labels)
+    term_rows = ", ".join(f"({text(t)}, {k}, {text(w)})" for t, k, _, ws in labels for w in ws)
+    return {
+        "src(id, txt)": source,
+        "toks": r"SELECT id, regexp_extract_all(lower(coalesce(txt, '')), '[\p{L}\p{N}]+') AS ws FROM src",
+        "label_rows(topic, pos, label, prior)": f"VALUES {label_rows}",
+        "term_rows(topic, pos, term)": f"VALUES {term_rows}",
+        "corpus": """SELECT count(*) FILTER (len(ws) > 0) AS n, sum(len(ws)) / count(*) FILTER (len(ws) > 0) AS mean FROM toks""",
+        "rare": """SELECT term, ln(1 + (n - df + 0.5) / (df + 0.5)) AS idf
+       FROM (SELECT term, (SELECT count(*) FROM toks WHERE list_contains(ws, term)) AS df
+             FROM (SELECT DISTINCT term FROM term_rows)), corpus""",
+        "bm": f"""SELECT id, topic, pos, sum(idf * {K1 + 1} * tf / (tf + {K1} * ({1 - B} + {B} * len / mean))) AS bm
+       FROM (SELECT id, topic, pos, idf, len(ws) AS len, len(list_filter(ws, lambda x: x = term))::DOUBLE AS tf
+             FROM toks, term_rows JOIN rare USING (term)), corpus GROUP BY id, topic, pos""",
+        "ev": """SELECT t.id, l.topic, l.pos, l.label, l.prior + coalesce(bm.bm, 0) AS e
+       FROM toks t CROSS JOIN label_rows l LEFT JOIN bm ON bm.id = t.id AND bm.topic = l.topic AND bm.pos = l.pos""",
+        "rel": """SELECT id, topic, pos, label, exp(e - top) / sum(exp(e - top)) OVER (PARTITION BY id, topic) AS score
+       FROM (SELECT *, max(e) OVER (PARTITION BY id, topic) AS top FROM ev)""",
+    }
+
+
+def _by_label(df, id_col):
+    """A row for each id, topic and label."""
+    pairs = df.select(id_col, "topic", F.explode(F.arrays_zip("labels", "scores")).alias("x"))
+    return pairs.select(id_col, "topic", F.col("x.labels").alias("label"), F.col("x.scores").alias("score"))
+
+
+@register("relevance_scores", with_views("SELECT id AS post_id, topic, label, score FROM rel", "v_posts",
+                                         extra=_relevance_ctes("SELECT post_id, post_title FROM v_posts")))
+def relevance_scores(spark, sf_dir):
+    """Every post title against every label of every topic."""
+    posts = v_posts(spark, sf_dir).select("post_id", "post_title")
+    return _by_label(relevance(posts, "post_title", RELEVANCE_TOPICS), "post_id")
+
+
+@register("relevance_texts", with_views("SELECT id AS doc_id, topic, label, score FROM rel",
+                                        extra=_relevance_ctes("SELECT doc_id, text FROM documents")))
+def relevance_texts(spark, sf_dir):
+    """Every whole text against every label of every topic."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _by_label(relevance(docs, "text", RELEVANCE_TOPICS), "doc_id")
+
+
+K_POSTS = 3                                                  # posts collected a topic, k + 10 examined
+
+
+@register("relevance_topk", with_views(f"""
+SELECT topic, post_id, CAST(rank AS INTEGER) AS rank, score FROM (
   SELECT *, row_number() OVER (PARTITION BY topic ORDER BY cand) AS rank FROM (
-    SELECT *, row_number() OVER (PARTITION BY topic ORDER BY votes DESC, doc_id) AS cand
-    FROM v_relevance) c
-  WHERE cand <= 8 AND scores[list_position(labels, 'about')] >= 0.5)
-WHERE rank <= 3""", "v_relevance"))
+    SELECT r.topic, p.post_id, r.score,
+           row_number() OVER (PARTITION BY r.topic ORDER BY p.votes DESC, p.post_id) AS cand
+    FROM v_posts p JOIN rel r ON r.id = p.post_id WHERE r.pos = 1)
+  WHERE cand <= {K_POSTS + 10} AND score >= 0.5)
+WHERE rank <= {K_POSTS}""", "v_posts", extra=_relevance_ctes("SELECT post_id, post_title FROM v_posts")))
 def relevance_topk(spark, sf_dir):
-    r = v_relevance(spark, sf_dir)
-    out = relevance_top_k(r, "topic", "votes", "doc_id", "about", k=3, candidates=8)
-    return out.select("topic", "doc_id", "rank")
+    """Per topic, the first posts by votes whose title is about the label sought."""
+    posts = relevance(v_posts(spark, sf_dir).select("post_id", "post_title", "votes"), "post_title", RELEVANCE_TOPICS)
+    sought = F.element_at("labels", 1)
+    out = relevance_top_k(posts, "topic", "votes", "post_id", sought, k=K_POSTS, candidates=K_POSTS + 10)
+    return out.select("topic", "post_id", "rank", F.element_at("scores", 1).alias("score"))
 
 
 AS_OF_EVENTS = "2024-01-31 00:00:00"

@@ -28,6 +28,14 @@ SECOND_SENTIMENT_TEXTS = ["sentiment: positive", "sentiment: neutral",
                           "sentiment: negative", "positive"]
 
 
+# Candidate labels of two topics; the first of each is the one sought.
+RELEVANCE_TOPICS = {
+    "attion": {"about attion": "attion eriner and to", "about attion's kin": "thanea anea kin",
+               "not about attion": ""},
+    "heed": {"heed": "heed wher the of", "not heed": ""},
+}
+
+
 def _day_text(offset: Column, fmt: str) -> Column:
     return F.date_format(F.date_add(F.lit(BASE_DAY).cast("date"), offset.cast("int")), fmt)
 
@@ -183,16 +191,6 @@ def v_scores(spark, sf_dir) -> DataFrame:
     )
 
 
-def v_relevance(spark, sf_dir) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
-    score = (F.expr("(doc_id div 20) * 7 % 10").cast("double") / F.lit(9.0))
-    return d.select(
-        F.col("doc_id"), F.col("source").alias("topic"),
-        F.col("n_chars").alias("votes"),
-        F.array(F.lit("about"), F.lit("not")).alias("labels"),
-        F.array(score, F.lit(1.0) - score).alias("scores"))
-
-
 # Append fixture: events landed before STORED_BEFORE are stored; the arriving
 # batch re-delivers everything from ARRIVING_FROM on (an overlap window with
 # changed values) plus the new events. Together they cover every event.
@@ -304,11 +302,6 @@ SELECT vec_id, e,
        (['sentiment: positive', 'sentiment: neutral', 'sentiment: negative', 'positive'])[vec_id % 4 + 1]
          AS second_text
 FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)"""),
-    "v_relevance": ((), """
-SELECT doc_id, source AS topic, n_chars AS votes, ['about', 'not'] AS labels,
-       [CAST((doc_id // 20) * 7 % 10 AS DOUBLE) / 9.0,
-        1.0 - CAST((doc_id // 20) * 7 % 10 AS DOUBLE) / 9.0] AS scores
-FROM documents"""),
     "v_events_stored": ((), f"""
 SELECT user_id, event_id, ts, event_type, value FROM events
 WHERE ts < TIMESTAMP '{STORED_BEFORE}'"""),
