@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from threadlens.plans import register
 from threadlens.plans.q_ingest import APPEND_SQL
 from threadlens.plans.q_text import URL_SQL
+from threadlens.plans.q_threads import CONTEXT_SQL, context_input, placed
 from threadlens.session import scratch_path
 from threadlens.sources.fixtures import (
     GAZETTEER_A, GAZETTEER_B, v_comments, v_events_arriving, v_events_stored, with_views,
 )
 from threadlens.streaming.ingest import init_stored, stream_append, stream_clean
+from threadlens.streaming.threads import ThreadTables, current, stream_threads
 
 
 BUCKETS = 16  # layout of the stored table (a table property; thousands at scale)
@@ -56,3 +60,21 @@ def stream_clean_q(spark, sf_dir):
     q.awaitTermination()
     return spark.read.parquet(sink).select("comment_id", "post_title", "comment",
                                            "mentions_a", "mentions_b")
+
+
+ARRIVALS = 3  # runs of the stream; ids are dealt by hash, so many parents land after their replies
+
+
+@register("stream_thread_context", CONTEXT_SQL)
+def stream_thread_context_q(spark, sf_dir):
+    """thread_context from arriving comments: only affected threads are computed anew."""
+    base = scratch_path(spark, "stream-threads")
+    src = context_input(spark, sf_dir)
+    landed = f"{base}/arrivals"
+    src.withColumn("_part", F.pmod(F.xxhash64("comment_id"), F.lit(ARRIVALS))).write.partitionBy("_part").parquet(landed)
+    tables = ThreadTables(f"{base}/tables", src.schema, buckets=BUCKETS)
+    for part in range(ARRIVALS):
+        spark.read.schema(src.schema).parquet(f"{landed}/_part={part}").write.mode("append").parquet(f"{base}/landing")
+        stream_threads(spark, f"{base}/landing", tables, f"{base}/_checkpoint", ["doc_id"]).awaitTermination()
+    return current(spark, tables).select(*placed(
+        "comment_id", "level", "parent_comment", "comment_after_coref"))

@@ -48,7 +48,7 @@ def chain_levels(spark, sf_dir):
     return assign_levels(t).select("comment_id", "turn", "level", "unreachable")
 
 
-def _context_input(spark, sf_dir):
+def context_input(spark, sf_dir):
     g = gated_comments(spark, sf_dir)
     parents = v_comments(spark, sf_dir).select(F.col("comment_id").alias("_pid"),
                                                F.col("comment").alias("_ptext"))
@@ -56,7 +56,7 @@ def _context_input(spark, sf_dir):
     return g.withColumn("parent_comment", F.coalesce("_ptext", F.lit(""))).drop("_pid", "_ptext")
 
 
-def _placed(*names):
+def placed(*names):
     """Rows on a cycle have no level: they stay, without context."""
     return [F.when(F.col("level").isNotNull(), F.col(c)).alias(c) if c == "parent_comment" else F.col(c)
             for c in names]
@@ -90,14 +90,17 @@ _CTX_CTES = {
 }
 
 
-@register("thread_context", with_views("""
+CONTEXT_SQL = with_views("""
 SELECT comment_id, level, parent_comment, resolved AS comment_after_coref FROM ctx
 UNION ALL SELECT comment_id, NULL, NULL, NULL FROM ci WHERE comment_id NOT IN (SELECT comment_id FROM lv)""",
-                                       "v_comments", extra=_CTX_CTES, recursive=True))
+                         "v_comments", extra=_CTX_CTES, recursive=True)
+
+
+@register("thread_context", CONTEXT_SQL)
 def thread_context_q(spark, sf_dir):
-    c = assign_levels(_context_input(spark, sf_dir))
+    c = assign_levels(context_input(spark, sf_dir))
     out = thread_context(c, order_col="doc_id")
-    return out.select(*_placed(
+    return out.select(*placed(
         "comment_id", "level", "parent_comment", "comment_after_coref"))
 
 
@@ -133,9 +136,9 @@ def mention_rewrite_q(spark, sf_dir):
 def thread_context_rewrite_q(spark, sf_dir):
     """Level-ordered context with the mention rewrite inside the loop."""
     from threadlens.operators.rewrite import rule_rewrite
-    c = assign_levels(_context_input(spark, sf_dir))
+    c = assign_levels(context_input(spark, sf_dir))
     out = thread_context(c, rewrite=rule_rewrite(GAZETTEER_A + GAZETTEER_B), order_col="doc_id")
-    return out.select(*_placed(
+    return out.select(*placed(
         "comment_id", "level", "parent_comment", "comment_after_coref"))
 
 
