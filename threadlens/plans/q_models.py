@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from threadlens.functions.labels import subjective_flag
 from threadlens.functions.text import lang_text
 from threadlens.operators.langid import predict_word_nb, train_word_nb
+from threadlens.operators.langprofiles import gram_text, train_profiles
 from threadlens.operators.scoring import lexicon
 from threadlens.operators.sentences import split_sentences
 from threadlens.plans import register
@@ -84,16 +85,48 @@ def scorer_quality(spark, sf_dir):
     return out
 
 
-@register("lang_filter", _NB_SQL + """
+_GRAMS = """unnest(list_transform(range(1, len(ch) - 1), lambda i: ch[i] || ch[i + 1] || ch[i + 2])) AS token
+       FROM (SELECT {0}, string_split(regexp_replace(lower(replace(text, chr(10), '')), '[^\\p{{L}}]+', ' ', 'g'), '') AS ch
+             FROM {1})"""
+_PROFILE_SQL = _NB_SQL.replace(_NB_SQL[_NB_SQL.index("tk AS ("):_NB_SQL.index("cnt AS (")],
+                               f"tk AS (SELECT lang, {_GRAMS.format('lang', 'tr')}),\n")
+_PROFILE_SQL = _PROFILE_SQL.replace(_PROFILE_SQL[_PROFILE_SQL.index("dt AS ("):_PROFILE_SQL.index("dv AS (")],
+                                    f"dt AS (SELECT doc_id, {_GRAMS.format('doc_id', 'documents')}),\n")
+
+
+def _profiled(spark, sf_dir):
+    """Documents with the language that profiles of the training half give them."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    d = d.withColumn("gt", gram_text(lang_text("text")))   # newlines removed, lower-cased
+    profiles = train_profiles(d.where(_is_train()), "gt", "lang")
+    return d.withColumn("lang_pred", profiles.column("gt"))
+
+
+@register("lang_filter", _PROFILE_SQL + """
 SELECT d.doc_id, d.lang, b.lang_pred FROM documents d JOIN best b ON d.doc_id = b.doc_id
 WHERE b.lang_pred = 'en'""")
 def lang_filter(spark, sf_dir):
-    """Train word NB on half the documents (split by text), keep English."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    d = d.withColumn("lt", lang_text("text"))   # newlines removed, lower-cased
-    model = train_word_nb(d.where(_is_train()), "lt", "lang")
-    pred = predict_word_nb(model, d, "lt", "doc_id")
-    return pred.where(F.col("lang_pred") == "en").select("doc_id", "lang", "lang_pred")
+    """Trigram profiles of half the documents (split by text), keep English."""
+    return _profiled(spark, sf_dir).where(F.col("lang_pred") == "en").select("doc_id", "lang", "lang_pred")
+
+
+@register("lang_profiles", _PROFILE_SQL + """,
+test AS (SELECT d.lang, b.lang_pred FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id
+         WHERE length(d.text) % 2 = 1 AND d.lang IS NOT NULL),
+maj AS (SELECT lang FROM tr GROUP BY lang ORDER BY count(*) DESC, lang LIMIT 1)
+SELECT CAST(count(*) AS BIGINT) AS n_test,
+       round(avg(CASE WHEN lang_pred = lang THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+       round(avg(CASE WHEN lang = (SELECT lang FROM maj) THEN 1.0 ELSE 0.0 END), 6) AS majority_accuracy
+FROM test""")
+def lang_profiles(spark, sf_dir):
+    """Held-out accuracy of the trigram profiles beside the majority class (``lang_quality``: word counts)."""
+    d = _profiled(spark, sf_dir).where(F.col("lang").isNotNull())
+    majority = (d.where(_is_train()).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+                .orderBy(F.col("n").desc(), F.col("lang")).select("lang").first())
+    share = lambda c: F.round(F.avg(F.when(c, F.lit(1.0)).otherwise(F.lit(0.0))), 6)
+    return d.where(~_is_train()).agg(
+        F.count(F.lit(1)).alias("n_test"), share(F.col("lang_pred") == F.col("lang")).alias("accuracy"),
+        share(F.col("lang") == F.lit(majority["lang"] if majority else None)).alias("majority_accuracy"))
 
 
 # Subjectivity lexicon of the default (non-neural) scorer.
