@@ -187,11 +187,11 @@ def _py_context(rows, terms, rewrite=None):
 
 def test_context_rewrite_matches_python(spark):
     from threadlens.plans import QUERIES, load_all
-    from threadlens.plans.q_threads import _context_input
+    from threadlens.plans.q_threads import context_input
     load_all()
     terms = GAZETTEER_A + GAZETTEER_B
     src = {r.comment_id: (r.parent_comment_id, r.comment, r.parent_comment)
-           for r in _context_input(spark, SF).collect()}
+           for r in context_input(spark, SF).collect()}
     want = _py_context(src, terms)
     got = {r.comment_id: (r.level, r.parent_comment, r.comment_after_coref)
            for r in QUERIES["thread_context_rewrite"](spark, SF).collect()}
