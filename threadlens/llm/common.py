@@ -52,11 +52,16 @@ BASE_B = 0xC2B2AE3D27D4EB4F
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalising bit mixer over uint64 (xor-shift and multiply, a bijection)."""
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    x = x ^ (x >> np.uint64(29))
-    x = x * np.uint64(0xA0761D6478BD642F)
-    return x ^ (x >> np.uint64(32))
+    x = np.asarray(x, dtype=np.uint64)
+    if not x.ndim:
+        return mix(x[None])[0]
+    moved = x >> np.uint64(32)
+    x = x ^ moved
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= np.right_shift(x, np.uint64(29), out=moved)
+    x *= np.uint64(0xA0761D6478BD642F)
+    x ^= np.right_shift(x, np.uint64(32), out=moved)
+    return x
 
 
 _POWERS: dict[int, np.ndarray] = {}

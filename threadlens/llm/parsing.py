@@ -90,21 +90,22 @@ class _Parse:
         n, length, gram = hi - lo, self.length, self.gram
         if n < length:
             return None
-        offs = np.clip(self.chunk.offs[i:j + 1], lo, hi) - lo
-        end = np.repeat(offs[1:], np.diff(offs))
         data = self.chunk.data[lo:hi]
         roll = C.Roll(C.byte_codes()[data])
         g = C.mix(roll.windows(gram))
         low = _sliding_min((g & ~_POS) | np.arange(len(g), dtype=np.uint64), length - gram + 1) & _POS
-        start = np.arange(n - length + 1)
-        start = start[(start + length <= end[:len(start)]) & (start < stop - lo)]
-        if not len(start):
+        inside = np.ones(len(low), dtype=bool)               # windows that lie in one document
+        inside[stop - lo:] = False
+        for end in np.unique(np.clip(self.chunk.offs[i + 1:j + 1], lo, hi)).tolist():
+            inside[max(end - lo - length + 1, 0):end - lo] = False
+        other = low[1:] != low[:-1]
+        new, close = inside.copy(), inside.copy()
+        new[1:] &= other | ~inside[:-1]
+        close[:-1] &= other | ~inside[1:]
+        first, last = np.flatnonzero(new), np.flatnonzero(close)
+        if not len(first):
             return None
-        trigger = low[start].astype(np.int64)
-        new = np.ones(len(start), dtype=bool)
-        new[1:] = (trigger[1:] != trigger[:-1]) | (np.diff(start) != 1)
-        close = np.append(np.flatnonzero(new)[1:] - 1, len(start) - 1)
-        first, last, trig = start[new], start[close], trigger[new]
+        trig = low[first].astype(np.int64)
         head = np.ones(len(first), dtype=bool)
         head[1:] = ((first[1:] != last[:-1] + 1) |
                     ((g[trig[1:]] >> np.uint64(40)) % np.uint64(every) == 0))
@@ -112,7 +113,7 @@ class _Parse:
         p_first, p_last = first[head], last[tail]
         size = (p_last - p_first).astype(np.uint64)
         a = C.mix(roll.span(p_first, p_last + length) + size)
-        other = C.Roll(C.mix(C.byte_codes()[data]), C.BASE_B)
+        other = C.Roll(C.mix(C.byte_codes())[data], C.BASE_B)
         b = C.mix(other.span(p_first, p_last + length) + size)
         return [first + lo, last + lo, trig + lo, g[trig], np.cumsum(head) - 1,
                 p_first + lo, p_last + lo, a, b]
