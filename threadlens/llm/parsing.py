@@ -222,7 +222,7 @@ def _least(a, b, doc):
 
 
 def _suffix_hashes(text: np.ndarray, length: int):
-    """For each row of bytes: hashes of the ``length`` bytes from any column."""
+    """For rows of bytes: hashes of the ``length`` bytes from any column (of all or some rows)."""
     width = text.shape[1]
     out = []
     for codes, base in ((C.byte_codes(), C.BASE_A), (C.mix(C.byte_codes()), C.BASE_B)):
@@ -230,7 +230,7 @@ def _suffix_hashes(text: np.ndarray, length: int):
         np.cumsum(codes[text] * C.powers(base, width)[:width], axis=1, out=sums[:, 1:])
         inv = C.powers(pow(base, -1, 1 << 64), width + 1)
         out.append((sums, inv))
-    return lambda col: [C.mix((s[:, col + length] - s[:, col]) * inv[col]) for s, inv in out]
+    return lambda col, rows=slice(None): [C.mix((s[rows, col + length] - s[rows, col]) * inv[col]) for s, inv in out]
 
 
 def _deal(p: _Parse, sel: np.ndarray, buckets: int):
@@ -270,11 +270,12 @@ def _answer_suffixes(chunks, payloads, length, gram):
         o = order[lo:hi]
         lo = hi
         hashes = _suffix_hashes(text[o], length)
+        from_, to, docs = least[o], most[o], doc[o]
         for shift in range(back + 1):
-            use = np.flatnonzero((least[o] <= shift) & (shift <= most[o]))
+            use = np.flatnonzero((from_ <= shift) & (shift <= to))
             if len(use) > 1:
-                a, b = hashes(back - shift)
-                a, b, d = a[use], b[use], doc[o][use]
+                a, b = hashes(back - shift, use)
+                d = docs[use]
                 dup = d > _least(a, b, d)
                 mask[o[use[dup]]] |= np.uint64(1 << shift)
     at = 0
@@ -373,13 +374,16 @@ def suffix_dedup(docs: DataFrame, length: int = 50, gram: int = 24, every: int =
                 lo, hi = [p.p_first[owned]], [p.p_last[owned] + length]
                 order, bucket = _deal(p, runs, buckets)
                 found = {x["bucket"]: x["payload"] for x in answers if x["kind"] == SUFFIX}
+                mask = np.zeros(len(order), dtype=np.uint64)
                 for b, s in C.by_bucket(bucket):
                     if b in found:
-                        mask = np.frombuffer(found[b], np.uint64)
-                        for shift in range(length - gram + 1):
-                            hit = runs[order[s]][(mask >> np.uint64(shift)) & np.uint64(1) == 1]
-                            lo.append(p.trigger[hit] - shift)
-                            hi.append(p.trigger[hit] - shift + length)
+                        mask[s] = np.frombuffer(found[b], np.uint64)
+                some = np.flatnonzero(mask)
+                mask, at = mask[some], p.trigger[runs[order[some]]]
+                for shift in range(length - gram + 1):
+                    hit = at[(mask >> np.uint64(shift)) & np.uint64(1) == 1]
+                    lo.append(hit - shift)
+                    hi.append(hit - shift + length)
                 start = _starts(p, hot)
                 if len(start):
                     dup = start[_hot_keys(p, start, buckets).elsewhere(answers)]
