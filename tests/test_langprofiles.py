@@ -58,12 +58,15 @@ def test_predictions_as_plain(spark):
     assert right >= .9 * len(train)
 
 
-@pytest.mark.parametrize("held", [1, 50])
-def test_counts_passed_on_early(spark, monkeypatch, held):
+@pytest.mark.parametrize("size", [1, 50])
+def test_blocks_and_early_counts_change_nothing(spark, monkeypatch, size):
     rows = frame(spark, corpus())
     want = L.train_profiles(rows, "g", "l")
-    monkeypatch.setattr(L, "HELD", held)
+    expected = want.predict(TEXTS)
+    monkeypatch.setattr(L, "HELD", size)
+    monkeypatch.setattr(L, "BLOCK", size)
     got = L.train_profiles(rows, "g", "l")
+    assert got.predict(TEXTS) == expected
     assert got.labels == want.labels and got.totals == want.totals
     assert (got.keys == want.keys).all() and (got.weights == want.weights).all()
 

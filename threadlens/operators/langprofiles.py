@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from threadlens.operators.langid import MAX_LABELS
 
 MAX_BYTES = 256 << 20
-HELD = 2_000_000                                             # counts a task combines before it passes them on
+HELD = 1_000_000                                             # counts a task combines before it passes them on
+BLOCK = 1 << 20                                              # characters looked at together
 
 
 def gram_text(c) -> Column:
@@ -53,6 +54,23 @@ def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return keys[inside], row[:-2][inside]
 
 
+def blocks(texts: list[str | None]):
+    """(places, parts) of about ``BLOCK`` characters; parts of a longer text share the two
+    characters at a cut, so that each of its trigrams lies in exactly one."""
+    places, parts, size = [], [], 0
+    for k, t in enumerate(texts):
+        for at in range(0, max(len(t or "") - 2, 0), BLOCK):
+            part = t[at:at + BLOCK + 2]
+            if parts and size + len(part) > BLOCK:
+                yield places, parts
+                places, parts, size = [], [], 0
+            places.append(k)
+            parts.append(part)
+            size += len(part)
+    if parts:
+        yield places, parts
+
+
 @dataclass
 class TrigramProfiles:
     labels: list[str]
@@ -62,20 +80,21 @@ class TrigramProfiles:
     weights: np.ndarray = field(repr=False)                  # ln(c_l + 1), a row for each key
 
     def predict(self, texts: list[str | None]) -> list[str | None]:
-        keys, row = trigrams(texts)
-        place = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        known = self.keys[place] == keys if len(self.keys) else np.zeros(len(keys), dtype=bool)
-        place, row = place[known], row[known]
-        n = np.bincount(row, minlength=len(texts))
-        scores = np.empty((len(texts), len(self.labels)))
-        for k in range(len(self.labels)):
-            # each text's sum by itself, so that it does not depend on its neighbours
-            sums = np.zeros(len(texts))
-            some = np.flatnonzero(n)
-            if len(some):
-                start = np.concatenate(([0], np.cumsum(n)))[some]
-                sums[some] = np.add.reduceat(self.weights[place, k], start)
-            scores[:, k] = self.priors[k] - n * self.totals[k] + sums
+        n = np.zeros(len(texts), dtype=np.int64)
+        sums = np.zeros((len(texts), len(self.labels)))
+        for places, parts in blocks(texts) if len(self.keys) else ():
+            keys, row = trigrams(parts)
+            place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            known = self.keys[place] == keys
+            place, many = place[known], np.bincount(row[known], minlength=len(parts))
+            some = np.flatnonzero(many)
+            if len(some):                                    # a part's sum does not depend on its neighbours
+                start = (np.cumsum(many) - many)[some]
+                of = np.array(places)[some]
+                np.add.at(n, of, many[some])
+                for k in range(len(self.labels)):
+                    np.add.at(sums[:, k], of, np.add.reduceat(self.weights[place, k], start))
+        scores = np.array(self.priors) - n[:, None] * np.array(self.totals) + sums
         best = scores.argmax(axis=1) if self.labels else np.zeros(len(texts), dtype=int)
         return [self.labels[b] if m else None for b, m in zip(best.tolist(), n.tolist())]
 
@@ -101,15 +120,15 @@ def _counts(batches):
     for batch in batches:
         labels, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for label in sorted(set(labels)):
-            keys, _ = trigrams([t for x, t in zip(labels, texts) if x == label])
-            new, c = np.unique(keys, return_counts=True)
-            if label in held:
-                new, c = np.concatenate([held[label][0], new]), np.concatenate([held[label][1], c])
-                new, at = np.unique(new, return_inverse=True)
-                c = np.bincount(at, weights=c).astype(np.int64)
-            held[label] = new, c.astype(np.int64)
-        if sum(len(k) for k, _ in held.values()) > HELD:
-            yield from flush()
+            for _, parts in blocks([t for x, t in zip(labels, texts) if x == label]):
+                new, c = np.unique(trigrams(parts)[0], return_counts=True)
+                if label in held:
+                    new, c = np.concatenate([held[label][0], new]), np.concatenate([held[label][1], c])
+                    new, at = np.unique(new, return_inverse=True)
+                    c = np.bincount(at, weights=c)
+                held[label] = new, c.astype(np.int64)
+                if sum(len(k) for k, _ in held.values()) > HELD:
+                    yield from flush()
     yield from flush()
 
 
