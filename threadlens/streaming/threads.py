@@ -39,7 +39,7 @@ from threadlens.operators.dedup import keep_first, key_bucket
 from threadlens.operators.joins import lookup_join
 from threadlens.operators.threads import _scoped, identity_rewrite
 from threadlens.schemas import DELETED
-from threadlens.session import cut_lineage, cut_lineage_counted
+from threadlens.session import cut_lineage, cut_lineage_counted, scratch_path
 
 _KEYS = [T.StructField("_node", T.StringType()), T.StructField("_up", T.StringType())]
 _PLACE = [T.StructField("epoch", T.LongType()), T.StructField("_bucket", T.IntegerType())]
@@ -115,7 +115,6 @@ def apply_batch(batch: DataFrame, tables: ThreadTables, epoch: int, order: Seque
                           .select(*tables.schema.names)
                           .withColumns({"_node": _scoped(batch, tables.id_col),
                                         "_up": _scoped(batch, tables.parent_col)}), ["_node"], order)
-    arriving = cut_lineage(arriving)
     own = tables.touched(arriving, "_node")
     report.row_buckets = len(own)
     stored = tables.read(spark, "rows", epoch, own).select("_node").distinct()
@@ -159,7 +158,8 @@ def _with_parents(fresh: DataFrame, affected: DataFrame, count: int, tables: Thr
     base = ["_node", "_up", *tables.schema.names, "_raw_parent"]
     old_ids = affected.join(fresh.select("_node"), "_node", "left_anti")
     touched = tables.touched(old_ids, "_node")
-    old = _newest(tables.read(spark, "rows", epoch, touched)).join(old_ids, "_node", "left_semi").select(*base)
+    old = _newest(tables.read(spark, "rows", epoch, touched).select(*base, "epoch", "_bucket")
+                  .join(old_ids, "_node", "left_semi"))
     rows, n = cut_lineage_counted(fresh.select(*base).unionByName(old))
     inside = affected.select(F.col("_node").alias("_in"))
     outer = lookup_join(rows.where(F.col("_up").isNotNull()), inside, "_up", "_in", "left_anti", n_left=n)
@@ -167,9 +167,11 @@ def _with_parents(fresh: DataFrame, affected: DataFrame, count: int, tables: Thr
     asked = cut_lineage(outer.where(F.col("_up").isNotNull()).select("_up").distinct())
     touched = sorted({*touched, *tables.touched(asked, "_up")})
     report.row_buckets = max(report.row_buckets, len(touched))
-    around = (_newest(tables.read(spark, "rows", epoch, touched))
-              .select(F.col("_node").alias("_pid"), F.col("level").alias("_plevel"), F.col(tables.out_col).alias("_ptext"))
-              .join(asked.select(F.col("_up").alias("_pid")), "_pid", "left_semi"))
+    around = _newest(tables.read(spark, "rows", epoch, touched)
+                     .select("_node", "level", tables.out_col, "epoch", "_bucket")
+                     .join(asked.select(F.col("_up").alias("_node")), "_node", "left_semi"))
+    around = around.select(F.col("_node").alias("_pid"), F.col("level").alias("_plevel"),
+                           F.col(tables.out_col).alias("_ptext"))
     return rows, lookup_join(outer, around, "_up", "_pid", "left", n_left=n)
 
 
@@ -187,22 +189,37 @@ def _resolved(df: DataFrame, tables: ThreadTables, rewrite) -> DataFrame:
 
 
 def _placed(rows: DataFrame, first: DataFrame, tables: ThreadTables, rewrite, report: BatchReport) -> DataFrame:
-    """All rows with level and context, level by level from those that start."""
+    """All rows with level and context. Rounds over the ids alone tell how far each row
+    lies below those that start; its text then meets its parent's once, in that round."""
+    spark = rows.sparkSession
     astray = F.col("_pid").isNotNull() & F.col("_plevel").isNull()           # below a cycle
     last, n = cut_lineage_counted(_resolved(first.where(~astray), tables, rewrite))
-    done = last
+    keys = cut_lineage(rows.select("_node", "_up"))
+    frontier, rounds = last.select("_node"), []
     while n:
+        above = frontier.select(F.col("_node").alias("_pid"))
+        frontier, n = cut_lineage_counted(
+            lookup_join(keys, above, "_up", "_pid", "inner", n_left=report.affected).select("_node"))
+        report.rounds += 1
+        if n:
+            rounds.append((frontier, n))
+    place = last.select("_node", F.lit(0).alias("_round"))
+    for k, (found, _) in enumerate(rounds, 1):
+        place = place.unionByName(found.select("_node", F.lit(k).alias("_round")))
+    path = scratch_path(spark, "rounds")
+    rows = rows.join(place, "_node", "left").withColumn("_round", F.coalesce("_round", F.lit(-1)))
+    rows.where("_round <> 0").write.partitionBy("_round").parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    done = last
+    for k, (_, many) in enumerate(rounds, 1):
         parents = last.select(F.col("_node").alias("_pid"), F.col("level").alias("_plevel"),
                               F.col(tables.out_col).alias("_ptext"))
-        last, n = cut_lineage_counted(_resolved(
-            lookup_join(rows, parents, "_up", "_pid", "inner", n_left=report.affected), tables, rewrite))
-        report.rounds += 1
+        here = rows.where(F.col("_round") == k).drop("_round")
+        last = cut_lineage(_resolved(lookup_join(here, parents, "_up", "_pid", "inner", n_left=many), tables, rewrite))
         done = done.unionByName(last)
-        if report.rounds % ROUNDS == 0:
-            done = cut_lineage(done)
-    lost = rows.join(done.select("_node"), "_node", "left_anti")
-    lost = lost.withColumns({"parent_comment": F.col("_raw_parent"), "level": F.lit(None).cast("int"),
-                             "unreachable": F.lit(True), tables.out_col: F.lit(None).cast("string")})
+    lost = rows.where("_round = -1").withColumns(
+        {"parent_comment": F.col("_raw_parent"), "level": F.lit(None).cast("int"),
+         "unreachable": F.lit(True), tables.out_col: F.lit(None).cast("string")})
     return done.unionByName(lost.select(*done.columns))
 
 
