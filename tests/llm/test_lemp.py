@@ -57,7 +57,7 @@ def frames(spark, rows, items):
             spark.createDataFrame([(i, t, 1, "x") for i, t in items], ITEM))
 
 
-@pytest.mark.parametrize("entries,text", [(1 << 20, 1 << 24), (200, 1 << 24), (50, 2000)])
+@pytest.mark.parametrize("entries,text", [(1 << 20, 1 << 24), (200, 1 << 24), (2000, 30_000)])
 def test_search_as_brute_force(spark, monkeypatch, entries, text):
     monkeypatch.setattr(lemp, "ENTRIES", entries)
     monkeypatch.setattr(lemp, "ITEM_BYTES", text)
