@@ -9,17 +9,35 @@ up to (2-t)/t times a template's length. A template can only reach the threshold
 t with segments of between t/(2-t) and (2-t)/t times its size; other segments are
 never compared. The best window starts and ends with a bigram of the template,
 so only such starts are looked at, and only where enough of the template's
-bigrams follow: work is linear in the text. Per document the best match counts;
-ties go to the template first by name. n_matches counts lines, paragraphs and
-whole texts that match, and matching windows (the best first) that overlap
-neither those nor each other. Templates of one word only meet one-word segments.
+bigrams follow: work is linear in the text. Templates of one word only meet
+one-word segments.
 
-Null and empty texts match nothing (license null, dice 0). Empty table: no rows.
+Licences of a family share most of their words, so likeness is not all:
+
+- Deciding bigrams. A segment must hold every bigram of the template that ends
+  in a number (a version), and, where the template differs from one of another
+  licence by at most two bigrams, those. "Attribution-ShareAlike 4.0" holds no
+  "attribution 4", so it is no CC-BY-4.0.
+- Denial. A segment with a denying word (``DENIALS``) that its template lacks, or
+  with one among the three words before it in the same sentence, does not match.
+- Whole before part. A match that lies inside one that shares more bigrams with its
+  template does not name the document: the first clauses of a BSD-3-Clause text are
+  no BSD-2-Clause.
+
+Per document the best match counts; ties go to the template first by name.
+n_matches counts lines, paragraphs and whole texts that match, and matching
+windows (the best first) that overlap neither those nor each other. ``BSD`` names
+a notice of that family that does not show its clauses.
+
+Null and empty texts match nothing (license null, dice 0). Rows without doc_id name
+no document and give no row; each of repeated rows gives its own. Long texts are
+read whole. Empty table: no rows.
 """
 
 from __future__ import annotations
 
 import bisect
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +46,30 @@ from pyspark.sql import DataFrame
 from threadlens.llm import common as C
 from threadlens.llm.toxicity import _parting
 
+# Sentences of the BSD licences, shared by several of them.
+BSD_START = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+             "that the following conditions are met:")
+BSD_TWO = (" 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+           "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list "
+           "of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+           "distribution.")
+BSD_NAMES = (" {}. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+             "promote products derived from this software without specific prior written permission.")
+
 #: Licence notices as they are written into files (fixed values).
 TEMPLATES = {
+    "0BSD": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+             "hereby granted."],
+    "Apache-1.1": [
+        "Licensed under the Apache License, Version 1.1.",
+        BSD_START + BSD_TWO + " 3. The end-user documentation included with the redistribution, if any, must include the "
+        "following acknowledgment: This product includes software developed by the Apache Software Foundation "
+        "(http://www.apache.org/). Alternately, this acknowledgment may appear in the software itself, if and wherever "
+        "such third-party acknowledgments normally appear. 4. The names \"Apache\" and \"Apache Software Foundation\" "
+        "must not be used to endorse or promote products derived from this software without prior written permission."],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
+        "Licensed under the Apache License 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
         "compliance with the License. You may obtain a copy of the License at "
         "http://www.apache.org/licenses/LICENSE-2.0"],
@@ -39,16 +77,13 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
         "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
         "(at your option) any later version."],
-    "BSD-3-Clause": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met:",
-        "Use of this source code is governed by a BSD-style license."],
-    "CC-BY-4.0": ["This work is licensed under a Creative Commons Attribution 4.0 International License.",
-                  "Licensed under CC BY 4.0."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.",
-                     "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
-                     "International License."],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0."],
+    "BSD": [BSD_START, "Use of this source code is governed by a BSD-style license."],
+    "BSD-2-Clause": [BSD_START + BSD_TWO, "Licensed under the BSD 2-Clause License."],
+    "BSD-3-Clause": [BSD_START + BSD_TWO + BSD_NAMES.format(3), "Licensed under the BSD 3-Clause License."],
+    "BSD-4-Clause": [
+        BSD_START + BSD_TWO + " 3. All advertising materials mentioning features or use of this software must display the "
+        "following acknowledgement: This product includes software developed by the organization." + BSD_NAMES.format(4),
+        "Licensed under the BSD 4-Clause License."],
     "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring "
                 "rights to this work."],
     "GPL-2.0": [
@@ -63,6 +98,10 @@ TEMPLATES = {
         "option) any later version."],
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
             "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "LGPL-2.0": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library "
+        "General Public License as published by the Free Software Foundation; either version 2 of the License, or (at "
+        "your option) any later version."],
     "LGPL-2.1": [
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
         "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
@@ -81,6 +120,62 @@ TEMPLATES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
 
+# Conditions of the Creative Commons licences by their letters, and the names of their versions.
+CC_PARTS = {"BY": "Attribution", "NC": "NonCommercial", "SA": "ShareAlike", "ND": "NoDerivatives"}
+CC_KINDS = ["BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND"]
+CC_VERSIONS = {"4.0": "International", "3.0": "Unported", "2.5": "Generic", "2.0": "Generic"}
+for _kind in CC_KINDS:
+    for _version, _scope in CC_VERSIONS.items():
+        _words = "-".join(CC_PARTS[x] for x in _kind.split("-"))
+        if _version != "4.0":
+            _words = _words.replace("NoDerivatives", "NoDerivs")
+        TEMPLATES[f"CC-{_kind}-{_version}"] = [
+            f"This work is licensed under a Creative Commons {_words} {_version} {_scope} License.",
+            f"This work is licensed under a Creative Commons {_words} {_version} License.",
+            f"Licensed under CC {_kind} {_version}."]
+
+# Words that deny what follows, and the verbs whose short denials count as well.
+DENIALS = ["not", "never", "neither", "nor", "cannot"]
+DENYING_VERBS = ["is", "was", "are", "were", "has", "have", "had", "does", "do", "did"]
+
+
+@dataclass
+class Template:
+    name: str
+    grams: np.ndarray                                        # distinct bigrams, sorted
+    n_words: int
+    deciding: np.ndarray                                     # bigrams a segment must hold
+    denials: frozenset                                       # denying words it holds itself
+
+
+def _words(text: str):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return C.words(raw, np.array([0, len(raw)]), lower=True, space=_parting())
+
+
+def denial_hashes() -> frozenset:
+    """Hashes of denying words, short forms as both kinds of apostrophe leave them."""
+    short = [f"{v}n{end}" for v in DENYING_VERBS for end in ("", "\u2019t")]
+    return frozenset(_words(" ".join(DENIALS + short))[2].tolist())
+
+
+def compiled(templates: dict[str, list[str]]) -> list[Template]:
+    """Templates by name, with their bigrams and what decides between them."""
+    out, denials = [], denial_hashes()
+    for name in sorted(templates):
+        for text in templates[name]:
+            starts, _, h, _ = _words(text)
+            raw = text.encode()
+            seg = np.zeros(len(h), np.int64)
+            at, grams = _bigrams(h, seg) if len(h) > 1 else (np.zeros(0, np.int64), h)
+            number = [k for k, i in enumerate(at.tolist()) if raw[starts[i + 1]:starts[i + 1] + 1].isdigit()]
+            out.append(Template(name, np.unique(grams), len(h), np.unique(grams[number]) if number else h[:0],
+                                denials & frozenset(h.tolist())))
+    for t in out:
+        apart = [np.setdiff1d(t.grams, u.grams) for u in out if u.name != t.name]
+        t.deciding = np.unique(np.concatenate([t.deciding, *(x for x in apart if 0 < len(x) <= 2 < len(t.grams))]))
+    return out
+
 
 def _bigrams(h: np.ndarray, seg: np.ndarray):
     """Places of the words that have a next one in their segment, and the bigrams' hashes."""
@@ -112,17 +207,18 @@ def _line_ends(data: np.ndarray, offs: np.ndarray):
     return lines, np.unique(np.concatenate([offs, empty]))
 
 
-def _windows(data: np.ndarray, offs: np.ndarray, templates: list, known: np.ndarray, least: float):
-    """Best matching window from each start: (-dice, template, document, first byte, end)."""
-    starts, ends, h, ptr = C.words(data, offs, lower=True, space=_parting())
-    doc = np.repeat(np.arange(len(offs) - 1), np.diff(ptr))
+def _windows(words, docs: int, templates: list[Template], known: np.ndarray, least: float):
+    """Best matching window from each start: (-dice, template, document, first word, last word, shared bigrams)."""
+    _, _, h, ptr = words
+    doc = np.repeat(np.arange(docs), np.diff(ptr))
     at, value = _bigrams(h, doc)
     hit = np.flatnonzero(known[np.minimum(np.searchsorted(known, value), len(known) - 1)] == value)
     found = []
-    for t, (_, grams, n_words) in enumerate(templates):
-        if n_words < 2:
+    for t, template in enumerate(templates):
+        grams = template.grams
+        if template.n_words < 2:
             continue
-        reach = int((2 - least) / least * (n_words - 1) + 1e-9)
+        reach = int((2 - least) / least * (template.n_words - 1) + 1e-9)
         need = max(int(np.ceil(least * len(grams) / (2 - least) - 1e-9)), 1)
         own = hit[grams[np.minimum(np.searchsorted(grams, value[hit]), len(grams) - 1)] == value[hit]]
         if len(own) < need:
@@ -131,20 +227,21 @@ def _windows(data: np.ndarray, offs: np.ndarray, templates: list, known: np.ndar
         near = (at[own[need - 1:]] - at[own[:last]] < reach) & (doc[at[own[need - 1:]]] == doc[at[own[:last]]])
         if not near.any():
             continue
-        wanted = set(grams.tolist())
+        wanted, deciding = set(grams.tolist()), set(template.deciding.tolist())
         for k in own[:last][near].tolist():
             d = int(doc[at[k]])
-            seen, shared, top = set(), 0, (0.0, 0)
+            seen, shared, missing, top = set(), 0, len(deciding), (0.0, 0, 0)
             for j, v in enumerate(value[k:min(k + reach, int(np.searchsorted(at, ptr[d + 1])))].tolist(), k):
                 if v not in seen:
                     seen.add(v)
                     if v in wanted:
                         shared += 1
+                        missing -= v in deciding
                         dice = 2 * shared / (len(seen) + len(wanted))
-                        if dice > top[0]:
-                            top = (dice, j)
+                        if dice > top[0] and not missing:
+                            top = (dice, j, shared)
             if top[0] >= least:
-                found.append((-top[0], t, d, int(starts[at[k]]), int(ends[at[top[1]] + 1])))
+                found.append((-top[0], t, d, int(at[k]), int(at[top[1]]) + 1, top[2]))
     return found
 
 
@@ -158,15 +255,45 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def matches(data: np.ndarray, offs: np.ndarray, templates: list[tuple[str, np.ndarray, int]], least: float):
-    """For each document: number of matches, best Dice, its template (name, bigrams, words)."""
-    docs = len(offs) - 1
+def _denied(raw: bytes, words, first: int, last: int, begin: int, template: Template, denials: frozenset) -> bool:
+    """Does a denying word stand in words first..last, or up to three words before them in their sentence?"""
+    starts, ends, h, _ = words
+    if any(x in denials and x not in template.denials for x in h[first:last + 1].tolist()):
+        return True
+    for k in range(max(first - 3, begin), first):
+        if int(h[k]) in denials and not any(c in b".!?;:" for c in raw[ends[k]:starts[first]]):
+            return True
+    return False
+
+
+def _best(found: list[tuple]):
+    """(dice, template) of the best match (dice, template, first, last word, shared) inside none that shares more."""
+    top = (0.0, -1)
+    for size in sorted({m[4] for m in found}):
+        larger = sorted((m[2], m[3]) for m in found if m[4] > size)
+        reach = np.maximum.accumulate([b for _, b in larger]) if larger else []
+        for dice, t, first, last, shared in found:
+            if shared != size:
+                continue
+            before = bisect.bisect_right(larger, (first, 1 << 62))
+            if before and reach[before - 1] >= last:
+                continue
+            if dice > top[0] or (dice == top[0] and t < top[1]):
+                top = (dice, t)
+    return top
+
+
+def matches(data: np.ndarray, offs: np.ndarray, templates: list[Template], least: float):
+    """For each document: number of matches, best Dice, its template's place."""
+    docs, raw, denials = len(offs) - 1, data.tobytes(), denial_hashes()
     hits, best, which = np.zeros(docs, np.int64), np.zeros(docs), np.full(docs, -1)
-    known = np.unique(np.concatenate([t[1] for t in templates]))
-    lo = min(len(t[1]) for t in templates) * least / (2 - least)
-    hi = max(len(t[1]) for t in templates) * (2 - least) / least
+    known = np.unique(np.concatenate([t.grams for t in templates]))
+    lo = min(len(t.grams) for t in templates) * least / (2 - least)
+    hi = max(len(t.grams) for t in templates) * (2 - least) / least
+    words = C.words(data, offs, lower=True, space=_parting())
+    starts, _, _, ptr = words
     lines, paragraphs = _line_ends(data, offs)
-    seen, taken = set(), [[] for _ in range(docs)]
+    seen, taken, found = set(), [[] for _ in range(docs)], [[] for _ in range(docs)]
     for bounds in (lines, paragraphs, offs):
         value, own = bigram_sets(data, bounds)
         n = np.bincount(own, minlength=len(bounds) - 1)
@@ -178,28 +305,37 @@ def matches(data: np.ndarray, offs: np.ndarray, templates: list[tuple[str, np.nd
                 continue
             seen.add(span)
             a, b = np.searchsorted(own, [s, s + 1])
-            top = (0.0, -1)
-            for t, (_, grams, _) in enumerate(templates):
-                size = b - a
-                if least * len(grams) <= (2 - least) * size and least * size <= (2 - least) * len(grams):
-                    dice = 2 * len(np.intersect1d(value[a:b], grams, assume_unique=True)) / (size + len(grams))
-                    if dice >= least and dice > top[0]:
-                        top = (dice, t)
-            if top[1] >= 0:
-                d = int(np.searchsorted(offs, span[0], side="right")) - 1
+            d = int(np.searchsorted(offs, span[0], side="right")) - 1
+            first, last = int(np.searchsorted(starts, span[0])), int(np.searchsorted(starts, span[1])) - 1
+            size, some = b - a, False
+            for t, template in enumerate(templates):
+                grams = template.grams
+                if not (least * len(grams) <= (2 - least) * size and least * size <= (2 - least) * len(grams)):
+                    continue
+                common = len(np.intersect1d(value[a:b], grams, assume_unique=True))
+                dice = 2 * common / (size + len(grams))
+                if (dice >= least and np.isin(template.deciding, value[a:b]).all()
+                        and not _denied(raw, words, first, last, int(ptr[d]), template, denials)):
+                    found[d].append((dice, t, first, last, common))
+                    some = True
+            if some:
                 hits[d] += 1
-                taken[d].append(span)
-                if top[0] > best[d] or (top[0] == best[d] and top[1] < which[d]):
-                    best[d], which[d] = top
-    for bounds in taken:
-        bounds[:] = _merged(bounds)
-    for dice, t, d, a, b in sorted(_windows(data, offs, templates, known, least)):
-        if -dice > best[d] or (-dice == best[d] and t < which[d]):
-            best[d], which[d] = -dice, t
-        place = bisect.bisect_left(taken[d], (a, b))
-        if (place == 0 or taken[d][place - 1][1] <= a) and (place == len(taken[d]) or taken[d][place][0] >= b):
-            taken[d].insert(place, (a, b))
+                taken[d].append((first, last + 1))
+    for spans in taken:
+        spans[:] = _merged(spans)
+    for dice, t, d, first, last, common in sorted(_windows(words, docs, templates, known, least)):
+        if _denied(raw, words, first, last, int(ptr[d]), templates[t], denials):
+            continue
+        found[d].append((-dice, t, first, last, common))
+        span = (first, last + 1)
+        place = bisect.bisect_left(taken[d], span)
+        if ((place == 0 or taken[d][place - 1][1] <= span[0])
+                and (place == len(taken[d]) or taken[d][place][0] >= span[1])):
+            taken[d].insert(place, span)
             hits[d] += 1
+    for d, some in enumerate(found):
+        if some:
+            best[d], which[d] = _best(some)
     return hits, best, which
 
 
@@ -211,13 +347,7 @@ def license_scan(docs: DataFrame, templates: dict[str, list[str]] | None = None,
     templates = templates or TEMPLATES
 
     def run(batches):
-        table = []
-        for name in sorted(templates):
-            for text in templates[name]:
-                raw = np.frombuffer(text.encode(), np.uint8)
-                bounds = np.array([0, len(raw)])
-                n_words = len(C.words(raw, bounds, lower=True, space=_parting())[0])
-                table.append((name, bigram_sets(raw, bounds)[0], n_words))
+        table = compiled(templates)
         for batch in batches:
             ids = np.asarray(batch.column(0))
             data, offs = C.strings(batch.column(1))
@@ -225,7 +355,7 @@ def license_scan(docs: DataFrame, templates: dict[str, list[str]] | None = None,
                 hits, best, which = matches(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], table, least)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": ids[i:j],
-                    "license": pa.array([table[w][0] if w >= 0 else None for w in which.tolist()], pa.string()),
+                    "license": pa.array([table[w].name if w >= 0 else None for w in which.tolist()], pa.string()),
                     "dice": best, "n_matches": hits})
 
     return C.whole(docs).mapInArrow(run, RESULT)
