@@ -7,6 +7,9 @@ U+0001/U+0002 sentinels are safe because control characters were removed
 upstream. Each sentence is paired with its predecessor inside the row's
 array before ``posexplode``: the same result as ``lag(1) over (partition by
 comment order by position)`` without a window or a shuffle.
+
+With ``abbreviations`` (types learned by ``abbreviations.learn_abbreviations``)
+these take the place of the fixed list; their number is bounded there.
 """
 
 from __future__ import annotations
@@ -37,13 +40,29 @@ ABBREV_RE_FAST = ("(?i)(?<![A-Za-z0-9_])(?=[a-z.]{1,4}\\." + WS + ")(" + _ALTS +
 # End punctuation, optionally followed by closing quotes/brackets, then whitespace.
 BOUNDARY = "([.!?]+[\"')\\]]*)" + WS + "+"
 TRIM = "^" + WS + "+|" + WS + "+$"
+# The same boundary, its whitespace kept; whitespace as single characters.
+BOUNDARY_KEPT = "([.!?]+[\"')\\]]*)(" + WS + "+)"
+WS_CHARS = ("\t\n\x0b\x0c\r\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200b))
+            + "\u2028\u2029\u202f\u205f\u3000")
+
+
+def _learned_array(text: Column, abbreviations: list[str]) -> Column:
+    """Cut at every boundary; pieces that end in an abbreviation are put together again."""
+    from threadlens.operators.abbreviations import ends_in_abbreviation
+    parts = F.split(F.regexp_replace(text, BOUNDARY_KEPT, "$1" + SENTINEL + "$2"), SENTINEL)
+    joined = F.array_join(F.transform(parts, lambda p: F.concat(p, F.when(
+        ends_in_abbreviation(F.translate(p, WS_CHARS, " " * len(WS_CHARS)), abbreviations), F.lit("")).otherwise(
+        F.lit(SENTINEL)))), "")
+    return F.transform(F.split(joined, SENTINEL), lambda s: F.regexp_replace(s, "^" + WS + "+", ""))
 
 
-def sentence_array(c) -> Column:
+def sentence_array(c, abbreviations: list[str] | None = None) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     # The boundary consumes the whole whitespace run at every split point, so
     # only the text's own ends can carry whitespace: trim once, not per piece.
     text = F.regexp_replace(col, TRIM, "")
+    if abbreviations is not None:
+        return F.filter(_learned_array(text, abbreviations), lambda s: s != F.lit(""))
     kept = F.regexp_replace(text, ABBREV_RE_FAST, "$1." + KEEP + "$2")
     parts = F.split(F.regexp_replace(kept, BOUNDARY, "$1" + SENTINEL), SENTINEL)
     parts = F.transform(parts, lambda s: F.replace(s, F.lit(KEEP), F.lit("")))
@@ -51,7 +70,7 @@ def sentence_array(c) -> Column:
 
 
 def split_sentences(df: DataFrame, text_col: str = "comment",
-                    keep_position: bool = True) -> DataFrame:
+                    keep_position: bool = True, abbreviations: list[str] | None = None) -> DataFrame:
     """One row per sentence of ``text_col``; empty or NULL text -> no rows.
 
     Adds ``sentence_idx`` (0-based), ``sentence`` and ``previous_sentence``
@@ -59,7 +78,7 @@ def split_sentences(df: DataFrame, text_col: str = "comment",
     the array before the explode, so no output row carries the whole array
     (which would copy it once per sentence: quadratic in long texts).
     """
-    pairs = let(sentence_array(text_col), lambda a: F.transform(
+    pairs = let(sentence_array(text_col, abbreviations), lambda a: F.transform(
         a, lambda s, i: F.struct(s.alias("sentence"),
                                  F.when(i > 0, a[i - 1]).alias("previous_sentence"))))
     cols = [F.col(c) for c in df.columns]

@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from threadlens.functions import text as tx
 from threadlens.functions.hof import let
+from threadlens.operators import abbreviations as ab
 from threadlens.operators.mentions import contains_any, matched_terms
-from threadlens.operators.sentences import ABBREV_RE, BOUNDARY, TRIM, split_sentences
+from threadlens.operators.sentences import (
+    ABBREV_RE, BOUNDARY, BOUNDARY_KEPT, TRIM, WS, WS_CHARS, split_sentences,
+)
 from threadlens.plans import register
 from threadlens.sources.fixtures import (
     GAZETTEER_A, GAZETTEER_B, v_comments, v_sentence_docs, with_views,
@@ -71,6 +74,62 @@ def sentence_lag(spark, sf_dir):
     return s.select("doc_id", "sentence_idx", "previous_sentence")
 
 
+def _bare_sql(x: str) -> str:
+    return f"regexp_replace(lower({x}), '{ab.LEAD}', '')"
+
+
+# Abbreviations learned from all documents.
+_LEARNED = {
+    "raws": f"SELECT unnest(regexp_split_to_array(comment, '{WS}+')) AS raw FROM v_sentence_docs",
+    "word": f"""SELECT CASE WHEN length(raw) <= {ab.LONGEST}
+       THEN regexp_replace({_bare_sql('raw')}, '{ab.TRAIL}', '') ELSE '' END AS w FROM raws WHERE raw <> ''""",
+    "typed": f"""SELECT CAST(regexp_matches(w, '{ab.FINAL}') AS BIGINT) AS p,
+       regexp_replace(w, '\\.+$', '') AS t FROM word""",
+    "counts": f"""SELECT CASE WHEN regexp_matches(t, '{ab.IS_TYPE}') THEN t ELSE '' END AS type,
+       CAST(sum(p) AS BIGINT) AS n_with, CAST(sum(1 - p) AS BIGINT) AS n_without FROM typed GROUP BY 1""",
+    "total": "SELECT CAST(sum(n_with) AS DOUBLE) / sum(n_with + n_without) AS chance FROM counts",
+    "sized": """SELECT counts.*, chance, length(type) - length(replace(type, '.', '')) AS periods,
+       CAST(length(replace(type, '.', '')) AS DOUBLE) AS letters
+       FROM counts, total WHERE type <> '' AND n_with >= 5""",
+    "scored": """SELECT type, n_with, n_without,
+       2 * (n_with * (ln(0.99) - ln(chance)) + n_without * (ln(0.01) - CASE WHEN chance < 1 THEN ln(1 - chance) ELSE 0 END))
+       * (periods + 1) * exp(-letters - n_without * ln(letters)) AS score FROM sized""",
+    "abbrev": f"SELECT * FROM scored WHERE score >= {ab.THRESHOLD}",
+}
+
+
+@register("abbreviation_types", with_views(
+    "SELECT type, n_with, n_without, round(score, 4) AS score FROM abbrev", "v_sentence_docs", extra=_LEARNED))
+def abbreviation_types(spark, sf_dir):
+    """Abbreviations learned from all documents."""
+    return ab.learn_abbreviations(v_sentence_docs(spark, sf_dir)).withColumn("score", F.round("score", 4))
+
+
+_LAST = f"string_split(translate(p, '{WS_CHARS}', '{' ' * len(WS_CHARS)}'), ' ')[-1]"
+_TRAINED = _LEARNED | {
+    "known": "SELECT coalesce(list(type), []) AS types FROM abbrev",
+    "pieces": f"""SELECT doc_id, types, string_split(regexp_replace(regexp_replace(comment, '{_q(TRIM)}', '', 'g'),
+       '{_q(BOUNDARY_KEPT)}', '\\1' || chr(1) || '\\2', 'g'), chr(1)) AS parts
+       FROM v_sentence_docs, known WHERE comment IS NOT NULL""",
+    "joined": f"""SELECT doc_id, array_to_string(list_transform(parts, lambda p: p || CASE
+       WHEN length({_LAST}) <= {ab.LONGEST} AND regexp_matches({_bare_sql(_LAST)}, '{ab.FINAL}')
+            AND list_contains(types, regexp_replace({_bare_sql(_LAST)}, '\\.+$', ''))
+       THEN '' ELSE chr(1) END), '') AS text FROM pieces""",
+    "arrays": f"""SELECT doc_id, list_filter(list_transform(string_split(text, chr(1)),
+       lambda s: regexp_replace(s, '^{WS}+', '')), lambda s: s <> '') AS arr FROM joined""",
+}
+
+
+@register("sentence_split_trained", with_views("""
+SELECT doc_id, CAST(i - 1 AS INTEGER) AS sentence_idx, arr[i] AS sentence
+FROM (SELECT doc_id, arr, generate_subscripts(arr, 1) AS i FROM arrays)""", "v_sentence_docs", extra=_TRAINED))
+def sentence_split_trained(spark, sf_dir):
+    """Sentences of all documents; abbreviations learned from the same texts."""
+    docs = v_sentence_docs(spark, sf_dir)
+    types = ab.collect_types(ab.learn_abbreviations(docs))
+    return split_sentences(docs, "comment", abbreviations=types).select("doc_id", "sentence_idx", "sentence")
+
+
 def _sql_any(col, terms):
     ors = " OR ".join(f"contains(lower({col}), '{t.lower()}')" for t in terms)
     return f"CASE WHEN {col} IS NULL THEN NULL ELSE CAST(({ors}) AS INTEGER) END"
