@@ -95,6 +95,26 @@ def recover_child(c) -> Column:
 
 # --- Python side (no Spark built-in): HTML unescape and NFC ----------------
 
+# Ranges of code points that NFC leaves as they are, beside each other as well: none is
+# decomposed, reordered or the second half of a composition (checked one by one in the tests).
+NFC_STABLE = [
+    (0x0, 0x2FF), (0x370, 0x373), (0x388, 0x3FF), (0x400, 0x482), (0x48A, 0x530), (0x531, 0x58A), (0x5D0, 0x5EA),
+    (0x620, 0x64A), (0x1E00, 0x1EFF), (0x2002, 0x20CF), (0x2190, 0x21FF), (0x2200, 0x22FF), (0x2300, 0x2328),
+    (0x232B, 0x2ADB), (0x3001, 0x3029), (0x3030, 0x3096), (0x30A0, 0x30FF), (0x3400, 0x9FFF), (0xAC00, 0xD7A3),
+    (0xFF01, 0xFFEF), (0x1F000, 0x1FAFF)]
+_NOT_STABLE = "[^" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in NFC_STABLE) + "]"
+
+
+def has_entity(c) -> Column:
+    """May HTML unescape change the text? Every entity starts with ``&``."""
+    return _c(c).contains("&")
+
+
+def needs_fix(c) -> Column:
+    """May HTML unescape or NFC change the text? False proves that neither does."""
+    return has_entity(c) | _c(c).rlike(_NOT_STABLE)
+
+
 @F.pandas_udf(T.StringType())
 def html_unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda x: html.unescape(x) if isinstance(x, str) else None)
@@ -115,7 +135,7 @@ _FIX = T.StructType([
 
 @F.pandas_udf(_FIX)
 def fix_encoding(title: pd.Series, parent: pd.Series, comment: pd.Series) -> pd.DataFrame:
-    """One Python pass for the three unescapes plus NFC of the comment."""
+    """One Python pass for the three unescapes plus NFC of the comment. NULLs stay NULL."""
     def un(x):
         return html.unescape(x) if isinstance(x, str) else None
     c = comment.map(un)

@@ -5,7 +5,9 @@ NULL -> '' -> C4 language gate -> I2/I3 NFC + drop Cf (comment) -> I4
 typographic (every string column) -> I5 control strip (every string column)
 -> I6 URL mask (comment).
 
-Only I1 and I2 run in Python (one fused Arrow UDF); the rest is native.
+Only I1 and I2 run in Python (one fused Arrow UDF); the rest is native. A
+text that neither can change (no ``&``, only code points that NFC leaves alone:
+``text.needs_fix``) goes to Python as NULL and is kept as it is.
 The language gate is a Column (e.g. a stored label or a model prediction);
 when it does not read the UDF's output Catalyst evaluates it below the UDF,
 so dropped rows never reach Python.
@@ -20,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.text import (
-    every_string, fix_encoding, lang_text, mask_urls, strip_cf, strip_control, typographic,
+    every_string, fix_encoding, has_entity, lang_text, mask_urls, needs_fix, strip_cf, strip_control, typographic,
 )
 from threadlens.session import cut_lineage
 
@@ -53,17 +55,20 @@ def fix_and_gate(df: DataFrame, english: LangGate | ModelGate | None = None) ->
     """
     cols = list(df.columns)
     df = df.where(F.col("comment").isNotNull())
-    df = df.withColumn("_fx", fix_encoding("post_title", "parent_comment", "comment"))
+    sent = [F.when(check(c), F.col(c)) for c, check in
+            (("post_title", has_entity), ("parent_comment", has_entity), ("comment", needs_fix))]
+    df = df.withColumn("_fx", fix_encoding(*sent))          # gives NULL only for NULL
     df = df.withColumns({
-        "post_title": F.col("_fx.post_title"),
-        "parent_comment": F.coalesce(F.col("_fx.parent_comment"), F.lit("")),
-        "comment": F.col("_fx.comment"),
+        "post_title": F.coalesce("_fx.post_title", "post_title"),
+        "parent_comment": F.coalesce("_fx.parent_comment", "parent_comment", F.lit("")),
+        "_nfc": F.coalesce("_fx.comment_nfc", "comment"),
+        "comment": F.coalesce("_fx.comment", "comment"),
     })
     if isinstance(english, ModelGate):
         df = english.apply(df)
     elif english is not None:
         df = df.where(english(df))
-    df = df.withColumn("comment", strip_cf(F.col("_fx.comment_nfc")))
+    df = df.withColumn("comment", strip_cf(F.col("_nfc")))
     return df.select(*cols)
 
 
