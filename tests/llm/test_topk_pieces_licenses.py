@@ -310,3 +310,18 @@ def test_equal_segments_of_spaces_and_marks_keep_the_memo_right():
         ids, ptr = viterbi.encode(np.frombuffer(b"".join(raw), np.uint8), offs, enc)
         for t, a, b in zip(texts, ptr[:-1], ptr[1:]):
             assert ids[a:b].tolist() == full_viterbi(viterbi.SPACE + t.replace(" ", viterbi.SPACE), enc.p)
+
+
+def test_segments_at_once_as_one_by_one():
+    """Random runs of pieces, rare characters and very short or long segments; repeated ones too."""
+    import random
+    enc, r = Encoder(default_model()), random.Random(7)
+    pieces = list(enc.p.score)
+    rare = [chr(c) for c in (0x61, 0x4E00, 0x1F600, 0x301, 0xE9, 0x20, 0x2581)]
+    words = ["".join(r.choice(pieces) if r.random() < .7 else r.choice(rare) for _ in range(r.randint(0, 14)))
+             for _ in range(1500)] + ["", "a" * 31, "a" * 32, "a" * 500, "", "a" * 31]
+    size = [len(w) for w in words]
+    assert min(size) == 0 and max(size) >= 4 * enc.p.longest
+    got = enc.encode([w.encode() for w in words])
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [list(stream(w, enc.p)) for w in words]
+    assert enc.encode([]) == [] and enc.encode([b""]) == [b""]

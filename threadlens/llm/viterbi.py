@@ -17,11 +17,14 @@ longest piece; whenever the paths behind all positions of the window meet in
 one boundary, everything before it is committed, so memory does not grow with
 the text. No piece holds a U+2581 after another character, so paths always
 meet before a space: the text falls into segments (spaces and a word), and
-each distinct segment of a block is solved once. Short segments are solved in
-lock step, many at a time; long ones by ``stream``.
+each distinct segment of a block is solved once. Segments shorter than two longest
+pieces, of which ``stream`` commits nothing before the end, are solved many at a time by the
+same recurrence: a trie of the pieces is walked from every character at once, and
+totals are handed forwards place by place. Longer ones go through ``stream``.
 
 Decoding joins the pieces, turns byte pieces into bytes and drops the first
-space. Null text is empty: no ids. A text that itself holds U+2581 decodes to a
+space. Null text is empty: no ids. Rows without doc_id name no document and give no
+row; each of repeated rows gives its own; an empty table gives no rows. A text that itself holds U+2581 decodes to a
 space there (as in SentencePiece), and ``round_trip`` is false.
 """
 
@@ -39,7 +42,6 @@ from pyspark.sql import functions as F
 from threadlens.llm import common as C
 
 SPACE = "▁"
-LOCK_STEP = 48
 
 
 def default_model() -> str:
@@ -116,89 +118,152 @@ def stream(chars: Iterable[str], p: Pieces) -> Iterator[int]:
     yield from path(at)
 
 
+class Trie:
+    """Pieces by their characters; children in an open hash table of (node, character)."""
+
+    def __init__(self, pieces: dict[str, tuple[float, int]]):
+        children: dict[int, int] = {}
+        ends = {}
+        for piece, (score, i) in pieces.items():
+            node = 0
+            for c in piece:
+                node = children.setdefault(node << 21 | ord(c), len(children) + 1)
+            ends[node] = (score, i)
+        self.id = np.full(len(children) + 1, -1, dtype=np.int32)
+        self.score = np.zeros(len(children) + 1)
+        at = np.fromiter(ends, np.int64, len(ends))
+        self.score[at], self.id[at] = zip(*ends.values())
+        bits = max(int(4 * len(children)).bit_length(), 4)
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.key = np.full(1 << bits, -1, dtype=np.int64)
+        self.child = np.full(1 << bits, -1, dtype=np.int32)
+        key = np.fromiter(children, np.int64, len(children))
+        value = np.fromiter(children.values(), np.int32, len(children))
+        place = self._place(key)
+        while len(key):                                      # the first at a free place takes it, others go on
+            free = np.flatnonzero(self.key[place] == -1)
+            _, first = np.unique(place[free], return_index=True)
+            won = free[first]
+            self.key[place[won]], self.child[place[won]] = key[won], value[won]
+            rest = np.ones(len(key), dtype=bool)
+            rest[won] = False
+            key, value, place = key[rest], value[rest], (place[rest] + 1) & self.mask
+
+    def _place(self, key: np.ndarray) -> np.ndarray:
+        return (C.mix(key.astype(np.uint64)) >> self.shift).astype(np.int64)
+
+    def step(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Children of nodes by a character each, -1 where there is none."""
+        key = node.astype(np.int64) << 21 | code
+        place = self._place(key)
+        out, there = self.child[place], self.key[place]
+        open_ = np.flatnonzero((there != key) & (there != -1))
+        out[there != key] = -1
+        while len(open_):
+            place[open_] = (place[open_] + 1) & self.mask
+            there = self.key[place[open_]]
+            hit = there == key[open_]
+            out[open_[hit]] = self.child[place[open_[hit]]]
+            open_ = open_[~hit & (there != -1)]
+        return out
+
+
 class Encoder(C.Memo):
     """Ids of segments (UTF-8, spaces as U+2581)."""
 
     def __init__(self, path: str, scores: np.ndarray | None = None):
         self.p = Pieces(path, scores)
-        keys = list(self.p.score)
-        h = np.array([self._hash(np.array([[ord(c) for c in k]], dtype=np.uint64))[0] for k in keys], dtype=np.uint64)
-        order = np.argsort(h)
-        self.table = h[order]
-        self.table_score = np.array([self.p.score[k][0] for k in keys])[order]
-        self.table_id = np.array([self.p.score[k][1] for k in keys])[order]
-        self.maybe = np.zeros(1 << 20, dtype=bool)
-        self.maybe[self.table >> np.uint64(44)] = True
+        self.trie = Trie(self.p.score)
         super().__init__()
 
-    @staticmethod
-    def _hash(codes: np.ndarray) -> np.ndarray:
-        v = C.mix(codes + np.uint64(0x7F4A7C15))
-        return C.mix((v * C.powers(C.BASE_A, codes.shape[1])[None, :codes.shape[1]]).sum(axis=1, dtype=np.uint64))
-
     def encode(self, words):
-        texts = [w.decode() for w in words]
-        out: list = [None] * len(texts)
-        order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
-        short = [i for i in order if len(texts[i]) <= LOCK_STEP]
-        for lo in range(0, len(short), 1000):
-            part = short[lo:lo + 1000]
-            for i, ids in zip(part, self._lock_step([texts[i] for i in part])):
-                out[i] = array("I", ids).tobytes()
-        for i in order[len(short):]:
-            out[i] = array("I", stream(texts[i], self.p)).tobytes()
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        ends = np.cumsum([len(w) for w in words], dtype=np.int64)
+        chars = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))[ends]
+        size = np.diff(chars, prepend=0)
+        out: list = [None] * len(words)
+        fits = size < 2 * self.p.longest
+        short = np.flatnonzero(fits).tolist()
+        for i, ids in zip(short, self._lock_step([words[i] for i in short], size[short])):
+            out[i] = ids
+        for i in np.flatnonzero(~fits).tolist():
+            out[i] = array("I", stream(words[i].decode(), self.p)).tobytes()
         return out
 
-    def _lock_step(self, texts):
-        n, size = len(texts), np.array([len(t) for t in texts])
-        width = int(size.max(initial=0))
-        if not width:
-            return [[] for _ in texts]
-        codes = np.zeros((n, width), dtype=np.uint64)
-        flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    def _edges(self, flat, left):
+        """All pieces in the texts: (place of the first character, length, score, id); ``left``:
+        characters from each place to the end of its text. The work follows the matches."""
+        at = np.arange(len(flat))
+        node = np.zeros(len(flat), dtype=np.int32)
+        none = np.ones(len(flat), dtype=bool)                # single characters that are no piece
+        found, length = [], 0
+        while len(at):
+            node = self.trie.step(node, flat[at + length])
+            length += 1
+            on = node >= 0
+            at, node = at[on], node[on]
+            i = self.trie.id[node]
+            ends = i >= 0
+            if length == 1:
+                none[at[ends]] = False
+            found.append((at[ends], np.full(int(ends.sum()), length), self.trie.score[node[ends]], i[ends]))
+            more = left[at] > length
+            at, node = at[more], node[more]
+        at = np.flatnonzero(none)
+        found.append((at, np.ones(len(at), dtype=np.int64), np.full(len(at), self.p.missing),
+                      np.full(len(at), -1, dtype=np.int32)))
+        return [np.concatenate(x) for x in zip(*found)]
+
+    def _lock_step(self, words: list[bytes], size: np.ndarray) -> list[bytes]:
+        """The best paths of many texts at once, forwards from each place; the same totals and
+        choices as ``stream``."""
+        n = len(words)
+        flat = np.frombuffer(b"".join(words).decode().encode("utf-32-le"), dtype="<u4").astype(np.int64)
+        first = np.cumsum(size) - size
         row = np.repeat(np.arange(n), size)
-        codes[row, np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat
-        sums = np.zeros((n, width + 1), dtype=np.uint64)
-        np.cumsum(C.mix(codes + np.uint64(0x7F4A7C15)) * C.powers(C.BASE_A, width)[None, :width], axis=1, out=sums[:, 1:])
-        inv = C.powers(pow(C.BASE_A, -1, 1 << 64), width + 1)
-        best = np.full((n, width + 1), -np.inf)
-        best[:, 0] = 0
-        prev = np.zeros((n, width + 1), dtype=np.int32)
-        pick = np.full((n, width + 1), -1, dtype=np.int32)
-        first = np.searchsorted(size, np.arange(1, width + 1))   # texts come by length
-        for end in range(1, width + 1):
-            live = slice(int(first[end - 1]), n)
-            for length in range(min(end, self.p.longest), 0, -1):
-                h = C.mix((sums[live, end] - sums[live, end - length]) * inv[end - length])
-                cand = np.flatnonzero(self.maybe[h >> np.uint64(44)])
-                place = np.minimum(np.searchsorted(self.table, h[cand]), len(self.table) - 1)
-                hit = self.table[place] == h[cand]
-                rows, place = cand[hit] + live.start, place[hit]
-                total = best[rows, end - length] + self.table_score[place]
-                better = total > best[rows, end]
-                rows, place = rows[better], place[better]
-                best[rows, end], prev[rows, end], pick[rows, end] = total[better], end - length, self.table_id[place]
-                if length == 1:
-                    none = np.ones(n - live.start, dtype=bool)
-                    none[cand[hit]] = False
-                    rows = np.flatnonzero(none) + live.start
-                    total = best[rows, end - 1] + self.p.missing
-                    better = total > best[rows, end]
-                    rows = rows[better]
-                    best[rows, end], prev[rows, end], pick[rows, end] = total[better], end - 1, -1
-        out = []
-        prev, pick = prev.tolist(), pick.tolist()
-        for k, t in enumerate(texts):
-            ids, end, back, chosen = [], len(t), prev[k], pick[k]
-            while end:
-                got = chosen[end]
-                if got >= 0:
-                    ids.append(got)
-                else:
-                    ids.extend(reversed(self.p.fallback(t[end - 1])))
-                end = back[end]
-            out.append(ids[::-1])
-        return out
+        inside = np.arange(len(flat)) - first[row]
+        start, length, score, piece = self._edges(flat, size[row] - inside)
+        order = np.argsort(inside[start].astype(np.int16), kind="stable")
+        start, length, score, piece = start[order], length[order], score[order], piece[order]
+        cuts = np.searchsorted(inside[start], np.arange(int(size.max(initial=0)) + 1)).tolist()
+        source = start + row[start]                          # a text of k characters has k + 1 places
+        target = source + length
+        best = np.full(len(flat) + n, -np.inf)
+        prev = np.zeros(len(flat) + n, dtype=np.int64)
+        pick = np.full(len(flat) + n, -1, dtype=np.int64)
+        zero = first + np.arange(n)
+        best[zero] = 0
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            total = best[source[a:b]] + score[a:b]
+            better = total > best[target[a:b]]               # longer last pieces come first and win ties
+            to = target[a:b][better]
+            best[to], prev[to], pick[to] = total[better], source[a:b][better], piece[a:b][better]
+        end, who = zero + size, np.arange(n)
+        rows, ids, chars = [], [], []
+        while True:
+            on = end > zero[who]
+            end, who = end[on], who[on]
+            if not len(end):
+                break
+            rows.append(who)
+            ids.append(pick[end])
+            end = prev[end]
+            chars.append(end - who)                          # place of the piece's first character
+        if not rows:
+            return [b""] * n
+        rows, ids, chars = np.concatenate(rows), np.concatenate(ids), np.concatenate(chars)
+        order = np.lexsort((chars, rows))
+        rows, ids, chars = rows[order], ids[order], chars[order]
+        lost = np.flatnonzero(ids < 0)
+        if len(lost):                                        # characters that are no piece: their bytes
+            own = [self.p.fallback(chr(c)) for c in flat[chars[lost]].tolist()]
+            times = np.ones(len(ids), dtype=np.int64)
+            times[lost] = [len(x) for x in own]
+            rows, ids = np.repeat(rows, times), np.repeat(ids, times)
+            ids[ids < 0] = [i for x in own for i in x]
+        raw = ids.astype("<u4").tobytes()
+        bounds = (4 * np.searchsorted(rows, np.arange(n + 1))).tolist()
+        return [raw[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 _ONLY_SPACE = np.zeros(256, dtype=bool)
