@@ -12,8 +12,8 @@ L is twice the log of the likelihood ratio of "a period follows with chance 0.99
 against "with chance P / N"; ``letters`` are the type's characters but periods,
 ``periods`` its inner periods and the final one. 0.3 or more is an abbreviation.
 
-One grouping by type, combined map-side: a type costs a task one row however
-often it stands there. A word of more than 40 characters cannot score 0.3 (its
+Tokens are counted as they stand and only distinct ones looked at; both groupings
+are combined map-side, so a type costs a task few rows however often it stands there. A word of more than 40 characters cannot score 0.3 (its
 factor is below 1e-17) and is counted without being looked at; numbers are no
 types. NULL and empty texts hold no words; no words, no types.
 """
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from threadlens.functions.hof import let
-from threadlens.operators.sentences import WS
+from threadlens.operators.sentences import WS_CHARS
 from threadlens.session import cut_lineage
 
 THRESHOLD = 0.3
@@ -36,20 +36,18 @@ FINAL = "[^.]\\.$"
 IS_TYPE = "^[^\\p{N}]*\\p{L}[^\\p{N}]*$"
 
 
-def word_of(raw) -> Column:
-    """A token as it is counted: lower-cased, marks around it removed; '' for a longer one."""
-    raw = F.col(raw) if isinstance(raw, str) else raw
-    bare = F.regexp_replace(F.regexp_replace(F.lower(raw), LEAD, ""), TRAIL, "")
-    return F.when(F.length(raw) <= LONGEST, bare).otherwise(F.lit(""))
-
-
 def type_counts(df: DataFrame, text_col: str) -> DataFrame:
-    """type, n_with, n_without; words that are no types (numbers, marks) under ''."""
-    w = df.select(F.explode(F.split(F.col(text_col), WS + "+")).alias("raw")).where("raw != ''")
-    w = w.select(word_of("raw").alias("w"))
-    w = w.select(F.col("w").rlike(FINAL).cast("long").alias("p"), F.regexp_replace("w", "\\.+$", "").alias("t"))
-    w = w.select("p", F.when(F.col("t").rlike(IS_TYPE), F.col("t")).otherwise(F.lit("")).alias("type"))
-    return w.groupBy("type").agg(F.sum("p").alias("n_with"), F.sum(1 - F.col("p")).alias("n_without"))
+    """type, n_with, n_without; words that are no types (numbers, marks, longer ones) under ''."""
+    raw = F.explode(F.split(F.translate(F.col(text_col), WS_CHARS, " " * len(WS_CHARS)), " "))
+    w = df.select(raw.alias("raw")).where("raw != ''")
+    w = w.select(F.when(F.length("raw") <= LONGEST, F.lower("raw")).otherwise(F.lit("")).alias("raw"))
+    w = w.groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
+    w = w.select("n", F.regexp_replace(F.regexp_replace("raw", LEAD, ""), TRAIL, "").alias("w"))
+    w = w.select("n", F.col("w").rlike(FINAL).alias("p"), F.regexp_replace("w", "\\.+$", "").alias("t"))
+    w = w.select("n", "p", F.when(F.col("t").rlike(IS_TYPE), F.col("t")).otherwise(F.lit("")).alias("type"))
+    zero = F.lit(0).cast("long")
+    return w.groupBy("type").agg(F.sum(F.when(F.col("p"), F.col("n")).otherwise(zero)).alias("n_with"),
+                                 F.sum(F.when(F.col("p"), zero).otherwise(F.col("n"))).alias("n_without"))
 
 
 def score(n_with: Column, n_without: Column, type_: Column, words: int, finals: int) -> Column:
@@ -89,9 +87,11 @@ def collect_types(abbreviations: DataFrame) -> list[str]:
 
 
 def ends_in_abbreviation(part: Column, types: list[str]) -> Column:
-    """Is the last word of ``part`` (single spaces between words) one of ``types`` and a period?"""
+    """Is the last word of ``part`` one of ``types`` and a period?"""
     if not types:
         return F.lit(False)
-    raw = F.substring_index(part, " ", -1)
-    return let(F.when(F.length(raw) <= LONGEST, F.regexp_replace(F.lower(raw), LEAD, "")),
-               lambda w: F.coalesce(w.rlike(FINAL) & F.regexp_replace(w, "\\.+$", "").isin(types), F.lit(False)))
+    end = F.translate(F.right(part, F.lit(LONGEST + 1)), WS_CHARS, " " * len(WS_CHARS))
+    raw = F.substring_index(end, " ", -1)
+    bare = F.when(F.length(raw) <= LONGEST, F.regexp_replace(F.lower(raw), LEAD, ""))
+    return F.when(part.endswith("."), let(bare, lambda w: F.coalesce(
+        w.rlike(FINAL) & F.regexp_replace(w, "\\.+$", "").isin(types), F.lit(False)))).otherwise(F.lit(False))

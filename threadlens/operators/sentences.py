@@ -51,8 +51,7 @@ def _learned_array(text: Column, abbreviations: list[str]) -> Column:
     from threadlens.operators.abbreviations import ends_in_abbreviation
     parts = F.split(F.regexp_replace(text, BOUNDARY_KEPT, "$1" + SENTINEL + "$2"), SENTINEL)
     joined = F.array_join(F.transform(parts, lambda p: F.concat(p, F.when(
-        ends_in_abbreviation(F.translate(p, WS_CHARS, " " * len(WS_CHARS)), abbreviations), F.lit("")).otherwise(
-        F.lit(SENTINEL)))), "")
+        ends_in_abbreviation(p, abbreviations), F.lit("")).otherwise(F.lit(SENTINEL)))), "")
     return F.transform(F.split(joined, SENTINEL), lambda s: F.regexp_replace(s, "^" + WS + "+", ""))
 
 
