@@ -77,10 +77,37 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def cut_lineage_counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """``cut_lineage`` that also returns the row count, observed in the same pass."""
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most the rows of ``SCALE_CONF``, for Python workers that take
+    long texts; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    most = int(SCALE_CONF[key])
+    if not 0 < int(spark.conf.get(key)) <= most:
+        spark.conf.set(key, str(most))
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the checkpoint folder and read back: for rows that
+    carry texts, which a checkpoint writes uncompressed, and for small tables, whose
+    size the file tells, so that a join with them needs no shuffle."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _counted(df: DataFrame, cut) -> tuple[DataFrame, int]:
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
     obs = Observation()
-    cut = cut_lineage(df.observe(obs, F.count(F.lit(1)).alias("n")))
-    return cut, int(obs.get["n"])
+    done = cut(df.observe(obs, F.count(F.lit(1)).alias("n")))
+    return done, int(obs.get["n"])
+
+
+def cut_lineage_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut_lineage`` that also returns the row count, observed in the same pass."""
+    return _counted(df, cut_lineage)
+
+
+def staged_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``staged`` that also returns the row count, observed in the same pass."""
+    return _counted(df, lambda d: staged(d, name))

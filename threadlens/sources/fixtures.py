@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.functions.labels import sigmoid
+from threadlens.session import staged
 from threadlens.sources.tables import table
 
 def _null_s():
@@ -110,7 +111,13 @@ def v_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = (c.unionByName(without_text(i % 13 == 0, NO_TEXT_IDS, "x", _null_s()))
           .unionByName(without_text(i % 11 == 5, NA_TEXT_IDS, "y", F.lit("N/A"))))
     titles = v_posts(spark, sf_dir).select("post_id", "post_title", "created_utc")
-    return c.join(titles, "post_id", "left")
+    return c.join(named_posts(titles, c), "post_id", "left")
+
+
+def named_posts(posts: DataFrame, comments: DataFrame) -> DataFrame:
+    """The posts that comments name, as a stage table: when they are few, Spark
+    broadcasts them, and the comments' texts are not shuffled by post."""
+    return staged(posts.join(comments.select("post_id").distinct(), "post_id", "left_semi"), "posts")
 
 
 def v_reddit_comments_raw(spark, sf_dir) -> DataFrame:

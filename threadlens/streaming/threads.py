@@ -39,11 +39,11 @@ from threadlens.operators.dedup import keep_first, key_bucket
 from threadlens.operators.joins import lookup_join
 from threadlens.operators.threads import _scoped, identity_rewrite
 from threadlens.schemas import DELETED
-from threadlens.session import cut_lineage, cut_lineage_counted, scratch_path
+from threadlens.session import scratch_path, staged, staged_counted
 
 _KEYS = [T.StructField("_node", T.StringType()), T.StructField("_up", T.StringType())]
 _PLACE = [T.StructField("epoch", T.LongType()), T.StructField("_bucket", T.IntegerType())]
-ROUNDS = 8                                                   # rounds after which lineage of the found ids is cut
+ROUNDS = 8                                                   # rounds after which the found ids are written together
 
 
 @dataclass
@@ -76,7 +76,8 @@ class ThreadTables:
         return df if touched is None else df.where(F.col("_bucket").isin(list(touched)))
 
     def write(self, df: DataFrame, name: str, epoch: int, key: str) -> None:
-        (df.withColumn("_bucket", key_bucket(key, self.buckets)).write.mode("overwrite")
+        # dealt by bucket: else every task writes a file in every bucket, which each round opens
+        (df.withColumn("_bucket", key_bucket(key, self.buckets)).hint("rebalance", "_bucket").write.mode("overwrite")
          .partitionBy("_bucket").parquet(f"{self.path}/{name}/epoch={epoch}"))
 
     def touched(self, df: DataFrame, key: str) -> list[int]:
@@ -118,8 +119,9 @@ def apply_batch(batch: DataFrame, tables: ThreadTables, epoch: int, order: Seque
     own = tables.touched(arriving, "_node")
     report.row_buckets = len(own)
     stored = tables.read(spark, "rows", epoch, own).select("_node").distinct()
-    fresh, report.fresh = cut_lineage_counted(
-        arriving.join(stored, "_node", "left_anti").withColumn("_raw_parent", F.col("parent_comment").cast("string")))
+    fresh, report.fresh = staged_counted(
+        arriving.join(stored, "_node", "left_anti")
+        .withColumn("_raw_parent", F.col("parent_comment").cast("string")).drop("parent_comment"), "fresh")
     tables.write(fresh.where(F.col("_up").isNotNull()).select("_node", "_up"), "edges", epoch, "_up")
 
     affected, count = _below(fresh, tables, epoch, report)
@@ -141,12 +143,12 @@ def _below(fresh: DataFrame, tables: ThreadTables, epoch: int, report: BatchRepo
         asked = frontier.select(F.col("_node").alias("_asked"))
         # a comment with very many replies is a hot key of ``answers``
         found = lookup_join(answers, asked, "_up", "_asked", "inner").select("_node")
-        frontier, more = cut_lineage_counted(found.join(affected, "_node", "left_anti").distinct())
+        frontier, more = staged_counted(found.join(affected, "_node", "left_anti").distinct(), "below")
         count += more
         report.rounds += 1
         affected = affected.unionByName(frontier)
         if report.rounds % ROUNDS == 0:
-            affected = cut_lineage(affected)
+            affected = staged(affected, "affected")
     report.affected = count
     return affected, count
 
@@ -155,16 +157,17 @@ def _with_parents(fresh: DataFrame, affected: DataFrame, count: int, tables: Thr
                   report: BatchReport) -> tuple[DataFrame, DataFrame]:
     """(rows to compute, those of them that start: roots and answers to comments outside)."""
     spark = fresh.sparkSession
-    base = ["_node", "_up", *tables.schema.names, "_raw_parent"]
+    # the parent's text as landed is _raw_parent, the one used is found anew
+    base = ["_node", "_up", *[c for c in tables.schema.names if c != "parent_comment"], "_raw_parent"]
     old_ids = affected.join(fresh.select("_node"), "_node", "left_anti")
     touched = tables.touched(old_ids, "_node")
     old = _newest(tables.read(spark, "rows", epoch, touched).select(*base, "epoch", "_bucket")
                   .join(old_ids, "_node", "left_semi"))
-    rows, n = cut_lineage_counted(fresh.select(*base).unionByName(old))
+    rows, n = staged_counted(fresh.select(*base).unionByName(old), "anew")
     inside = affected.select(F.col("_node").alias("_in"))
     outer = lookup_join(rows.where(F.col("_up").isNotNull()), inside, "_up", "_in", "left_anti", n_left=n)
     outer = outer.unionByName(rows.where(F.col("_up").isNull()))
-    asked = cut_lineage(outer.where(F.col("_up").isNotNull()).select("_up").distinct())
+    asked = staged(outer.where(F.col("_up").isNotNull()).select("_up").distinct(), "asked")
     touched = sorted({*touched, *tables.touched(asked, "_up")})
     report.row_buckets = max(report.row_buckets, len(touched))
     around = _newest(tables.read(spark, "rows", epoch, touched)
@@ -193,13 +196,13 @@ def _placed(rows: DataFrame, first: DataFrame, tables: ThreadTables, rewrite, re
     lies below those that start; its text then meets its parent's once, in that round."""
     spark = rows.sparkSession
     astray = F.col("_pid").isNotNull() & F.col("_plevel").isNull()           # below a cycle
-    last, n = cut_lineage_counted(_resolved(first.where(~astray), tables, rewrite))
-    keys = cut_lineage(rows.select("_node", "_up"))
+    last, n = staged_counted(_resolved(first.where(~astray), tables, rewrite), "placed")
+    keys = rows.select("_node", "_up")
     frontier, rounds = last.select("_node"), []
     while n:
         above = frontier.select(F.col("_node").alias("_pid"))
-        frontier, n = cut_lineage_counted(
-            lookup_join(keys, above, "_up", "_pid", "inner", n_left=report.affected).select("_node"))
+        frontier, n = staged_counted(
+            lookup_join(keys, above, "_up", "_pid", "inner", n_left=report.affected).select("_node"), "round")
         report.rounds += 1
         if n:
             rounds.append((frontier, n))
@@ -208,14 +211,14 @@ def _placed(rows: DataFrame, first: DataFrame, tables: ThreadTables, rewrite, re
         place = place.unionByName(found.select("_node", F.lit(k).alias("_round")))
     path = scratch_path(spark, "rounds")
     rows = rows.join(place, "_node", "left").withColumn("_round", F.coalesce("_round", F.lit(-1)))
-    rows.where("_round <> 0").write.partitionBy("_round").parquet(path)
+    rows.where("_round <> 0").write.option("compression", "zstd").partitionBy("_round").parquet(path)
     rows = spark.read.schema(rows.schema).parquet(path)
     done = last
     for k, (_, many) in enumerate(rounds, 1):
         parents = last.select(F.col("_node").alias("_pid"), F.col("level").alias("_plevel"),
                               F.col(tables.out_col).alias("_ptext"))
         here = rows.where(F.col("_round") == k).drop("_round")
-        last = cut_lineage(_resolved(lookup_join(here, parents, "_up", "_pid", "inner", n_left=many), tables, rewrite))
+        last = staged(_resolved(lookup_join(here, parents, "_up", "_pid", "inner", n_left=many), tables, rewrite), "placed")
         done = done.unionByName(last)
     lost = rows.where("_round = -1").withColumns(
         {"parent_comment": F.col("_raw_parent"), "level": F.lit(None).cast("int"),
