@@ -53,3 +53,23 @@ def test_stream_tables_have_no_file_for_each_task_and_bucket(spark):
         files = [f for _, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")]
         assert 0 < len(files) <= 8
     assert tables.read(spark, "rows", 1).where("level is not null").count() == 400
+
+
+def test_model_gate_writes_less_than_its_texts(spark):
+    c, model = _comments(spark), _model(spark)
+    size = c.agg(F.sum(F.octet_length("comment"))).first()[0]
+    before = _bytes(spark)
+    assert clean_comments(c, ModelGate(model)).count() == 60
+    assert _bytes(spark) - before < size
+
+
+def test_seldom_tokens_and_repeated_keys_are_scored(spark, monkeypatch):
+    from threadlens.operators import langid
+    docs = spark.createDataFrame([(1, "due due alpha"), (2, "alpha"), (2, "uno due due"), (3, "zzz"), (None, "the the")],
+                                 "k int, t string")
+    want = {(1, "it"), (2, "it"), (3, None), (None, None)}
+    for hot in (20_000, 1, 0):
+        monkeypatch.setattr(langid, "HOT_TOKENS", hot)
+        got = predict_word_nb(_model(spark), docs, "t", "k")
+        assert {(r.k, r.lang_pred) for r in got.collect()} == want
+        assert got.count() == 5

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from threadlens.functions.text import (
     every_string, fix_encoding, has_entity, lang_text, mask_urls, needs_fix, strip_cf, strip_control, typographic,
 )
-from threadlens.session import cut_lineage
+from threadlens.session import staged
 
 LangGate = Callable[[DataFrame], Column]
 
@@ -42,10 +42,11 @@ class ModelGate:
 
     def apply(self, df: DataFrame) -> DataFrame:
         from threadlens.operators.langid import predict_word_nb
-        staged = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
-        scored = predict_word_nb(self.model, staged.withColumn("_lt", lang_text(self.text_col)),
-                                 "_lt", "_row", out_col="_lang")
-        return scored.where(F.col("_lang") == F.lit(self.label)).drop("_lang", "_lt", "_row")
+        rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "gate")
+        texts = rows.select("_row", lang_text(self.text_col).alias("_lt"))
+        scored = predict_word_nb(self.model, texts, "_lt", "_row", out_col="_lang")
+        kept = scored.where(F.col("_lang") == F.lit(self.label)).select("_row")
+        return rows.join(kept, "_row", "left_semi").drop("_row")
 
 
 def fix_and_gate(df: DataFrame, english: LangGate | ModelGate | None = None) -> DataFrame:
@@ -64,8 +65,9 @@ def fix_and_gate(df: DataFrame, english: LangGate | ModelGate | None = None) ->
         "_nfc": F.coalesce("_fx.comment_nfc", "comment"),
         "comment": F.coalesce("_fx.comment", "comment"),
     })
-    if isinstance(english, ModelGate):
-        df = english.apply(df)
+    if isinstance(english, ModelGate):                      # a text that NFC left alone is staged once
+        df = english.apply(df.withColumn("_nfc", F.nullif("_nfc", "comment")))
+        df = df.withColumn("_nfc", F.coalesce("_nfc", "comment"))
     elif english is not None:
         df = df.where(english(df))
     df = df.withColumn("comment", strip_cf(F.col("_nfc")))

@@ -1,10 +1,11 @@
 """Language identification as Spark jobs: multinomial naive Bayes on words.
 
 Training is one aggregation, token counts per (label, token), combined
-map-side; the vocabulary is every token seen. Scoring counts the tokens of
-each document and joins them to the model by token: the ``HOT_TOKENS`` most
-frequent ones (a bounded list) meet their weights in a broadcast without a
-shuffle, all others in a shuffle join, and the sums are taken per document.
+map-side; the vocabulary is every token seen. Scoring joins the tokens of
+each document to the model by token: the ``HOT_TOKENS`` most frequent ones (a
+bounded table) meet their weights in a broadcast and are summed per document
+where they are read; only the others are shuffled, once by token to their
+weights and once by document.
 
 score(doc, l) = ln prior_l - n_V(doc) * ln(T_l + |V|) + sum_t cnt * ln(c_l(t) + 1)
 (add-one smoothing; tokens outside the vocabulary V are ignored).
@@ -18,11 +19,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadlens.operators.joins import lookup_join
-from threadlens.session import cut_lineage
+from threadlens.session import staged
 
 MAX_LABELS = 256
-HOT_TOKENS = 500
+HOT_TOKENS = 20_000
 
 
 def word_tokens(c) -> Column:
@@ -35,7 +35,7 @@ class WordNB:
     labels: list[str]
     consts: list[tuple[float, float]]   # (ln prior, ln(T_l + |V|)) per label
     weights: DataFrame                  # token, w_<i> = ln(c_i(token) + 1)
-    hot: list[str]                      # the most frequent tokens
+    hot: DataFrame                      # the rows of ``weights`` of the most frequent tokens
 
 
 def train_word_nb(docs: DataFrame, text_col: str, label_col: str) -> WordNB:
@@ -50,11 +50,11 @@ def train_word_nb(docs: DataFrame, text_col: str, label_col: str) -> WordNB:
     toks = labelled.select(F.col(label_col).alias("label"),
                            F.explode(word_tokens(text_col)).alias("token"))
     # Sufficient statistics: sized by vocabulary x labels, not by the corpus.
-    counts = cut_lineage(toks.groupBy("label", "token").agg(F.count(F.lit(1)).alias("c")))
+    counts = staged(toks.groupBy("label", "token").agg(F.count(F.lit(1)).alias("c")), "token-counts")
     wide = (counts.groupBy("token").pivot("label", labels).agg(F.first("c")))
-    wide = cut_lineage(wide.select("token", *[
+    wide = staged(wide.select("token", *[
         F.coalesce(F.col(f"`{lab}`"), F.lit(0)).cast("long").alias(f"c_{i}")
-        for i, lab in enumerate(labels)]))
+        for i, lab in enumerate(labels)]), "vocabulary")
     # per-label totals and |V| from the small model table (one pass)
     agg = wide.agg(F.count(F.lit(1)).alias("v"),
                    *[F.sum(f"c_{i}").alias(f"t_{i}") for i in range(len(labels))]).first()
@@ -64,19 +64,25 @@ def train_word_nb(docs: DataFrame, text_col: str, label_col: str) -> WordNB:
     weights = wide.select("token", *[F.log(F.col(f"c_{i}").cast("double") + 1.0).alias(f"w_{i}")
                                      for i in range(len(labels))])
     total = sum((F.col(f"c_{i}") for i in range(len(labels))), F.lit(0))
-    hot = [r[0] for r in wide.orderBy(total.desc(), "token").select("token").limit(HOT_TOKENS).collect()]
+    top = wide.orderBy(total.desc(), "token").select("token").limit(HOT_TOKENS)
+    hot = staged(weights.join(F.broadcast(top), "token", "left_semi"), "hot-tokens")
     return WordNB(labels, consts, weights, hot)
 
 
 def predict_word_nb(model: WordNB, docs: DataFrame, text_col: str, key: str,
                     out_col: str = "lang_pred") -> DataFrame:
     """Adds ``out_col`` (argmax label; NULL when no vocabulary token)."""
-    toks = (docs.select(key, F.explode(word_tokens(text_col)).alias("_t"))
-            .groupBy(key, "_t").agg(F.count(F.lit(1)).alias("_c")))
-    hit = lookup_join(toks, model.weights, "_t", "token", "inner", hot=model.hot)
     n = len(model.labels)
-    agg = hit.groupBy(key).agg(F.sum("_c").alias("_nv"),
-                               *[F.sum(F.col("_c") * F.col(f"w_{i}")).alias(f"_s{i}") for i in range(n)])
+    toks = docs.select(key, F.explode(word_tokens(text_col)).alias("token"))
+    hot = F.broadcast(model.hot)
+    seldom = toks.join(F.broadcast(model.hot.select("token")), "token", "left_anti")
+
+    def summed(hit, c, w):
+        return hit.groupBy(key).agg(c.alias("_nv"), *[F.sum(w.format(i)).alias(f"_s{i}") for i in range(n)])
+
+    parts = [summed(toks.join(hot, "token"), F.count(F.lit(1)), "w_{}"),
+             summed(seldom.join(model.weights, "token"), F.count(F.lit(1)), "w_{}")]
+    agg = summed(parts[0].unionByName(parts[1]), F.sum("_nv"), "_s{}")
     scores = [F.lit(lp) - F.col("_nv") * F.lit(lt) + F.col(f"_s{i}")
               for i, (lp, lt) in enumerate(model.consts)]
     arr = F.array(*scores)
