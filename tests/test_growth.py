@@ -73,3 +73,17 @@ def test_seldom_tokens_and_repeated_keys_are_scored(spark, monkeypatch):
         got = predict_word_nb(_model(spark), docs, "t", "k")
         assert {(r.k, r.lang_pred) for r in got.collect()} == want
         assert got.count() == 5
+
+
+def test_trigram_workers_hold_little(spark):
+    texts = [f"some words of text {i} " * 400 for i in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 400), pa.array(texts)], names=["label", "t"])
+    list(_counts(iter([batch.slice(0, 1)])))                  # imports are done
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in _counts(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows > 0
+    assert peak < 40 << 20
+    train_profiles(spark.createDataFrame([("abcd", "en")], "t string, lang string"), "t", "lang")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2000

@@ -24,16 +24,17 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.operators.langid import MAX_LABELS
+from threadlens.session import small_batches
 
 MAX_BYTES = 256 << 20
 HELD = 1_000_000                                             # counts a task combines before it passes them on
-BLOCK = 1 << 20                                              # characters looked at together
+BLOCK = 1 << 18                                              # characters looked at together
+ROWS = 200                                                   # texts that are Python strings together
 
 
 def gram_text(c) -> Column:
@@ -100,9 +101,12 @@ class TrigramProfiles:
 
     def column(self, text) -> Column:
         """The language of a text column (``gram_text`` form)."""
-        @F.pandas_udf("string")
-        def language(s: pd.Series) -> pd.Series:
-            return pd.Series(profiles.predict([None if t is None or t != t else t for t in s]), dtype=object)
+        @F.arrow_udf("string")
+        def language(s: pa.Array) -> pa.Array:
+            got: list[str | None] = []
+            for at in range(0, len(s), ROWS):
+                got += profiles.predict(s.slice(at, ROWS).to_pylist())
+            return pa.array(got, pa.string())
         profiles = self
         return language(F.col(text) if isinstance(text, str) else text)
 
@@ -117,8 +121,8 @@ def _counts(batches):
                                              names=["label", "gram", "c"])
         held.clear()
 
-    for batch in batches:
-        labels, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+    for part in (batch.slice(at, ROWS) for batch in batches for at in range(0, batch.num_rows, ROWS)):
+        labels, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
         for label in sorted(set(labels)):
             for _, parts in blocks([t for x, t in zip(labels, texts) if x == label]):
                 new, c = np.unique(trigrams(parts)[0], return_counts=True)
@@ -133,7 +137,11 @@ def _counts(batches):
 
 
 def train_profiles(docs: DataFrame, text: str, label: str, max_bytes: int = MAX_BYTES) -> TrigramProfiles:
-    """Profiles of the labels of ``docs`` from its texts (``gram_text`` form)."""
+    """Profiles of the labels of ``docs`` from its texts (``gram_text`` form).
+
+    A Python worker holds one Arrow batch, the model, and arrays for ``BLOCK``
+    characters and ``HELD`` counts, however many texts there are."""
+    small_batches(docs.sparkSession)
     labelled = docs.where(F.col(label).isNotNull()).select(F.col(label).cast("string").alias("label"), F.col(text).alias("t"))
     priors = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LABELS + 1).collect()
     if len(priors) > MAX_LABELS:
