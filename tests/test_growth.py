@@ -87,3 +87,12 @@ def test_trigram_workers_hold_little(spark):
     assert peak < 40 << 20
     train_profiles(spark.createDataFrame([("abcd", "en")], "t string, lang string"), "t", "lang")
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2000
+
+
+def test_comment_level_writes_less_than_its_texts(spark):
+    c = _comments(spark)
+    size = c.agg(F.sum(F.octet_length("comment"))).first()[0]
+    before = _bytes(spark)
+    got = jobs.comment_level(c, None, {"m": ["alpha"]})
+    assert got.agg(F.max("level")).first()[0] == 6
+    assert _bytes(spark) - before < size

@@ -24,7 +24,7 @@ from threadlens.operators.sentences import split_sentences
 from threadlens.operators.threads import assign_levels, identity_rewrite, thread_context
 from threadlens.operators.unify import join_parent, join_posts, rename_profile, unify_platforms
 from threadlens.schemas import POSTS_RAW, THREAD_COMMENTS_RAW, VIDEO_COMMENTS_RAW
-from threadlens.session import cut_lineage, cut_lineage_counted
+from threadlens.session import staged, staged_counted
 from threadlens.sources import landing
 
 
@@ -44,7 +44,7 @@ def comments_from_landing(spark: SparkSession, landing_dir: str,
     posts = landing.consolidate(spark, base, "_post_data_", POSTS_RAW)
     comments = rename_profile(_landing_order(comments), "reddit_comments").drop("search_type")
     posts = rename_profile(_landing_order(posts), "reddit_posts").drop("search_type")
-    comments, n = cut_lineage_counted(keep_first(comments, ["comment_id"], ["_order"]))
+    comments, n = staged_counted(keep_first(comments, ["comment_id"], ["_order"]), "comments")
     posts = keep_first(posts, ["post_id"], ["_order"]).drop("_order")
     hot = hot_keys(comments, "post_id", n)                  # on the staged table
     reddit = join_posts(join_parent(comments, n_rows=n), posts, n_comments=n, hot_posts=hot)
@@ -63,7 +63,7 @@ def comment_level(unified: DataFrame, english: Callable[[DataFrame], Column] | M
                   order_col: str = "_order") -> DataFrame:
     """clean -> stage table -> levels -> context (with ``rewrite``) -> flags."""
     u = clean_comments(unified, english)
-    u = cut_lineage(u.withColumn("parent_comment", F.coalesce("parent_comment", F.lit(""))))
+    u = staged(u.withColumn("parent_comment", F.coalesce("parent_comment", F.lit(""))), "cleaned")
     ctx = thread_context(assign_levels(u), rewrite=rewrite, order_col=order_col)
     return mention_flags(ctx, "comment", {k: list(v) for k, v in gazetteers.items()})
 

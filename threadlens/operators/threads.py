@@ -10,7 +10,7 @@ Nodes never reaching a root (parent cycles and everything below them) get
 ``thread_context`` is inherently sequential by level (a reply's context is
 its parent's *resolved* text). The input is written once partitioned by
 level, so each round reads one partition and joins it with the previous
-round's (checkpointed) output: total join work is O(rows), D small jobs.
+round's (staged) output: total join work is O(rows), D small jobs.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from threadlens.functions.text import context_concat, recover_child
 from threadlens.operators.joins import lookup_join
 from threadlens.schemas import DELETED
-from threadlens.session import cut_lineage, scratch_path
+from threadlens.session import cut_lineage, scratch_path, staged
 
 
 SCOPE = "platform"
@@ -124,7 +124,7 @@ def thread_context(df: DataFrame, rewrite: Callable[[Column], Column] = identity
     order = F.col(order_col) if order_col else F.monotonically_increasing_id()
     base = df.withColumn("_ord", order)
     path = scratch_path(spark, "levels")
-    base.write.partitionBy("level").parquet(path)
+    base.write.option("compression", "zstd").partitionBy("level").parquet(path)
     base = spark.read.parquet(path)
     stats = (base.where(F.col("level").isNotNull()).groupBy("level")
              .agg(F.count(F.lit(1)).alias("n"), F.count_distinct(_scoped(base, id_col)).alias("ids"))
@@ -154,7 +154,7 @@ def thread_context(df: DataFrame, rewrite: Callable[[Column], Column] = identity
             cur = cur.select(*cols)
         combined = context_concat(F.col("parent_comment"), F.col(text_col))
         cur = cur.withColumn(out_col, recover_child(rewrite(combined)))
-        cur = cut_lineage(cur)
+        cur = staged(cur, "level")
         done.append(cur)
         prev, prev_lvl = cur, lvl
     unplaced = base.where(F.col("level").isNull()).withColumn(

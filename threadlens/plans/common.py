@@ -12,9 +12,9 @@ from threadlens.operators.unify import (
     join_parent, join_posts, rename_profile, unify_platforms,
 )
 from threadlens.schemas import NA_LITERALS
-from threadlens.session import cut_lineage_counted
+from threadlens.session import staged_counted
 from threadlens.sources.fixtures import (
-    v_comments, v_reddit_comments_raw, v_reddit_posts_raw, v_youtube_comments_raw,
+    named_posts, v_comments, v_reddit_comments_raw, v_reddit_posts_raw, v_youtube_comments_raw,
 )
 
 NA_SQL = ", ".join("'" + x.replace("'", "''") + "'" for x in NA_LITERALS)
@@ -34,8 +34,8 @@ def reddit_comments(spark, sf_dir) -> tuple[DataFrame, int]:
     self-join read it: one dedup shuffle, not two) and its row count,
     observed while it is written."""
     raw = _scan_na(v_reddit_comments_raw(spark, sf_dir), ["Comment", "Parent Comment ID"])
-    return cut_lineage_counted(
-        keep_first(rename_profile(raw, "reddit_comments"), ["comment_id"], ["_order"]))
+    return staged_counted(
+        keep_first(rename_profile(raw, "reddit_comments"), ["comment_id"], ["_order"]), "comments")
 
 
 def reddit_posts(spark, sf_dir) -> DataFrame:
@@ -55,8 +55,9 @@ def reddit_joined(spark, sf_dir) -> DataFrame:
     # keep-first made ids unique, so the parent join keeps rows 1:1: hot posts
     # are found on the staged comments, not by re-running the parent join
     hot = hot_keys(c, "post_id", n)
+    posts = named_posts(reddit_posts(spark, sf_dir), c)
     c = join_parent(c, n_rows=n)
-    return join_posts(c, reddit_posts(spark, sf_dir), n_comments=n, hot_posts=hot)
+    return join_posts(c, posts, n_comments=n, hot_posts=hot)
 
 
 def youtube_comments(spark, sf_dir) -> DataFrame:
