@@ -49,7 +49,9 @@ class _Words:
         self.count = np.diff(ptr)
         self.held = is_held_out(chunk.ids, folds, held_out)
         self.doc = np.repeat(np.arange(len(self.count)), self.count)
-        self.values, at, self.word = np.unique(h, return_index=True, return_inverse=True)
+        self.values, self.word = np.unique(h, return_inverse=True)
+        at = np.empty(len(self.values), dtype=np.int64)
+        at[self.word] = np.arange(len(h))                    # any place of the word tells its ending
         self.trained = ~self.held[self.doc]
         self.here = np.bincount(self.word[self.trained], minlength=len(self.values))
         self.first = np.zeros(len(h), dtype=bool)
@@ -117,12 +119,13 @@ class _Words:
         """Class bigrams of the training text; row k is before a first word,
         column k the end; with ``single`` row k+1 counts what follows words
         seen once, column k+1 words seen once that follow."""
-        m = np.zeros((self.k + 2, self.k + 2), dtype=np.int64)
+        side = self.k + 2
+        m = np.zeros((side, side), dtype=np.int64)
         own, before, after = self.neighbours()
         t = self.trained
 
         def count(r, c):
-            np.add.at(m, (r, c), 1)
+            m.ravel()[:] += np.bincount(r * side + c, minlength=side * side)
 
         count(before[t], own[t])
         end = t & self.last
@@ -250,20 +253,18 @@ def class_scores(docs: DataFrame, classes: int = 128, sweeps: int = 2, folds: in
     def words(chunk):
         return _Words(chunk, classes, folds, held_out)
 
-    chunks = C.stage(C.chunked(base, size, lambda c: [(CELLS, -1, words(c).cells().tobytes())]), "text")
+    def first(chunk):
+        w = words(chunk)
+        rows = [(CELLS, -1, w.cells().tobytes())]
+        return rows + list(w.questions(buckets)) if len(w.values) else rows
+
+    chunks = C.stage(C.chunked(base, size, first), "text")
     cells = _sum_cells(chunks, classes)
 
     def ask(key, w):
         return C.part_batch([(k, key, b, p) for k, b, p in w.questions(buckets)])
 
-    def first(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                w = words(C.Chunk.unpack(batch.column(1)[i].as_py()))
-                if len(w.values):
-                    yield ask(batch.column(0)[i].as_py(), w)
-
-    questions = chunks.where(F.col("kind") == C.TEXT).select("chunk", "payload").mapInArrow(first, C.PART)
+    questions = chunks.where(F.col("kind") == WORD)
     rounds = _rounds(sweeps)
     for turn, half in enumerate(rounds):
         answers = C.stage(C.each_bucket(questions, _exchange(cells, classes, half)), "classes")
