@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from threadlens.llm import brown
+from threadlens.llm import brown, parsing
 from threadlens.llm import common as C
 
 
@@ -30,3 +30,11 @@ def test_brown_cells_count_every_bigram():
     assert cells.sum() == 4 * (~held).sum()                  # three words and an end
     assert cells[4, :4].sum() == cells[:4, 4].sum() == (~held).sum()
     assert w.values.size == 4 and (w.values[w.word] == C.words(chunk.data, chunk.offs, lower=True)[2]).all()
+
+
+def test_suffixes_are_sent_compressed():
+    words = [f"word{i % 40} follows" for i in range(4000)]
+    p = parsing._Parse(_chunk([" ".join(words)]), 50, 24, 8)
+    runs = np.arange(len(p.mark))
+    sent = sum(len(x) for _, _, x in parsing._send_suffixes(p, runs, 16))
+    assert len(runs) and sent < len(runs) * (2 * 50 - 24)     # less than the windows' bytes alone

@@ -242,22 +242,26 @@ def _deal(p: _Parse, sel: np.ndarray, buckets: int):
 
 def _send_suffixes(p: _Parse, sel: np.ndarray, buckets: int):
     """Runs to compare, once each: bytes around the trigger and the shifts that count."""
+    import zstandard
+    squeeze = zstandard.ZstdCompressor(level=3).compress
     back = p.length - p.gram
     order, bucket = _deal(p, sel, buckets)
     rows = []
     for k, s in C.by_bucket(bucket):
         o = sel[order[s]]
         text = p.bytes_at(p.trigger[o] - back, back + p.length)
-        rows.append((SUFFIX, k, C.blob(
+        rows.append((SUFFIX, k, squeeze(C.blob(
             (p.mark[o] & np.uint64(0xFFFFFFFF)).astype(np.uint32), p.doc[o],
             (p.trigger[o] - p.last[o]).astype(np.uint8), (p.trigger[o] - p.first[o]).astype(np.uint8),
-            text.ravel())))
+            text.ravel()))))
     return rows
 
 
 def _answer_suffixes(chunks, payloads, length, gram):
+    import zstandard
+    expand = zstandard.ZstdDecompressor().decompress
     back = length - gram
-    parts = [C.unblob(x, np.uint32, np.int64, np.uint8, np.uint8, np.uint8) for x in payloads]
+    parts = [C.unblob(expand(x), np.uint32, np.int64, np.uint8, np.uint8, np.uint8) for x in payloads]
     mark, doc, least, most = (np.concatenate([x[k] for x in parts]) for k in range(4))
     text = np.concatenate([x[4] for x in parts]).reshape(len(mark), back + length)
     order = np.argsort(mark, kind="stable")
